@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()``, which stops reading as soon
+    as the bound is exceeded, so it stays cheap even when the side is large.
+    Beyond the bound the DataFrame is returned unhinted and Spark (with AQE)
+    chooses a shuffle join, converting to broadcast at run time only if the
+    measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The tally process is a batch full refresh of immutable, official files; it
+has no stream, watermark, window over event time or stateful operator, so
+there is nothing to express with Structured Streaming here.  Re-running
+``plans.medallion.run`` replaces every table idempotently.
+"""
