@@ -63,6 +63,13 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     classes = entity_flags(df, spec).select(
         *[F.col(k).alias(a) for k, a in zip(spec.key, keyed)], F.col(spec.output)
     )
-    # Null-safe equality: a window groups NULL keys together, so must we.
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(classes[a]) for k, a in zip(spec.key, keyed)])
-    return df.join(classes, cond, "left").drop(*keyed)
+    # A window groups NULL keys together, so a nullable key needs a null-safe
+    # join; a key that cannot be NULL (e.g. an id built from coalesced parts)
+    # keeps a plain equi-join, whose build side reuses the aggregate's
+    # hash partitioning instead of being shuffled again.
+    nullable = {f.name: f.nullable for f in df.schema.fields}
+    eq = [
+        df[k].eqNullSafe(classes[a]) if nullable.get(k, True) else df[k] == classes[a]
+        for k, a in zip(spec.key, keyed)
+    ]
+    return df.join(classes, reduce(lambda a, b: a & b, eq), "left").drop(*keyed)

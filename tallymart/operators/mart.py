@@ -5,17 +5,16 @@ Two plans with the same result:
 * ``summary``: pivot of the totals rows grouped by join keys + attributes,
   left-joined on the join keys to the aggregate of the list rows
   (``list_aggregate``).  Three exchanges.
-* ``summary_onepass``: one conditional aggregate grouped by the join keys
-  only.  It is exact for keys whose totals rows carry a single attribute
-  tuple; keys with several tuples (rare) are detected inside the same
-  aggregate and recomputed with the joined plan, then unioned in.
+* ``summary_onepass``: one scan; a conditional aggregate by join keys +
+  attributes, then a window over the (small) aggregate per join key.  Two
+  exchanges, no join, and the input is evaluated once.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.operators.reshape import pivot_codes
@@ -55,15 +54,19 @@ def _all(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, cols)
 
 
-def summary_onepass(df: DataFrame, spec: SummarySpec, exact: bool = True) -> DataFrame:
-    """The summary as one aggregate keyed by the join keys.
+def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
+    """The summary with one scan of the input and no join.
 
-    Per key it computes the pivot cells and the list sum/count with
-    conditional aggregates, plus, for every attribute, min/max/non-null count
-    over the totals rows: the attribute tuple is unique for the key iff every
-    attribute is all-NULL or non-null everywhere with min = max.  Keys that
-    fail that test are rebuilt with ``summary`` (``exact=True``), so the result
-    equals the joined plan on any input.
+    Level 1 groups by join keys + attributes (partial/final aggregation, so a
+    hot key is collapsed map-side) and computes, per attribute tuple, the
+    pivot cells over the totals rows plus partial list sums and counts.
+    Level 2 adds the list parts up over all tuples of the same join key with
+    a window on the level-1 output, which holds one row per distinct tuple,
+    not per input row.  Tuples without totals rows are then dropped.
+
+    This is exactly the joined plan: lists are aggregated per join key
+    whatever their attributes, and a NULL join key gets NULL list columns
+    because an equi-join never matches it.
     """
     is_tot = F.col(spec.kind) == F.lit(spec.totals_kind)
     is_list = F.col(spec.kind) == F.lit(spec.lists_kind)
@@ -72,35 +75,18 @@ def summary_onepass(df: DataFrame, spec: SummarySpec, exact: bool = True) -> Dat
         aggs.append(F.max(F.when(is_tot & (F.col(spec.code) == F.lit(code)), F.col(spec.measure))).alias(name))
     aggs.append(F.sum(F.when(is_list, F.col(spec.measure))).alias("__lsum"))
     aggs.append(F.count_if(is_list).alias("__lcnt"))
-    for i, a in enumerate(spec.attributes):
-        v = F.when(is_tot, F.col(a))
-        aggs += [F.min(v).alias(a), F.max(v).alias(f"__max{i}"), F.count(v).alias(f"__nn{i}")]
-    agg = df.groupBy(*spec.join_keys).agg(*aggs).filter(F.col("__ntot") > 0)
-
-    single = _all(
-        [F.lit(True)]
-        + [
-            (F.col(f"__nn{i}") == 0)
-            | ((F.col(f"__nn{i}") == F.col("__ntot")) & (F.col(a) == F.col(f"__max{i}")))
-            for i, a in enumerate(spec.attributes)
-        ]
-    )
+    level1 = df.groupBy(*spec.join_keys, *spec.attributes).agg(*aggs)
+
+    w = Window.partitionBy(*spec.join_keys)
     keys_present = _all([F.lit(True)] + [F.col(k).isNotNull() for k in spec.join_keys])
-    has_lists = keys_present & (F.col("__lcnt") > 0)
-    out_cols = (
-        [F.col(k) for k in spec.join_keys]
-        + [F.col(a) for a in spec.attributes]
-        + [F.col(n) for n in spec.totals.values()]
-        + [
-            F.when(has_lists, F.col("__lsum")).alias(spec.lists_sum),
-            F.when(has_lists, F.col("__lcnt")).alias(spec.lists_count),
-        ]
+    n_lists = F.sum("__lcnt").over(w)
+    has_lists = keys_present & (n_lists > 0)
+    out = level1.select(
+        *spec.join_keys,
+        *spec.attributes,
+        *spec.totals.values(),
+        "__ntot",
+        F.when(has_lists, F.sum("__lsum").over(w)).alias(spec.lists_sum),
+        F.when(has_lists, n_lists).alias(spec.lists_count),
     )
-    fast = _order(agg.filter(single).select(*out_cols), spec)
-    if not exact or not spec.attributes:
-        return fast
-    varying = agg.filter(~single).select(*[F.col(k).alias(f"__v{i}") for i, k in enumerate(spec.join_keys)])
-    # Null-safe: a group with a NULL key is still a group of the joined plan.
-    cond = _all([df[k].eqNullSafe(varying[f"__v{i}"]) for i, k in enumerate(spec.join_keys)])
-    rest = summary(df.join(varying, cond, "left_semi"), spec)
-    return fast.unionByName(_order(rest, spec))
+    return _order(out.filter(F.col("__ntot") > 0).drop("__ntot"), spec)

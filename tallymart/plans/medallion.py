@@ -18,7 +18,7 @@ from tallymart.operators.classify import entity_class, row_kind
 from tallymart.operators.clean import align, blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import summary, summary_onepass
 from tallymart.operators.model import dimension, fact
-from tallymart.operators.quality import enforce, evaluate, fk_orphans, null_contract, pk_duplicates
+from tallymart.operators.quality import enforce, evaluate, fk_orphans
 from tallymart.operators.reshape import expand_measure
 from tallymart.session import scratch_path
 from tallymart.sources.delimited import (
@@ -30,7 +30,7 @@ from tallymart.sources.delimited import (
     read_delimited,
 )
 from tallymart.sources.sink import publish, read_table
-from tallymart.spec import TallySpec
+from tallymart.spec import Contract, TallySpec
 
 
 def clean_bronze(raw: DataFrame, spec: TallySpec) -> DataFrame:
@@ -69,32 +69,60 @@ def gold(silver_df: DataFrame, spec: TallySpec, onepass: bool = False) -> dict[s
     return tables
 
 
+def table_checks(df: DataFrame, contract: Contract) -> DataFrame:
+    """Primary-key and NOT NULL checks of one table in one grouped pass
+    (K1, K3): group by the key (partial aggregation first), counting rows and
+    NULLs per not-null column; a global aggregate then counts duplicate keys
+    and sums the NULL counts.  ``(check, table, detail, violations)``."""
+    not_null = [c for c in contract.not_null if c in df.columns]
+    key = list(contract.primary_key)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(not_null)]
+    if key:
+        per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"), *nulls)
+        totals = per_key.agg(
+            F.count_if(F.col("__rows") > 1).alias("__dup"),
+            *[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).alias(f"__n{i}") for i in range(len(not_null))],
+        )
+    else:
+        totals = df.agg(F.lit(0).alias("__dup"), *nulls)
+    entries = []
+    if key:
+        entries.append(f"'primary_key', '{','.join(key)}', __dup")
+    entries += [f"'not_null', '{c}', __n{i}" for i, c in enumerate(not_null)]
+    out = totals.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (check, detail, violations)")
+    return out.select("check", F.lit(contract.name).alias("table"), "detail",
+                      F.col("violations").cast("bigint").alias("violations"))
+
+
 def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
     """Key and NOT NULL checks over the gold tables (K1-K3), one row per check:
-    ``(check, table, detail, violations)``."""
-    parts = []
-    for name, contract in spec.gold.items():
-        if name not in tables:
-            continue
-        df = tables[name]
-        if contract.primary_key:
-            dup = pk_duplicates(df, contract.primary_key).agg(F.count(F.lit(1)).alias("violations"))
-            parts.append(dup.select(F.lit("primary_key").alias("check"), F.lit(name).alias("table"),
-                                    F.lit(",".join(contract.primary_key)).alias("detail"), "violations"))
-        nulls = null_contract(df, contract).filter(~F.col("nullable"))
-        parts.append(nulls.select(F.lit("not_null").alias("check"), F.lit(name).alias("table"),
-                                  F.col("column").alias("detail"), F.col("nulls").alias("violations")))
+    ``(check, table, detail, violations)``; foreign keys count orphan rows."""
+    parts = [table_checks(tables[name], contract) for name, contract in spec.gold.items() if name in tables]
     for fk in spec.foreign_keys:
         if fk.child in tables and fk.parent in tables:
             orphans = fk_orphans(tables[fk.child], fk.columns, tables[fk.parent], fk.parent_columns)
             agg = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
             detail = f"{','.join(fk.columns)} -> {fk.parent}({','.join(fk.parent_columns)})"
             parts.append(agg.select(F.lit("foreign_key").alias("check"), F.lit(fk.child).alias("table"),
-                                    F.lit(detail).alias("detail"), "violations"))
+                                    F.lit(detail).alias("detail"), F.col("violations").cast("bigint")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("violations", F.col("violations").cast("bigint"))
+    return out
+
+
+def publish_gold(tables: dict[str, DataFrame], spec: TallySpec, root: str) -> dict[str, str]:
+    """Write every gold table under ``root`` aligned to its contract."""
+    paths = {}
+    for name, df in tables.items():
+        path = f"{root.rstrip('/')}/{name}"
+        publish(df, path, contract=spec.gold[name])
+        paths[name] = path
+    return paths
+
+
+def read_gold(spark: SparkSession, paths: dict[str, str], spec: TallySpec) -> dict[str, DataFrame]:
+    return {name: read_table(spark, path, spec.gold[name]) for name, path in paths.items()}
 
 
 @dataclass
@@ -172,8 +200,5 @@ def run(
     publish(staged, silver_path, contract=spec.silver)
     result.tables["silver"] = silver_path
     published = read_table(spark, silver_path, spec.silver)
-    for name, df in gold(published, spec, onepass=onepass).items():
-        path = f"{root}/gold/{name}"
-        publish(df, path, contract=spec.gold[name])
-        result.tables[name] = path
+    result.tables.update(publish_gold(gold(published, spec, onepass=onepass), spec, f"{root}/gold"))
     return result
