@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from tallymart.functions.codes import clean_label, composite_id, to_int
 from tallymart.operators.classify import entity_class, row_kind
@@ -39,6 +40,17 @@ def clean_bronze(raw: DataFrame, spec: TallySpec) -> DataFrame:
     return trim_sentinel(raw, spec.sentinel, text)
 
 
+def bronze_contract(spec: TallySpec) -> Contract:
+    """Bronze: every text field plus the two audit columns, partitioned by
+    the district code when the spec names one."""
+    fields = list(spec.source.schema.fields) + [
+        StructField(SOURCE_FILE, StringType(), True),
+        StructField(INGESTED_AT, TimestampType(), True),
+    ]
+    parts = (spec.bronze_partition,) if spec.bronze_partition else ()
+    return Contract("bronze", StructType(fields), partition_by=parts)
+
+
 def normalize(bronze: DataFrame, spec: TallySpec) -> DataFrame:
     """Row-local silver derivations (P1, P2, P4-P9), one collapsed projection."""
     df = project(bronze, {c: spec.rename.get(c, c) for c in spec.bronze_columns})
@@ -153,17 +165,16 @@ def ingest(
     staging = scratch_path(spark, "bronze-staging")
     raw = read_delimited(spark, paths, spec.source)
     raw.write.mode("overwrite").partitionBy(SOURCE).parquet(staging)
-    staged = spark.read.parquet(staging)
+    # Explicit schema: source ids such as '01' must not be inferred as numbers.
+    staged = spark.read.schema(raw.schema).parquet(staging)
     report = ingest_report(staged, expected, spec.source.corrupt_column)
     failed = failed_sources(report)
     result.ingest = failed
     bad = [s for s, status, _, _ in failed if status != "NO_ROWS"]
     kept = staged.filter(~F.col(SOURCE).isin(bad)) if bad else staged
     bronze = clean_bronze(kept.drop(spec.source.corrupt_column), spec)
-    cols = [f.name for f in spec.source.schema.fields] + [SOURCE_FILE, INGESTED_AT]
     path = f"{out_root.rstrip('/')}/bronze"
-    parts = [spec.bronze_partition] if spec.bronze_partition else []
-    publish(bronze.select(*cols), path, partition_by=parts)
+    publish(bronze, path, contract=bronze_contract(spec))
     result.tables["bronze"] = path
     if failed and enforce_sources:
         lines = "; ".join(f"{s}: {status} ({n} rows, {b} malformed)" for s, status, n, b in failed)
@@ -189,7 +200,7 @@ def run(
     result = RunResult()
     root = out_root.rstrip("/")
     bronze_path = ingest(spark, paths, spec, root, expected, enforce_sources, result)
-    bronze = read_table(spark, bronze_path)
+    bronze = read_table(spark, bronze_path, bronze_contract(spec))
     staged = silver(bronze, spec).checkpoint(eager=True)
     report = evaluate(staged, spec.rules)
     if enforce_quality:

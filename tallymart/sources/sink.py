@@ -49,6 +49,12 @@ def publish(
 
 
 def read_table(spark: SparkSession, path: str, contract: Contract | None = None, fmt: str = "parquet") -> DataFrame:
-    """Scan a published table (S4), aligned by name to its contract."""
-    df = spark.read.format(fmt).load(path)
-    return conform(df, contract) if contract is not None else df
+    """Scan a published table (S4), aligned by name to its contract.
+
+    With a contract the scan uses its schema, so partition values such as
+    district ``'01'`` stay text instead of being inferred as the number 1.
+    """
+    reader = spark.read.format(fmt)
+    if contract is None:
+        return reader.load(path)
+    return conform(reader.schema(contract.schema).load(path), contract)

@@ -1,0 +1,119 @@
+"""Golden run: hand-written district files through bronze, silver and gold."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.operators import QualityError
+from tallymart.plans.elections import ELECTION, RAW_FIELDS
+from tallymart.plans.medallion import IngestError, gold, gold_checks, read_gold, run
+from tallymart.sources.sink import read_table
+
+FIELDS = [f.strip() for f in RAW_FIELDS.replace("\n", " ").split(",") if f.strip()]
+
+
+def line(dist, secc, secc_d, circ, circ_d, mesa, cat, code, desc, cant, totins, sep="|"):
+    values = dict.fromkeys(FIELDS, "x")
+    values.update(dist_codigo=dist, secc_codigo=secc, secc_descrip=secc_d, circ_codigo=circ, circ_descrip=circ_d,
+                  zona_codigo=mesa, carg_codigo=cat, ppar_codigo=code, ppar_descrip=desc, cant=cant, totins=totins)
+    return sep.join(values[f] for f in FIELDS)
+
+
+def table_lines(dist, mesa, secc_d="CAPITAL", circ="3", cat="DN", lists=((501, 10), (502, 20)), cant994="33"):
+    out = [line(dist, "2", secc_d, circ, " CENTRO ", mesa, cat, str(c), f"UNIÓN - LISTA {c}", str(n), "350")
+           for c, n in lists]
+    out.append(line(dist, "2", secc_d, circ, "CENTRO", mesa, cat, "990", "VOTOS EN BLANCO", "1", "350"))
+    out.append(line(dist, "2", secc_d, circ, "CENTRO", mesa, cat, "994", "VOTOS TOTALES", cant994, "350"))
+    return out
+
+
+def write(dir_, dist, lines, raw=None):
+    path = os.path.join(dir_, f"2025 - {dist} - RESULTADOS.txt")
+    with open(path, "wb") as fh:
+        fh.write(raw if raw is not None else ("\n".join(lines) + "\n").encode("iso-8859-1"))
+
+
+def good_files(dir_):
+    write(dir_, "01", table_lines("1", "4") + table_lines("1", "5", secc_d="RESIDENTES EN EL EXTERIOR", circ=" \\N "))
+    write(dir_, "02", table_lines("02", "00007", lists=((501, -5), (502, 5)), cant994="-351"))
+
+
+def test_clean_run_publishes_everything(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    res = run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    assert res.ingest == []
+    assert dict(res.quality) == {r.name: 0 for r in ELECTION.rules}
+
+    bronze = read_table(spark, res.tables["bronze"])
+    assert set(os.listdir(res.tables["bronze"])) >= {"dist_codigo=1", "dist_codigo=02"}
+    assert bronze.filter(F.col("circ_codigo").isNull()).count() == 4  # sentinel -> NULL
+    assert bronze.select(F.max("_source_file")).first()[0].endswith("2025 - 02 - RESULTADOS.txt")
+
+    silver = read_table(spark, res.tables["silver"], ELECTION.silver)
+    assert silver.count() == 12 + 3  # 12 lines, plus one inscribed row per 994 row
+    assert {len(r["id_mesa"]) for r in silver.collect()} == {16}
+    labels = {r["campo"] for r in silver.filter(F.col("campo_numero") == "501").collect()}
+    assert labels == {"501 UNIN LISTA 501"}
+    classes = {r["id_mesa"]: r["tipo_mesa"] for r in silver.select("id_mesa", "tipo_mesa").distinct().collect()}
+    assert classes == {
+        "010020000300004X": "NORMAL",
+        "01002NNNNN00005X": "RESIDENTES_EXTERIOR",
+        "020020000300007X": "COMPENSATORIA",
+    }
+
+    tables = read_gold(spark, {k: v for k, v in res.tables.items() if k in ELECTION.gold}, ELECTION)
+    mart = {r["id_mesa"]: r.asDict() for r in tables["resumen_mesa"].collect()}
+    assert mart["010020000300004X"]["votos_afirmativos"] == 30 and mart["010020000300004X"]["listas"] == 2
+    assert mart["010020000300004X"]["inscriptos"] == 350 and mart["010020000300004X"]["votos_recurridos"] is None
+    assert tables["resumen_mesa"].columns == list(ELECTION.summary.output_order)
+    names = {r["id_distrito"]: r["distrito"] for r in tables["dim_distrito"].collect()}
+    assert names == {"01": "CAPITAL_FEDERAL", "02": "BUENOS_AIRES"}
+    assert tables["dim_circuito"].count() == 2  # NULL circuit excluded
+    checks = {(r["check"], r["table"], r["detail"]): r["violations"]
+              for r in gold_checks(tables, ELECTION).collect()}
+    # the table without circuit points at a circuit key absent from dim_circuito
+    assert checks[("foreign_key", "dim_mesa", "id_circuito -> dim_circuito(id_circuito)")] == 1
+    assert checks[("primary_key", "resumen_mesa", "categoria,id_mesa")] == 0
+
+    # idempotent full refresh
+    before = sorted((tuple(r) for r in silver.drop().collect()), key=repr)
+    again = run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    after = sorted((tuple(r) for r in read_table(spark, again.tables["silver"], ELECTION.silver).collect()), key=repr)
+    assert after == before
+
+
+def test_bad_files_are_quarantined_and_reported(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    ok = table_lines("03", "1")
+    write(src, "03", ok[:-1] + [ok[-1].rsplit("|", 3)[0]])  # short line
+    write(src, "04", table_lines("04", "1")[:-1] + [table_lines("04", "1")[-1] + "|extra"])  # long line
+    write(src, "05", [line("05", "2", '"UNCLOSED', "3", "C", "1", "DN", "501", "L", "1", "2")])
+    write(src, "06", [], raw=b"")  # empty file
+    expected = ["01", "02", "03", "04", "05", "06", "07"]
+    with pytest.raises(IngestError) as err:
+        run(spark, f"{src}/*.txt", ELECTION, out, expected=expected)
+    msg = str(err.value)
+    for dist, status in [("03", "MALFORMED"), ("04", "MALFORMED"), ("05", "MALFORMED"), ("06", "NO_ROWS"),
+                         ("07", "NO_ROWS")]:
+        assert f"{dist}: {status}" in msg
+    # good districts were loaded anyway
+    bronze = spark.read.parquet(os.path.join(out, "bronze"))
+    assert sorted(r[0] for r in bronze.select("_source_file").distinct().collect()) == [
+        os.path.join(src, "2025 - 01 - RESULTADOS.txt"),
+        os.path.join(src, "2025 - 02 - RESULTADOS.txt"),
+    ] or bronze.select(F.countDistinct("dist_codigo")).first()[0] == 2
+
+
+def test_quality_gate_stops_publication(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    write(src, "01", table_lines("1", "4", cat="ZZ") + table_lines("1", "5", circ=""))
+    with pytest.raises(QualityError) as err:
+        run(spark, f"{src}/*.txt", ELECTION, out, expected=["01"])
+    assert [n for n, _ in err.value.failures] == ["normal_geo_complete", "category_domain"]
+    assert not os.path.exists(os.path.join(out, "silver"))

@@ -1,0 +1,218 @@
+"""Operators on hand-made tally rows (election spec)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import bronze, row, table_rows
+from tallymart.operators import (
+    QualityError,
+    entity_class,
+    enforce,
+    evaluate,
+    expand_measure,
+    expand_measure_union,
+    fk_orphans,
+    null_contract,
+    pivot_codes,
+    pk_duplicates,
+    summary,
+    summary_onepass,
+    violations,
+)
+from tallymart.plans.elections import ELECTION
+from tallymart.plans.medallion import clean_bronze, normalize, silver
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def silver_of(spark, rows, **kw):
+    return silver(clean_bronze(bronze(spark, rows), ELECTION), ELECTION, **kw)
+
+
+def test_id_and_widths(spark):
+    s = silver_of(spark, table_rows())
+    ids = {r["id_mesa"] for r in s.collect()}
+    assert ids == {"010020000300004X"}
+
+
+def test_inscribed_row_added_from_total_row(spark):
+    s = silver_of(spark, table_rows(totins="350"))
+    ins = s.filter(F.col("campo_numero") == "000").collect()
+    assert len(ins) == 1
+    r = ins[0]
+    assert (r["campo"], r["campo_descripcion"], r["cantidad"], r["registro"]) == ("000 INSCRIPTOS", "INSCRIPTOS", 350, "MESA")
+
+
+def test_bad_inscribed_becomes_zero(spark):
+    s = silver_of(spark, table_rows(totins="abc"))
+    assert s.filter(F.col("campo_numero") == "000").first()["cantidad"] == 0
+
+
+def test_no_total_row_no_inscribed_row(spark):
+    s = silver_of(spark, table_rows(totals={"990": "1"}))
+    assert s.filter(F.col("campo_numero") == "000").count() == 0
+
+
+def test_silver_row_count_invariant(spark):
+    rows = table_rows(mesa="1") + table_rows(mesa="2", totals={"990": "3"})
+    s = silver_of(spark, rows)
+    assert s.count() == len(rows) + 1  # one 994 row in the input
+
+
+def test_expand_single_branch_equals_union(spark):
+    n = entity_class(normalize(clean_bronze(bronze(spark, table_rows() + table_rows(mesa="9")), ELECTION), ELECTION),
+                     ELECTION.classes)
+    a = expand_measure(n, ELECTION.measure_row)
+    b = expand_measure_union(n, ELECTION.measure_row)
+    assert rows_of(a.select(sorted(a.columns))) == rows_of(b.select(sorted(b.columns)))
+
+
+def classes(spark, rows, method="join"):
+    s = silver_of(spark, rows, method=method)
+    return {r["id_mesa"]: r["tipo_mesa"] for r in s.select("id_mesa", "tipo_mesa").distinct().collect()}
+
+
+def test_negative_count_makes_whole_table_compensatory(spark):
+    rows = table_rows(mesa="1", lists=((501, -5), (502, 5))) + table_rows(mesa="2")
+    got = classes(spark, rows)
+    assert got["010020000300001X"] == "COMPENSATORIA" and got["010020000300002X"] == "NORMAL"
+
+
+def test_pattern_priority_and_broad_match(spark):
+    rows = (
+        table_rows(mesa="1", secc_d="RESIDENTES EN EL EXTERIOR")
+        + table_rows(mesa="2", secc_d="privados de la libertad")
+        + table_rows(mesa="3", secc_d="RESIDENT PRIV")  # both patterns: abroad wins
+        + table_rows(mesa="4", secc_d="PLAZA ARGENTINA")  # stems match broadly
+        + table_rows(mesa="5", secc_d=None)
+    )
+    got = classes(spark, rows)
+    assert got == {
+        "010020000300001X": "RESIDENTES_EXTERIOR",
+        "010020000300002X": "PRIVADOS_LIBERTAD",
+        "010020000300003X": "RESIDENTES_EXTERIOR",
+        "010020000300004X": "RESIDENTES_EXTERIOR",
+        "010020000300005X": "NORMAL",
+    }
+
+
+def test_window_and_join_classification_agree(spark):
+    rows = table_rows(mesa="1", lists=((501, -1),)) + table_rows(mesa="2", secc_d="EXTERIOR") + table_rows(mesa="3")
+    assert classes(spark, rows, "join") == classes(spark, rows, "window")
+
+
+def test_join_classification_has_no_window(spark):
+    s = silver_of(spark, table_rows())
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_pivot_missing_code_gives_null_column(spark):
+    df = spark.createDataFrame([("k", "990", 1)], "k string, code string, v int")
+    out = pivot_codes(df, ["k"], "code", {"990": "blanco", "992": "recurridos"}, "v")
+    assert out.columns == ["k", "blanco", "recurridos"]
+    assert tuple(out.first()) == ("k", 1, None)
+
+
+def mart_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_summary_values(spark):
+    s = silver_of(spark, table_rows(lists=((501, 10), (502, 20))))
+    m = summary(s, ELECTION.summary).first().asDict()
+    assert m["listas"] == 2 and m["votos_afirmativos"] == 30 and m["inscriptos"] == 350
+    assert m["votos_totales"] == 33 and m["votos_blanco"] == 1 and m["tipo_mesa"] == "NORMAL"
+    assert list(summary(s, ELECTION.summary).columns) == list(ELECTION.summary.output_order)
+
+
+def test_summary_without_lists_is_null(spark):
+    s = silver_of(spark, table_rows(lists=()))
+    m = summary(s, ELECTION.summary).first()
+    assert m["listas"] is None and m["votos_afirmativos"] is None
+
+
+def test_summary_forms_agree_on_awkward_input(spark):
+    rows = (
+        table_rows(mesa="1")
+        # list rows whose description differs from the totals rows' description
+        + [row(mesa="2", code="501", cant="8", circ_d="OTRO")]
+        + table_rows(mesa="2", lists=())
+        # two spellings of a description in the totals rows of one table
+        + table_rows(mesa="3", circ_d="NORTE") + table_rows(mesa="3", circ_d="NORTE B", lists=())
+        # NULL category
+        + table_rows(mesa="4", cat="\\N")
+        # list-only table (no totals): absent from the mart
+        + table_rows(mesa="5", totals={})
+    )
+    s = silver_of(spark, rows)
+    a = summary(s, ELECTION.summary)
+    b = summary_onepass(s, ELECTION.summary)
+    assert a.columns == b.columns
+    assert mart_rows(a) == mart_rows(b)
+    assert a.count() == 5
+
+
+def test_summary_onepass_has_no_join(spark):
+    s = silver_of(spark, table_rows())
+    plan = summary_onepass(s, ELECTION.summary)._jdf.queryExecution().optimizedPlan().toString()
+    # the only join comes from entity classification upstream
+    assert plan.count("Join") == 1
+
+
+def rule(name):
+    return next(r for r in ELECTION.rules if r.name == name)
+
+
+def test_gates_fire(spark):
+    rows = (
+        table_rows(mesa="1", circ=None)  # NORMAL without circuito -> D1
+        + table_rows(mesa="2", lists=((501, -5), (502, 9)))  # compensatory, sum != 0 -> D2
+        + table_rows(mesa="3", cat="ZZ")  # bad category -> D3
+        + table_rows(mesa="4", lists=((501, "1.5"),))  # bad number -> D4
+        + table_rows(mesa="5", secc_d="EXTERIOR", circ=None)  # special table without circuito: passes D1
+    )
+    s = silver_of(spark, rows)
+    report = {r["rule"]: r["violations"] for r in evaluate(s, ELECTION.rules).collect()}
+    d1 = len(table_rows()) + 1  # every row of table 1, plus its inscribed row
+    assert report == {
+        "normal_geo_complete": d1,
+        "compensatory_zero_sum": 1,
+        "category_domain": 1,
+        "count_not_null": 1,
+        "id_length": 0,
+    }
+    assert violations(s, rule("category_domain")).collect()[0]["categoria"] == "ZZ"
+    with pytest.raises(QualityError) as err:
+        enforce(evaluate(s, ELECTION.rules))
+    assert [n for n, _ in err.value.failures] == [
+        "normal_geo_complete", "compensatory_zero_sum", "category_domain", "count_not_null"
+    ]
+
+
+def test_compensatory_summing_to_zero_passes(spark):
+    # the inscribed row is counted too, so registered voters must be offset
+    rows = table_rows(mesa="2", lists=((501, -386),), totals={"994": "0"}, totins="386")
+    s = silver_of(spark, rows)
+    assert violations(s, rule("compensatory_zero_sum")).count() == 0
+
+
+def test_category_gate_ignores_null(spark):
+    s = silver_of(spark, table_rows(cat="\\N"))
+    assert violations(s, rule("category_domain")).count() == 0
+
+
+def test_pk_and_fk_checks(spark):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e")], "k int, v string")
+    parent = spark.createDataFrame([(1,), (3,)], "pk int")
+    assert rows_of(pk_duplicates(child, ["k"])) == [(1, 2)]
+    assert rows_of(fk_orphans(child, ["k"], parent, ["pk"])) == [(2, 1)]
+
+
+def test_null_contract(spark):
+    s = silver_of(spark, table_rows(cat="\\N"))
+    out = {r["column"]: (r["nulls"], r["violated"]) for r in null_contract(s, ELECTION.silver).collect()}
+    assert out["categoria"][1] is True and out["categoria"][0] == len(table_rows()) + 1
+    assert out["seccion"] == (0, False)
