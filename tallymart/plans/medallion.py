@@ -8,6 +8,7 @@ a columnar table instead of recomputing its input.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,8 +72,12 @@ def silver(bronze: DataFrame, spec: TallySpec, method: str = "join") -> DataFram
     return align(df, spec.silver.names)
 
 
-def gold(silver_df: DataFrame, spec: TallySpec, onepass: bool = False) -> dict[str, DataFrame]:
-    """Fact, six dimensions and the summary mart."""
+def gold(silver_df: DataFrame, spec: TallySpec, onepass: bool = True) -> dict[str, DataFrame]:
+    """Fact, six dimensions and the summary mart.
+
+    The mart uses the one-scan plan by default (measured faster on a parquet
+    silver and exact on any input); ``onepass=False`` gives the pivot + join.
+    """
     tables = {"fact_resultados": fact(silver_df, spec.fact.columns)}
     for name, dim in spec.dims.items():
         tables[name] = dimension(silver_df, dim)
@@ -123,13 +128,24 @@ def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
     return out
 
 
-def publish_gold(tables: dict[str, DataFrame], spec: TallySpec, root: str) -> dict[str, str]:
-    """Write every gold table under ``root`` aligned to its contract."""
-    paths = {}
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
-        publish(df, path, contract=spec.gold[name])
-        paths[name] = path
+def publish_gold(
+    tables: dict[str, DataFrame], spec: TallySpec, root: str, concurrency: int = 4
+) -> dict[str, str]:
+    """Write every gold table under ``root`` aligned to its contract.
+
+    The tables are independent jobs over the same published silver, so they
+    are submitted from a few driver threads at once; Spark's scheduler runs
+    their tasks side by side, which keeps executors busy while the small
+    dimension jobs are in their final stages.
+    """
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in tables}
+
+    def write(name: str) -> None:
+        publish(tables[name], paths[name], contract=spec.gold[name])
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+        for future in [pool.submit(write, name) for name in tables]:
+            future.result()
     return paths
 
 
@@ -190,7 +206,7 @@ def run(
     expected=None,
     enforce_sources: bool = True,
     enforce_quality: bool = True,
-    onepass: bool = False,
+    onepass: bool = True,
 ) -> RunResult:
     """Full refresh of bronze, silver and gold under ``out_root``.
 

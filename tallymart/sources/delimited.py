@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tallymart.operators.joins import bounded_broadcast
 from tallymart.spec import SourceSpec
 
 SOURCE = "_source"
@@ -135,11 +134,15 @@ def ingest_report(
 def quarantine(raw: DataFrame, report: DataFrame, corrupt_column: str = "_corrupt_record") -> DataFrame:
     """Rows of OK sources only, without the corrupt-record column.
 
-    The clean-source list is one row per source; it is broadcast behind a
-    row-count check and semi-joined, so the scan side is never shuffled.
+    The clean-source list has at most one row per input file, and the file
+    list is known to the driver without running a job, so that count proves
+    the broadcast bound; the scan side is then semi-joined without a
+    shuffle.  Beyond the bound Spark plans the semi-join itself.
     """
     ok = report.filter(F.col("status") == F.lit(OK)).select(F.col("source").alias(SOURCE))
-    kept = raw.join(bounded_broadcast(ok, MAX_BROADCAST_SOURCES), on=SOURCE, how="left_semi")
+    if len(raw.inputFiles()) <= MAX_BROADCAST_SOURCES:
+        ok = F.broadcast(ok)
+    kept = raw.join(ok, on=SOURCE, how="left_semi")
     return kept.drop(corrupt_column)
 
 

@@ -34,15 +34,21 @@ def publish(
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
     mode: str = "overwrite",
+    max_records_per_file: int | None = 5_000_000,
 ) -> None:
     """Full-refresh write of a table.
 
     One overwrite replaces the whole table, which makes re-runs idempotent.
-    Partition columns default to the contract's.
+    Partition columns default to the contract's.  Files are capped at
+    ``max_records_per_file`` rows, so a district holding a third of the data
+    is written as many bounded files rather than one huge one, without a
+    repartition (which would send that district to a single task).
     """
     out = conform(df, contract) if contract is not None else df
     parts = list(partition_by if partition_by is not None else (contract.partition_by if contract else ()))
     writer = out.write.format(fmt).mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)
