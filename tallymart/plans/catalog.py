@@ -9,6 +9,7 @@ the shared checkpoint folder (an action), then return the read-back frame.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tallymart.operators.model import dimension, fact, lookup_table
 from tallymart.operators.quality import evaluate, fk_orphans, null_contract, pk_duplicates, violations
 from tallymart.operators.reshape import expand_measure
 from tallymart.plans.fixture import FIXTURE, table, tally_bronze
-from tallymart.plans.medallion import clean_bronze, gold, gold_checks, normalize, publish_gold, read_gold, silver
+from tallymart.plans.medallion import clean_bronze, gold, gold_checks, normalize, publish_gold, read_gold, run, silver
 from tallymart.plans.oracle import INGEST_EXPECTED
 from tallymart.session import scratch_path
 from tallymart.sources.delimited import SOURCE, ingest_report, quarantine, read_delimited
@@ -329,6 +330,28 @@ def q_gold_checks(spark, sf_dir):
     return gold_checks(read_gold(spark, paths, FIXTURE), FIXTURE)
 
 
+# Region codes of the driver tables: the expected source list of a run.
+FIXTURE_DISTRICTS = ["0", "1", "2", "3", "4"]
+
+
+def q_tally_run(spark, sf_dir):
+    """The whole process end to end (S1-S9, P*, W*, U*, D*, G*): the fixture
+    tally is written as ISO-8859-1 pipe text, one directory per district,
+    then ingested, quarantined, published to bronze, normalised, classified,
+    expanded, gated (report only: the fixture has violations on purpose),
+    published to silver and modelled into gold; returns the published mart."""
+    root = scratch_path(spark, "tally-run")
+    text = f"{root}/raw"
+    raw = tally_bronze(spark, sf_dir)
+    lines = raw.select(F.col("dist_codigo").alias("dist"),
+                       F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in FIXTURE.bronze_columns]).alias("v"))
+    (lines.write.mode("overwrite").partitionBy("dist").option("encoding", "ISO-8859-1").option("quote", "")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(text))
+    spec = replace(FIXTURE, source=replace(FIXTURE.source, source_pattern=r"/dist=([^/]+)/"))
+    result = run(spark, text, spec, f"{root}/out", expected=FIXTURE_DISTRICTS, enforce_quality=False)
+    return read_table(spark, result.tables["resumen_mesa"], spec.gold["resumen_mesa"])
+
+
 QUERIES: dict[str, Query] = {
     "csv_ingest": q_csv_ingest,
     "ingest_report": q_ingest_report,
@@ -369,4 +392,5 @@ QUERIES: dict[str, Query] = {
     "summary": q_summary,
     "summary_onepass": q_summary_onepass,
     "gold_checks": q_gold_checks,
+    "tally_run": q_tally_run,
 }

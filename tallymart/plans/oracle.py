@@ -369,4 +369,5 @@ ORACLE_SQL: dict[str, str] = {
     "summary": fixture("SELECT * FROM mart"),
     "summary_onepass": fixture("SELECT * FROM mart"),
     "gold_checks": _gold_checks_sql(),
+    "tally_run": fixture("SELECT * FROM mart"),
 }
