@@ -129,7 +129,7 @@ def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
 
 
 def publish_gold(
-    tables: dict[str, DataFrame], spec: TallySpec, root: str, concurrency: int = 4
+    tables: dict[str, DataFrame], spec: TallySpec, root: str, concurrency: int | None = None
 ) -> dict[str, str]:
     """Write every gold table under ``root`` aligned to its contract.
 
@@ -143,7 +143,7 @@ def publish_gold(
     def write(name: str) -> None:
         publish(tables[name], paths[name], contract=spec.gold[name])
 
-    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, concurrency or len(tables))) as pool:
         for future in [pool.submit(write, name) for name in tables]:
             future.result()
     return paths
@@ -180,7 +180,9 @@ def ingest(
     result = result or RunResult()
     staging = scratch_path(spark, "bronze-staging")
     raw = read_delimited(spark, paths, spec.source)
-    raw.write.mode("overwrite").partitionBy(SOURCE).parquet(staging)
+    # Input splits come from per-source files, so each task writes the files
+    # of one source; the record cap bounds file size for a very large source.
+    raw.write.mode("overwrite").option("maxRecordsPerFile", "5000000").partitionBy(SOURCE).parquet(staging)
     # Explicit schema: source ids such as '01' must not be inferred as numbers.
     staged = spark.read.schema(raw.schema).parquet(staging)
     report = ingest_report(staged, expected, spec.source.corrupt_column)
