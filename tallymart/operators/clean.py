@@ -35,17 +35,25 @@ def project(df: DataFrame, mapping: Mapping[str, str] | Iterable[str]) -> DataFr
     return df.select(*mapping)
 
 
-def trim_sentinel(df: DataFrame, sentinel: str = "\\N", columns: Iterable[str] | None = None) -> DataFrame:
-    """Trim string columns (spaces only) and turn the sentinel into NULL.
+# Leading/trailing Unicode white space (NBSP included) for ``unicode=True``.
+UNICODE_EDGES = r"(?U)^\s+|\s+$"
 
-    Only string columns are touched, so audit columns such as a TIMESTAMP keep
+
+def trim_sentinel(
+    df: DataFrame, sentinel: str = "\\N", columns: Iterable[str] | None = None, unicode: bool = False
+) -> DataFrame:
+    """Trim string columns and turn the sentinel into NULL.
+
+    By default only U+0020 is trimmed (tab and NBSP survive, as in the
+    original process); ``unicode=True`` strips any Unicode white space.  Only
+    string columns are touched, so audit columns such as a TIMESTAMP keep
     their type.
     """
     targets = set(string_columns(df, columns))
     out = []
     for name in df.columns:
         if name in targets:
-            t = F.trim(F.col(name))
+            t = F.regexp_replace(F.col(name), UNICODE_EDGES, "") if unicode else F.trim(F.col(name))
             out.append(F.when(t == F.lit(sentinel), F.lit(None)).otherwise(t).alias(name))
         else:
             out.append(F.col(name))

@@ -23,7 +23,18 @@ from tallymart.operators.model import dimension, fact, lookup_table
 from tallymart.operators.quality import evaluate, fk_orphans, null_contract, pk_duplicates, violations
 from tallymart.operators.reshape import expand_measure
 from tallymart.plans.fixture import FIXTURE, table, tally_bronze
-from tallymart.plans.medallion import clean_bronze, gold, gold_checks, normalize, publish_gold, read_gold, run, silver
+from tallymart.plans.layout import truncation_rules
+from tallymart.plans.medallion import (
+    clean_bronze,
+    gold,
+    gold_checks,
+    normalize,
+    pre_pad,
+    publish_gold,
+    read_gold,
+    run,
+    silver,
+)
 from tallymart.plans.oracle import INGEST_EXPECTED
 from tallymart.session import scratch_path
 from tallymart.sources.delimited import SOURCE, ingest_report, quarantine, read_delimited
@@ -272,6 +283,11 @@ def q_dq_report(spark, sf_dir):
     return evaluate(fixture_silver(spark, sf_dir), FIXTURE.rules)
 
 
+def q_dq_code_width(spark, sf_dir):
+    """Truncation pre-check: codes longer than their fixed width, per column."""
+    return evaluate(pre_pad(fixture_bronze(spark, sf_dir), FIXTURE), truncation_rules(FIXTURE.widths))
+
+
 def q_pk_duplicates(spark, sf_dir):
     """K1 on (l_orderkey, l_linenumber)."""
     return pk_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -377,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "dq_null_measure": q_dq_null_measure,
     "dq_id_length": q_dq_id_length,
     "dq_report": q_dq_report,
+    "dq_code_width": q_dq_code_width,
     "pk_duplicates": q_pk_duplicates,
     "fk_orphans": q_fk_orphans,
     "null_contract": q_null_contract,

@@ -167,8 +167,16 @@ def _sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def rules(categories, id_length: int) -> tuple[Rule, ...]:
-    """The five silver gates (D1-D5), in the order they are reported."""
+def rules(categories, id_length: int, zero_sum_filter: str | None = None) -> tuple[Rule, ...]:
+    """The five silver gates (D1-D5), in the order they are reported.
+
+    The zero-sum gate sums every row of a compensatory table by default
+    (totals and the inscribed row included, as the original process does);
+    ``zero_sum_filter`` narrows the rows it sums, e.g. ``"registro = 'AGRUPACION'"``.
+    """
+    compensatory = "tipo_mesa = 'COMPENSATORIA'"
+    if zero_sum_filter:
+        compensatory = f"{compensatory} AND ({zero_sum_filter})"
     return (
         Rule(
             "normal_geo_complete",
@@ -178,7 +186,7 @@ def rules(categories, id_length: int) -> tuple[Rule, ...]:
         ),
         Rule(
             "compensatory_zero_sum",
-            filter="tipo_mesa = 'COMPENSATORIA'",
+            filter=compensatory,
             group_by=("id_mesa",),
             agg={"total_votos": "sum(cantidad)"},
             having="total_votos != 0",
@@ -212,6 +220,7 @@ def make_spec(
     class_rules: tuple[ClassRule, ...],
     district_names: Mapping[str, str],
     bronze_partition: str | None = "dist_codigo",
+    zero_sum_filter: str | None = None,
 ) -> TallySpec:
     """Build a full spec.
 
@@ -245,7 +254,7 @@ def make_spec(
             fill=0,
         ),
         categories=tuple(categories),
-        rules=rules(categories, key.length),
+        rules=rules(categories, key.length, zero_sum_filter),
         silver=SILVER,
         fact=FACT,
         dims=dims(district_names),
@@ -261,3 +270,14 @@ def make_spec(
         foreign_keys=FOREIGN_KEYS,
         bronze_partition=bronze_partition,
     )
+
+
+def truncation_rules(widths: Mapping[str, int] = WIDTHS) -> tuple[Rule, ...]:
+    """Pre-check for the code-width rule: codes longer than
+    their width are cut to their last characters, so ``1990`` becomes ``990``
+    and may collide with a totals code.  Evaluate these on the renamed,
+    not-yet-padded rows (``pre_pad``)."""
+    return tuple(
+        Rule(f"code_too_long_{col}", violation=f"length({col}) > {width}", columns=(col,))
+        for col, width in widths.items()
+    )

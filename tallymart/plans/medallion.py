@@ -52,11 +52,15 @@ def bronze_contract(spec: TallySpec) -> Contract:
     return Contract("bronze", StructType(fields), partition_by=parts)
 
 
+def pre_pad(bronze: DataFrame, spec: TallySpec) -> DataFrame:
+    """Renamed, blank-nulled rows before code padding (P1, P2, P4): the input
+    of the truncation pre-check (``layout.truncation_rules``)."""
+    return blank_to_null(project(bronze, {c: spec.rename.get(c, c) for c in spec.bronze_columns}))
+
+
 def normalize(bronze: DataFrame, spec: TallySpec) -> DataFrame:
     """Row-local silver derivations (P1, P2, P4-P9), one collapsed projection."""
-    df = project(bronze, {c: spec.rename.get(c, c) for c in spec.bronze_columns})
-    df = blank_to_null(df)
-    df = pad_codes(df, spec.widths)
+    df = pad_codes(pre_pad(bronze, spec), spec.widths)
     key = spec.id_key
     df = df.withColumn(key.output, composite_id([(p, key.placeholders[p]) for p in key.parts], key.suffix))
     df = df.withColumn(spec.label_output, clean_label(*spec.label_parts, unicode=spec.label_unicode))

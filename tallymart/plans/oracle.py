@@ -348,6 +348,14 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'count_not_null', 3, CAST(count(*) FILTER (WHERE cantidad IS NULL) AS BIGINT) FROM silver
         UNION ALL SELECT 'id_length', 4, CAST(count(*) FILTER (WHERE length(id_mesa) != 16) AS BIGINT) FROM silver"""
     ),
+    "dq_code_width": fixture(
+        " UNION ALL ".join(
+            f"SELECT 'code_too_long_{c}' AS rule, {i} AS position, "
+            f"CAST(count(*) FILTER (WHERE length({c}) > {w}) AS BIGINT) AS violations FROM s0"
+            for i, (c, w) in enumerate([("distrito", 2), ("seccion", 3), ("circuito", 5), ("mesa", 5),
+                                        ("campo_numero", 3)])
+        )
+    ),
     "pk_duplicates": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber
         HAVING count(*) > 1""",

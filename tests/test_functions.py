@@ -95,3 +95,9 @@ def test_blank_to_null_strings_only(spark):
     df = spark.createDataFrame([("", 0, "x")], "a string, n int, b string")
     row = blank_to_null(df).first()
     assert row["a"] is None and row["n"] == 0 and row["b"] == "x"
+
+
+def test_trim_sentinel_unicode_option(spark):
+    df = spark.createDataFrame([(" \tb  ",), (" \\N\t",)], "v string")
+    got = [r["v"] for r in trim_sentinel(df, unicode=True).collect()]
+    assert got == ["b", None]

@@ -216,3 +216,28 @@ def test_null_contract(spark):
     out = {r["column"]: (r["nulls"], r["violated"]) for r in null_contract(s, ELECTION.silver).collect()}
     assert out["categoria"][1] is True and out["categoria"][0] == len(table_rows()) + 1
     assert out["seccion"] == (0, False)
+
+
+def test_zero_sum_filter_option(spark):
+    from tallymart.plans.layout import make_spec
+    from tallymart.plans.elections import CATEGORIES, CLASS_RULES, DISTRICT_NAMES, SOURCE, TOTALS
+
+    lists_only = make_spec(SOURCE, TOTALS, "994", "000", "INSCRIPTOS", CATEGORIES, CLASS_RULES, DISTRICT_NAMES,
+                           zero_sum_filter="registro = 'AGRUPACION'")
+    s = silver_of(spark, table_rows(mesa="2", lists=((501, -5), (502, 5))))
+    default = {r["rule"]: r["violations"] for r in evaluate(s, ELECTION.rules).collect()}
+    narrowed = {r["rule"]: r["violations"] for r in evaluate(s, lists_only.rules).collect()}
+    assert default["compensatory_zero_sum"] == 1  # totals and inscribed rows are summed too
+    assert narrowed["compensatory_zero_sum"] == 0
+
+
+def test_truncation_precheck(spark):
+    from tallymart.plans.layout import truncation_rules
+    from tallymart.plans.medallion import pre_pad
+
+    rows = table_rows(mesa="123456") + [row(code="1990")]
+    report = {r["rule"]: r["violations"]
+              for r in evaluate(pre_pad(clean_bronze(bronze(spark, rows), ELECTION), ELECTION),
+                                truncation_rules()).collect()}
+    assert report["code_too_long_mesa"] == len(table_rows())
+    assert report["code_too_long_campo_numero"] == 1
