@@ -56,3 +56,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     tables that cut lineage (staging, round trips)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tallymart-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized from the input, for a cluster run.
+
+    Shuffle partitions are the larger of ``input / target`` and twice the
+    cores (so every core has work after AQE coalescing), input splits are the
+    target size, and AQE with skew-join splitting stays on.  Apply with
+    ``spark.conf.set`` (all are runtime SQL settings).
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

@@ -101,3 +101,11 @@ def test_trim_sentinel_unicode_option(spark):
     df = spark.createDataFrame([(" \tb  ",), (" \\N\t",)], "v string")
     got = [r["v"] for r in trim_sentinel(df, unicode=True).collect()]
     assert got == ["b", None]
+
+
+def test_scale_conf_sizes_partitions():
+    from tallymart.session import scale_conf
+
+    conf = scale_conf(100 * 2**40, cores=8000)  # 100 TB on 1000 x 8 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10 * 2**20, cores=8)["spark.sql.shuffle.partitions"] == "16"
