@@ -53,3 +53,43 @@ def test_onepass_summary_has_no_join_after_silver(spark):
 def test_nation_broadcast_is_size_checked(spark):
     plan = physical(catalog.q_lookup_table(spark, SF))
     assert "BroadcastHashJoin" in plan
+
+
+def test_hot_entity_join_is_split_by_aqe(spark):
+    """One entity holding a third of the rows: the classification join-back
+    is a sort-merge join whose hot partition AQE splits (skew=true)."""
+    from pyspark.sql import functions as F
+
+    from tallymart.operators.classify import entity_class
+    from tallymart.spec import ClassRule, ClassSpec
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(600_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+            .otherwise(F.concat(F.lit("k"), (F.col("id") % 20_000).cast("string"))).alias("k"),
+            (F.col("id") % 7 - 1).cast("int").alias("v"),
+            F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        )
+        out = entity_class(df, ClassSpec(("k",), (ClassRule("NEG", "v < 0"),), "OK", "cls"))
+        agg = out.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("pad")).alias("bytes"))
+        assert agg.collect()[0]["n"] == 600_000
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
