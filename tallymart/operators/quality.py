@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.spec import Contract, Rule
@@ -29,6 +29,14 @@ class QualityError(RuntimeError):
         super().__init__(f"{len(self.failures)} quality rule(s) failed: {lines}")
 
 
+def stack_rows(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
+    """Turn the single row of ``df`` into ``len(rows)`` rows (one per entry)
+    with the ``stack`` generator; values are columns, so names never need
+    SQL quoting."""
+    args = [F.lit(len(rows))] + [c for row in rows for c in row]
+    return df.select(F.stack(*args).alias(*names))
+
+
 def any_null(columns: Iterable[str]) -> str:
     """SQL predicate: at least one of the columns is NULL."""
     return " OR ".join(f"{c} IS NULL" for c in columns)
@@ -68,8 +76,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             else:
                 aggs.append(F.count_if(F.expr(r.violation)).alias(f"r{i}"))
         one = df.agg(*aggs)
-        stack = ", ".join(f"'{r.name}', {i}, r{i}" for i, r in flat)
-        parts.append(one.selectExpr(f"stack({len(flat)}, {stack}) AS (rule, position, violations)"))
+        parts.append(stack_rows(one, [(F.lit(r.name), F.lit(i), F.col(f"r{i}")) for i, r in flat], REPORT_COLUMNS))
     families: dict[tuple, list[tuple[int, Rule]]] = {}
     for i, r in enumerate(rules):
         if r.grouped:
@@ -81,8 +88,9 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             aggs.update(r.agg)
         grouped = rows.groupBy(*group_by).agg(*[F.expr(e).alias(n) for n, e in aggs.items()])
         counts = grouped.agg(*[F.count_if(F.expr(r.having)).alias(f"r{i}") for i, r in members])
-        stack = ", ".join(f"'{r.name}', {i}, r{i}" for i, r in members)
-        parts.append(counts.selectExpr(f"stack({len(members)}, {stack}) AS (rule, position, violations)"))
+        parts.append(
+            stack_rows(counts, [(F.lit(r.name), F.lit(i), F.col(f"r{i}")) for i, r in members], REPORT_COLUMNS)
+        )
     report = reduce(DataFrame.unionByName, parts)
     return report.select(F.col("rule"), F.col("position").cast("int"), F.col("violations").cast("bigint"))
 
@@ -128,8 +136,11 @@ def null_contract(df: DataFrame, contract: Contract) -> DataFrame:
     ``(column, position, nullable, nulls, violated)``."""
     fields = [f for f in contract.schema.fields if f.name in df.columns]
     one = df.agg(*[F.count_if(F.col(f.name).isNull()).alias(f"c{i}") for i, f in enumerate(fields)])
-    stack = ", ".join(f"'{f.name}', {i}, {str(f.nullable).lower()}, c{i}" for i, f in enumerate(fields))
-    out = one.selectExpr(f"stack({len(fields)}, {stack}) AS (column, position, nullable, nulls)")
+    out = stack_rows(
+        one,
+        [(F.lit(f.name), F.lit(i), F.lit(f.nullable), F.col(f"c{i}")) for i, f in enumerate(fields)],
+        ("column", "position", "nullable", "nulls"),
+    )
     return out.select(
         "column",
         F.col("position").cast("int"),

@@ -20,7 +20,7 @@ from tallymart.operators.classify import entity_class, row_kind
 from tallymart.operators.clean import align, blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import summary, summary_onepass
 from tallymart.operators.model import dimension, fact
-from tallymart.operators.quality import enforce, evaluate, fk_orphans
+from tallymart.operators.quality import enforce, evaluate, fk_orphans, stack_rows
 from tallymart.operators.reshape import expand_measure
 from tallymart.session import scratch_path
 from tallymart.sources.delimited import (
@@ -108,9 +108,9 @@ def table_checks(df: DataFrame, contract: Contract) -> DataFrame:
         totals = df.agg(F.lit(0).alias("__dup"), *nulls)
     entries = []
     if key:
-        entries.append(f"'primary_key', '{','.join(key)}', __dup")
-    entries += [f"'not_null', '{c}', __n{i}" for i, c in enumerate(not_null)]
-    out = totals.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (check, detail, violations)")
+        entries.append((F.lit("primary_key"), F.lit(",".join(key)), F.col("__dup")))
+    entries += [(F.lit("not_null"), F.lit(c), F.col(f"__n{i}")) for i, c in enumerate(not_null)]
+    out = stack_rows(totals, entries, ("check", "detail", "violations"))
     return out.select("check", F.lit(contract.name).alias("table"), "detail",
                       F.col("violations").cast("bigint").alias("violations"))
 
