@@ -15,7 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tallymart.functions.codes import clean_label, composite_id, joined_key, lookup, pad_code, path_key, to_int
+from tallymart.functions.codes import (
+    clean_label,
+    composite_id,
+    joined_key,
+    lookup,
+    pad_code,
+    path_key,
+    row_kind,
+    to_int,
+)
 from tallymart.operators.classify import entity_class
 from tallymart.operators.clean import blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import list_aggregate, summary, summary_onepass, totals_pivot
@@ -212,8 +221,6 @@ def q_safe_int(spark, sf_dir):
 
 def q_row_kind(spark, sf_dir):
     """NULL code -> the 'no' kind."""
-    from tallymart.functions.codes import row_kind
-
     o = table(spark, sf_dir, "orders")
     code = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
     return o.select("o_orderkey", row_kind(code, ["1-URGENT", "2-HIGH"]).alias("kind"))

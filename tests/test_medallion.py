@@ -117,3 +117,16 @@ def test_quality_gate_stops_publication(spark, tmp_dir):
         run(spark, f"{src}/*.txt", ELECTION, out, expected=["01"])
     assert [n for n, _ in err.value.failures] == ["normal_geo_complete", "category_domain"]
     assert not os.path.exists(os.path.join(out, "silver"))
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    from tallymart.__main__ import main
+
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    assert main([f"{src}/*.txt", out, "--districts", "01,02"]) == 0
+    assert '"resumen_mesa"' in capsys.readouterr().out
+    # all 24 districts expected: 22 are missing, so the run reports failure
+    assert main([f"{src}/*.txt", os.path.join(tmp_dir, "out2")]) == 1
+    assert "NO_ROWS" in capsys.readouterr().err
