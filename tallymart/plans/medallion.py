@@ -62,7 +62,7 @@ def normalize(bronze: DataFrame, spec: TallySpec) -> DataFrame:
     """Row-local silver derivations (P1, P2, P4-P9), one collapsed projection."""
     df = pad_codes(pre_pad(bronze, spec), spec.widths)
     key = spec.id_key
-    df = df.withColumn(key.output, composite_id([(p, key.placeholders[p]) for p in key.parts], key.suffix))
+    df = df.withColumn(key.output, composite_id(key))
     df = df.withColumn(spec.label_output, clean_label(*spec.label_parts, unicode=spec.label_unicode))
     df = df.withColumns({c: to_int(c) for c in spec.int_columns})
     return row_kind(df, spec.kind)
