@@ -71,8 +71,10 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         aggs = []
         for i, r in flat:
             if r.distinct:
-                cols = [F.col(c) for c in r.columns]
-                aggs.append(F.count_distinct(*[F.when(F.expr(r.violation), c) for c in cols]).alias(f"r{i}"))
+                # A struct is non-NULL even when a member is NULL, so this
+                # counts exactly the rows ``violations(df, r)`` returns.
+                value = F.struct(*[F.col(c) for c in r.columns])
+                aggs.append(F.count_distinct(F.when(F.expr(r.violation), value)).alias(f"r{i}"))
             else:
                 aggs.append(F.count_if(F.expr(r.violation)).alias(f"r{i}"))
         one = df.agg(*aggs)
@@ -91,6 +93,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         parts.append(
             stack_rows(counts, [(F.lit(r.name), F.lit(i), F.col(f"r{i}")) for i, r in members], REPORT_COLUMNS)
         )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "rule string, position int, violations bigint")
     report = reduce(DataFrame.unionByName, parts)
     return report.select(F.col("rule"), F.col("position").cast("int"), F.col("violations").cast("bigint"))
 

@@ -241,3 +241,13 @@ def test_truncation_precheck(spark):
                                 truncation_rules()).collect()}
     assert report["code_too_long_mesa"] == len(table_rows())
     assert report["code_too_long_campo_numero"] == 1
+
+
+def test_distinct_rule_counts_rows_with_null_members(spark):
+    from tallymart.spec import Rule
+
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", "x"), ("c", "y")], "k string, v string")
+    rule = Rule("pairs", violation="k != 'c'", columns=("k", "v"), distinct=True)
+    report = evaluate(df, [rule]).collect()[0]
+    assert report["violations"] == violations(df, rule).count() == 2
+    assert evaluate(df, []).count() == 0
