@@ -62,10 +62,17 @@ def read_delimited(
     return with_provenance(df, spec) if provenance else df
 
 
+def file_path():
+    """The scanned file's path, decoded from its URI form (spaces are stored
+    as %20).  A literal '+' is protected first: URL decoding would read it as
+    a space."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
+
 def source_id(spec: SourceSpec):
     """Source id column: the regex group of ``spec.source_pattern`` applied to
-    the URL-decoded file path (names may hold spaces, stored as %20)."""
-    path = F.url_decode(F.col("_metadata.file_path"))
+    the decoded file path."""
+    path = file_path()
     if spec.source_pattern:
         return F.regexp_extract(path, spec.source_pattern, 1)
     return F.regexp_extract(path, r"([^/]+)$", 1)
@@ -76,7 +83,7 @@ def with_provenance(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return df.withColumns(
         {
             SOURCE: source_id(spec),
-            SOURCE_FILE: F.url_decode(F.col("_metadata.file_path")),
+            SOURCE_FILE: file_path(),
             INGESTED_AT: F.current_timestamp(),
         }
     )

@@ -130,3 +130,15 @@ def test_command_line_run(spark, tmp_dir, capsys):
     # all 24 districts expected: 22 are missing, so the run reports failure
     assert main([f"{src}/*.txt", os.path.join(tmp_dir, "out2")]) == 1
     assert "NO_ROWS" in capsys.readouterr().err
+
+
+def test_file_names_with_spaces_and_plus(spark, tmp_dir):
+    from tallymart.sources.delimited import SOURCE, SOURCE_FILE, read_delimited
+    from tallymart.spec import SourceSpec, all_string_schema
+
+    path = os.path.join(tmp_dir, "2025 - 01+ - RESULTADOS.txt")
+    with open(path, "wb") as fh:
+        fh.write("a|b\n".encode("iso-8859-1"))
+    spec = SourceSpec(schema=all_string_schema("x, y"), source_pattern=r"2025 - (.+) - RESULTADOS\.txt$")
+    row = read_delimited(spark, path, spec).select(SOURCE, SOURCE_FILE).first()
+    assert row[SOURCE] == "01+" and row[SOURCE_FILE].endswith("2025 - 01+ - RESULTADOS.txt")
