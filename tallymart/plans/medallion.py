@@ -22,7 +22,7 @@ from tallymart.operators.mart import summary, summary_onepass
 from tallymart.operators.model import dimension, fact
 from tallymart.operators.quality import enforce, evaluate, fk_orphans, stack_rows
 from tallymart.operators.reshape import expand_measure
-from tallymart.session import scratch_path
+from tallymart.session import materialize, scratch_path
 from tallymart.sources.delimited import (
     INGESTED_AT,
     SOURCE,
@@ -216,14 +216,16 @@ def run(
 ) -> RunResult:
     """Full refresh of bronze, silver and gold under ``out_root``.
 
-    Silver is checkpointed (reliable checkpoint in the shared folder), gated
-    on that copy in one pass and published only if every rule passes.
+    Silver is materialised once as a parquet table in the shared checkpoint
+    folder (lineage cut; a lost executor recomputes from bronze at most),
+    gated on that copy - each gate reads only its columns - and published
+    only if every rule passes.
     """
     result = RunResult()
     root = out_root.rstrip("/")
     bronze_path = ingest(spark, paths, spec, root, expected, enforce_sources, result)
     bronze = read_table(spark, bronze_path, bronze_contract(spec))
-    staged = silver(bronze, spec).checkpoint(eager=True)
+    staged = materialize(silver(bronze, spec), "silver-staging")
     report = evaluate(staged, spec.rules)
     if enforce_quality:
         result.quality = enforce(report)

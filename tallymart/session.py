@@ -58,6 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tallymart-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df, name: str, fmt: str = "parquet"):
+    """Write ``df`` once under the shared checkpoint folder and return a scan
+    of it: cuts lineage like ``checkpoint()``, but the copy is a columnar
+    table, so every later consumer reads only the columns it needs."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.format(fmt).save(path)
+    return spark.read.format(fmt).schema(df.schema).load(path)
+
+
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized from the input, for a cluster run.
 
