@@ -12,7 +12,12 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int | None = None, app: str = "tallymart") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int | None = None,
+    app: str = "tallymart",
+    event_log_dir: str | None = None,
+) -> SparkSession:
     """A local-mode session with AQE on, the UI off and UTC time.
 
     Only for tests and benchmarks: on a cluster, use the session the platform
@@ -33,6 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TALLYMART_DRIVER_MEMORY", "8g"))
     )
+    if event_log_dir:
+        # Stage and task times without the UI: Spark's event log, read offline.
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
