@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from tallymart.spec import Contract
 
 
+def is_path(target: str) -> bool:
+    """A target with a slash or a scheme is a storage path; anything else is
+    a catalog table name (``schema.table``)."""
+    return "/" in target or ":" in target
+
+
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Select the contract's columns by name, in order, cast to its types.
 
@@ -29,14 +35,14 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
 
 def publish(
     df: DataFrame,
-    path: str,
+    target: str,
     contract: Contract | None = None,
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
     mode: str = "overwrite",
     max_records_per_file: int | None = 5_000_000,
 ) -> None:
-    """Full-refresh write of a table.
+    """Full-refresh write of a table (S5-S7) to a path or a catalog table.
 
     One overwrite replaces the whole table, which makes re-runs idempotent.
     Partition columns default to the contract's.  Files are capped at
@@ -51,16 +57,24 @@ def publish(
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if parts:
         writer = writer.partitionBy(*parts)
-    writer.save(path)
+    if is_path(target):
+        writer.save(target)
+    else:
+        writer.saveAsTable(target)
 
 
-def read_table(spark: SparkSession, path: str, contract: Contract | None = None, fmt: str = "parquet") -> DataFrame:
-    """Scan a published table (S4), aligned by name to its contract.
+def read_table(spark: SparkSession, target: str, contract: Contract | None = None, fmt: str = "parquet") -> DataFrame:
+    """Scan a published table (S4) by path or catalog name, aligned by name
+    to its contract.
 
-    With a contract the scan uses its schema, so partition values such as
-    district ``'01'`` stay text instead of being inferred as the number 1.
+    For a path, the scan uses the contract's schema, so partition values such
+    as district ``'01'`` stay text instead of being inferred as the number 1
+    (a catalog table already records its schema).
     """
+    if not is_path(target):
+        df = spark.table(target)
+        return conform(df, contract) if contract is not None else df
     reader = spark.read.format(fmt)
     if contract is None:
-        return reader.load(path)
-    return conform(reader.schema(contract.schema).load(path), contract)
+        return reader.load(target)
+    return conform(reader.schema(contract.schema).load(target), contract)

@@ -21,6 +21,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", ckpt)
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tallymart-test-wh-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

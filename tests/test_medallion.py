@@ -142,3 +142,17 @@ def test_file_names_with_spaces_and_plus(spark, tmp_dir):
     spec = SourceSpec(schema=all_string_schema("x, y"), source_pattern=r"2025 - (.+) - RESULTADOS\.txt$")
     row = read_delimited(spark, path, spec).select(SOURCE, SOURCE_FILE).first()
     assert row[SOURCE] == "01+" and row[SOURCE_FILE].endswith("2025 - 01+ - RESULTADOS.txt")
+
+
+def test_publish_and_read_catalog_table(spark):
+    from tallymart.plans.layout import GOLD
+    from tallymart.sources.sink import publish
+
+    contract = GOLD["dim_distrito"]
+    df = spark.createDataFrame([("01", "CAPITAL_FEDERAL"), ("02", "BUENOS_AIRES")], "distrito string, id_distrito string")
+    df = df.select(F.col("distrito").alias("id_distrito"), F.col("id_distrito").alias("distrito"))
+    publish(df, "tm_dim_distrito", contract=contract)
+    publish(df, "tm_dim_distrito", contract=contract)  # full refresh, idempotent
+    back = read_table(spark, "tm_dim_distrito", contract)
+    assert back.columns == contract.names
+    assert sorted(tuple(r) for r in back.collect()) == [("01", "CAPITAL_FEDERAL"), ("02", "BUENOS_AIRES")]
