@@ -17,14 +17,15 @@ from pyspark.sql import SparkSession
 
 from tallymart.operators.quality import QualityError
 from tallymart.plans.elections import DISTRICTS, ELECTION
-from tallymart.plans.medallion import IngestError, run
+from tallymart.plans.medallion import IngestError, run, table_targets
 from tallymart.session import ensure_checkpoint_dir
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tallymart", description=__doc__.splitlines()[0])
     parser.add_argument("input", help="glob of the district files")
-    parser.add_argument("out", help="root folder of bronze/, silver/ and gold/")
+    parser.add_argument("out", help="root folder of bronze/, silver/ and gold/ (or a table prefix with --catalog)")
+    parser.add_argument("--catalog", action="store_true", help="write catalog tables named <out><table>, e.g. tally.")
     parser.add_argument("--districts", help="comma list of expected district codes (default: all 24)")
     parser.add_argument("--report-only", action="store_true", help="publish even when a gate fires")
     parser.add_argument("--joined-mart", action="store_true", help="pivot + join mart instead of one pass")
@@ -34,7 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     ensure_checkpoint_dir(spark)
     try:
         expected = args.districts.split(",") if args.districts else DISTRICTS
-        result = run(spark, args.input, ELECTION, args.out, expected=expected,
+        out = table_targets(args.out) if args.catalog else args.out
+        result = run(spark, args.input, ELECTION, out, expected=expected,
                      enforce_quality=not args.report_only, onepass=not args.joined_mart)
     except (IngestError, QualityError) as err:
         print(str(err), file=sys.stderr)

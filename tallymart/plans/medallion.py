@@ -8,6 +8,7 @@ a columnar table instead of recomputing its input.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -132,17 +133,39 @@ def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
     return out
 
 
+Target = Callable[[str], str]
+
+
+def path_targets(out_root: str) -> Target:
+    """Table name -> storage path: ``<root>/bronze``, ``<root>/silver`` and
+    ``<root>/gold/<table>``."""
+    root = out_root.rstrip("/")
+    return lambda name: f"{root}/{name}" if name in ("bronze", "silver") else f"{root}/gold/{name}"
+
+
+def table_targets(prefix: str) -> Target:
+    """Table name -> catalog table, e.g. ``table_targets("tally.")`` gives
+    ``tally.silver``, ``tally.resumen_mesa``."""
+    return lambda name: f"{prefix}{name}"
+
+
+def _target(out: str | Target) -> Target:
+    return out if callable(out) else path_targets(out)
+
+
 def publish_gold(
-    tables: dict[str, DataFrame], spec: TallySpec, root: str, concurrency: int | None = None
+    tables: dict[str, DataFrame], spec: TallySpec, root: str | Target, concurrency: int | None = None
 ) -> dict[str, str]:
-    """Write every gold table under ``root`` aligned to its contract.
+    """Write every gold table aligned to its contract, under a root path
+    (``<root>/<table>``) or wherever a target function names it.
 
     The tables are independent jobs over the same published silver, so they
     are submitted from a few driver threads at once; Spark's scheduler runs
     their tasks side by side, which keeps executors busy while the small
     dimension jobs are in their final stages.
     """
-    paths = {name: f"{root.rstrip('/')}/{name}" for name in tables}
+    name_of = root if callable(root) else (lambda name, r=root.rstrip("/"): f"{r}/{name}")
+    paths = {name: name_of(name) for name in tables}
 
     def write(name: str) -> None:
         publish(tables[name], paths[name], contract=spec.gold[name])
@@ -172,7 +195,7 @@ def ingest(
     spark: SparkSession,
     paths,
     spec: TallySpec,
-    out_root: str,
+    out: str | Target,
     expected=None,
     enforce_sources: bool = True,
     result: RunResult | None = None,
@@ -195,7 +218,7 @@ def ingest(
     bad = [s for s, status, _, _ in failed if status != "NO_ROWS"]
     kept = staged.filter(~F.col(SOURCE).isin(bad)) if bad else staged
     bronze = clean_bronze(kept.drop(spec.source.corrupt_column), spec)
-    path = f"{out_root.rstrip('/')}/bronze"
+    path = _target(out)("bronze")
     publish(bronze, path, contract=bronze_contract(spec))
     result.tables["bronze"] = path
     if failed and enforce_sources:
@@ -208,13 +231,15 @@ def run(
     spark: SparkSession,
     paths,
     spec: TallySpec,
-    out_root: str,
+    out: str | Target,
     expected=None,
     enforce_sources: bool = True,
     enforce_quality: bool = True,
     onepass: bool = True,
 ) -> RunResult:
-    """Full refresh of bronze, silver and gold under ``out_root``.
+    """Full refresh of bronze, silver and gold under the root path ``out``
+    (or into the catalog tables a target function such as
+    ``table_targets("tally.")`` names).
 
     Silver is materialised once as a parquet table in the shared checkpoint
     folder (lineage cut; a lost executor recomputes from bronze at most),
@@ -222,8 +247,8 @@ def run(
     only if every rule passes.
     """
     result = RunResult()
-    root = out_root.rstrip("/")
-    bronze_path = ingest(spark, paths, spec, root, expected, enforce_sources, result)
+    target = _target(out)
+    bronze_path = ingest(spark, paths, spec, target, expected, enforce_sources, result)
     bronze = read_table(spark, bronze_path, bronze_contract(spec))
     staged = materialize(silver(bronze, spec), "silver-staging")
     report = evaluate(staged, spec.rules)
@@ -231,9 +256,9 @@ def run(
         result.quality = enforce(report)
     else:
         result.quality = [(r["rule"], int(r["violations"])) for r in report.orderBy("position").collect()]
-    silver_path = f"{root}/silver"
+    silver_path = target("silver")
     publish(staged, silver_path, contract=spec.silver)
     result.tables["silver"] = silver_path
     published = read_table(spark, silver_path, spec.silver)
-    result.tables.update(publish_gold(gold(published, spec, onepass=onepass), spec, f"{root}/gold"))
+    result.tables.update(publish_gold(gold(published, spec, onepass=onepass), spec, target))
     return result

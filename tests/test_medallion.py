@@ -156,3 +156,16 @@ def test_publish_and_read_catalog_table(spark):
     back = read_table(spark, "tm_dim_distrito", contract)
     assert back.columns == contract.names
     assert sorted(tuple(r) for r in back.collect()) == [("01", "CAPITAL_FEDERAL"), ("02", "BUENOS_AIRES")]
+
+
+def test_run_into_catalog_tables(spark, tmp_dir):
+    from tallymart.plans.medallion import table_targets
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    good_files(src)
+    res = run(spark, f"{src}/*.txt", ELECTION, table_targets("tmrun_"), expected=["01", "02"])
+    assert res.tables["silver"] == "tmrun_silver" and res.tables["resumen_mesa"] == "tmrun_resumen_mesa"
+    assert spark.table("tmrun_silver").count() == 15
+    assert spark.table("tmrun_resumen_mesa").columns == list(ELECTION.summary.output_order)
+    assert spark.table("tmrun_bronze").select("dist_codigo").distinct().count() == 2
