@@ -30,7 +30,6 @@ from tallymart.operators.clean import blank_to_null, pad_codes, project, trim_se
 from tallymart.operators.mart import list_aggregate, summary, summary_onepass, totals_pivot
 from tallymart.operators.model import dimension, fact, lookup_table
 from tallymart.operators.quality import evaluate, fk_orphans, null_contract, pk_duplicates, violations
-from tallymart.operators.reshape import expand_measure
 from tallymart.plans.fixture import FIXTURE, table, tally_bronze
 from tallymart.plans.layout import truncation_rules
 from tallymart.plans.medallion import (
