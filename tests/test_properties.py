@@ -60,3 +60,27 @@ def test_to_int_matches_definition(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     got = [r["n"] for r in df.select("i", to_int("v").alias("n")).orderBy("i").collect()]
     assert got == [py_int(v) for v in values]
+
+
+ROW = st.tuples(
+    st.sampled_from(["1", "2", "3"]),                    # mesa
+    st.sampled_from(["DN", "SN", "\\N"]),                 # category (NULL via sentinel)
+    st.sampled_from(["501", "502", "990", "992", "994"]),  # code
+    st.sampled_from(["CENTRO", "NORTE", ""]),             # circuit description (blank -> NULL)
+    st.one_of(st.integers(-3, 30).map(str), st.just("x")),  # count (malformed -> NULL)
+)
+
+
+@FAST
+@given(st.lists(ROW, min_size=1, max_size=30))
+def test_onepass_mart_equals_joined_mart(spark, rows):
+    from helpers import bronze, row
+    from tallymart.operators import summary, summary_onepass
+    from tallymart.plans.elections import ELECTION
+    from tallymart.plans.medallion import clean_bronze, silver
+
+    raw = [row(mesa=m, cat=c, code=k, circ_d=d, cant=n) for m, c, k, d, n in rows]
+    s = silver(clean_bronze(bronze(spark, raw), ELECTION), ELECTION)
+    a = sorted((tuple(r) for r in summary(s, ELECTION.summary).collect()), key=repr)
+    b = sorted((tuple(r) for r in summary_onepass(s, ELECTION.summary).collect()), key=repr)
+    assert a == b
