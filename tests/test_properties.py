@@ -84,3 +84,27 @@ def test_onepass_mart_equals_joined_mart(spark, rows):
     a = sorted((tuple(r) for r in summary(s, ELECTION.summary).collect()), key=repr)
     b = sorted((tuple(r) for r in summary_onepass(s, ELECTION.summary).collect()), key=repr)
     assert a == b
+
+
+SECTION = st.sampled_from(["CAPITAL", "RESIDENTES EXTERIOR", "PRIV LIBERTAD", "\\N", "PLAZA ARGENTINA PRIV"])
+
+
+@FAST
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", "3", "4"]), SECTION, ROW), min_size=1, max_size=30))
+def test_classification_and_expansion_forms_agree(spark, rows):
+    from helpers import bronze, row
+    from tallymart.operators import entity_class, expand_measure, expand_measure_union
+    from tallymart.plans.elections import ELECTION
+    from tallymart.plans.medallion import clean_bronze, normalize
+
+    raw = [row(mesa=m, secc_d=sd, cat=c, code=k, circ_d=d, cant=n) for m, sd, (_, c, k, d, n) in rows]
+    norm = normalize(clean_bronze(bronze(spark, raw), ELECTION), ELECTION)
+
+    def rows_of(df):
+        return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
+
+    by_join = entity_class(norm, ELECTION.classes, method="join")
+    assert rows_of(by_join) == rows_of(entity_class(norm, ELECTION.classes, method="window"))
+    assert rows_of(expand_measure(by_join, ELECTION.measure_row)) == rows_of(
+        expand_measure_union(by_join, ELECTION.measure_row)
+    )
