@@ -8,8 +8,9 @@ per entity and joins it back, instead of a whole-partition window:
   rows collapses map-side before the shuffle;
 * the join back is planned by Spark: broadcast when AQE measures the flag
   table under the broadcast threshold, otherwise a sort-merge join whose
-  skewed partitions AQE splits.  A window would instead buffer a hot entity's
-  whole group inside one task.
+  skewed partitions AQE splits (both inputs are shuffle stages by
+  construction).  A window would instead buffer a hot entity's whole group
+  inside one task.
 
 ``method="window"`` keeps the single-Window plan (one Exchange, one Sort) for
 inputs already clustered by the entity key.
@@ -63,13 +64,10 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     classes = entity_flags(df, spec).select(
         *[F.col(k).alias(a) for k, a in zip(spec.key, keyed)], F.col(spec.output)
     )
-    # A window groups NULL keys together, so a nullable key needs a null-safe
-    # join; a key that cannot be NULL (e.g. an id built from coalesced parts)
-    # keeps a plain equi-join, whose build side reuses the aggregate's
-    # hash partitioning instead of being shuffled again.
-    nullable = {f.name: f.nullable for f in df.schema.fields}
-    eq = [
-        df[k].eqNullSafe(classes[a]) if nullable.get(k, True) else df[k] == classes[a]
-        for k, a in zip(spec.key, keyed)
-    ]
+    # Null-safe equality, even for keys that cannot be NULL: a window groups
+    # NULL keys together, so must we; and the null-safe join keys differ from
+    # the aggregate's partitioning, so both join inputs get their own
+    # shuffle - the only shape in which AQE can split a hot entity's
+    # partition.  The extra shuffle moves one row per entity.
+    eq = [df[k].eqNullSafe(classes[a]) for k, a in zip(spec.key, keyed)]
     return df.join(classes, reduce(lambda a, b: a & b, eq), "left").drop(*keyed)
