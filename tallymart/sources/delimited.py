@@ -107,9 +107,12 @@ def ingest_report(
     expected list is a parameter.
     """
     key = key_column or raw.columns[0]
+    # FAILFAST scans have no corrupt-record column: a malformed line fails
+    # the job instead, so every row that arrives here parsed.
+    bad_rows = F.count(F.col(corrupt_column)) if corrupt_column in raw.columns else F.lit(0).cast("bigint")
     counts = raw.groupBy(SOURCE).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count(F.col(corrupt_column)).alias("bad_rows"),
+        bad_rows.alias("bad_rows"),
         F.count_if(F.col(key).isNull()).alias("null_key_rows"),
     )
     if expected is None:

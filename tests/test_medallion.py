@@ -169,3 +169,25 @@ def test_run_into_catalog_tables(spark, tmp_dir):
     assert spark.table("tmrun_silver").count() == 15
     assert spark.table("tmrun_resumen_mesa").columns == list(ELECTION.summary.output_order)
     assert spark.table("tmrun_bronze").select("dist_codigo").distinct().count() == 2
+
+
+def test_failfast_mode(spark, tmp_dir):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    from tallymart.sources.delimited import ingest_report, read_delimited
+    from tallymart.spec import SourceSpec, all_string_schema
+
+    good = os.path.join(tmp_dir, "2025 - 01 - RESULTADOS.txt")
+    with open(good, "wb") as fh:
+        fh.write(b"a|b\nc|d\n")
+    spec = SourceSpec(schema=all_string_schema("x, y"), mode="FAILFAST",
+                      source_pattern=r"2025 - (\d{2}) - RESULTADOS\.txt$")
+    report = ingest_report(read_delimited(spark, good, spec), ["01"]).collect()
+    assert [(r["source"], r["rows"], r["bad_rows"], r["status"]) for r in report] == [("01", 2, 0, "OK")]
+
+    bad = os.path.join(tmp_dir, "2025 - 02 - RESULTADOS.txt")
+    with open(bad, "wb") as fh:
+        fh.write(b"a|b|c\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_delimited(spark, bad, spec).collect()
