@@ -251,3 +251,13 @@ def test_distinct_rule_counts_rows_with_null_members(spark):
     report = evaluate(df, [rule]).collect()[0]
     assert report["violations"] == violations(df, rule).count() == 2
     assert evaluate(df, []).count() == 0
+
+
+def test_placeholder_ids_collapse_and_key_check_reports_it(spark):
+    # two tables, same number, no circuit, different circuit descriptions
+    rows = table_rows(mesa="7", circ=None, circ_d="ESCUELA A") + table_rows(mesa="7", circ=None, circ_d="ESCUELA B")
+    s = silver_of(spark, rows)
+    assert {r["id_mesa"] for r in s.select("id_mesa").distinct().collect()} == {"01002NNNNN00007X"}
+    mart = summary(s, ELECTION.summary)
+    dups = pk_duplicates(mart, ELECTION.gold["resumen_mesa"].primary_key).collect()
+    assert [(r["categoria"], r["id_mesa"], r["n"]) for r in dups] == [("DN", "01002NNNNN00007X", 2)]
