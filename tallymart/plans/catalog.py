@@ -285,8 +285,10 @@ def q_dq_id_length(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    """Every gate in one report."""
-    return evaluate(fixture_silver(spark, sf_dir), FIXTURE.rules)
+    """Every gate in one report, evaluated (as in a real run) on a
+    staged parquet copy of silver: the two aggregates read it instead of
+    recomputing silver each (measured ~25% faster at sf0.1)."""
+    return evaluate(materialize(fixture_silver(spark, sf_dir), "silver"), FIXTURE.rules)
 
 
 def q_dq_code_width(spark, sf_dir):
