@@ -153,22 +153,25 @@ def _target(out: str | Target) -> Target:
     return out if callable(out) else path_targets(out)
 
 
-def publish_gold(
-    tables: dict[str, DataFrame], spec: TallySpec, root: str | Target, concurrency: int | None = None
+def publish_tables(
+    tables: dict[str, DataFrame],
+    contracts: dict[str, Contract],
+    root: str | Target,
+    concurrency: int | None = None,
 ) -> dict[str, str]:
-    """Write every gold table aligned to its contract, under a root path
-    (``<root>/<table>``) or wherever a target function names it.
+    """Write independent tables, each aligned to its contract, under a root
+    path (``<root>/<table>``) or wherever a target function names them.
 
-    The tables are independent jobs over the same published silver, so they
-    are submitted from a few driver threads at once; Spark's scheduler runs
-    their tasks side by side, which keeps executors busy while the small
-    dimension jobs are in their final stages.
+    The tables are independent jobs over the same input, so they are
+    submitted from driver threads at once; Spark's scheduler runs their tasks
+    side by side, which keeps executors busy while small jobs are in their
+    final stages.
     """
     name_of = root if callable(root) else (lambda name, r=root.rstrip("/"): f"{r}/{name}")
     paths = {name: name_of(name) for name in tables}
 
     def write(name: str) -> None:
-        publish(tables[name], paths[name], contract=spec.gold[name])
+        publish(tables[name], paths[name], contract=contracts[name])
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency or len(tables))) as pool:
         for future in [pool.submit(write, name) for name in tables]:
@@ -176,6 +179,13 @@ def publish_gold(
     return paths
 
 
+def publish_gold(
+    tables: dict[str, DataFrame], spec: TallySpec, root: str | Target, concurrency: int | None = None
+) -> dict[str, str]:
+    """Write every gold table aligned to its contract (see ``publish_tables``)."""
+    return publish_tables(tables, dict(spec.gold), root, concurrency)
+
+
 def read_gold(spark: SparkSession, paths: dict[str, str], spec: TallySpec) -> dict[str, DataFrame]:
     return {name: read_table(spark, path, spec.gold[name]) for name, path in paths.items()}
 
@@ -244,7 +254,8 @@ def run(
     Silver is materialised once as a parquet table in the shared checkpoint
     folder (lineage cut; a lost executor recomputes from bronze at most),
     gated on that copy - each gate reads only its columns - and published
-    only if every rule passes.
+    only if every rule passes, together with the gold tables built from the
+    same copy.
     """
     result = RunResult()
     target = _target(out)
@@ -256,9 +267,9 @@ def run(
         result.quality = enforce(report)
     else:
         result.quality = [(r["rule"], int(r["violations"])) for r in report.orderBy("position").collect()]
-    silver_path = target("silver")
-    publish(staged, silver_path, contract=spec.silver)
-    result.tables["silver"] = silver_path
-    published = read_table(spark, silver_path, spec.silver)
-    result.tables.update(publish_gold(gold(published, spec, onepass=onepass), spec, target))
+    # Gates passed: silver and the gold tables built from the staged copy
+    # (same rows) are independent writes, published together.
+    tables = {"silver": staged, **gold(staged, spec, onepass=onepass)}
+    contracts = {"silver": spec.silver, **spec.gold}
+    result.tables.update(publish_tables(tables, contracts, target))
     return result
