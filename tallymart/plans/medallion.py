@@ -8,6 +8,7 @@ a columnar table instead of recomputing its input.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -149,6 +150,10 @@ def table_targets(prefix: str) -> Target:
     return lambda name: f"{prefix}{name}"
 
 
+def _digest(name: str) -> str:
+    return hashlib.sha1(name.encode("utf-8")).hexdigest()[:16]
+
+
 def _target(out: str | Target) -> Target:
     return out if callable(out) else path_targets(out)
 
@@ -215,7 +220,9 @@ def ingest(
     two small columns), publish the clean sources only, raise afterwards if
     any source failed (good sources stay loaded, as a per-file loop would)."""
     result = result or RunResult()
-    staging = scratch_path(spark, "bronze-staging")
+    # One staging copy per destination, replaced on every run, so repeated
+    # full refreshes do not grow the shared folder.
+    staging = scratch_path(spark, f"bronze-staging-{_digest(_target(out)('bronze'))}", unique=False)
     raw = read_delimited(spark, paths, spec.source)
     # Input splits come from per-source files, so each task writes the files
     # of one source; the record cap bounds file size for a very large source.
@@ -261,7 +268,7 @@ def run(
     target = _target(out)
     bronze_path = ingest(spark, paths, spec, target, expected, enforce_sources, result)
     bronze = read_table(spark, bronze_path, bronze_contract(spec))
-    staged = materialize(silver(bronze, spec), "silver-staging")
+    staged = materialize(silver(bronze, spec), f"silver-staging-{_digest(target('silver'))}", unique=False)
     report = evaluate(staged, spec.rules)
     if enforce_quality:
         result.quality = enforce(report)

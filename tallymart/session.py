@@ -59,20 +59,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or current
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh location under the shared checkpoint folder for intermediate
-    tables that cut lineage (staging, round trips)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tallymart-scratch/{name}-{uuid.uuid4().hex}"
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder itself (``spark.checkpoint.dir``), not the
+    per-context subfolder Spark adds for RDD checkpoints."""
+    ensure_checkpoint_dir(spark)
+    return (spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
+    """A location under the shared checkpoint folder for intermediate tables
+    that cut lineage (staging, round trips): fresh when ``unique``, otherwise
+    stable, so a job that overwrites it on every run keeps one copy."""
+    suffix = f"-{uuid.uuid4().hex}" if unique else ""
+    return f"{shared_root(spark)}/tallymart-scratch/{name}{suffix}"
 
 
-def materialize(df, name: str, fmt: str = "parquet"):
+def materialize(df, name: str, fmt: str = "parquet", unique: bool = True):
     """Write ``df`` once under the shared checkpoint folder and return a scan
     of it: cuts lineage like ``checkpoint()``, but the copy is a columnar
-    table, so every later consumer reads only the columns it needs."""
+    table, so every later consumer reads only the columns it needs.  With
+    ``unique=False`` the copy replaces the previous one of the same name."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.format(fmt).save(path)
+    path = scratch_path(spark, name, unique)
+    df.write.format(fmt).mode("overwrite").save(path)
     return spark.read.format(fmt).schema(df.schema).load(path)
 
 

@@ -191,3 +191,17 @@ def test_failfast_mode(spark, tmp_dir):
         fh.write(b"a|b|c\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
         read_delimited(spark, bad, spec).collect()
+
+
+def test_reruns_reuse_one_staging_copy(spark, tmp_dir):
+    from tallymart.session import shared_root
+
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    scratch = os.path.join(shared_root(spark).replace("file:", ""), "tallymart-scratch")
+    run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    before = sorted(n for n in os.listdir(scratch) if "staging" in n)
+    run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    after = sorted(n for n in os.listdir(scratch) if "staging" in n)
+    assert before == after
