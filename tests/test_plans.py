@@ -96,3 +96,8 @@ def test_hot_entity_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_quarantine_broadcasts_the_clean_source_list(spark):
+    plan = physical(catalog.q_ingest_clean(spark, SF))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

@@ -108,3 +108,23 @@ def test_classification_and_expansion_forms_agree(spark, rows):
     assert rows_of(expand_measure(by_join, ELECTION.measure_row)) == rows_of(
         expand_measure_union(by_join, ELECTION.measure_row)
     )
+
+
+KEYS = st.one_of(st.none(), st.integers(0, 6))
+
+
+@FAST
+@given(st.lists(st.tuples(KEYS, KEYS), min_size=1, max_size=40), st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8))
+def test_key_checks_match_brute_force(spark, child_rows, parent_keys):
+    from collections import Counter
+
+    from tallymart.operators import fk_orphans, pk_duplicates
+
+    child = spark.createDataFrame(child_rows, "a int, b int")
+    parent = spark.createDataFrame([(k,) for k in parent_keys], "p int")
+    dup = {(r["a"], r["b"]): r["n"] for r in pk_duplicates(child, ["a", "b"]).collect()}
+    assert dup == {k: n for k, n in Counter(child_rows).items() if n > 1}
+    orphans = {r["a"]: r["n"] for r in fk_orphans(child, ["a"], parent, ["p"]).collect()}
+    present = {k for k in parent_keys if k is not None}
+    want = Counter(a for a, _ in child_rows if a is not None and a not in present)
+    assert orphans == dict(want)
