@@ -57,6 +57,9 @@ def test_clean_run_publishes_everything(spark, tmp_dir):
     assert {len(r["id_mesa"]) for r in silver.collect()} == {16}
     labels = {r["campo"] for r in silver.filter(F.col("campo_numero") == "501").collect()}
     assert labels == {"501 UNIN LISTA 501"}
+    # ISO-8859-1 bytes decode to the accented letters before cleaning
+    described = {r["campo_descripcion"] for r in silver.filter(F.col("campo_numero") == "501").collect()}
+    assert described == {"UNIÓN - LISTA 501"}
     classes = {r["id_mesa"]: r["tipo_mesa"] for r in silver.select("id_mesa", "tipo_mesa").distinct().collect()}
     assert classes == {
         "010020000300004X": "NORMAL",
