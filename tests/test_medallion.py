@@ -208,3 +208,17 @@ def test_reruns_reuse_one_staging_copy(spark, tmp_dir):
     run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
     after = sorted(n for n in os.listdir(scratch) if "staging" in n)
     assert before == after
+
+
+def test_balanced_quotes_keep_delimiters_in_one_field(spark, tmp_dir):
+    from tallymart.sources.delimited import ingest_report, read_delimited
+    from tallymart.spec import SourceSpec, all_string_schema
+
+    path = os.path.join(tmp_dir, "2025 - 01 - RESULTADOS.txt")
+    with open(path, "wb") as fh:
+        fh.write('01|"LISTA A|B"|7\n'.encode("iso-8859-1"))
+    spec = SourceSpec(schema=all_string_schema("d, name, n"), source_pattern=r"2025 - (\d{2}) - RESULTADOS\.txt$")
+    raw = read_delimited(spark, path, spec)
+    row = raw.select("d", "name", "n").first()
+    assert tuple(row) == ("01", "LISTA A|B", "7")
+    assert ingest_report(raw, ["01"]).first()["status"] == "OK"
