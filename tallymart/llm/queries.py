@@ -2,12 +2,56 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from tallymart.llm import bpe, quality, secrets, simhash
 from tallymart.llm.common import table
 from tallymart.llm.mix import mix
 
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base features of every document and the verdict of the certified rules."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = quality.judge(docs, labels, keep=["doc_id"])
+    return out.select(F.col("row.doc_id").alias("doc_id"), *quality.BASE, "base_failed", "kept", "failed_rules")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of the secrets in every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda x: x["order"] == kind)).cast("long")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return out.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids of every document and of the bytes
+    that they decode to."""
+    path, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, keep=["doc_id"])
+    return ids.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+    )
+
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document when sources are mixed to their targets."""
@@ -17,5 +61,9 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality": op4_quality,
+    "op6_secrets": op6_secrets,
+    "op7_simhash": op7_simhash,
+    "op8_bpe": op8_bpe,
     "op10_mix": op10_mix,
 }
