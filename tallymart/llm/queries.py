@@ -5,11 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, quality, secrets, simhash
+from tallymart.llm import bpe, quality, secrets, simhash, tokenfile
 from tallymart.llm.common import table
 from tallymart.llm.mix import mix
+from tallymart.session import scratch_path
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
+END_ID = 2
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids as read back from the token files."""
+    target = scratch_path(spark, "token-files")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), target, public_tokenizers.path(WORD_BPE), END_ID)
+    back = tokenfile.read_tokens(spark, target)
+    return back.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +72,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
     "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
