@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, quality, secrets, simhash, tokenfile
-from tallymart.llm.common import table
+from tallymart.llm import bpe, langid, quality, secrets, simhash, tokenfile
+from tallymart.llm.common import fold, table
 from tallymart.llm.mix import mix
 from tallymart.session import scratch_path
 
@@ -15,6 +15,15 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from the folds 1 to 4."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    train = docs.where(fold(F.col("doc_id"), 5) != 0).select(F.col("doc_id").alias("id"), "text", "lang")
+    marked = docs.select("doc_id", held_out, "text")
+    return langid.identify(marked, langid.fit(train), keep=["doc_id", "held_out"])
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and ids as read back from the token files."""
     target = scratch_path(spark, "token-files")
@@ -72,6 +81,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_langid": op2_langid,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
     "op6_secrets": op6_secrets,
