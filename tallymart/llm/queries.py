@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, langid, quality, secrets, simhash, tokenfile
+from tallymart.llm import bpe, hnsw, langid, quality, secrets, simhash, tokenfile
 from tallymart.llm.common import fold, table
 from tallymart.llm.mix import mix
 from tallymart.session import scratch_path
@@ -15,6 +15,11 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the folds 1 to 4."""
     docs = table(spark, sf_dir, "documents")
@@ -81,6 +86,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hnsw": op1_hnsw,
     "op2_langid": op2_langid,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
