@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, hnsw, langid, quality, secrets, simhash, tokenfile
+from tallymart.llm import bpe, hnsw, langid, quality, secrets, simhash, tokenfile, unigram
 from tallymart.llm.common import fold, table
 from tallymart.llm.mix import mix
 from tallymart.session import scratch_path
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
@@ -44,6 +45,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), *quality.BASE, "base_failed", "kept", "failed_rules")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token count and best score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return unigram.count_tokens(docs, public_tokenizers.path(PIECES), keep=["doc_id"])
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of the secrets in every document."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -90,6 +97,7 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
+    "op5_token_counts": op5_token_counts,
     "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_bpe": op8_bpe,
