@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, hnsw, langid, quality, secrets, simhash, tokenfile, unigram
+from tallymart.llm import bpe, hnsw, langid, lm, quality, secrets, simhash, tokenfile, unigram
 from tallymart.llm.common import fold, table
 from tallymart.llm.mix import mix
 from tallymart.session import scratch_path
@@ -85,6 +85,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document; learned from the folds other than 1."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    train = docs.where(~held_out).select(F.col("doc_id").alias("id"), "text")
+    marked = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return lm.score_texts(marked, train, keep=["doc_id", "held_out"])
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document when sources are mixed to their targets."""
     mixed = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -101,5 +110,6 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_bpe": op8_bpe,
+    "op9_lm": op9_lm,
     "op10_mix": op10_mix,
 }
