@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from tallymart.operators.quality import QualityError
 from tallymart.plans.elections import DISTRICTS, ELECTION
 from tallymart.plans.medallion import IngestError, run, table_targets
-from tallymart.session import ensure_checkpoint_dir
+from tallymart.session import ensure_checkpoint_dir, input_bytes, scale_conf
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -29,11 +29,16 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--districts", help="comma list of expected district codes (default: all 24)")
     parser.add_argument("--report-only", action="store_true", help="publish even when a gate fires")
     parser.add_argument("--joined-mart", action="store_true", help="pivot + join mart instead of one pass")
+    parser.add_argument("--keep-settings", action="store_true", help="do not size shuffles from the input")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tallymart").getOrCreate()
     ensure_checkpoint_dir(spark)
     try:
+        if not args.keep_settings:
+            size = input_bytes(spark, args.input)
+            for key, value in scale_conf(size, spark.sparkContext.defaultParallelism).items():
+                spark.conf.set(key, value)
         expected = args.districts.split(",") if args.districts else DISTRICTS
         out = table_targets(args.out) if args.catalog else args.out
         result = run(spark, args.input, ELECTION, out, expected=expected,
@@ -41,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     except (IngestError, QualityError) as err:
         print(str(err), file=sys.stderr)
         return 1
-    print(json.dumps({"quality": result.quality, "tables": result.tables}))
+    print(json.dumps({"quality": result.quality, "truncated": result.truncated, "tables": result.tables}))
     return 0
 
 

@@ -2,7 +2,6 @@
 
 from tallymart.operators.classify import entity_class, entity_flags, row_kind
 from tallymart.operators.clean import align, blank_to_null, pad_codes, project, trim_sentinel
-from tallymart.operators.joins import bounded_broadcast
 from tallymart.operators.mart import list_aggregate, summary, summary_onepass, totals_pivot
 from tallymart.operators.model import dimension, fact, lookup, lookup_table
 from tallymart.operators.quality import (
@@ -12,6 +11,7 @@ from tallymart.operators.quality import (
     fk_orphans,
     null_contract,
     pk_duplicates,
+    violation_rows,
     violations,
 )
 from tallymart.operators.reshape import expand_measure, expand_measure_union, pivot_codes
@@ -20,7 +20,6 @@ __all__ = [
     "QualityError",
     "align",
     "blank_to_null",
-    "bounded_broadcast",
     "dimension",
     "entity_class",
     "entity_flags",
@@ -43,5 +42,6 @@ __all__ = [
     "summary_onepass",
     "totals_pivot",
     "trim_sentinel",
+    "violation_rows",
     "violations",
 ]

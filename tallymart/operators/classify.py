@@ -61,13 +61,16 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
     keyed = [f"__key{i}" for i in range(len(spec.key))]
-    classes = entity_flags(df, spec).select(
-        *[F.col(k).alias(a) for k, a in zip(spec.key, keyed)], F.col(spec.output)
-    )
+    # Entities of the default class need no row on the joined side: in a real
+    # tally the special ones are few, so the side is small and the rows are
+    # not shuffled at all; where it is large, the join below is split by AQE.
+    special = entity_flags(df, spec).filter(F.col(spec.output) != F.lit(spec.otherwise))
+    classes = special.select(*[F.col(k).alias(a) for k, a in zip(spec.key, keyed)], F.col(spec.output).alias("__class"))
     # Null-safe equality, even for keys that cannot be NULL: a window groups
     # NULL keys together, so must we; and the null-safe join keys differ from
     # the aggregate's partitioning, so both join inputs get their own
     # shuffle - the only shape in which AQE can split a hot entity's
     # partition.  The extra shuffle moves one row per entity.
     eq = [df[k].eqNullSafe(classes[a]) for k, a in zip(spec.key, keyed)]
-    return df.join(classes, reduce(lambda a, b: a & b, eq), "left").drop(*keyed)
+    joined = df.join(classes, reduce(lambda a, b: a & b, eq), "left")
+    return joined.withColumn(spec.output, F.coalesce("__class", F.lit(spec.otherwise))).drop("__class", *keyed)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.codes import lookup as lookup_expr
-from tallymart.operators.joins import bounded_broadcast
 from tallymart.spec import DimSpec
 
 
@@ -49,13 +48,12 @@ def lookup_table(
     table_key: str,
     value: str,
     output: str,
-    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Code -> name via a lookup DataFrame (P13 for maps too large to inline).
 
-    Left join, so unknown codes give NULL exactly like the literal map; the
-    table is broadcast only when its row count is proven under the bound.
+    Left join, so unknown codes give NULL like the literal map.  A key that
+    the table repeats gets its least value, so no row of ``df`` is multiplied.
+    Spark broadcasts the side where its measured size allows it.
     """
-    side = table.select(F.col(table_key).alias("__lk"), F.col(value).alias(output))
-    side = bounded_broadcast(side, max_broadcast_rows)
+    side = table.groupBy(F.col(table_key).alias("__lk")).agg(F.min(value).alias(output))
     return df.join(side, df[code] == side["__lk"], "left").drop("__lk")

@@ -58,12 +58,31 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
     return out.distinct() if rule.distinct else out
 
 
+def _families(rules: Sequence[Rule]) -> list[tuple]:
+    """Grouped rules that can share one aggregate: same key and filter, and
+    no alias that stands for two expressions.  Each family is
+    ``(group_by, filter, aggregates, [(position, rule)])``."""
+    families: list[tuple] = []
+    for i, r in enumerate(rules):
+        if not r.grouped:
+            continue
+        for group_by, filt, aggs, members in families:
+            agree = all(aggs.get(n, e) == e for n, e in r.agg.items())
+            if (group_by, filt) == (r.group_by, r.filter) and agree:
+                aggs.update(r.agg)
+                members.append((i, r))
+                break
+        else:
+            families.append((r.group_by, r.filter, dict(r.agg), [(i, r)]))
+    return families
+
+
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: ``(rule, position, violations)``.
 
     Row rules and distinct rules share one global aggregate; grouped rules
-    with the same key and filter share one grouped aggregate whose groups
-    are then counted per rule.
+    with the same key and filter, whose aliases agree, share one grouped
+    aggregate whose groups are then counted per rule.
     """
     parts: list[DataFrame] = []
     flat = [(i, r) for i, r in enumerate(rules) if not r.grouped]
@@ -79,15 +98,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 aggs.append(F.count_if(F.expr(r.violation)).alias(f"r{i}"))
         one = df.agg(*aggs)
         parts.append(stack_rows(one, [(F.lit(r.name), F.lit(i), F.col(f"r{i}")) for i, r in flat], REPORT_COLUMNS))
-    families: dict[tuple, list[tuple[int, Rule]]] = {}
-    for i, r in enumerate(rules):
-        if r.grouped:
-            families.setdefault((r.group_by, r.filter), []).append((i, r))
-    for (group_by, filt), members in families.items():
+    for group_by, filt, aggs, members in _families(rules):
         rows = df.filter(F.expr(filt)) if filt else df
-        aggs = {}
-        for _, r in members:
-            aggs.update(r.agg)
         grouped = rows.groupBy(*group_by).agg(*[F.expr(e).alias(n) for n, e in aggs.items()])
         counts = grouped.agg(*[F.count_if(F.expr(r.having)).alias(f"r{i}") for i, r in members])
         parts.append(
@@ -109,6 +121,17 @@ def enforce(report: DataFrame) -> list[tuple[str, int]]:
     return [(r["rule"], int(r["violations"])) for r in rows]
 
 
+def violation_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """What each rule objects to, as ``(rule, row)`` with the row as JSON:
+    one table for rules of different columns."""
+    parts = [
+        found.select(F.lit(r.name).alias("rule"), F.to_json(F.struct(*found.columns)).alias("row"))
+        for r in rules
+        for found in [violations(df, r)]
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def pk_duplicates(df: DataFrame, key: Sequence[str], count_name: str = "n") -> DataFrame:
     """Key values that occur more than once, with their count (K1)."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)

@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from tallymart.plans.layout import make_spec
-from tallymart.spec import ClassRule, SourceSpec, all_string_schema
+from tallymart.spec import ClassRule, SourceSpec, text_schema
 
 # --- Fixed values (must equal the source layout and vocabulary) -------------
 
 # Raw file layout: 31 text fields, in file order.
-RAW_FIELDS = """
-    dist_codigo, zona, zona_codigo, zona_descrip,
-    secg_codigo, secg_descrip, secc_codigo, secc_descrip,
-    muni_codigo, muni_descrip, circ_codigo, circ_descrip,
-    mes_sexo, tmesa_codigo, ppar_codigo, ppar_descrip,
-    ppar_codvis, ppar_codvis2, ppar_codvis3, ppar_orden,
-    ppar_vercodi, ppar_subcod, ppar_subcod_descrip, carg_codigo,
-    carg_descrip, carg_abrev1, carg_orden, cant,
-    totins, totvot, sobcub
-"""
+RAW_FIELDS = (
+    "dist_codigo", "zona", "zona_codigo", "zona_descrip",
+    "secg_codigo", "secg_descrip", "secc_codigo", "secc_descrip",
+    "muni_codigo", "muni_descrip", "circ_codigo", "circ_descrip",
+    "mes_sexo", "tmesa_codigo", "ppar_codigo", "ppar_descrip",
+    "ppar_codvis", "ppar_codvis2", "ppar_codvis3", "ppar_orden",
+    "ppar_vercodi", "ppar_subcod", "ppar_subcod_descrip", "carg_codigo",
+    "carg_descrip", "carg_abrev1", "carg_orden", "cant",
+    "totins", "totvot", "sobcub",
+)
 
 # One file per district, named "2025 - NN - RESULTADOS.txt".
-DISTRICTS = [f"{i:02d}" for i in range(1, 25)]
 FILE_PATTERN = r"2025 - (\d{2}) - RESULTADOS\.txt$"
 
 DISTRICT_NAMES = {
@@ -50,6 +49,9 @@ DISTRICT_NAMES = {
     "24": "TUCUMAN",
 }
 
+#: The districts expected in a full run.
+DISTRICTS = sorted(DISTRICT_NAMES)
+
 CATEGORIES = ["PV", "DN", "SN", "PN", "PR", "GO", "DP", "DD", "SP", "MU", "CO", "TC", "RP", "CC", "JU"]
 
 # Totals codes -> mart column.
@@ -77,7 +79,7 @@ CLASS_RULES = (
     ClassRule("PRIVADOS_LIBERTAD", f"upper(coalesce(seccion_descripcion, '')) rlike '{PATTERN_DEPRIVED}'"),
 )
 
-SOURCE = SourceSpec(schema=all_string_schema(RAW_FIELDS), source_pattern=FILE_PATTERN)
+SOURCE = SourceSpec(schema=text_schema(RAW_FIELDS), source_pattern=FILE_PATTERN)
 
 ELECTION = make_spec(
     source=SOURCE,

@@ -14,12 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.operators.joins import bounded_broadcast
-from tallymart.plans.layout import make_spec
-from tallymart.spec import ClassRule, SourceSpec, all_string_schema
-
-# Upper bound for broadcasting the nation table (25 rows in the generator).
-MAX_NATIONS = 10_000
+from tallymart.plans.layout import BRONZE_COLUMNS, WIDTHS, make_spec
+from tallymart.spec import ClassRule, SourceSpec, text_schema
 
 # --- Fixed values of the fixture spec ----------------------------------------
 FIXTURE_TOTALS = {
@@ -33,14 +29,14 @@ FIXTURE_TOTALS = {
 FIXTURE_TOTAL_CODE = "007"
 FIXTURE_CATEGORIES = ["AF", "AO", "NF", "NO", "RF"]
 FIXTURE_REGIONS = {"00": "AFRICA", "01": "AMERICA", "02": "ASIA", "03": "EUROPE"}
+# Order and customer keys grow with the scale: wide enough that no id is cut.
+FIXTURE_WIDTHS = {**WIDTHS, "circuito": 12, "mesa": 12}
 FIXTURE_PATTERN_A = "NATION_1"
 FIXTURE_PATTERN_B = "NATION_2"
 # -----------------------------------------------------------------------------
 
 FIXTURE = make_spec(
-    source=SourceSpec(schema=all_string_schema(", ".join(
-        ["dist_codigo", "secc_codigo", "secc_descrip", "circ_codigo", "circ_descrip", "zona_codigo",
-         "carg_codigo", "ppar_codigo", "ppar_descrip", "cant", "totins"]))),
+    source=SourceSpec(schema=text_schema(BRONZE_COLUMNS)),
     totals=FIXTURE_TOTALS,
     total_code=FIXTURE_TOTAL_CODE,
     inscribed_code="000",
@@ -52,6 +48,7 @@ FIXTURE = make_spec(
         ClassRule("PRIVADOS_LIBERTAD", f"upper(coalesce(seccion_descripcion, '')) rlike '{FIXTURE_PATTERN_B}'"),
     ),
     district_names=FIXTURE_REGIONS,
+    widths=FIXTURE_WIDTHS,
 )
 
 
@@ -61,9 +58,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def mesas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its geography: orders joined to customer and
-    (broadcast, size-checked) nation.  Joined before line items so the large
-    side is shuffled once, on the order key only."""
-    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), MAX_NATIONS)
+    nation.  Joined before line items so the large side is shuffled once, on
+    the order key only."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
     )

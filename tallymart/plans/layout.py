@@ -43,7 +43,8 @@ SILVER_COLUMNS = (
     "mesa", "categoria", "campo", "campo_numero", "campo_descripcion", "cantidad", "registro", "tipo_mesa",
 )
 WIDTHS = {"distrito": 2, "seccion": 3, "circuito": 5, "mesa": 5, "campo_numero": 3}
-PLACEHOLDERS = {"distrito": "NN", "seccion": "NNN", "circuito": "NNNNN", "mesa": "NNNNN"}
+ID_PARTS = ("distrito", "seccion", "circuito", "mesa")
+PLACEHOLDER = "N"
 ID_SUFFIX = "X"
 SUMMARY_ATTRIBUTES = (
     "distrito", "seccion", "seccion_descripcion", "circuito", "circuito_descripcion", "mesa", "tipo_mesa",
@@ -221,21 +222,25 @@ def make_spec(
     district_names: Mapping[str, str],
     bronze_partition: str | None = "dist_codigo",
     zero_sum_filter: str | None = None,
+    widths: Mapping[str, int] = WIDTHS,
 ) -> TallySpec:
     """Build a full spec.
 
     ``totals`` maps each totals code (including ``inscribed_code``) to its mart
     column; ``total_code`` is the code of the row carrying the registered-voter
-    measure, which becomes an extra row with ``inscribed_code``.
+    measure, which becomes an extra row with ``inscribed_code``.  ``widths``
+    must hold the longest code of each column: a longer one is cut to its last
+    characters (``truncation_rules`` reports it).
     """
-    key = KeySpec(("distrito", "seccion", "circuito", "mesa"), PLACEHOLDERS, ID_SUFFIX, "id_mesa")
+    placeholders = {c: PLACEHOLDER * widths[c] for c in ID_PARTS}
+    key = KeySpec(ID_PARTS, placeholders, ID_SUFFIX, "id_mesa")
     lit_code = inscribed_code.replace("'", "''")
     lit_label = inscribed_label.replace("'", "''")
     return TallySpec(
         source=source,
         bronze_columns=BRONZE_COLUMNS,
         rename=RENAME,
-        widths=WIDTHS,
+        widths=dict(widths),
         id_key=key,
         label_output="campo",
         label_parts=("campo_numero", "campo_descripcion"),
@@ -272,6 +277,28 @@ def make_spec(
     )
 
 
+def contract_rules(spec: TallySpec) -> tuple[Rule, ...]:
+    """NOT NULL of the silver and gold contracts as row rules over silver:
+    every gold column is an expression of silver rows, so one pass over the
+    staged silver proves what would be published (S8, K3)."""
+    out = [Rule(f"not_null_silver_{c}", f"{c} IS NULL", SILVER_COLUMNS) for c in spec.silver.not_null]
+    for name, dim in {"fact_resultados": spec.fact, **spec.dims}.items():
+        kept = [f"{c} IS NOT NULL" for c in dim.not_null] + ([f"({dim.filter})"] if dim.filter else [])
+        for c in spec.gold[name].not_null:
+            if c in dim.lookups:
+                code, names = dim.lookups[c]
+                missing = f"coalesce(NOT ({dim.columns[code]}) IN ({_sql_list(names)}), true)" if names else "true"
+            else:
+                missing = f"({dim.columns[c]}) IS NULL"
+            out.append(Rule(f"not_null_{name}_{c}", " AND ".join([*kept, missing]), SILVER_COLUMNS))
+    totals = f"{spec.summary.kind} = '{spec.summary.totals_kind}'"
+    out += [
+        Rule(f"not_null_resumen_mesa_{c}", f"{totals} AND {c} IS NULL", SILVER_COLUMNS)
+        for c in spec.gold["resumen_mesa"].not_null
+    ]
+    return tuple(out)
+
+
 def truncation_rules(widths: Mapping[str, int] = WIDTHS) -> tuple[Rule, ...]:
     """Pre-check for the code-width rule: codes longer than
     their width are cut to their last characters, so ``1990`` becomes ``990``

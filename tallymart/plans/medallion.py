@@ -8,10 +8,11 @@ a columnar table instead of recomputing its input.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +23,19 @@ from tallymart.operators.classify import entity_class, row_kind
 from tallymart.operators.clean import align, blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import summary, summary_onepass
 from tallymart.operators.model import dimension, fact
-from tallymart.operators.quality import enforce, evaluate, fk_orphans, stack_rows
+from tallymart.operators.quality import enforce, evaluate, fk_orphans, pk_duplicates, stack_rows, violation_rows
 from tallymart.operators.reshape import expand_measure
-from tallymart.session import materialize, scratch_path
+from tallymart.plans.layout import contract_rules, truncation_rules
+from tallymart.session import drop_scratch, scratch_path
 from tallymart.sources.delimited import (
     INGESTED_AT,
-    SOURCE,
+    OK,
     SOURCE_FILE,
     failed_sources,
     ingest_report,
-    read_delimited,
+    quarantine,
+    read_staged,
+    stage_delimited,
 )
 from tallymart.sources.sink import publish, read_table
 from tallymart.spec import Contract, TallySpec
@@ -70,12 +74,14 @@ def normalize(bronze: DataFrame, spec: TallySpec) -> DataFrame:
     return row_kind(df, spec.kind)
 
 
-def silver(bronze: DataFrame, spec: TallySpec, method: str = "join") -> DataFrame:
-    """Normalise, classify entities, add measure rows, align to the contract."""
+def silver(bronze: DataFrame, spec: TallySpec, method: str | None = "join") -> DataFrame:
+    """Normalise, classify entities, add measure rows, align to the contract;
+    ``method=None`` leaves the entity class out."""
     df = normalize(bronze, spec)
-    df = entity_class(df, spec.classes, method=method)
+    if method is not None:
+        df = entity_class(df, spec.classes, method=method)
     df = expand_measure(df, spec.measure_row)
-    return align(df, spec.silver.names)
+    return align(df, [c for c in spec.silver.names if method is not None or c != spec.classes.output])
 
 
 def gold(silver_df: DataFrame, spec: TallySpec, onepass: bool = True) -> dict[str, DataFrame]:
@@ -93,26 +99,21 @@ def gold(silver_df: DataFrame, spec: TallySpec, onepass: bool = True) -> dict[st
 
 
 def table_checks(df: DataFrame, contract: Contract) -> DataFrame:
-    """Primary-key and NOT NULL checks of one table in one grouped pass
-    (K1, K3): group by the key (partial aggregation first), counting rows and
-    NULLs per not-null column; a global aggregate then counts duplicate keys
-    and sums the NULL counts.  ``(check, table, detail, violations)``."""
+    """Primary-key and NOT NULL checks of one table (K1, K3): NULLs are
+    counted in an aggregate without a key, so only the key columns are
+    shuffled, to count keys that occur twice.
+    ``(check, table, detail, violations)``."""
     not_null = [c for c in contract.not_null if c in df.columns]
     key = list(contract.primary_key)
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(not_null)]
+    parts = []
     if key:
-        per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"), *nulls)
-        totals = per_key.agg(
-            F.count_if(F.col("__rows") > 1).alias("__dup"),
-            *[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).alias(f"__n{i}") for i in range(len(not_null))],
-        )
-    else:
-        totals = df.agg(F.lit(0).alias("__dup"), *nulls)
-    entries = []
-    if key:
-        entries.append((F.lit("primary_key"), F.lit(",".join(key)), F.col("__dup")))
-    entries += [(F.lit("not_null"), F.lit(c), F.col(f"__n{i}")) for i, c in enumerate(not_null)]
-    out = stack_rows(totals, entries, ("check", "detail", "violations"))
+        twice = pk_duplicates(df.select(*key), key).agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(twice.select(F.lit("primary_key").alias("check"), F.lit(",".join(key)).alias("detail"), "violations"))
+    if not_null:
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(not_null)])
+        entries = [(F.lit("not_null"), F.lit(c), F.col(f"n{i}")) for i, c in enumerate(not_null)]
+        parts.append(stack_rows(nulls, entries, ("check", "detail", "violations")))
+    out = reduce(DataFrame.unionByName, parts)
     return out.select("check", F.lit(contract.name).alias("table"), "detail",
                       F.col("violations").cast("bigint").alias("violations"))
 
@@ -137,11 +138,17 @@ def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
 Target = Callable[[str], str]
 
 
+#: Reports published beside the tables.
+INGEST_REPORT, QUALITY_REPORT, VIOLATIONS = "ingest_report", "quality_report", "quality_violations"
+_REPORTS = (INGEST_REPORT, QUALITY_REPORT, VIOLATIONS)
+
+
 def path_targets(out_root: str) -> Target:
-    """Table name -> storage path: ``<root>/bronze``, ``<root>/silver`` and
-    ``<root>/gold/<table>``."""
+    """Table name -> storage path: ``<root>/bronze``, ``<root>/silver``,
+    ``<root>/reports/<report>`` and ``<root>/gold/<table>``."""
     root = out_root.rstrip("/")
-    return lambda name: f"{root}/{name}" if name in ("bronze", "silver") else f"{root}/gold/{name}"
+    folder = {"bronze": "", "silver": "", **dict.fromkeys(_REPORTS, "reports/")}
+    return lambda name: f"{root}/{folder.get(name, 'gold/')}{name}"
 
 
 def table_targets(prefix: str) -> Target:
@@ -150,10 +157,6 @@ def table_targets(prefix: str) -> Target:
     return lambda name: f"{prefix}{name}"
 
 
-def _digest(name: str) -> str:
-    return hashlib.sha1(name.encode("utf-8")).hexdigest()[:16]
-
-
 def _target(out: str | Target) -> Target:
     return out if callable(out) else path_targets(out)
 
@@ -197,8 +200,16 @@ def read_gold(spark: SparkSession, paths: dict[str, str], spec: TallySpec) -> di
 
 @dataclass
 class RunResult:
+    """What a run did; the published reports hold all of it.
+
+    ``ingest``: failed sources; ``quality``: violations of every rule;
+    ``truncated``: codes longer than their width, per column; ``tables``:
+    where each table went.
+    """
+
     ingest: list[tuple[str, str, int, int]] = field(default_factory=list)
     quality: list[tuple[str, int]] = field(default_factory=list)
+    truncated: list[tuple[str, int]] = field(default_factory=list)
     tables: dict[str, str] = field(default_factory=dict)
 
 
@@ -206,6 +217,16 @@ class IngestError(RuntimeError):
     pass
 
 
+@contextmanager
+def _staging(spark: SparkSession, name: str):
+    """A scratch table of this run alone, removed when the stage is over."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        drop_scratch(spark, path)
+
+
 def ingest(
     spark: SparkSession,
     paths,
@@ -216,34 +237,103 @@ def ingest(
     result: RunResult | None = None,
 ) -> str:
     """Bronze stage (S1-S3, S5, S9): parse every file once into a staging
-    table partitioned by source, report per source from that table (it reads
-    two small columns), publish the clean sources only, raise afterwards if
-    any source failed (good sources stay loaded, as a per-file loop would)."""
+    table partitioned by source, publish a report per source, and publish the
+    rows of its OK sources.
+
+    A source that is missing, empty, unreadable, malformed or unexpected has
+    its row in the report and never affects another one; the stage raises
+    afterwards if any failed (good sources stay loaded, as a per-file loop
+    would).  Without any OK source bronze stays as it was.
+    """
     result = result or RunResult()
-    # One staging copy per destination, replaced on every run, so repeated
-    # full refreshes do not grow the shared folder.
-    staging = scratch_path(spark, f"bronze-staging-{_digest(_target(out)('bronze'))}", unique=False)
-    raw = read_delimited(spark, paths, spec.source)
-    # Input splits come from per-source files, so each task writes the files
-    # of one source; the record cap bounds file size for a very large source.
-    raw.write.mode("overwrite").option("maxRecordsPerFile", "5000000").partitionBy(SOURCE).parquet(staging)
-    # Explicit schema: source ids such as '01' must not be inferred as numbers.
-    staged = spark.read.schema(raw.schema).parquet(staging)
-    report = ingest_report(staged, expected, spec.source.corrupt_column)
-    failed = failed_sources(report)
-    result.ingest = failed
-    bad = [s for s, status, _, _ in failed if status != "NO_ROWS"]
-    kept = staged.filter(~F.col(SOURCE).isin(bad)) if bad else staged
-    bronze = clean_bronze(kept.drop(spec.source.corrupt_column), spec)
-    path = _target(out)("bronze")
-    publish(bronze, path, contract=bronze_contract(spec))
+    target = _target(out)
+    path = target("bronze")
+    with _staging(spark, "bronze-staging") as staging:
+        failed = stage_delimited(spark, paths, spec.source, staging)
+        staged = read_staged(spark, spec.source, staging)
+        corrupt = spec.source.corrupt_column
+        publish(ingest_report(staged, expected, corrupt, failed=failed).coalesce(1), target(INGEST_REPORT))
+        report = read_table(spark, target(INGEST_REPORT))
+        result.tables[INGEST_REPORT] = target(INGEST_REPORT)
+        result.ingest = failed_sources(report)
+        if report.filter(F.col("status") == OK).isEmpty():
+            raise IngestError(f"no source can be loaded, bronze is unchanged: {_told(result.ingest)}")
+        bronze = clean_bronze(quarantine(staged, report, corrupt), spec)
+        publish(bronze, path, contract=bronze_contract(spec))
     result.tables["bronze"] = path
-    if failed and enforce_sources:
-        lines = "; ".join(f"{s}: {status} ({n} rows, {b} malformed)" for s, status, n, b in failed)
-        raise IngestError(f"ingest finished with {len(failed)} failed source(s): {lines}")
+    if result.ingest and enforce_sources:
+        raise IngestError(f"ingest finished with failed source(s): {_told(result.ingest)}")
     return path
 
 
+def _told(failed) -> str:
+    return "; ".join(f"{s}: {status} ({n} rows, {b} malformed)" for s, status, n, b in failed)
+
+
+def _gate(staged: DataFrame, spec: TallySpec) -> DataFrame:
+    """Every rule of the spec, the NOT NULL columns of silver and gold, and
+    that there are rows at all: ``(rule, position, violations)``."""
+    rules = (*spec.rules, *contract_rules(spec))
+    no_rows = staged.agg((F.count(F.lit(1)) == 0).cast("bigint").alias("violations"))
+    rows = no_rows.select(F.lit("silver_has_rows").alias("rule"), F.lit(len(rules)).alias("position"), "violations")
+    return evaluate(staged, rules).unionByName(rows)
+
+
+def build_silver(
+    spark: SparkSession,
+    spec: TallySpec,
+    out: str | Target,
+    enforce_quality: bool = True,
+    result: RunResult | None = None,
+) -> str:
+    """Silver stage, from the published bronze: stage, gate, publish.
+
+    Silver is staged as a parquet table in the shared checkpoint folder
+    (lineage cut; a lost executor recomputes from bronze at most) and gated
+    on that copy, each gate reading only its columns.  The report is
+    published; when a gate fires, so are the rows it objects to, and silver
+    stays as it was.
+    """
+    result = result or RunResult()
+    target = _target(out)
+    bronze = read_table(spark, target("bronze"), bronze_contract(spec))
+    with _staging(spark, "silver-staging") as staging:
+        publish(silver(bronze, spec), staging, contract=spec.silver)
+        staged = read_table(spark, staging, spec.silver)
+        cut = evaluate(pre_pad(bronze, spec), truncation_rules(spec.widths))
+        result.truncated = [(r["rule"], int(r["violations"])) for r in cut.orderBy("position").collect()]
+        publish(_gate(staged, spec).coalesce(1), target(QUALITY_REPORT))
+        report = read_table(spark, target(QUALITY_REPORT))
+        result.tables[QUALITY_REPORT] = target(QUALITY_REPORT)
+        result.quality = [(r["rule"], int(r["violations"])) for r in report.orderBy("position").collect()]
+        fired = {name for name, n in result.quality if n}
+        shown = [r for r in (*spec.rules, *contract_rules(spec)) if r.name in fired]
+        if shown:
+            publish(violation_rows(staged, shown), target(VIOLATIONS))
+            result.tables[VIOLATIONS] = target(VIOLATIONS)
+        if enforce_quality:
+            enforce(report)
+        publish(staged, target("silver"), contract=spec.silver)
+    result.tables["silver"] = target("silver")
+    return target("silver")
+
+
+def build_gold(
+    spark: SparkSession,
+    spec: TallySpec,
+    out: str | Target,
+    onepass: bool = True,
+    result: RunResult | None = None,
+) -> dict[str, str]:
+    """Gold stage, from the published silver: the eight tables, side by side."""
+    result = result or RunResult()
+    target = _target(out)
+    rows = read_table(spark, target("silver"), spec.silver)
+    paths = publish_gold(gold(rows, spec, onepass=onepass), spec, target)
+    result.tables.update(paths)
+    return paths
+
+
 def run(
     spark: SparkSession,
     paths,
@@ -256,27 +346,10 @@ def run(
 ) -> RunResult:
     """Full refresh of bronze, silver and gold under the root path ``out``
     (or into the catalog tables a target function such as
-    ``table_targets("tally.")`` names).
-
-    Silver is materialised once as a parquet table in the shared checkpoint
-    folder (lineage cut; a lost executor recomputes from bronze at most),
-    gated on that copy - each gate reads only its columns - and published
-    only if every rule passes, together with the gold tables built from the
-    same copy.
-    """
+    ``table_targets("tally.")`` names): three stages that can be started
+    anew, each from the table the one before has published."""
     result = RunResult()
-    target = _target(out)
-    bronze_path = ingest(spark, paths, spec, target, expected, enforce_sources, result)
-    bronze = read_table(spark, bronze_path, bronze_contract(spec))
-    staged = materialize(silver(bronze, spec), f"silver-staging-{_digest(target('silver'))}", unique=False)
-    report = evaluate(staged, spec.rules)
-    if enforce_quality:
-        result.quality = enforce(report)
-    else:
-        result.quality = [(r["rule"], int(r["violations"])) for r in report.orderBy("position").collect()]
-    # Gates passed: silver and the gold tables built from the staged copy
-    # (same rows) are independent writes, published together.
-    tables = {"silver": staged, **gold(staged, spec, onepass=onepass)}
-    contracts = {"silver": spec.silver, **spec.gold}
-    result.tables.update(publish_tables(tables, contracts, target))
+    ingest(spark, paths, spec, out, expected, enforce_sources, result)
+    build_silver(spark, spec, out, enforce_quality, result)
+    build_gold(spark, spec, out, onepass, result)
     return result

@@ -76,14 +76,14 @@ s0 AS (
 ),
 s1 AS (
   SELECT {sql_pad('distrito', 2)} AS distrito, {sql_pad('seccion', 3)} AS seccion, seccion_descripcion,
-         {sql_pad('circuito', 5)} AS circuito, circuito_descripcion, {sql_pad('mesa', 5)} AS mesa,
+         {sql_pad('circuito', 12)} AS circuito, circuito_descripcion, {sql_pad('mesa', 12)} AS mesa,
          categoria, {sql_pad('campo_numero', 3)} AS campo_numero, campo_descripcion,
          {sql_int('cant_txt')} AS cantidad, {sql_int('totins_txt')} AS inscriptos
   FROM s0
 ),
 s2 AS (
-  SELECT coalesce(distrito, 'NN') || coalesce(seccion, 'NNN') || coalesce(circuito, 'NNNNN')
-           || coalesce(mesa, 'NNNNN') || 'X' AS id_mesa,
+  SELECT coalesce(distrito, 'NN') || coalesce(seccion, 'NNN') || coalesce(circuito, 'NNNNNNNNNNNN')
+           || coalesce(mesa, 'NNNNNNNNNNNN') || 'X' AS id_mesa,
          *,
          {sql_label('campo_numero', 'campo_descripcion')} AS campo,
          CASE WHEN campo_numero IN ('000', '003', '004', '005', '006', '007') THEN 'MESA' ELSE 'AGRUPACION' END
@@ -175,13 +175,13 @@ SILVER_COLS = (
 )
 
 # Source families written by the ingest queries (see catalog.py).
-INGEST_EXPECTED = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-NONE"]
+INGEST_EXPECTED = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", "6-NONE"]
 INGEST_BAD = "(o_orderpriority = '5-LOW' AND o_orderstatus = 'P') OR (o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"
 
 _NULL_CONTRACT_ROWS = [
     ("id_mesa", 0, False), ("distrito", 1, False), ("seccion", 2, True), ("seccion_descripcion", 3, True),
-    ("circuito", 4, True), ("circuito_descripcion", 5, True), ("mesa", 6, True), ("categoria", 7, False),
-    ("campo", 8, True), ("campo_numero", 9, True), ("campo_descripcion", 10, True), ("cantidad", 11, True),
+    ("circuito", 4, False), ("circuito_descripcion", 5, True), ("mesa", 6, True), ("categoria", 7, False),
+    ("campo", 8, True), ("campo_numero", 9, True), ("campo_descripcion", 10, True), ("cantidad", 11, False),
     ("registro", 12, True), ("tipo_mesa", 13, True),
 ]
 
@@ -264,7 +264,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
                o_orderstatus, o_orderpriority, o_orderpriority AS _source
         FROM orders
-        WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE {INGEST_BAD})""",
+        WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE {INGEST_BAD})
+          AND o_orderpriority IN ({", ".join(f"'{s}'" for s in INGEST_EXPECTED)})""",
+    "provenance": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority AS source, o_orderpriority AS folder,
+               true AS stamped
+        FROM orders""",
     "publish_roundtrip": """
         SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus FROM orders""",
     "project_rename": """
@@ -335,7 +340,9 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE cantidad IS NULL"
     ),
     "dq_id_length": fixture(
-        "SELECT id_mesa, tipo_mesa, distrito, seccion, circuito, mesa FROM silver WHERE length(id_mesa) != 16"
+        "SELECT id_mesa, distrito, seccion, circuito, mesa FROM (SELECT *, coalesce(distrito, 'NN') || "
+        "coalesce(seccion, 'NNN') || coalesce(circuito, 'NNNNNNNNNNNN') || coalesce(mesa, 'NNNNNNNNNNNN') || 'X' "
+        "AS id_mesa FROM s0) WHERE length(id_mesa) != 30"
     ),
     "dq_report": fixture(
         f"""SELECT 'normal_geo_complete' AS rule, 0 AS position, CAST(count(*) FILTER (WHERE tipo_mesa = 'NORMAL' AND
@@ -346,13 +353,15 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'category_domain', 2, CAST(count(DISTINCT CASE WHEN NOT (categoria IN ({_CATS}))
               THEN categoria END) AS BIGINT) FROM silver
         UNION ALL SELECT 'count_not_null', 3, CAST(count(*) FILTER (WHERE cantidad IS NULL) AS BIGINT) FROM silver
-        UNION ALL SELECT 'id_length', 4, CAST(count(*) FILTER (WHERE length(id_mesa) != 16) AS BIGINT) FROM silver"""
+        UNION ALL SELECT 'id_length', 4, CAST(count(*) FILTER (WHERE length(id_mesa) != 30) AS BIGINT) FROM silver
+        UNION ALL SELECT 'compensatory_many_rows', 5, CAST(count(*) AS BIGINT) FROM (
+              SELECT id_mesa FROM silver WHERE tipo_mesa = 'COMPENSATORIA' GROUP BY id_mesa HAVING count(*) > 6)"""
     ),
     "dq_code_width": fixture(
         " UNION ALL ".join(
             f"SELECT 'code_too_long_{c}' AS rule, {i} AS position, "
             f"CAST(count(*) FILTER (WHERE length({c}) > {w}) AS BIGINT) AS violations FROM s0"
-            for i, (c, w) in enumerate([("distrito", 2), ("seccion", 3), ("circuito", 5), ("mesa", 5),
+            for i, (c, w) in enumerate([("distrito", 2), ("seccion", 1), ("circuito", 2), ("mesa", 3),
                                         ("campo_numero", 3)])
         )
     ),
@@ -360,9 +369,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber
         HAVING count(*) > 1""",
     "fk_orphans": """
-        SELECT o_custkey, count(*) AS n FROM orders o
-        WHERE o_custkey IS NOT NULL AND NOT EXISTS (
-          SELECT 1 FROM customer c WHERE c.c_mktsegment != 'MACHINERY' AND c.c_custkey = o.o_custkey)
+        SELECT o_custkey, count(*) AS n
+        FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders) o
+        WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
         GROUP BY o_custkey""",
     "null_contract": _null_contract_sql(),
     "fact": fixture("SELECT id_mesa, id_campo, cantidad FROM fact"),

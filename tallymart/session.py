@@ -4,6 +4,7 @@ locations derived from the cluster's shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,10 +49,17 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when the
-    session names none (tests, local runs)."""
+    """Return the shared checkpoint folder the session names.
+
+    Only a session whose executors are this very process (master ``local``)
+    may do without: it gets a temporary folder.  On a cluster a folder of the
+    driver's own disk would lose every executor's part of a table, so a
+    missing setting is an error there.
+    """
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tallymart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not spark.sparkContext.getCheckpointDir():
@@ -67,11 +75,26 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A location under the shared checkpoint folder for intermediate tables
-    that cut lineage (staging, round trips): fresh when ``unique``, otherwise
-    stable, so a job that overwrites it on every run keeps one copy."""
+    """A location in this application's scratch folder, for intermediate
+    tables that cut lineage (staging, round trips): fresh when ``unique``,
+    otherwise stable, so a query that overwrites it on every call keeps one
+    copy.  ``drop_scratch`` removes one, or all of the application's."""
     suffix = f"-{uuid.uuid4().hex}" if unique else ""
-    return f"{shared_root(spark)}/tallymart-scratch/{name}{suffix}"
+    return f"{_scratch_root(spark)}/{name}{suffix}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tallymart-scratch/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Remove a scratch table that nothing reads any more (default: the whole
+    scratch folder of this application, at the end of a job)."""
+    root = _scratch_root(spark)
+    if path is not None and not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not a scratch table of this application")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path or root)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df, name: str, fmt: str = "parquet", unique: bool = True):
@@ -85,20 +108,25 @@ def materialize(df, name: str, fmt: str = "parquet", unique: bool = True):
     return spark.read.format(fmt).schema(df.schema).load(path)
 
 
+#: More reducers than this make shuffle blocks too small to be worth reading.
+MAX_REDUCERS = 20_000
+
+
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized from the input, for a cluster run.
 
-    Shuffle partitions are the larger of ``input / target`` and twice the
-    cores (so every core has work after AQE coalescing), input splits are the
-    target size, and AQE with skew-join splitting stays on.  AQE coalesces by
-    size rather than keeping the default parallelism, as Spark advises for
-    busy clusters (at 100 TB every shuffle is still split into many
-    partitions; on a laptop-sized input the same setting collapses small
-    shuffles into one task, measured ~50% slower on local[8], so
-    ``local_session`` keeps Spark's default).  Apply with ``spark.conf.set``
-    (all are runtime SQL settings).
+    Shuffle partitions are ``input / target``, at least twice the cores (so
+    every core has work) and at most ``MAX_REDUCERS``: blocks are the product
+    of splits and reducers, and beyond that AQE's skew handling and spilling
+    do better than smaller blocks.  Input splits grow where they would be more
+    than four times as many as that.  AQE coalesces by size rather than
+    keeping the default parallelism, as Spark advises for busy clusters (on a
+    laptop-sized input that collapses small shuffles into one task, measured
+    ~50% slower on local[8], so ``local_session`` keeps Spark's default).
+    Apply with ``spark.conf.set`` (all are runtime SQL settings).
     """
-    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    partitions = min(MAX_REDUCERS, max(2 * cores, -(-input_bytes // target_partition_bytes)))
+    split = max(target_partition_bytes, -(-input_bytes // (4 * MAX_REDUCERS)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -106,5 +134,11 @@ def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 <
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
     }
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (their lengths only are read)."""
+    files = spark.read.format("binaryFile").load(paths).select("length")
+    return int(files.agg({"length": "sum"}).first()[0] or 0)

@@ -9,7 +9,10 @@ rows per source, and a semi-join keeps only the rows of clean sources.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,15 +24,12 @@ SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingestion_timestamp"
 
 # Report statuses, in the order they are tested.
+UNREADABLE = "UNREADABLE"
 NO_ROWS = "NO_ROWS"
-MALFORMED = "MALFORMED"
 UNEXPECTED = "UNEXPECTED"
+MALFORMED = "MALFORMED"
 OK = "OK"
 
-# Upper bound on the number of sources for which the clean-source list is
-# broadcast; it is one row per file, so the bound holds for any realistic run.
-MAX_BROADCAST_SOURCES = 1_000_000
-
 
 def read_delimited(
     spark: SparkSession,
@@ -69,13 +69,19 @@ def file_path():
     return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
 
 
+def _source_of(path, spec: SourceSpec):
+    """Source id of a decoded path: the regex group of ``spec.source_pattern``,
+    or the file name where the pattern does not match.  Never NULL or empty
+    for a file, so no row can slip past a comparison of sources."""
+    name = F.regexp_extract(path, r"([^/]+)/*$", 1)
+    if not spec.source_pattern:
+        return name
+    return F.coalesce(F.nullif(F.regexp_extract(path, spec.source_pattern, 1), F.lit("")), name)
+
+
 def source_id(spec: SourceSpec):
-    """Source id column: the regex group of ``spec.source_pattern`` applied to
-    the decoded file path."""
-    path = file_path()
-    if spec.source_pattern:
-        return F.regexp_extract(path, spec.source_pattern, 1)
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    """Source id column of a scan."""
+    return _source_of(file_path(), spec)
 
 
 def with_provenance(df: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -89,74 +95,140 @@ def with_provenance(df: DataFrame, spec: SourceSpec) -> DataFrame:
     )
 
 
+def split_paths(spark: SparkSession, paths: str | Sequence[str]) -> tuple[list[str], list[str]]:
+    """(present, missing) of the paths or globs given: one that is missing is
+    its own source's fault and must not fail the scan of the others."""
+    present, missing = [], []
+    for p in [paths] if isinstance(paths, str) else list(paths):
+        try:
+            spark.read.text(p)  # lists the files, reads nothing
+            present.append(p)
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(p)
+    return present, missing
+
+
+def empty_scan(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """What ``read_delimited`` returns, without a row."""
+    fields = [*spec.schema.fields, StructField(spec.corrupt_column, StringType(), True)]
+    rows = spark.createDataFrame([], StructType(fields))
+    return rows.withColumns({
+        SOURCE: F.lit(""), SOURCE_FILE: F.lit(""), INGESTED_AT: F.current_timestamp()
+    })
+
+
+def unreadable_files(df: DataFrame, spec: SourceSpec) -> list[str]:
+    """The files of a scan that cannot be read to their end on their own.
+    Only for a scan that has failed: it reads file by file."""
+    spark, out = df.sparkSession, []
+    for uri in df.inputFiles():
+        path = unquote(uri)
+        try:
+            read_delimited(spark, path, spec, provenance=False).write.format("noop").mode("overwrite").save()
+        except (Py4JJavaError, PySparkException):
+            out.append(path)
+    return out
+
+
+def stage_delimited(spark: SparkSession, paths: str | Sequence[str], spec: SourceSpec, target: str) -> DataFrame:
+    """Parse every readable file once into a table at ``target``, partitioned
+    by source; returns the sources that could not be staged, ``(source,
+    failure)``.
+
+    Input splits come from per-source files, so each task writes the files of
+    one source; the record cap bounds file size for a very large source.
+    """
+
+    def write(df: DataFrame) -> None:
+        df.write.mode("overwrite").option("maxRecordsPerFile", "5000000").partitionBy(SOURCE).parquet(target)
+
+    present, missing = split_paths(spark, paths)
+    failures = [(p, NO_ROWS) for p in missing]
+    raw = read_delimited(spark, present, spec) if present else empty_scan(spark, spec)
+    try:
+        write(raw)
+    except (Py4JJavaError, PySparkException):
+        bad = unreadable_files(raw, spec) if present else []
+        if not bad:
+            raise
+        failures += [(p, UNREADABLE) for p in bad]
+        good = [p for p in map(unquote, raw.inputFiles()) if p not in set(bad)]
+        write(read_delimited(spark, good, spec) if good else empty_scan(spark, spec))
+    failed = spark.createDataFrame(failures, "path string, failure string")
+    return failed.select(_source_of(F.col("path"), spec).alias("source"), "failure")
+
+
+def read_staged(spark: SparkSession, spec: SourceSpec, target: str) -> DataFrame:
+    """Scan of a staged table, with an explicit schema: source ids such as
+    '01' must not be inferred as numbers."""
+    return spark.read.schema(empty_scan(spark, spec).schema).parquet(target)
+
+
 def ingest_report(
     raw: DataFrame,
     expected: Iterable[str] | None = None,
     corrupt_column: str = "_corrupt_record",
     key_column: str | None = None,
+    failed: DataFrame | None = None,
 ) -> DataFrame:
     """Rows and malformed rows per source with a status.
 
-    ``(source, rows, bad_rows, null_key_rows, status)``; status is NO_ROWS
-    for an expected source with no row (missing or empty file), MALFORMED
-    when any row failed to parse or lacks its key field (default: the first
-    column, the partition key of bronze, so such a row cannot be placed),
-    UNEXPECTED for a source outside ``expected``, otherwise OK.  Reading the
-    key field also keeps a data column in the scan, which Spark requires next
-    to the corrupt-record column.  One grouped aggregate over the scan; the
-    expected list is a parameter.
+    ``(source, rows, bad_rows, null_key_rows, status)``; status is UNREADABLE
+    for a source with a file that cannot be read, NO_ROWS for an expected
+    source with no row (missing or empty file), UNEXPECTED for a source
+    outside ``expected``, MALFORMED when any row failed to parse, otherwise
+    OK.  ``null_key_rows`` counts rows without their key field (default: the
+    first column); they are rows like any other and left to the gates, but
+    reading the field also keeps a data column in the scan, which Spark
+    requires next to the corrupt-record column.  One grouped aggregate over
+    the scan; the expected list is a parameter, ``failed`` the result of
+    ``stage_delimited``.
     """
+    spark = raw.sparkSession
     key = key_column or raw.columns[0]
     # FAILFAST scans have no corrupt-record column: a malformed line fails
     # the job instead, so every row that arrives here parsed.
     bad_rows = F.count(F.col(corrupt_column)) if corrupt_column in raw.columns else F.lit(0).cast("bigint")
-    counts = raw.groupBy(SOURCE).agg(
+    report = raw.groupBy(F.col(SOURCE).alias("source")).agg(
         F.count(F.lit(1)).alias("rows"),
         bad_rows.alias("bad_rows"),
         F.count_if(F.col(key).isNull()).alias("null_key_rows"),
     )
     if expected is None:
-        report = counts.withColumn("__expected", F.lit(True))
+        report = report.withColumn("__expected", F.lit(True))
+    else:
+        wanted = spark.createDataFrame([(s,) for s in expected], "source string").distinct()
+        report = wanted.withColumn("__expected", F.lit(True)).join(report, on="source", how="full")
+    if failed is None:
+        report = report.withColumn("__failure", F.lit(None).cast("string"))
     else:
-        spark = raw.sparkSession
-        wanted = spark.createDataFrame([(s,) for s in expected], f"{SOURCE} string").withColumn(
-            "__expected", F.lit(True)
-        )
-        report = wanted.join(counts, on=SOURCE, how="full")
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    bad = F.coalesce(F.col("bad_rows"), F.lit(0))
-    null_keys = F.coalesce(F.col("null_key_rows"), F.lit(0))
+        worst = failed.groupBy("source").agg(F.max("failure").alias("__failure"))
+        report = report.join(worst, on="source", how="full")
+    counts = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in ("rows", "bad_rows", "null_key_rows")}
     status = (
-        F.when(F.col("__expected").isNull(), F.lit(UNEXPECTED))
-        .when(rows == 0, F.lit(NO_ROWS))
-        .when((bad > 0) | (null_keys > 0), F.lit(MALFORMED))
+        F.when(F.col("__failure") == UNREADABLE, F.lit(UNREADABLE))
+        .when((counts["rows"] == 0) & (F.col("__expected").isNotNull() | F.col("__failure").isNotNull()), F.lit(NO_ROWS))
+        .when(F.col("__expected").isNull(), F.lit(UNEXPECTED))
+        .when(counts["bad_rows"] > 0, F.lit(MALFORMED))
         .otherwise(F.lit(OK))
     )
-    return report.select(
-        F.col(SOURCE).alias("source"),
-        rows.cast("bigint").alias("rows"),
-        bad.cast("bigint").alias("bad_rows"),
-        null_keys.cast("bigint").alias("null_key_rows"),
-        status.alias("status"),
-    )
+    return report.select("source", *[c.alias(n) for n, c in counts.items()], status.alias("status"))
 
 
 def quarantine(raw: DataFrame, report: DataFrame, corrupt_column: str = "_corrupt_record") -> DataFrame:
     """Rows of OK sources only, without the corrupt-record column.
 
-    The clean-source list has at most one row per input file, and the file
-    list is known to the driver without running a job, so that count proves
-    the broadcast bound; the scan side is then semi-joined without a
-    shuffle.  Beyond the bound Spark plans the semi-join itself.
+    An equi-join, so a source the report does not know is kept out; Spark
+    broadcasts the list of sources where its measured size allows it.
     """
     ok = report.filter(F.col("status") == F.lit(OK)).select(F.col("source").alias(SOURCE))
-    if len(raw.inputFiles()) <= MAX_BROADCAST_SOURCES:
-        ok = F.broadcast(ok)
-    kept = raw.join(ok, on=SOURCE, how="left_semi")
-    return kept.drop(corrupt_column)
+    return raw.join(ok, on=SOURCE, how="left_semi").drop(corrupt_column)
 
 
-def failed_sources(report: DataFrame) -> list[tuple[str, str, int, int]]:
-    """Collect the non-OK sources of a report (one row per source)."""
-    rows = report.filter(F.col("status") != F.lit(OK)).orderBy("source").collect()
+def failed_sources(report: DataFrame, limit: int = 1000) -> list[tuple[str, str, int, int]]:
+    """The first ``limit`` non-OK sources of a report, for a message; the
+    report itself has them all."""
+    rows = report.filter(F.col("status") != F.lit(OK)).orderBy("source").limit(limit).collect()
     return [(r["source"], r["status"], int(r["rows"]), int(r["bad_rows"])) for r in rows]

@@ -8,20 +8,18 @@ and free of live ``Column`` objects.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import StructType
 
 
-def all_string_schema(ddl_names: str) -> StructType:
-    """Build an all-STRING schema from a comma separated list of names.
-
-    Accepts either bare names or ``name STRING`` pairs, so a DDL layout can be
-    reused for both the reader and the bronze contract.
-    """
-    names = [part.strip().split()[0] for part in ddl_names.strip().split(",") if part.strip()]
-    return StructType([StructField(n, StringType(), True) for n in names])
+def text_schema(fields: Iterable[str]) -> StructType:
+    """A schema of nullable text fields, in the order given."""
+    schema = StructType()
+    for name in fields:
+        schema.add(name, "string")
+    return schema
 
 
 @dataclass(frozen=True)

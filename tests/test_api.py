@@ -16,6 +16,13 @@ def test_lookup_table_unknown_code_is_null(spark):
     assert out == {1: "CAPITAL_FEDERAL", 2: None}
 
 
+def test_lookup_table_never_multiplies_rows(spark):
+    df = spark.createDataFrame([(1, "01"), (2, None)], "id int, code string")
+    names = spark.createDataFrame([("01", "B"), ("01", "A"), (None, "Z")], "k string, name string")
+    out = [tuple(r) for r in lookup_table(df, "code", names, "k", "name", "label").orderBy("id").collect()]
+    assert out == [(1, "01", "A"), (2, None, None)]
+
+
 def test_dimension_filter_distinct_and_lookup(spark):
     df = spark.createDataFrame(
         [("01", "a", 1), ("01", "a", 2), ("02", None, 3), ("03", "c", 4)], "d string, s string, n int"

@@ -107,5 +107,5 @@ def test_scale_conf_sizes_partitions():
     from tallymart.session import scale_conf
 
     conf = scale_conf(100 * 2**40, cores=8000)  # 100 TB on 1000 x 8 cores
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 20000
     assert scale_conf(10 * 2**20, cores=8)["spark.sql.shuffle.partitions"] == "16"

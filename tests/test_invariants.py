@@ -19,7 +19,7 @@ def test_invariants(spark):
     try:
         n_total_rows = bronze.filter(F.lpad(F.col("ppar_codigo"), 3, "0") == FIXTURE_TOTAL_CODE).count()
         assert silver.count() == bronze.count() + n_total_rows
-        assert silver.filter(F.length("id_mesa") != 16).count() == 0
+        assert silver.filter(F.length("id_mesa") != FIXTURE.id_key.length).count() == 0
 
         spec = FIXTURE.summary
         mart = summary(silver, spec)

@@ -1,16 +1,18 @@
 """Golden run: hand-written district files through bronze, silver and gold."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallymart.operators import QualityError
 from tallymart.plans.elections import ELECTION, RAW_FIELDS
+from tallymart.plans.layout import contract_rules
 from tallymart.plans.medallion import IngestError, gold, gold_checks, read_gold, run
 from tallymart.sources.sink import read_table
 
-FIELDS = [f.strip() for f in RAW_FIELDS.replace("\n", " ").split(",") if f.strip()]
+FIELDS = list(RAW_FIELDS)
 
 
 def line(dist, secc, secc_d, circ, circ_d, mesa, cat, code, desc, cant, totins, sep="|"):
@@ -45,7 +47,11 @@ def test_clean_run_publishes_everything(spark, tmp_dir):
     good_files(src)
     res = run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
     assert res.ingest == []
-    assert dict(res.quality) == {r.name: 0 for r in ELECTION.rules}
+    rules = (*ELECTION.rules, *contract_rules(ELECTION))
+    assert dict(res.quality) == {**{r.name: 0 for r in rules}, "silver_has_rows": 0}
+    assert {n for _, n in res.truncated} == {0}
+    report = {r["source"]: (r["rows"], r["status"]) for r in read_table(spark, res.tables["ingest_report"]).collect()}
+    assert report == {"01": (8, "OK"), "02": (4, "OK")}
 
     bronze = read_table(spark, res.tables["bronze"])
     assert set(os.listdir(res.tables["bronze"])) >= {"dist_codigo=1", "dist_codigo=02"}
@@ -82,7 +88,7 @@ def test_clean_run_publishes_everything(spark, tmp_dir):
     assert checks[("primary_key", "resumen_mesa", "categoria,id_mesa")] == 0
 
     # idempotent full refresh
-    before = sorted((tuple(r) for r in silver.drop().collect()), key=repr)
+    before = sorted((tuple(r) for r in silver.collect()), key=repr)
     again = run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
     after = sorted((tuple(r) for r in read_table(spark, again.tables["silver"], ELECTION.silver).collect()), key=repr)
     assert after == before
@@ -106,10 +112,11 @@ def test_bad_files_are_quarantined_and_reported(spark, tmp_dir):
         assert f"{dist}: {status}" in msg
     # good districts were loaded anyway
     bronze = spark.read.parquet(os.path.join(out, "bronze"))
-    assert sorted(r[0] for r in bronze.select("_source_file").distinct().collect()) == [
-        os.path.join(src, "2025 - 01 - RESULTADOS.txt"),
-        os.path.join(src, "2025 - 02 - RESULTADOS.txt"),
-    ] or bronze.select(F.countDistinct("dist_codigo")).first()[0] == 2
+    assert sorted(r[0].split("/")[-1] for r in bronze.select("_source_file").distinct().collect()) == [
+        "2025 - 01 - RESULTADOS.txt",
+        "2025 - 02 - RESULTADOS.txt",
+    ]
+    assert bronze.count() == 12
 
 
 def test_quality_gate_stops_publication(spark, tmp_dir):
@@ -120,6 +127,9 @@ def test_quality_gate_stops_publication(spark, tmp_dir):
         run(spark, f"{src}/*.txt", ELECTION, out, expected=["01"])
     assert [n for n, _ in err.value.failures] == ["normal_geo_complete", "category_domain"]
     assert not os.path.exists(os.path.join(out, "silver"))
+    shown = read_table(spark, os.path.join(out, "reports/quality_violations")).collect()
+    assert {r["rule"] for r in shown} == {"normal_geo_complete", "category_domain"}
+    assert [r["row"] for r in shown if r["rule"] == "category_domain"] == ['{"categoria":"ZZ"}']
 
 
 def test_command_line_run(spark, tmp_dir, capsys):
@@ -137,12 +147,12 @@ def test_command_line_run(spark, tmp_dir, capsys):
 
 def test_file_names_with_spaces_and_plus(spark, tmp_dir):
     from tallymart.sources.delimited import SOURCE, SOURCE_FILE, read_delimited
-    from tallymart.spec import SourceSpec, all_string_schema
+    from tallymart.spec import SourceSpec, text_schema
 
     path = os.path.join(tmp_dir, "2025 - 01+ - RESULTADOS.txt")
     with open(path, "wb") as fh:
         fh.write("a|b\n".encode("iso-8859-1"))
-    spec = SourceSpec(schema=all_string_schema("x, y"), source_pattern=r"2025 - (.+) - RESULTADOS\.txt$")
+    spec = SourceSpec(schema=text_schema(["x", "y"]), source_pattern=r"2025 - (.+) - RESULTADOS\.txt$")
     row = read_delimited(spark, path, spec).select(SOURCE, SOURCE_FILE).first()
     assert row[SOURCE] == "01+" and row[SOURCE_FILE].endswith("2025 - 01+ - RESULTADOS.txt")
 
@@ -179,12 +189,12 @@ def test_failfast_mode(spark, tmp_dir):
     from py4j.protocol import Py4JJavaError
 
     from tallymart.sources.delimited import ingest_report, read_delimited
-    from tallymart.spec import SourceSpec, all_string_schema
+    from tallymart.spec import SourceSpec, text_schema
 
     good = os.path.join(tmp_dir, "2025 - 01 - RESULTADOS.txt")
     with open(good, "wb") as fh:
         fh.write(b"a|b\nc|d\n")
-    spec = SourceSpec(schema=all_string_schema("x, y"), mode="FAILFAST",
+    spec = SourceSpec(schema=text_schema(["x", "y"]), mode="FAILFAST",
                       source_pattern=r"2025 - (\d{2}) - RESULTADOS\.txt$")
     report = ingest_report(read_delimited(spark, good, spec), ["01"]).collect()
     assert [(r["source"], r["rows"], r["bad_rows"], r["status"]) for r in report] == [("01", 2, 0, "OK")]
@@ -196,28 +206,125 @@ def test_failfast_mode(spark, tmp_dir):
         read_delimited(spark, bad, spec).collect()
 
 
-def test_reruns_reuse_one_staging_copy(spark, tmp_dir):
-    from tallymart.session import shared_root
+def scratch_names(spark):
+    from tallymart.session import _scratch_root
 
+    root = _scratch_root(spark).replace("file:", "")
+    return sorted(os.listdir(root)) if os.path.isdir(root) else []
+
+
+def test_runs_leave_no_staging_behind(spark, tmp_dir):
     src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
     os.makedirs(src)
     good_files(src)
-    scratch = os.path.join(shared_root(spark).replace("file:", ""), "tallymart-scratch")
+    before = scratch_names(spark)
     run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
-    before = sorted(n for n in os.listdir(scratch) if "staging" in n)
+    write(src, "01", table_lines("1", "4", cat="ZZ"))
+    with pytest.raises(QualityError):
+        run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    assert scratch_names(spark) == before
+
+
+def bronze_counts(spark, out):
+    rows = read_table(spark, os.path.join(out, "bronze")).groupBy("_source_file").count().collect()
+    return {r[0].split("/")[-1]: r["count"] for r in rows}
+
+
+def test_stray_file_does_not_touch_the_others(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    with open(os.path.join(src, "LEEME.txt"), "w") as fh:
+        fh.write("not a tally\n" * 3)
+    res = run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"], enforce_sources=False)
+    assert res.ingest == [("LEEME.txt", "UNEXPECTED", 3, 3)]
+    assert bronze_counts(spark, out) == {"2025 - 01 - RESULTADOS.txt": 8, "2025 - 02 - RESULTADOS.txt": 4}
+    with pytest.raises(IngestError, match="LEEME.txt: UNEXPECTED"):
+        run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+
+
+def test_missing_path_of_a_list_is_reported(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    files = [os.path.join(src, f"2025 - {d} - RESULTADOS.txt") for d in ("01", "02", "03")]
+    for expected in (["01", "02", "03"], None):
+        with pytest.raises(IngestError, match="03: NO_ROWS"):
+            run(spark, files, ELECTION, out, expected=expected)
+        assert len(bronze_counts(spark, out)) == 2
+
+
+def test_unreadable_file_is_reported(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    broken = os.path.join(src, "2025 - 03 - RESULTADOS.txt.gz")
+    with open(broken, "wb") as fh:
+        fh.write(b"\x1f\x8b\x08\x00 this is not gzip at all")
+    source = replace(ELECTION.source, source_pattern=r"2025 - (\d{2}) - RESULTADOS\.txt")
+    with pytest.raises(IngestError, match="03: UNREADABLE"):
+        run(spark, f"{src}/*", replace(ELECTION, source=source), out, expected=["01", "02", "03"])
+    assert bronze_counts(spark, out) == {"2025 - 01 - RESULTADOS.txt": 8, "2025 - 02 - RESULTADOS.txt": 4}
+
+
+def test_blank_key_is_left_to_the_gates(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    lines = table_lines("1", "4")
+    write(src, "01", [*lines, lines[0].replace("1|", "|", 1)])
+    with pytest.raises(QualityError) as err:
+        run(spark, f"{src}/*.txt", ELECTION, out, expected=["01"])
+    assert bronze_counts(spark, out) == {"2025 - 01 - RESULTADOS.txt": 5}
+    assert "not_null_silver_distrito" in dict(err.value.failures)
+
+
+def test_bronze_stays_when_every_source_is_bad(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
     run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
-    after = sorted(n for n in os.listdir(scratch) if "staging" in n)
-    assert before == after
+    for d in ("01", "02"):
+        write(src, d, ["too|short"])
+    for paths in (f"{src}/*.txt", f"{src}/none-*.txt"):
+        with pytest.raises(IngestError, match="bronze is unchanged"):
+            run(spark, paths, ELECTION, out, expected=["01", "02"], enforce_sources=False)
+        assert bronze_counts(spark, out) == {"2025 - 01 - RESULTADOS.txt": 8, "2025 - 02 - RESULTADOS.txt": 4}
+
+
+def test_not_null_contracts_stop_publication(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    write(src, "01", table_lines("1", "4", cat=""))  # no category
+    write(src, "02", table_lines("99", "4"))  # no such district
+    with pytest.raises(QualityError) as err:
+        run(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    failed = dict(err.value.failures)
+    assert failed["not_null_silver_categoria"] == 5 and failed["not_null_dim_categoria_codigo"] == 5
+    assert failed["not_null_dim_distrito_distrito"] == 5
+    assert not os.path.exists(os.path.join(out, "silver")) and not os.path.exists(os.path.join(out, "gold"))
+
+
+def test_stages_start_from_published_tables(spark, tmp_dir):
+    from tallymart.plans.medallion import build_gold, build_silver, ingest
+
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    good_files(src)
+    ingest(spark, f"{src}/*.txt", ELECTION, out, expected=["01", "02"])
+    build_silver(spark, ELECTION, out)
+    paths = build_gold(spark, ELECTION, out)
+    assert read_table(spark, paths["fact_resultados"]).count() == 15
+    assert build_gold(spark, ELECTION, out) == paths
 
 
 def test_balanced_quotes_keep_delimiters_in_one_field(spark, tmp_dir):
     from tallymart.sources.delimited import ingest_report, read_delimited
-    from tallymart.spec import SourceSpec, all_string_schema
+    from tallymart.spec import SourceSpec, text_schema
 
     path = os.path.join(tmp_dir, "2025 - 01 - RESULTADOS.txt")
     with open(path, "wb") as fh:
         fh.write('01|"LISTA A|B"|7\n'.encode("iso-8859-1"))
-    spec = SourceSpec(schema=all_string_schema("d, name, n"), source_pattern=r"2025 - (\d{2}) - RESULTADOS\.txt$")
+    spec = SourceSpec(schema=text_schema(["d", "name", "n"]), source_pattern=r"2025 - (\d{2}) - RESULTADOS\.txt$")
     raw = read_delimited(spark, path, spec)
     row = raw.select("d", "name", "n").first()
     assert tuple(row) == ("01", "LISTA A|B", "7")

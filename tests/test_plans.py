@@ -1,5 +1,6 @@
 """Plan shape: what Catalyst does with our operators."""
 
+from tallymart.operators import summary
 from tallymart.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -23,8 +24,30 @@ def test_no_python_udf_anywhere(spark):
 
 def test_scans_prune_columns_and_push_filters(spark):
     plan = physical(catalog.q_fk_orphans(spark, SF))
-    assert "PushedFilters: [IsNotNull(c_mktsegment), Not(EqualTo(c_mktsegment,MACHINERY))" in plan
-    assert "ReadSchema: struct<o_custkey:bigint>" in plan
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>" in plan
+    assert "ReadSchema: struct<c_custkey:bigint>" in plan
+    plan = physical(catalog.table(spark, SF, "orders").filter("o_orderstatus = 'P'").select("o_orderkey"))
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,P)]" in plan
+
+
+def test_consumers_without_the_class_scan_the_tally_once(spark):
+    for name in ("fact", "dim_circuito", "dim_seccion", "dim_distrito", "dim_categoria", "dim_campo",
+                 "list_aggregate", "dq_domain", "pk_duplicates"):
+        plan = physical(catalog.QUERIES[name](spark, SF))
+        assert plan.count("l_orderkey:bigint") == 1, name
+
+
+def test_only_special_entities_are_joined(spark):
+    df = spark.createDataFrame([(f"k{i % 50}", i % 7 - 1 if i < 7 else 1) for i in range(400)], "k string, v int")
+    from tallymart.operators.classify import entity_class, entity_flags
+    from tallymart.spec import ClassRule, ClassSpec
+
+    spec = ClassSpec(("k",), (ClassRule("NEG", "v < 0"),), "OK", "cls")
+    out = {r["k"]: r["cls"] for r in entity_class(df, spec).distinct().select("k", "cls").collect()}
+    assert {k for k, c in out.items() if c == "NEG"} == {"k0"} and len(out) == 50
+    joined = entity_class(df, spec)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in joined.split("Aggregate")[0]
+    assert entity_flags(df, spec).count() == 50
 
 
 def test_measure_rows_use_generate_not_union(spark):
@@ -46,11 +69,11 @@ def test_quality_report_is_two_aggregates(spark):
 
 def test_onepass_summary_has_no_join_after_silver(spark):
     plan = physical(catalog.q_summary_onepass(spark, SF))
-    joined = physical(catalog.q_summary(spark, SF))
+    joined = physical(summary(catalog.fixture_silver(spark, SF), catalog.FIXTURE.summary))
     assert plan.count("Join") < joined.count("Join")
 
 
-def test_nation_broadcast_is_size_checked(spark):
+def test_small_lookup_is_broadcast_by_size(spark):
     plan = physical(catalog.q_lookup_table(spark, SF))
     assert "BroadcastHashJoin" in plan
 
@@ -98,6 +121,10 @@ def test_hot_entity_join_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_quarantine_broadcasts_the_clean_source_list(spark):
-    plan = physical(catalog.q_ingest_clean(spark, SF))
+def test_quarantine_broadcasts_a_small_written_report(spark, tmp_dir):
+    from tallymart.sources.delimited import ingest_report, quarantine
+
+    raw = catalog._ingest_files(spark, SF, "plan-ingest")
+    ingest_report(raw, catalog.INGEST_EXPECTED).write.parquet(f"{tmp_dir}/report")
+    plan = physical(quarantine(raw, spark.read.parquet(f"{tmp_dir}/report")))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
