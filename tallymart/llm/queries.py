@@ -42,7 +42,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base features of every document and the verdict of the certified rules."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = quality.judge(docs, labels, keep=["doc_id"])
-    return out.select(F.col("row.doc_id").alias("doc_id"), *quality.BASE, "base_failed", "kept", "failed_rules")
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *quality.BASE,
+        "base_failed",
+        "kept",
+        F.array_join("failed_rules", ",").alias("failed_rules"),
+    )
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallymart.llm import quality
+
 WORD = r"'[^\x20\x09-\x0D]+'"
 
 
@@ -36,8 +38,63 @@ FROM ranked r JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_siz
   ON r.source IS NOT DISTINCT FROM g.source"""
 
 
+def quality_sql(documents: str = "documents", labels: str = "labels") -> str:
+    """Features, verdict and failing rules of every document."""
+    alpha, level = quality.RISK / len(quality.RULES), quality.DELTA
+    feature = {r.name: r.feature.replace("1L", "1").replace(" / ", "::DOUBLE / ") for r in quality.RULES}
+    tests = " UNION ALL ".join(
+        f"SELECT lang, {i} AS rule, {j} AS step, {c}::DOUBLE AS cutoff, count(*) FILTER (WHERE {feature[r.name]} > {c}) AS k,"
+        " count(*) AS n FROM good GROUP BY lang"
+        for i, r in enumerate(quality.RULES)
+        for j, c in enumerate(r.grid)
+    )
+    fails = ", ".join(f"CASE WHEN {feature[r.name]} > c{i}.cutoff THEN '{r.name}' END" for i, r in enumerate(quality.RULES))
+    joins = " ".join(
+        f"LEFT JOIN chosen c{i} ON c{i}.rule = {i} AND c{i}.lang IS NOT DISTINCT FROM v.lang" for i in range(len(quality.RULES))
+    )
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), {WORD}) AS ws FROM {documents}),
+windows AS (
+  SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS win
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM texts WHERE len(ws) >= 8)),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT r, sum(least(8, coalesce(next - i, 8)))::BIGINT AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM repeated) GROUP BY r),
+lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, {WORD}) GROUP BY r),
+features AS (
+  SELECT r, doc_id, lang, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+         (length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')))::BIGINT AS n_capitals
+  FROM texts LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)),
+verdicts AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM features),
+marks AS (
+  SELECT doc_id, min(quality) = 1 AS good FROM {labels} WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+good AS (SELECT v.* FROM verdicts v JOIN marks m ON v.doc_id = m.doc_id WHERE NOT base_failed AND good),
+tests AS ({tests}),
+tails AS (
+  SELECT lang, rule, step, cutoff, CASE WHEN k >= n * {alpha} THEN 1.0 ELSE (
+    SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({alpha}) + (n - j) * ln(1 - {alpha})))
+    FROM (SELECT unnest(range(0, k + 1)) AS j)) END AS p FROM tests),
+levels AS (SELECT {level}::DOUBLE / (count(DISTINCT coalesce('l' || lang, 'null')) * {len(quality.RULES)}) AS level FROM good),
+walk AS (
+  SELECT lang, rule, cutoff, max(CASE WHEN p <= level THEN 0 ELSE 1 END) OVER (
+    PARTITION BY lang, rule ORDER BY step ROWS UNBOUNDED PRECEDING) AS failed FROM tails, levels),
+chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM walk WHERE failed = 0 GROUP BY lang, rule),
+judged AS (SELECT v.*, concat_ws(',', {fails}) AS failed_rules FROM verdicts v {joins})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM judged"""
+
+
 OP10 = f"SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM ({mixed_sql()})"
 
 ORACLE_SQL = {
+    "op4_quality": quality_sql(),
     "op10_mix": OP10,
 }
