@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import fresh, ship_package
@@ -132,8 +132,8 @@ def _bucket_links(max_bits: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-            f = batch.column(3).to_numpy().view(np.uint64)
+            k = np.stack([batch.column(i).to_numpy() for i in range(2)], axis=1)
+            f = batch.column(2).to_numpy().view(np.uint64)
             if keys is not None:
                 k, f = np.concatenate([keys, k]), np.concatenate([fps, f])
             starts = np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1)))
@@ -147,6 +147,12 @@ def _bucket_links(max_bits: int):
     return run
 
 
+def _tile_number(choice: Column, own: Column, other: Column) -> Column:
+    """One number for a choice of blocks and an unordered pair of tiles."""
+    pair = F.least(own, other) * F.lit(1 << 20).cast("long") + F.greatest(own, other)
+    return choice * F.lit(1 << 40).cast("long") + pair
+
+
 def links(classes: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` of ``classes`` that
     connect exactly what distances of 1 to ``max_bits`` bits connect."""
@@ -164,13 +170,9 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, ti
     spread = (
         keyed.join(heavy, ["choice", "value"], "left")
         .select("fp", "choice", "value", tiles.alias("tiles"))
-        .select("fp", "choice", "value", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select(
-            (F.col("choice") * F.lit(1 << 40).cast("long") + F.least("own", "other") * F.lit(1 << 20).cast("long") + F.greatest("own", "other")).alias("tile"),
-            "value",
-            F.lit(0).cast("long").alias("spare"),
-            "fp",
-        )
+        .select("fp", "choice", "value", "tiles", own.alias("own"))
+        .select("fp", "choice", "value", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+        .select(_tile_number(F.col("choice"), F.col("own"), F.col("other")).alias("tile"), "value", "fp")
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = spread.repartition(n, "tile", "value").sortWithinPartitions("tile", "value")
