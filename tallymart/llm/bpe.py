@@ -39,10 +39,13 @@ from pyspark.sql import functions as F
 from tallymart.llm.common import fresh, ship_package
 
 LEAF = 24
-#: Distinct pieces a worker remembers before it starts afresh.
-TABLE = 300_000
-_SLICE = 64
+#: Distinct pieces, and longer units, a worker remembers.
+TABLE = 450_000
+_SLICE = 256
+_LEAVES = 4096
 _NO_RANK = 1 << 62
+_LAST = np.int32(2**31 - 1)
+_MARKS = frozenset(".,;:!?)")
 _BYTE = [bytes([c]) for c in range(256)]
 
 #: A space that is not followed by a non-space character.
@@ -55,6 +58,29 @@ def _unicode_space(pattern: str) -> str:
     return pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
 
+class Memo:
+    """A bounded memory of ``compute`` (a list of keys to their values): a
+    full generation becomes the old one, from which what is still in use moves
+    back."""
+
+    def __init__(self, compute, limit: int):
+        self.compute, self.half = compute, max(1, limit // 2)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def having(self, keys: set[str]) -> dict[str, bytes]:
+        """The memory with all of ``keys`` in it."""
+        if new := keys.difference(self.young):
+            if len(self.young) + len(new) > self.half:
+                self.old, self.young, new = self.young, {}, keys
+            young, old = self.young, self.old
+            for k in old.keys() & new:
+                young[k] = old[k]
+            new = [k for k in new if k not in young]
+            young.update(zip(new, self.compute(new)))
+        return self.young
+
+
 class Bpe:
     """A rank vocabulary and its split pattern, in which a space followed by
     a non-space character must start a piece.  White space in it means
@@ -63,10 +89,24 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
         self.ranks, self.leaf = ranks, leaf
         self.bytes_of = {i: b for b, i in ranks.items()}
+        # What two tokens in a row merge into: every cut of every token.
+        self.pair = {
+            ranks[t[:i]] << 20 | ranks[t[i:]]: r
+            for t, r in ranks.items()
+            for i in range(1, len(t))
+            if t[:i] in ranks and t[i:] in ranks
+        }
+        keys = np.fromiter(self.pair, np.int64, len(self.pair))
+        order = np.argsort(keys)
+        self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(np.fromiter(self.pair.values(), np.int32, len(keys))[order], _LAST)
+        self.byte_id = [ranks[b] for b in _BYTE]
+        self.byte_ids = np.array(self.byte_id, np.int32)
         self.first = [ranks.get(a + b, _NO_RANK) for a in _BYTE for b in _BYTE]
+        self.firsts = np.minimum(np.array(self.first), _LAST).astype(np.int32)
         self.split = regex.compile(_unicode_space(pattern)).findall
-        self.table: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.table = Memo(self._pieces, TABLE)
+        self.units = Memo(self._units, TABLE)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> "Bpe":
@@ -84,20 +124,63 @@ class Bpe:
         return self._merged_short(data) if len(data) <= 2 * self.leaf else self._merged_long(data)
 
     def _merged_short(self, data: bytes) -> list[int]:
-        get = self.ranks.get
-        parts = [_BYTE[c] for c in data]
-        first = self.first
+        get, first = self.pair.get, self.first
+        ids = [self.byte_id[c] for c in data]
         pair = [first[a << 8 | b] for a, b in zip(data, data[1:])]
         while pair and (low := min(pair)) != _NO_RANK:
             at = pair.index(low)
-            both = parts[at] + parts[at + 1]
-            parts[at : at + 2] = [both]
+            ids[at : at + 2] = [low]
             del pair[at]
             if at < len(pair):
-                pair[at] = get(both + parts[at + 1], _NO_RANK)
+                pair[at] = get(low << 20 | ids[at + 1], _NO_RANK)
             if at:
-                pair[at - 1] = get(parts[at - 1] + both, _NO_RANK)
-        return list(map(self.ranks.__getitem__, parts))
+                pair[at - 1] = get(ids[at - 1] << 20 | low, _NO_RANK)
+        return ids
+
+    def leaves(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of many short pieces: each step merges the best pair of
+        every piece at once.  Rows are pieces, columns tokens in a row."""
+        if not pieces:
+            return []
+        sizes = np.array([len(p) for p in pieces])
+        n, width = len(pieces), int(sizes.max())
+        column = np.arange(width, dtype=np.int32)
+        data = np.zeros((n, width), np.int32)
+        data[column < sizes[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        ids, left = self.byte_ids[data], sizes.copy()
+        rank = np.full((n, width), _LAST, np.int32)  # of the pair that starts here
+        rank[:, :-1] = self.firsts[data[:, :-1] << 8 | data[:, 1:]]
+        rank[column >= sizes[:, None] - 1] = _LAST
+        rows = np.arange(n)
+        while rows.size:
+            at = rank[rows].argmin(axis=1)
+            low = rank[rows, at]
+            more = low != _LAST
+            rows, at, low = rows[more], at[more], low[more]
+            if not rows.size:
+                break
+            own = np.arange(len(rows))
+            moved = np.minimum(column + (column > at[:, None]), width - 1)
+            new = np.take_along_axis(ids[rows], moved, axis=1)
+            new[own, at] = low
+            left[rows] -= 1
+            moved = np.minimum(column + (column >= at[:, None]), width - 1)
+            pairs = np.take_along_axis(rank[rows], moved, axis=1)
+            pairs[:, -1] = _LAST
+            right = at + 1 < left[rows]
+            pairs[own, at] = _LAST
+            pairs[own[right], at[right]] = self._pair_rank(low[right], new[own[right], at[right] + 1])
+            before = at > 0
+            pairs[own[before], at[before] - 1] = self._pair_rank(new[own[before], at[before] - 1], low[before])
+            ids[rows], rank[rows] = new, pairs
+        packed = ids[column < left[:, None]].astype("<u4").tobytes()
+        ends = (np.cumsum(left) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << 20 | b
+        place = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[place] == key, self.pair_ranks[place], _LAST)
 
     def _merged_long(self, data: bytes) -> list[int]:
         """The same with a heap over linked parts, for wide windows."""
@@ -155,28 +238,57 @@ class Bpe:
         whole = self.ranks.get(data)
         return self.tree(data) if whole is None else [whole]
 
-    def pieces(self, text: str) -> bytes:
-        """Packed ids of ``text``, piece by piece."""
-        found, table = self.split(text), self.table
-        if new := set(found).difference(table):
-            if len(table) + len(new) > TABLE:
-                table.clear()
-                new = set(found)
-            table.update((p, array("I", self.piece(p)).tobytes()) for p in new)
-        return b"".join(map(table.__getitem__, found))
+    def _pieces(self, new: list[str]) -> list[bytes]:
+        """Packed ids of pieces: short ones together, long ones by the tree."""
+        out: list[bytes] = [b""] * len(new)
+        short, data = [], [p.encode() for p in new]
+        for i, d in enumerate(data):
+            if (whole := self.ranks.get(d)) is not None:
+                out[i] = array("I", [whole]).tobytes()
+            elif len(d) <= self.leaf:
+                short.append(i)
+            else:
+                out[i] = array("I", self.tree(d)).tobytes()
+        short.sort(key=lambda i: len(data[i]))  # rows of a step are of like length
+        for at in range(0, len(short), _LEAVES):
+            some = short[at : at + _LEAVES]
+            for i, packed in zip(some, self.leaves([data[i] for i in some])):
+                out[i] = packed
+        return out
+
+    def _units(self, new: list[str]) -> list[bytes]:
+        """Packed ids of space-free strings with a space in front.  Letters
+        alone are one piece with it; so is a mark behind them by itself."""
+        split = self.split
+        cut = [
+            (" " + u,)
+            if u.isalpha()
+            else (" " + u[:-1], u[-1])
+            if u[-1] in _MARKS and u[:-1].isalpha()
+            else split(" " + u)
+            for u in new
+        ]
+        known = self.table.having({p for c in cut for p in c})
+        return [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cut]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        heads, tails = [], []
+        for text in texts:
+            if not text or _OPEN_SPACE(text):
+                heads.append(self.split(text))
+                tails.append([])
+            else:
+                first, *found = text.split(" ")
+                heads.append(self.split(first))
+                tails.append(found)
+        units = self.units.having(set().union(*tails))
+        out = [b"".join(map(units.__getitem__, t)) for t in tails]
+        pieces = self.table.having(set().union(*heads))
+        return [b"".join(map(pieces.__getitem__, h)) + t for h, t in zip(heads, out)]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        if _OPEN_SPACE(text):
-            return self.pieces(text)
-        first, *found = text.split(" ")
-        units = self.units
-        if new := set(found).difference(units):
-            if len(units) + len(new) > TABLE:
-                units.clear()
-                new = set(found)
-            units.update((u, self.pieces(" " + u)) for u in new)
-        return self.pieces(first) + b"".join(map(units.__getitem__, found))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of ``ids``, concatenated up the tree."""
@@ -194,7 +306,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
         model = Bpe.load(path, pattern)
         out = []
         for at in range(0, len(texts), _SLICE):
-            out += [model.encode(t) if t else b"" for t in texts.slice(at, _SLICE).to_pylist()]
+            out += model.encode_all([t or "" for t in texts.slice(at, _SLICE).to_pylist()])
         return pa.array(out, pa.binary())
 
     return run(text.cast("string"))
