@@ -126,9 +126,17 @@ def _class_of(codes: np.ndarray) -> np.ndarray:
     return np.where(codes < SHORTLIST, codes // WIDTH, SHORTLIST // WIDTH + codes - SHORTLIST)
 
 
+def _log_total(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-probability of class ``at`` of each token under the softmax over
+    the columns of ``x`` (classes, tokens), which becomes its exponentials."""
+    x -= x.max(axis=0)
+    picked = x[at, np.arange(x.shape[1])]
+    np.exp(x, out=x)
+    return picked - np.log(x.sum(axis=0))
+
+
 def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Over the columns of ``x`` (classes, tokens), which is overwritten: the
-    log-probability of class ``at`` of each token, and all probabilities."""
+    """The same, and all probabilities."""
     x -= x.max(axis=0)
     picked = x[at, np.arange(x.shape[1])]
     np.exp(x, out=x)
@@ -172,10 +180,10 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
         used = owner >= 0
         owner, codes = owner[used], lanes.target[a:b, :running].ravel()[used]
         s = states.reshape(-1, HIDDEN)[used]
-        found, _ = _softmax(class_w @ s.T + class_b, _class_of(codes))
+        found = _log_total(class_w @ s.T + class_b, _class_of(codes))
         for k, rows, place in _by_class(codes):
             words = slice(k * WIDTH, (k + 1) * WIDTH)
-            found[rows] += _softmax(p["word_w"][words] @ s[rows].T + p["word_b"][words, None], place)[0]
+            found[rows] += _log_total(p["word_w"][words] @ s[rows].T + p["word_b"][words, None], place)
         out += np.bincount(owner, weights=found, minlength=len(texts))
     return out
 

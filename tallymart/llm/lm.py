@@ -4,7 +4,8 @@ frequent tokens (``gru``), exact corpus counts for all of them.
 Token counts are taken over every training document and written.  At most
 ``HEAD`` tokens, those above a count threshold, travel to the tasks; the
 tokens below it that a text holds are joined to the counts by a shuffle, so
-the vocabulary may grow without bound.  The network is trained on all training
+the vocabulary may grow without bound.  Texts are turned into codes once and
+written; training and scoring read the codes.  The network is trained on all training
 documents by local training and averaging: in each of ``ROUNDS`` rounds every
 task trains the current parameters on its share of the round's documents, and
 the results are averaged by tokens, ``FAN_IN`` at a time.  Parameters have a
@@ -24,10 +25,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm import gru
@@ -38,9 +40,9 @@ HEAD = 1 << 18
 ROUNDS = 3
 RATES = (0.02, 0.01, 0.005)
 FAN_IN = 32
-#: Distinct tokens a task remembers besides the head before it forgets them.
-TABLE = 600_000
 _FLUSH = 400_000
+#: How codes are packed.
+CODE = np.dtype("<u2")
 _SLICE = 512
 
 _kept: dict[str, object] = {}
@@ -114,56 +116,42 @@ class Vocabulary:
 
 
 class Codes:
-    """Token -> row of the arrays ``code`` (for the network), ``base`` and
-    ``inner`` (parts of the scores that are known here), ``rare`` (the count
-    is still to be joined) and ``known``."""
+    """The shared vocabulary as lookups: a row for the end (0), one for each
+    token of the head, with its ``code`` for the network and ``up``, the log10
+    of its smoothed count."""
 
     def __init__(self, vocabulary: Vocabulary):
         v = self.vocabulary = vocabulary
-        self.head = len(v.tokens) + 1
-        size = self.head + TABLE
-        self.code = np.zeros(size, np.int32)
-        self.count = np.zeros(size)
-        self.rare = np.zeros(size, bool)
         self.base_down = np.log10(v.n + 0.5 * (v.v + 1))
         self.tail_down = np.log10(v.tail_total + 0.5 * (v.tail_kinds + 1))
-        self.code[1 : self.head] = [
-            i + 1 if i < v.short else gru.SHORTLIST + gru.tail_class(t) for i, t in enumerate(v.tokens)
-        ]
-        self.count[0], self.count[1 : self.head] = v.end_count, v.counts
-        self.up = np.log10(self.count + 0.5)
+        self.code = np.array(
+            [gru.END, *(i + 1 if i < v.short else self.tail(t) for i, t in enumerate(v.tokens))], np.int32
+        )
+        self.up = np.log10(np.array([v.end_count, *v.counts], float) + 0.5)
         self.row = {t: i for i, t in enumerate(v.tokens, 1)}
-        self.next = self.head
+
+    @staticmethod
+    def tail(token: bytes) -> int:
+        return gru.SHORTLIST + gru.tail_class(token)
 
     @classmethod
     def of(cls, shared, key: str) -> "Codes":
-        """The table of a broadcast vocabulary, built once per worker."""
+        """The lookups of a broadcast vocabulary, built once per worker."""
         if _kept.get("key") != key:
             _kept.clear()
             _kept["key"], _kept["codes"] = key, cls(shared.value)
         return _kept["codes"]
 
-    def rows(self, tokens: list[bytes]) -> np.ndarray:
-        """A row for each token, and row 0 for the end."""
-        if new := set(tokens).difference(self.row):
-            if self.next + len(new) > len(self.code):
-                self.row = {t: i for t, i in self.row.items() if i < self.head}
-                self.next = self.head
-                new = set(tokens).difference(self.row)
-                if self.next + len(new) > len(self.code):  # one text of very many tokens
-                    grow = len(new) + 1
-                    self.code = np.concatenate([self.code, np.zeros(grow, np.int32)])
-                    self.up = np.concatenate([self.up, np.zeros(grow)])
-                    self.rare = np.concatenate([self.rare, np.zeros(grow, bool)])
-            end = self.next + len(new)
-            self.code[self.next : end] = [gru.SHORTLIST + gru.tail_class(t) for t in new]
-            self.rare[self.next : end] = True
-            self.up[self.next : end] = 0.0
-            self.row.update(zip(new, range(self.next, end)))
-            self.next = end
-        out = np.zeros(len(tokens) + 1, np.int64)
-        out[:-1] = np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
-        return out
+    def of_text(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of the tokens and the end, their ``up`` (0 for a token below
+        the head), and the places of the tokens below the head."""
+        rows = np.zeros(len(tokens) + 1, np.int64)
+        rows[:-1] = np.fromiter(map(self.row.get, tokens, repeat(-1)), np.int64, len(tokens))
+        below = np.flatnonzero(rows < 0)
+        code, up = self.code[rows], self.up[rows]
+        code[below] = [self.tail(tokens[i]) for i in below]
+        up[below] = 0.0
+        return code, up, below
 
 
 def vocabulary(train: DataFrame, head: int = HEAD) -> tuple[Vocabulary, DataFrame]:
@@ -198,16 +186,14 @@ def vocabulary(train: DataFrame, head: int = HEAD) -> tuple[Vocabulary, DataFram
     return known, counts.where(F.col("c") < least)
 
 
-def _train(shared, parameters, rate: float, key: str):
+def _train(parameters, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes.of(shared, key)
         trainer = gru.Trainer(gru.unflat(parameters.value), rate)
         held, size = [], 0
         for batch in batches:
-            for texts in _texts(batch.column(0)):
-                for t in texts:
-                    held.append(codes.code[codes.rows(tokens_of(t))])
-                    size += len(held[-1])
+            for packed in batch.column(0):
+                held.append(_unpacked(packed))
+                size += len(held[-1])
                 if size >= gru.CHUNK // 2:
                     trainer.learn(held)
                     held, size = [], 0
@@ -219,6 +205,10 @@ def _train(shared, parameters, rate: float, key: str):
     return run
 
 
+def _unpacked(packed: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(packed.as_py(), CODE).astype(np.int32)
+
+
 def _weighted(p: np.ndarray, weight: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([p.astype(np.float32).tobytes()], pa.binary()), pa.array([weight], pa.int64())], names=["p", "weight"]
@@ -234,17 +224,16 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _weighted(total / weight, weight)
 
 
-def trained(train: DataFrame, known: Vocabulary, key: str, rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters fitted to ``train`` (id, text)."""
-    spark = train.sparkSession
-    shared = spark.sparkContext.broadcast(known)
+def trained(rows: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters fitted to ``rows`` (place, codes)."""
+    spark = rows.sparkSession
     short = np.array([known.end_count, *known.counts[: known.short]], float)
     p = gru.flat(gru.initial(short, known.tail_total))
     for i in range(rounds):
-        mine = train.where(F.pmod(F.xxhash64("id", "text"), F.lit(rounds)) == i).select("text")
+        mine = rows.where(F.pmod(F.xxhash64("place"), F.lit(rounds)) == i).select("codes")
         parameters = spark.sparkContext.broadcast(p)
         rate = RATES[min(i, len(RATES) - 1)]
-        local = materialize(mine.mapInArrow(_train(shared, parameters, rate, key), "p binary, weight long"), "lm-local")
+        local = materialize(mine.mapInArrow(_train(parameters, rate), "p binary, weight long"), "lm-local")
         parts = local.count()
         while parts > 1:
             parts = -(-parts // FAN_IN)
@@ -255,51 +244,56 @@ def trained(train: DataFrame, known: Vocabulary, key: str, rounds: int = ROUNDS)
     return p
 
 
-def _scores(shared, parameters, key: str):
-    kind = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double,rare:array<binary>>"
+def _coded(shared, key: str):
+    """Arrow UDF: a text's codes for the network, the parts of its scores that
+    the shared vocabulary settles, and the tokens still to be joined."""
 
-    @F.arrow_udf(kind)
+    @F.arrow_udf("struct<n_tokens:bigint,n_known:bigint,base:double,tail:double,codes:binary,rare:array<binary>>")
     def run(column: pa.Array) -> pa.Array:
         codes = Codes.of(shared, key)
-        p = gru.unflat(parameters.value)
-        n, known, base, score, rare = [], [], [], [], []
-        held, size = [], 0
-
-        def flush():
-            nonlocal held, size
-            at = len(score) - len(held)
-            score[at:] = (np.array(score[at:]) + gru.score(p, held) / np.log(10)).tolist()
-            held, size = [], 0
-
+        n, known, base, tails, packed, rare = [], [], [], [], [], []
         for texts in _texts(column):
             for t in texts:
                 tokens = tokens_of(t)
-                rows = codes.rows(tokens)
-                code, up = codes.code[rows], codes.up[rows]
+                code, up, unseen = codes.of_text(tokens)
                 tail = code >= gru.SHORTLIST
-                unseen = np.flatnonzero(codes.rare[rows])
-                n.append(len(rows))
-                known.append(len(rows) - len(unseen) - (codes.vocabulary.end_count == 0))
-                base.append(float(up.sum() - len(rows) * codes.base_down))
-                score.append(float(up[tail].sum() - codes.tail_down[code[tail] - gru.SHORTLIST].sum()))
+                n.append(len(code))
+                known.append(len(code) - len(unseen) - (codes.vocabulary.end_count == 0))
+                base.append(float(up.sum() - len(code) * codes.base_down))
+                tails.append(float(up[tail].sum() - codes.tail_down[code[tail] - gru.SHORTLIST].sum()))
+                packed.append(code.astype(CODE).tobytes())
                 rare.append([tokens[i] for i in unseen])
-                held.append(code)
-                size += len(code)
-            if size >= gru.CHUNK:
-                flush()
-        flush()
         return pa.StructArray.from_arrays(
             [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-             pa.array(score, pa.float64()), pa.array(rare, pa.list_(pa.binary()))],
-            names=["n_tokens", "n_known", "base", "score", "rare"],
+             pa.array(tails, pa.float64()), pa.array(packed, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+            names=["n_tokens", "n_known", "base", "tail", "codes", "rare"],
         )
 
     return run
 
 
+def _likelihood(parameters):
+    """Arrow UDF: log10 likelihood of packed codes."""
+
+    @F.arrow_udf("double")
+    def run(column: pa.Array) -> pa.Array:
+        p = gru.unflat(parameters.value)
+        out, held, size = [], [], 0
+        for packed in column:
+            held.append(_unpacked(packed))
+            size += len(held[-1])
+            if size >= gru.CHUNK:
+                out += gru.score(p, held).tolist()
+                held, size = [], 0
+        out += gru.score(p, held).tolist()
+        return pa.array(np.array(out) / np.log(10), pa.float64())
+
+    return run
+
+
 def score_texts(
     docs: DataFrame,
-    train: DataFrame,
+    train: Column,
     text_col: str = "text",
     keep: list[str] | None = None,
     head: int = HEAD,
@@ -307,19 +301,23 @@ def score_texts(
 ) -> DataFrame:
     """Every row of ``docs`` (columns ``keep``, default all) followed by
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``,
-    learned from ``train`` (id, text).  Names the input uses already get
-    underscores."""
+    learned from the rows for which ``train`` is true.  Names the input uses
+    already get underscores."""
     spark = docs.sparkSession
     ship_package(spark)
     kept = list(docs.columns if keep is None else keep)
-    known, below = vocabulary(train, head)
+    text = F.col(text_col).cast("string")
+    learn = F.coalesce(train, F.lit(False))
+    known, below = vocabulary(docs.where(learn).select(text.alias("text")), head)
     shared = spark.sparkContext.broadcast(known)
     key = f"{spark.sparkContext.applicationId}-{id(known)}-{known.n}-{known.v}"
-    parameters = spark.sparkContext.broadcast(trained(train, known, key, rounds))
-    scored = docs.select(
-        F.struct(*kept).alias("row"), _scores(shared, parameters, key)(F.col(text_col).cast("string")).alias("s")
+    coded = docs.select(F.struct(*kept).alias("row"), learn.alias("learn"), _coded(shared, key)(text).alias("s"))
+    # Texts become codes once; training and scoring read those.
+    rows = materialize(coded.select(F.monotonically_increasing_id().alias("place"), "row", "learn", "s.*"), "lm-rows")
+    parameters = spark.sparkContext.broadcast(trained(rows.where("learn"), known, rounds))
+    scored = rows.select(
+        "place", "row", "n_tokens", "n_known", "base", (F.col("tail") + _likelihood(parameters)(F.col("codes"))).alias("score")
     )
-    rows = materialize(scored.select(F.monotonically_increasing_id().alias("place"), "row", "s.*"), "lm-rows")
     # Tokens below the head: their counts come by a join.
     up = F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(0.5))
     joined = (
@@ -336,6 +334,6 @@ def score_texts(
         "base_score": add("base"),
         "score": add("score"),
     }
-    return rows.join(joined, F.col("place") == F.col("of_place"), "left").select(
+    return scored.join(joined, F.col("place") == F.col("of_place"), "left").select(
         *[F.col("row")[c].alias(c) for c in kept], *[c.alias(fresh(kept, name)) for name, c in added.items()]
     )

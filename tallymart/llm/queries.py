@@ -94,10 +94,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document; learned from the folds other than 1."""
     docs = table(spark, sf_dir, "documents")
-    held_out = fold(F.col("doc_id"), 5) == 1
-    train = docs.where(~held_out).select(F.col("doc_id").alias("id"), "text")
-    marked = docs.select("doc_id", held_out.alias("held_out"), "text")
-    return lm.score_texts(marked, train, keep=["doc_id", "held_out"])
+    marked = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "text")
+    return lm.score_texts(marked, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from awkward import docs, empty, rows
 from tallymart.llm import gru, lm
@@ -100,7 +101,7 @@ def brute(table, train):
 
 def check(spark, frame, train, **options):
     out = lm.score_texts(frame, train, **options).collect()
-    want = brute([r["text"] for r in out], [r["text"] for r in train.collect()])
+    want = brute([r["text"] for r in out], [r["text"] for r in frame.where(train).collect()])
     for r, (n_tokens, n_known, n, base) in zip(out, want):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n_tokens, n_known, n)
         assert math.isclose(r["base_score"], base, rel_tol=1e-9) and r["score"] < 0
@@ -109,7 +110,7 @@ def check(spark, frame, train, **options):
 
 def test_counts_and_base_scores_with_and_without_the_join(spark):
     table = spark.createDataFrame(corpus(120), "id long, text string, mark string").repartition(3)
-    train = table.where("id % 5 <> 1").select("id", "text")
+    train = F.col("id") % 5 != 1
     a = check(spark, table, train)
     b = check(spark, table, train, head=20)
     # The head's size moves tokens from the table to the join, nothing else.
@@ -120,18 +121,18 @@ def test_counts_and_base_scores_with_and_without_the_join(spark):
 
 def test_network_beats_the_unigram_on_held_out_texts(spark):
     table = spark.createDataFrame(corpus(600, seed=4), "id long, text string, mark string").repartition(2)
-    train = table.where("id % 5 <> 1").select("id", "text")
+    train = F.col("id") % 5 != 1
     out = [r for r in check(spark, table, train) if r["id"] % 5 == 1]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
 def test_awkward_rows(spark):
     frame = docs(spark).withColumnRenamed("fp", "score")
-    train = frame.where("doc_id > 3").drop("id").selectExpr("doc_id AS id", "text")
+    train = F.col("doc_id") > 3  # not for a NULL id
     out = lm.score_texts(frame, train)
     assert out.columns == [*frame.columns, "n_tokens", "n_known", "train_tokens", "base_score", "score_"]
     got = out.collect()
-    want = brute([r["text"] for r in got], [r["text"] for r in train.collect()])
+    want = brute([r["text"] for r in got], [r["text"] for r in frame.where(train).collect()])
     assert len(got) == len(rows())
     for r, (n_tokens, n_known, n, base) in zip(got, want):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n_tokens, n_known, n)
@@ -139,19 +140,15 @@ def test_awkward_rows(spark):
 
 
 def test_no_training_and_no_documents(spark):
-    nothing = empty(spark).drop("id").selectExpr("doc_id AS id", "text")
-    assert lm.score_texts(empty(spark), nothing).collect() == []
-    out = lm.score_texts(docs(spark), nothing).collect()
+    assert lm.score_texts(empty(spark), F.lit(True)).collect() == []
+    out = lm.score_texts(docs(spark), F.lit(False)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and abs(r["base_score"]) < 1e-6 for r in out)
 
 
-def test_codes_forget_and_grow(monkeypatch):
-    monkeypatch.setattr(lm, "TABLE", 10)
-    codes = lm.Codes(lm.Vocabulary(3, 10, 4, [b"a", b"b"], [4, 3], 2, (np.zeros(gru.TAIL), np.zeros(gru.TAIL))))
-    for _ in range(3):
-        for tokens in ([b"a", b"x1", b"b"], [f"y{i}".encode() for i in range(8)], [f"z{i}".encode() for i in range(40)]):
-            rows_ = codes.rows(tokens)
-            assert rows_[-1] == 0 and [bool(x) for x in codes.rare[rows_[:-1]]] == [t not in (b"a", b"b") for t in tokens]
-            assert [int(c) for c in codes.code[rows_[:-1]]] == [
-                {b"a": 1, b"b": 2}.get(t, gru.SHORTLIST + gru.tail_class(t)) for t in tokens
-            ]
+def test_codes_of_known_and_unknown_tokens():
+    codes = lm.Codes(lm.Vocabulary(3, 10, 4, [b"a", b"b", b"c"], [4, 3, 1], 2, (np.zeros(gru.TAIL), np.zeros(gru.TAIL))))
+    tail = lambda t: gru.SHORTLIST + gru.tail_class(t)
+    code, up, below = codes.of_text([b"a", b"zz", b"c", b"b"])
+    assert code.tolist() == [1, tail(b"zz"), tail(b"c"), 2, gru.END] and below.tolist() == [1]
+    assert np.allclose(10**up, [4.5, 1, 1.5, 3.5, 3.5])
+    assert codes.of_text([])[0].tolist() == [gru.END]
