@@ -9,7 +9,7 @@ that centroid than nearly all texts of the centroid's cluster.
 
 Document frequencies come from all training documents.  The centroids of a
 language are fitted on at most ``FIT_DOCS`` of its labelled training documents
-(those of the least id hash), and at most ``MAX_LANGS`` languages are learned
+(those of the least hash, from about twice as many), and at most ``MAX_LANGS`` languages are learned
 (the most frequent), so the model that is sent to the tasks has a fixed bound:
 ``MAX_LANGS * CENTROIDS * DIM`` numbers.
 
@@ -153,13 +153,21 @@ def fit(train: DataFrame, fit_docs: int = FIT_DOCS, centroids: int = CENTROIDS,
     ship_package(train.sparkSession)
     idf = inverse_frequencies(train)
     learned = train.where("lang IS NOT NULL AND text IS NOT NULL")
-    langs = [
-        r["lang"]
-        for r in learned.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
-    ]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
+    # At most max_langs rows.
+    top = learned.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    hashed = F.xxhash64("id", "text")
+    # Of a language's n texts those whose hash, as a share of all values, is
+    # below 2 fit_docs / n: about twice as many as wanted reach the window
+    # that takes the least, at any size.
+    bounds = {r["lang"]: int(min(1.0, 2 * fit_docs / r["n"]) * (2**62 - 1)) for r in top}
+    if bounds:
+        bound = F.try_element_at(
+            F.map_from_arrays(F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds.values()))), F.col("lang")
+        )
+        learned = learned.where(F.shiftrightunsigned(hashed, 2) <= bound)
+    order = Window.partitionBy("lang").orderBy(hashed, "id")
     sample = (
-        learned.where(F.col("lang").isin(langs) & F.regexp_like("text", F.lit(r"\p{L}")))
+        learned.where(F.regexp_like("text", F.lit(r"\p{L}")))
         .withColumn("at", F.row_number().over(order))
         .where(F.col("at") <= fit_docs)
     )
