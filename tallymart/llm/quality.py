@@ -256,8 +256,13 @@ def judge(
     )
     holdout = measured.drop("row").where(~base_failed()).join(marks, F.col("id") == F.col("label_id"))
     cutoffs = certify(holdout, rules, risk, delta)
-    by_stratum = cutoffs.groupBy(F.col("stratum").alias("of_stratum")).agg(
-        *[F.max(F.when(F.col("rule") == i, F.col("cutoff"))).alias(f"cutoff_{i}") for i in range(len(rules))]
+    # Written first: its measured size lets Spark broadcast it, so no row of
+    # the documents is shuffled by a stratum that holds most of them.
+    by_stratum = materialize(
+        cutoffs.groupBy(F.col("stratum").alias("of_stratum")).agg(
+            *[F.max(F.when(F.col("rule") == i, F.col("cutoff"))).alias(f"cutoff_{i}") for i in range(len(rules))]
+        ),
+        "quality-cutoffs",
     )
     failing = F.filter(
         F.array(
