@@ -44,9 +44,23 @@ CHUNK = 1 << 16
 #: Distinct strings a worker remembers before it starts afresh.
 TABLE = 1_000_000
 MARK = "\x01"
+#: Marks that follow a word; the split keeps them apart from letters.
+MARKS = frozenset(".,;:!?)")
 SPECIAL = b"<|"
 _SLICE = 256
 
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that byte-level vocabularies write for each byte: printable
+    Latin-1 characters stand for themselves, the others for code points from
+    256 on, in order."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+BYTE_SIGNS = _byte_signs()
+
 _lookups: dict[str, "Lookup"] = {}
 
 
@@ -56,20 +70,22 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int32)
-    ids = ids.astype(np.uint64)
-    in_block = np.arange(n) % BLOCK
-    room = np.minimum(BLOCK - in_block, n - np.arange(n))
-    count = np.ones(n, np.int64)
-    selector = np.zeros(n, np.int64)  # ids that fit nothing escape
+    in_block = np.arange(n, dtype=np.int32) % BLOCK
+    room = np.minimum(BLOCK - in_block, n - np.arange(n, dtype=np.int32))
+    count = np.ones(n, np.int32)
+    selector = np.zeros(n, np.int8)  # ids that fit nothing escape
+    least, most = int(ids.min()), int(ids.max())
     options = [(c, bits, FIRST_PACKING + i) for i, (c, bits) in enumerate(PACKINGS)][::-1] + [(ZEROS, 0, ZERO_RUN)]
+    wide = np.zeros(n + 1, np.int32)
     for c, bits, code in options:
-        wide = np.concatenate([[0], np.cumsum(ids >> np.uint64(bits) != 0)]) if bits else np.concatenate([[0], np.cumsum(ids != 0)])
-        if c > n:
+        if c > n or least >> bits:
             continue
-        fits = np.zeros(n, bool)
-        fits[: n - c + 1] = wide[c:] == wide[: n - c + 1]
-        fits &= room >= c
-        count[fits], selector[fits] = c, code
+        if most >> bits:
+            np.cumsum(ids >= np.array(1 << bits, ids.dtype), out=wide[1:])
+            fits = (wide[c:] == wide[: n - c + 1]) & (room[: n - c + 1] >= c)
+        else:
+            fits = room[: n - c + 1] >= c
+        count[: n - c + 1][fits], selector[: n - c + 1][fits] = c, code
     steps, at, starts = count.tolist(), 0, []
     while at < n:
         starts.append(at)
@@ -81,7 +97,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for i, (c, bits) in enumerate(PACKINGS):
         mine = chosen == FIRST_PACKING + i
         if mine.any():
-            values = ids[starts[mine][:, None] + np.arange(c)] << (np.arange(c, dtype=np.uint64) * np.uint64(bits))
+            values = ids[starts[mine][:, None] + np.arange(c)].astype(np.uint64) << (np.arange(c, dtype=np.uint64) * np.uint64(bits))
             words[place[mine]] = np.bitwise_or.reduce(values, axis=1) | np.uint64((FIRST_PACKING + i) << 60)
     words[place[chosen == ZERO_RUN]] = np.uint64(ZERO_RUN << 60)
     raw = chosen == ESCAPE
@@ -126,6 +142,7 @@ class Lookup:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.table: dict[bytes, bytes] = {}
         (self.mark,) = self._ids(MARK)
 
@@ -138,17 +155,39 @@ class Lookup:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _letters(self, text: str) -> bytes:
+        """Ids of one run of lower-case Latin-1 letters: the normaliser and
+        the split leave it as it is, so the library's model can be asked
+        directly, with each byte written as its sign."""
+        return np.array([t.id for t in self.model.tokenize(text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS))], "<u4").tobytes()
+
     def _learn(self, new: list[bytes]) -> None:
-        plain = [w for w in new if MARK.encode() not in w and SPECIAL not in w]
-        for w in set(new).difference(plain):
-            self.table[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
+        table, rest, marked = self.table, [], []
+        for w in new:
+            text = w.decode()
+            if text[-1] in MARKS and text[:-1].isalpha() and max(text) <= "\xff":
+                marked.append((w, w[:-1], w[-1:]))
+                text = text[:-1]
+                w = w[:-1]
+                if w in table:
+                    continue
+            if text.isalpha() and max(text) <= "\xff":
+                table[w] = self._letters(text.lower())
+            else:
+                rest.append(w)
+        rest += [m for m in {m for _, _, m in marked} if m not in table]
+        plain = [w for w in rest if MARK.encode() not in w and SPECIAL not in w]
+        for w in set(rest).difference(plain):
+            table[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
         for at in range(0, len(plain), 2000):
             part = plain[at : at + 2000]
             ids = np.array(self._ids(f" {MARK} ".join([w.decode() for w in part])), "<u4")
             cuts = np.flatnonzero(ids == self.mark) * 4
             data = ids.tobytes()
             for w, a, b in zip(part, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]):
-                self.table[w] = data[a:b]
+                table[w] = data[a:b]
+        for w, stem, mark in marked:  # a mark behind letters is a piece by itself
+            table[w] = table[stem] + table[mark]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
