@@ -40,8 +40,8 @@ SPAN = "array<struct<start:bigint,order:int,end:bigint>>"
 
 @dataclass(frozen=True)
 class CharClass:
-    """Candidates that match ``pattern`` as a whole are measured against
-    ``bits`` of entropy in a window of ``window`` characters."""
+    """Candidates in which ``pattern`` is found are measured against ``bits``
+    of entropy in a window of ``window`` characters."""
 
     name: str
     pattern: str
@@ -49,18 +49,32 @@ class CharClass:
     window: int = 24
 
 
+#: A part of a candidate lies between separators.  Parts of lower-case
+#: hexadecimal digits alone are base spans already.
+_PART = r"(?<![A-Za-z0-9])%s{24,}(?![A-Za-z0-9])"
 CLASSES = (
     CharClass("hex", r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.2),
     CharClass("alnum", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$|^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+$", 3.7),
+    CharClass("hex part", _PART % "(?=[0-9A-Fa-f]*[A-F])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]", 3.2),
+    CharClass(
+        "alnum part",
+        _PART % "(?=[a-z0-9]*[g-z])(?=[a-z]*[0-9])[a-z0-9]" + "|" + _PART % "(?=[A-Z0-9]*[G-Z])(?=[A-Z]*[0-9])[A-Z0-9]",
+        3.7,
+    ),
     CharClass("mixed", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", 4.0),
+    CharClass("separated", r"^(?=.*[0-9])(?=.*[A-Za-z]).+$", 4.0),
+    CharClass("letters", r"^(?=.*[A-Z][a-z][A-Z])[A-Za-z+/_-]+$", 4.2),
 )
+#: For words that mark an example: not if a part without them may be a key.
+_NO_OTHER = r"(?i)^(?!.*(?<![A-Za-z0-9])(?![A-Za-z0-9]*(?:%s))(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{24,}).*(?:%s)"
+_MARKS, _RUNS = "example|sample|placeholder|dummy|xxxx", "0123456789|abcdefghij|1234567890"
 #: Candidates that are not secrets: documentation examples, runs of one
 #: alphabet in order, UUIDs, dated or versioned names of words.
 ALLOW = (
-    r"(?i)example|sample|placeholder|dummy|xxxx",
-    r"(?i)0123456789|abcdefghij|1234567890",
+    _NO_OTHER % (_MARKS, _MARKS),
+    _NO_OTHER % (_RUNS, _RUNS),
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[A-Za-z]+([_/-][A-Za-z]+)*([_/-][0-9]{1,8})*$",
+    r"^(?!.*[A-Z][a-z][A-Z])[A-Za-z]+([_/-][A-Za-z]+)*([_/-][0-9]{1,8})*$",
 )
 
 _BLOCK = 256
@@ -149,7 +163,7 @@ def _clog(c: Column) -> Column:
     return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
 
 
-def _hot_range(value: Column, bits: float, window: int) -> Column:
+def _hot_range(value: Column, bits: Column, window: int) -> Column:
     """(first, last, window): where the first and last window of at least
     ``bits`` start in ``value``; -1 where there is none."""
 
@@ -203,11 +217,17 @@ def entropy_spans(
     """Spans of high-entropy windows in candidate strings, by start."""
     allowed = lambda v: F.regexp_like(v, F.lit("|".join(f"(?:{a})" for a in allow)))
 
+    def walked(value, window):
+        return lambda bits: F.when(bits.isNotNull(), _hot_range(value, bits, window))
+
     def measured(c):
         by_class = F.lit(None).cast("struct<first:int,last:int,window:int>")
-        for k in reversed(classes):
-            found = _hot_range(c["value"], k.bits, k.window)
-            by_class = F.when(F.regexp_like(c["value"], F.lit(k.pattern)), found).otherwise(by_class)
+        for w in sorted({k.window for k in classes}):
+            bits = F.lit(None).cast("double")
+            for k in reversed(classes):
+                own = F.lit(k.bits if k.window == w else None).cast("double")
+                bits = F.when(F.regexp_like(c["value"], F.lit(k.pattern)), own).otherwise(bits)
+            by_class = F.coalesce(by_class, let(bits, walked(c["value"], w)))
         return let(
             by_class,
             lambda r: F.when(

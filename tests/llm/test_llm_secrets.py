@@ -107,3 +107,16 @@ def test_empty_table_and_native_plan(spark):
     assert secrets.redact(empty(spark)).collect() == []
     plan = secrets.redact(docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_keys_beside_separators_or_example_words(spark):
+    key, hexes = "3ax6xnjp29jd6fds4gc373sgvjxteol0", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    keys = [(p, k) for p in ("", "key-", "/v1/hook/", "ID-", "Key_", "docs/example/") for k in (key, key.upper(), hexes)]
+    keys += [("", "9A7B3-QK4ZP-X81MD-T6WHC-5RJVE"), ("", "qwJkXvZpLmNbRtYsDfGhKcAoEiUx")]
+    plain = ["some/long/path_of_words-in/the-repository", "SOME_LONG_CONSTANT_OF_WORDS_2020", "InternationalizationServiceFactoryBean"]
+    got = found(spark, [f"see {p}{k} there" for p, k in keys] + plain)
+    for i, (p, k) in enumerate(keys):
+        spans = [x for x in got[i][1] if x[1] == 3]
+        at = 4 + len(p)
+        assert sum(max(0, min(b, at + len(k)) - max(a, at)) for a, _, b in spans) >= 24, (p, k)
+    assert all(got[len(keys) + i][1] == [] for i in range(len(plain)))
