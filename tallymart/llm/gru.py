@@ -80,7 +80,9 @@ def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
 
 
 class Lanes:
-    """Texts (arrays of codes, each ending with ``END``) dealt to lanes."""
+    """Texts (arrays of codes, each ending with ``END``) dealt to lanes, held
+    one after another; only a window's steps are laid side by side, so a long
+    text costs its own length, not that of all lanes."""
 
     def __init__(self, texts: list[np.ndarray], lanes: int):
         self.n = len(texts)
@@ -100,23 +102,28 @@ class Lanes:
         order = np.argsort(-load, kind="stable")
         self.load = load[order]
         self.length = int(self.load[0])
-        self.target = np.zeros((self.length, lanes), np.int32)
-        self.input = np.full((self.length, lanes), START, np.int32)
-        self.text = np.full((self.length, lanes), -1, np.int32)
-        for j, lane in enumerate(order.tolist()):
-            at = 0
-            for i in held[lane]:
-                end = at + len(texts[i])
-                self.target[at:end, j] = texts[i]
-                self.input[at + 1 : end, j] = texts[i][:-1]
-                self.text[at:end, j] = i
-                at = end
+        self.lanes = lanes
+        self.first = np.cumsum(self.load) - self.load
+        dealt = np.array([i for lane in order.tolist() for i in held[lane]], np.int64)
+        self.codes = np.concatenate([texts[i] for i in dealt.tolist()]).astype(np.int32, copy=False)
+        self.owner = np.repeat(dealt.astype(np.int32), lengths[dealt])
+        self.given = np.roll(self.codes, 1)
+        begins = np.cumsum(lengths[dealt]) - lengths[dealt]
+        self.given[begins[lengths[dealt] > 0]] = START
 
     def windows(self, steps: int):
         """(first step, last step, lanes still running) of each window."""
         for a in range(0, self.length, steps):
             yield a, min(a + steps, self.length), int(np.searchsorted(-self.load, -a, side="left"))
 
+    def window(self, a: int, b: int, running: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, targets and texts (-1: the lane has ended) of a window:
+        (steps, lanes) each."""
+        at = np.arange(a, b)[:, None]
+        on = at < self.load[:running]
+        at = np.where(on, self.first[:running] + at, 0)
+        return np.where(on, self.given[at], START), np.where(on, self.codes[at], 0), np.where(on, self.owner[at], -1)
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
@@ -163,12 +170,13 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
         return out
     lanes = Lanes(texts, LANES)
     class_w, class_b = np.ascontiguousarray(p["class_w"].T), p["class_b"][:, None]
-    h = np.zeros((lanes.target.shape[1], HIDDEN), np.float32)
+    h = np.zeros((lanes.lanes, HIDDEN), np.float32)
     for a, b, running in lanes.windows(STEPS):
+        given, target, owner = lanes.window(a, b, running)
         states = np.empty((b - a, running, HIDDEN), np.float32)
         h = h[:running]
         for t in range(a, b):
-            x = lanes.input[t, :running]
+            x = given[t - a]
             h = h * (x != START)[:, None]
             g, u = p["gates"][x], h @ p["state"]
             zr = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
@@ -176,9 +184,9 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
             n = np.tanh(g[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
             h = n + z * (h - n)
             states[t - a] = h
-        owner = lanes.text[a:b, :running].ravel()
+        owner = owner.ravel()
         used = owner >= 0
-        owner, codes = owner[used], lanes.target[a:b, :running].ravel()[used]
+        owner, codes = owner[used], target.ravel()[used]
         s = states.reshape(-1, HIDDEN)[used]
         found = _log_total(class_w @ s.T + class_b, _class_of(codes))
         for k, rows, place in _by_class(codes):
@@ -259,11 +267,10 @@ class Trainer:
         total = sum(map(len, texts))
         # Fewer lanes for little data: more steps matter more than speed.
         lanes = Lanes(texts, int(np.clip(total // (STEPS * 64), 8, LANES)))
-        h, loss = np.zeros((lanes.target.shape[1], HIDDEN), np.float32), 0.0
+        h, loss = np.zeros((lanes.lanes, HIDDEN), np.float32), 0.0
         for a, b, running in lanes.windows(STEPS):
-            got, grad, h = gradients(
-                self.p, lanes.input[a:b, :running], lanes.target[a:b, :running], lanes.text[a:b, :running] >= 0, h[:running]
-            )
+            x, target, owner = lanes.window(a, b, running)
+            got, grad, h = gradients(self.p, x, target, owner >= 0, h[:running])
             loss += got
             self._update(grad)
         self.tokens += total

@@ -272,20 +272,28 @@ def _coded(shared, key: str):
     return run
 
 
+def _chunks(texts: Iterator[np.ndarray], most: int) -> Iterator[list[np.ndarray]]:
+    """Runs of at most ``most`` tokens (a longer text stands alone)."""
+    held, size = [], 0
+    for t in texts:
+        if held and size + len(t) > most:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
 def _likelihood(parameters):
     """Arrow UDF: log10 likelihood of packed codes."""
 
     @F.arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:
         p = gru.unflat(parameters.value)
-        out, held, size = [], [], 0
-        for packed in column:
-            held.append(_unpacked(packed))
-            size += len(held[-1])
-            if size >= gru.CHUNK:
-                out += gru.score(p, held).tolist()
-                held, size = [], 0
-        out += gru.score(p, held).tolist()
+        out = []
+        for held in _chunks(map(_unpacked, column), gru.CHUNK):
+            out += gru.score(p, held).tolist()
         return pa.array(np.array(out) / np.log(10), pa.float64())
 
     return run

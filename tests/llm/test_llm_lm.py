@@ -152,3 +152,24 @@ def test_codes_of_known_and_unknown_tokens():
     assert code.tolist() == [1, tail(b"zz"), tail(b"c"), 2, gru.END] and below.tolist() == [1]
     assert np.allclose(10**up, [4.5, 1, 1.5, 3.5, 3.5])
     assert codes.of_text([])[0].tolist() == [gru.END]
+
+
+def test_a_long_text_among_many_costs_its_own_length():
+    import tracemalloc
+
+    texts = [np.array([1, gru.END], np.int32)] * 600 + [np.append(np.full(60_000, 2), gru.END).astype(np.int32)]
+    tracemalloc.start()
+    lanes = gru.Lanes(texts, gru.LANES)
+    read = np.zeros(len(texts), int)
+    for a, b, running in lanes.windows(1000):
+        owner = lanes.window(a, b, running)[2]
+        read += np.bincount(owner[owner >= 0], minlength=len(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert read.tolist() == [len(t) for t in texts]
+    assert peak < 100e6
+
+
+def test_a_text_above_the_chunk_stands_alone():
+    sizes = [[len(t) for t in c] for c in lm._chunks(iter([np.zeros(n) for n in (3, 4, 50, 2, 9, 1)]), 10)]
+    assert sizes == [[3, 4], [50], [2], [9, 1]]
