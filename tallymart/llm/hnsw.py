@@ -59,7 +59,7 @@ class Graph:
         links, points = self.layers[layer], self.points
         b, width = len(queries), start.shape[1]
         ids = np.full((b, ef), -1, np.int32)
-        sims = np.full((b, ef), -np.inf, np.float32)
+        sims = np.full((b, ef), -np.inf)
         w = min(width, ef)
         ids[:, :w], sims[:, :w] = start[:, :w], sim[:, :w]
         done = ids < 0
@@ -83,7 +83,7 @@ class Graph:
                 continue
             found = near[r, c]
             seen[live[r], found] = True
-            s = np.full(near.shape, -np.inf, np.float32)
+            s = np.full(near.shape, -np.inf)
             s[r, c] = np.einsum("ij,ij->i", points[found], queries[live[r]])
             all_sims = np.concatenate([sims[live], s], axis=1)
             all_ids = np.concatenate([ids[live], np.where(new, near, -1)], axis=1)
@@ -98,7 +98,7 @@ class Graph:
     def search(self, queries: np.ndarray, ef: int, down_to: int = 0):
         """Beam search through the layers; at ``down_to`` the beam is ``ef``."""
         start = np.full((len(queries), 1), self.entry, np.int32)
-        sim = (queries @ self.points[self.entry])[:, None].astype(np.float32)
+        sim = (queries @ self.points[self.entry])[:, None]
         for layer in range(len(self.layers) - 1, down_to, -1):
             start, sim = self.beam(queries, start, sim, layer, 1)
         return self.beam(queries, start, sim, down_to, ef)
@@ -154,7 +154,7 @@ def _reach(links: np.ndarray, entry: int) -> np.ndarray:
 
 
 def build(points: np.ndarray, seed: int = SEED) -> Graph:
-    """The graph of ``points`` (n, d), float32 rows of equal norm."""
+    """The graph of ``points`` (n, d), rows of equal norm."""
     n = len(points)
     rng = np.random.default_rng(seed)
     level = np.minimum((-np.log(1.0 - rng.random(n)) / np.log(LINKS)).astype(int), 12)
@@ -171,7 +171,7 @@ def build(points: np.ndarray, seed: int = SEED) -> Graph:
         np.fill_diagonal(inside, -np.inf)
         top = int(level[order[0]])
         start = np.full((len(batch), 1), graph.entry, np.int32)
-        sim = (own @ points[graph.entry])[:, None].astype(np.float32)
+        sim = (own @ points[graph.entry])[:, None]
         for layer in range(top, -1, -1):
             here = level[batch] >= layer
             ef = EF_BUILD if here.any() else 1
@@ -217,7 +217,8 @@ def _equal_norms(x: np.ndarray) -> np.ndarray:
     squares = np.einsum("ij,ij->i", x, x)
     rest = np.sqrt(np.maximum(squares.max() - squares, 0.0))
     scale = np.sqrt(squares.max())
-    return (np.column_stack([x, rest]) / scale).astype(np.float32)
+    # In double precision: beside one very long vector all products are near 1.
+    return np.column_stack([x, rest]) / scale
 
 
 _INDEX = "dim int, part int, ids binary, vectors binary, entry int, widths array<int>, links array<binary>"
@@ -292,7 +293,7 @@ def _search(k: int, ef: int):
                 q = np.array([q["vector"] for q in row["queries"]], np.float64)
                 for at in range(0, len(q), BATCH):
                     part = q[at : at + BATCH]
-                    flat = np.column_stack([part, np.zeros(len(part))]).astype(np.float32)
+                    flat = np.column_stack([part, np.zeros(len(part))])
                     found, _ = graph.search(flat, min(ef, max(len(ids), 1)))
                     # The measure itself, on the vectors as given.
                     score = (x[found] * part[:, None, :]).sum(axis=2)

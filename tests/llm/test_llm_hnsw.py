@@ -84,3 +84,18 @@ def test_every_node_is_reached():
     tight = np.concatenate([rng.normal(size=(1, 8)) * 5 + 1e-3 * rng.normal(size=(150, 8)) for _ in range(6)])
     graph = hnsw.build(hnsw._equal_norms(tight))
     assert hnsw._reach(graph.layers[0], graph.entry).all()
+
+
+def test_one_very_long_vector_spoils_nothing():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 10_000
+    asked = x[100:200]
+    graph = hnsw.build(hnsw._equal_norms(x))
+    found, _ = graph.search(np.column_stack([asked, np.zeros(100)]), hnsw.EF_SEARCH)
+    hits = 0
+    for q, row in zip(asked, found):
+        near = set(np.argsort(-(x @ q))[:20].tolist())
+        hits += len(near & set(row.tolist()))
+    assert hits >= 0.9 * 20 * 100
