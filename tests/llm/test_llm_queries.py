@@ -106,3 +106,23 @@ def test_op1_and_op3_and_op5_run_over_whole_tables(spark, documents):
         assert r["start"] == at
         at += r["n_tokens"]
     assert len(tokens) == len(documents) == len(result(spark, "op5_token_counts"))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="driver tables not present")
+def test_op1_recall_at_production_parameters(spark):
+    import numpy as np
+
+    sf = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    got = collections.defaultdict(set)
+    for r in QUERIES["op1_hnsw"](spark, sf).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = wanted = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[i]
+        score[i] = -np.inf
+        near = set(ids[np.lexsort((ids, -score))[:20]].tolist())
+        hits, wanted = hits + len(near & got[ids[i]]), wanted + len(near)
+    print("recall", hits / wanted, len(ids), wanted)
+    assert hits >= 0.9 * wanted
