@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, hnsw, langid, lm, quality, secrets, simhash, tokenfile, unigram
-from tallymart.llm.common import fold, table
+from tallymart.llm import bpe, hnsw, langid, lm, quality, runs, secrets, simhash, tokenfile, unigram
+from tallymart.llm.common import fold, table, words
 from tallymart.llm.mix import mix
 from tallymart.session import scratch_path
 
@@ -105,6 +105,39 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def _planted(ws: Column, doc_id: Column) -> Column:
+    """The words of a document; where the crc32 of the id ends in 0, all words
+    from a place on repeat with a period.  Without a lambda function: Spark
+    does not take one inside the input of a Python function."""
+    h, n = F.crc32(doc_id.cast("string").cast("binary")), F.size(ws)
+    g = F.floor(h / 10)
+    a = F.pmod(g, n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(ws, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    repeated = F.concat(F.slice(ws, F.lit(1), a), F.slice(again, F.lit(1), n - a))
+    return F.when((h % 10 == 0) & (n > 0), repeated).otherwise(ws)
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words (a tenth of the documents get
+    planted ones), and its text without what they repeat."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", words(F.col("text")).alias("ws"))
+    found = runs.runs_of_words(docs, _planted(F.col("ws"), F.col("doc_id")), keep=["doc_id"])
+    best = F.col("best")
+    found = found.select("doc_id", "runs", "kept", runs.longest(F.col("runs")).alias("best"))
+    spelled = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(spelled, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.array_join("kept", " ").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_hnsw": op1_hnsw,
     "op2_langid": op2_langid,
@@ -116,4 +149,5 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_lm": op9_lm,
     "op10_mix": op10_mix,
+    "op11_runs": op11_runs,
 }
