@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallymart.llm import bpe, hnsw, langid, lm, quality, runs, secrets, simhash, tokenfile, unigram
+from tallymart.llm import bpe, hnsw, langid, lm, quality, runs, secrets, simhash, tokenfile, topk, unigram, whiten
 from tallymart.llm.common import fold, table, words
 from tallymart.llm.mix import mix
 from tallymart.session import scratch_path
@@ -138,6 +138,27 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every vector whose id is
+    divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 8 leading components, whitened."""
+    rows, model, error = whiten.whiten(table(spark, sf_dir, "embeddings"))
+    shares = F.array(*map(F.lit, model.explained.tolist())) if model.values.size else F.array().cast("array<double>")
+    return rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_hnsw": op1_hnsw,
     "op2_langid": op2_langid,
@@ -150,4 +171,6 @@ QUERIES = {
     "op9_lm": op9_lm,
     "op10_mix": op10_mix,
     "op11_runs": op11_runs,
+    "op12_topk": op12_topk,
+    "op13_whiten": op13_whiten,
 }

@@ -94,7 +94,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 OP10 = f"SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM ({mixed_sql()})"
 
+OP12 = """
+WITH whole AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM whole q JOIN whole v ON q.r <> v.r WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
 ORACLE_SQL = {
     "op4_quality": quality_sql(),
     "op10_mix": OP10,
+    "op12_topk": OP12,
 }

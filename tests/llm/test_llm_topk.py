@@ -1,0 +1,93 @@
+import collections
+import math
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.llm import topk
+from tallymart.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "vec_id long, embedding array<double>, label int, row string, id string, score int, rank int"
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else list(v), 1, "x", "y", 2, 3) for i, v in rows], SCHEMA).repartition(3)
+
+
+def brute(rows, k, every, scale=256):
+    used = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = collections.Counter()
+    for n, (i, q) in enumerate(used):
+        if i is None or i % every:
+            continue
+        scores = [(-sum(a * b for a, b in zip(q, v)), j is None, j or 0) for m, (j, v) in enumerate(used) if m != n]
+        for rank, (s, no_id, j) in enumerate(sorted(scores)[:k], 1):
+            out[i, rank, None if no_id else j, max(-(2**63 - 1), min(2**63 - 1, -s))] += 1
+    return out
+
+
+def searched(frame, every=10, **options):
+    out = topk.top_k(frame, F.col("id") % every == 0, **options)
+    assert out.columns == ["query_id", "rank", "vec_id", "score"]
+    return collections.Counter(map(tuple, out.collect()))
+
+
+def test_equals_brute_force_over_many_shards(spark):
+    rng = np.random.default_rng(0)
+    centers = rng.normal(size=(12, 16))
+    rows = [(int(i), (centers[i % 12] + 0.3 * rng.normal(size=16)).tolist()) for i in rng.permutation(1500)]
+    assert searched(frame_of(spark, rows), shard=200) == brute(rows, 5, 10)
+
+
+def test_equal_scores_go_to_the_smaller_id(spark):
+    rows = [(i, [1.0, 0.5 if i % 3 else 0.25]) for i in range(900)]
+    assert searched(frame_of(spark, rows), every=50, shard=130) == brute(rows, 5, 50)
+
+
+def test_a_vector_that_most_rows_share(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [0.5, -0.5, 0.1] if i % 3 else rng.normal(size=3).tolist()) for i in range(700)]
+    assert searched(frame_of(spark, rows), shard=100, k=7) == brute(rows, 7, 10)
+
+
+def test_awkward_vectors(spark):
+    rows = [(None, [9.0, 9.0]), (0, [1.0, 2.0]), (10, None), (20, [1.0, None]), (30, [float("nan"), 1.0]),
+            (40, [float("inf"), 1.0]), (50, []), (60, [-1.0]), (70, [0.1, 0.2, 0.3]), (70, [0.3, 0.2, 0.1]), (70, [0.1, 0.2, 0.3]),
+            (80, [0.0, 0.0]), (90, [-3.0, -4.0, 5.0]), (None, None), (3, [2.0, 2.0]), (4, [2.0, 2.0])]
+    assert searched(frame_of(spark, rows)) == brute(rows, 5, 10)
+
+
+def test_scores_beyond_doubles_and_longs_stay_exact(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.normal(size=3) * 1e8).tolist()) for i in range(60)]
+    rows += [(100 + i, (rng.normal(size=3) * 1e12).tolist()) for i in range(20)]
+    assert searched(frame_of(spark, rows), shard=25) == brute(rows, 5, 10)
+
+
+def test_empty_tables_and_lone_rows(spark):
+    assert searched(frame_of(spark, [])) == {}
+    assert searched(frame_of(spark, [(0, [1.0])])) == {}
+    assert searched(frame_of(spark, [(1, [1.0]), (2, [1.0])])) == {}
+    assert searched(frame_of(spark, [(0, [1.0]), (2, [1.0])])) == {(0, 1, 2, 65536): 1}
+
+
+def test_blocks_below_the_threshold_are_not_scored():
+    rng = np.random.default_rng(2)
+    far = np.floor(rng.normal(size=(640, 8)) * 20)
+    near = np.floor(100 + rng.random((64, 8)) * 10)
+    x = np.concatenate([near, far - 200])
+    shard = topk.Shard(x, np.arange(len(x)), np.zeros(len(x), bool))
+    shard.x = np.where(np.arange(len(x))[:, None] < 64, x, np.nan)  # a block that is read would spoil the scores
+    query, place, score = shard.search(near[:3], np.full(3, -np.inf), 5)
+    assert sorted(set(query.tolist())) == [0, 1, 2] and place.max() < 64 and len(score) == 15
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_op12_equals_brute_force(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got = collections.Counter(map(tuple, QUERIES["op12_topk"](spark, SF).select("query_id", "rank", "vec_id", "score").collect()))
+    assert got == brute(rows, 5, 50) and len(got) == 5 * sum(i % 50 == 0 for i, _ in rows)
