@@ -29,6 +29,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--districts", help="comma list of expected district codes (default: all 24)")
     parser.add_argument("--report-only", action="store_true", help="publish even when a gate fires")
     parser.add_argument("--joined-mart", action="store_true", help="pivot + join mart instead of one pass")
+    parser.add_argument("--reload", help="comma list of dist_codigo values that this delivery replaces in bronze; "
+                        "all other districts keep their files")
+    parser.add_argument("--enforce-widths", action="store_true", help="a code cut to its width stops the run")
+    parser.add_argument("--no-key-report", action="store_true", help="do not check the keys of the gold tables")
+    parser.add_argument("--buckets", type=int, help="with --catalog: cluster silver by polling table")
     parser.add_argument("--keep-settings", action="store_true", help="do not size shuffles from the input")
     args = parser.parse_args(argv)
 
@@ -42,11 +47,14 @@ def main(argv: list[str] | None = None) -> int:
         expected = args.districts.split(",") if args.districts else DISTRICTS
         out = table_targets(args.out) if args.catalog else args.out
         result = run(spark, args.input, ELECTION, out, expected=expected,
-                     enforce_quality=not args.report_only, onepass=not args.joined_mart)
+                     enforce_quality=not args.report_only, onepass=not args.joined_mart,
+                     reload=args.reload.split(",") if args.reload else None, enforce_widths=args.enforce_widths,
+                     buckets=args.buckets, check_keys=not args.no_key_report)
     except (IngestError, QualityError) as err:
         print(str(err), file=sys.stderr)
         return 1
-    print(json.dumps({"quality": result.quality, "truncated": result.truncated, "tables": result.tables}))
+    print(json.dumps({"quality": result.quality, "truncated": result.truncated, "keys": result.keys,
+                      "replaced": result.replaced, "tables": result.tables}))
     return 0
 
 

@@ -3,13 +3,17 @@
 from tallymart.operators.classify import entity_class, entity_flags, row_kind
 from tallymart.operators.clean import align, blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import list_aggregate, summary, summary_onepass, totals_pivot
-from tallymart.operators.model import dimension, fact, lookup, lookup_table
+from tallymart.operators.model import dimension, fact, lookup, lookup_table, one_spelling
 from tallymart.operators.quality import (
     QualityError,
+    captured,
     enforce,
     evaluate,
     fk_orphans,
+    key_collisions,
     null_contract,
+    observe_rules,
+    observed_counts,
     pk_duplicates,
     violation_rows,
     violations,
@@ -20,6 +24,7 @@ __all__ = [
     "QualityError",
     "align",
     "blank_to_null",
+    "captured",
     "dimension",
     "entity_class",
     "entity_flags",
@@ -29,10 +34,14 @@ __all__ = [
     "expand_measure_union",
     "fact",
     "fk_orphans",
+    "key_collisions",
     "list_aggregate",
     "lookup",
     "lookup_table",
     "null_contract",
+    "observe_rules",
+    "observed_counts",
+    "one_spelling",
     "pad_codes",
     "pivot_codes",
     "pk_duplicates",

@@ -12,8 +12,11 @@ per entity and joins it back, instead of a whole-partition window:
   construction).  A window would instead buffer a hot entity's whole group
   inside one task.
 
-``method="window"`` keeps the single-Window plan (one Exchange, one Sort) for
-inputs already clustered by the entity key.
+``method="window"`` keeps the single-Window plan (one Exchange, one Sort).
+
+``method="clustered"`` is for a table bucketed by the entity key, which is
+never NULL (``sink.publish_clustered``): flags are aggregated and joined back
+by plain equality, bucket by bucket, without any exchange.
 """
 
 from __future__ import annotations
@@ -58,6 +61,9 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
         w = Window.partitionBy(*spec.key)
         flags = {n: F.max(flag(r.predicate)).over(w) for n, r in zip(_flag_names(spec), spec.rules)}
         return df.withColumns(flags).withColumn(spec.output, _class_expr(spec)).drop(*flags)
+    if method == "clustered":
+        flagged = entity_flags(df, spec).select(*spec.key, spec.output)
+        return df.join(flagged.hint("merge"), on=list(spec.key), how="inner").select(*df.columns, spec.output)
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
     keyed = [f"__key{i}" for i in range(len(spec.key))]

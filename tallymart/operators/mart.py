@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.operators.model import preference
 from tallymart.operators.reshape import pivot_codes
 from tallymart.spec import SummarySpec
 
@@ -46,6 +47,8 @@ def summary(df: DataFrame, spec: SummarySpec) -> DataFrame:
     USING-join semantics: a NULL join key never matches, so such rows keep
     NULL list columns.
     """
+    if spec.one_spelling:
+        return summary_onepass(df, spec)
     joined = totals_pivot(df, spec).join(list_aggregate(df, spec), on=list(spec.join_keys), how="left")
     return _order(joined, spec)
 
@@ -76,6 +79,8 @@ def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
     aggs.append(F.sum(F.when(is_list, F.col(spec.measure))).alias("__lsum"))
     aggs.append(F.count_if(is_list).alias("__lcnt"))
     level1 = df.groupBy(*spec.join_keys, *spec.attributes).agg(*aggs)
+    if spec.one_spelling:
+        return _order(_one_row(level1, spec), spec)
 
     w = Window.partitionBy(*spec.join_keys)
     keys_present = _all([F.lit(True)] + [F.col(k).isNotNull() for k in spec.join_keys])
@@ -90,3 +95,27 @@ def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
         F.when(has_lists, n_lists).alias(spec.lists_count),
     )
     return _order(out.filter(F.col("__ntot") > 0).drop("__ntot"), spec)
+
+
+def _one_row(level1: DataFrame, spec: SummarySpec) -> DataFrame:
+    """One row per join key from the counts per attribute tuple: a second
+    aggregate, over one row per spelling of a polling table."""
+    present = _all([F.lit(True)] + [F.col(k).isNotNull() for k in spec.join_keys])
+    totals = F.col("__ntot") > 0
+    attributes = F.min_by(F.struct(*spec.attributes), F.when(totals, preference(spec.attributes, F.col("__ntot"))))
+    n_lists = F.sum("__lcnt")
+    has_lists = present & (F.col("__lists") > 0)
+    rows = level1.groupBy(*spec.join_keys).agg(
+        attributes.alias("__best"),
+        *[F.max(c).alias(c) for c in spec.totals.values()],
+        F.sum("__ntot").alias("__ntot"),
+        F.sum("__lsum").alias("__lsum"),
+        n_lists.alias("__lists"),
+    )
+    return rows.filter(totals).select(
+        *spec.join_keys,
+        *[F.col(f"__best.{c}").alias(c) for c in spec.attributes],
+        *spec.totals.values(),
+        F.when(has_lists, F.col("__lsum")).alias(spec.lists_sum),
+        F.when(has_lists, F.col("__lists")).alias(spec.lists_count),
+    )

@@ -9,10 +9,11 @@ per rule.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallymart.spec import Contract, Rule
@@ -121,6 +122,92 @@ def enforce(report: DataFrame) -> list[tuple[str, int]]:
     return [(r["rule"], int(r["violations"])) for r in rows]
 
 
+def observed_rules(rules: Sequence[Rule]) -> list[Rule]:
+    """The rules that a write can count by itself: those about one row."""
+    return [r for r in rules if not r.grouped]
+
+
+def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str = "rules") -> tuple[DataFrame, Observation]:
+    """``df``, whose rows are counted while something is done with them
+    (S9, D0, A6): all of them and those that each row rule objects to.  After
+    the action, ``observed_counts`` has the counts; no scan of their own.
+
+    Put it last before a write: there the counts are those of the tasks whose
+    output is kept, whatever was tried twice.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    counts = [F.count_if(F.expr(r.violation)).alias(f"r{i}") for i, r in enumerate(observed_rules(rules))]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def observed_counts(seen: Observation, rules: Sequence[Rule]) -> tuple[int, dict[str, int]]:
+    """(rows, offending rows per row rule) of an ``observe_rules`` whose
+    action is over."""
+    got = seen.get
+    return int(got["rows"]), {r.name: int(got[f"r{i}"]) for i, r in enumerate(observed_rules(rules))}
+
+
+def captured(df: DataFrame, rules: Sequence[Rule], fired: set[str] | None = None) -> DataFrame:
+    """What each rule objects to, ``(rule, row)`` with the row as JSON, like
+    ``violation_rows`` but in one scan for all row rules and one for each
+    family of grouped rules (D0).
+
+    Each offending row carries the rules that fired and is exploded once;
+    groups likewise.  ``fired``: names of the row rules known to have offending
+    rows (from ``observe_rules``); the others are not looked for.
+    """
+    parts = []
+    flat = [r for r in rules if not r.grouped and (fired is None or r.name in fired)]
+    if flat:
+        hits = [
+            F.when(
+                F.expr(r.violation),
+                F.struct(
+                    F.lit(r.name).alias("rule"),
+                    F.to_json(F.struct(*(r.columns or df.columns))).alias("row"),
+                    F.lit(r.distinct).alias("once"),
+                ),
+            )
+            for r in flat
+        ]
+        offending = reduce(lambda a, b: a | b, [F.coalesce(F.expr(r.violation), F.lit(False)) for r in flat])
+        each = df.filter(offending).select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+        rows = each.select("hit.rule", "hit.row", "hit.once")
+        if any(r.distinct for r in flat):
+            # A distinct rule has each value once; other rows stay as many as they are.
+            many = F.when(~F.col("once"), F.monotonically_increasing_id())
+            rows = rows.withColumn("__n", many).distinct()
+        parts.append(rows.select("rule", "row"))
+    for group_by, filt, aggs, members in _families(rules):
+        rows = df.filter(F.expr(filt)) if filt else df
+        grouped = rows.groupBy(*group_by).agg(*[F.expr(e).alias(n) for n, e in aggs.items()])
+        hits = [
+            F.when(
+                F.expr(r.having),
+                F.struct(F.lit(r.name).alias("rule"), F.to_json(F.struct(*r.group_by, *r.agg)).alias("row")),
+            )
+            for _, r in members
+        ]
+        parts.append(grouped.select(F.explode(F.array_compact(F.array(*hits))).alias("hit")).select("hit.rule", "hit.row"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "rule string, row string")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def key_collisions(df: DataFrame, key: str, parts: Sequence[str], name: str = "key") -> DataFrame:
+    """Built keys that stand for more than one tuple of their parts (edges 12
+    and 13 of P6, P10, P11): ``(key, tuples, least, most)``, the number of
+    tuples and two of them as JSON, in which a NULL part is left out.
+
+    Tuples are told apart exactly, by grouping on the parts themselves; pairs
+    of key and tuple are counted with map-side partials.
+    """
+    pairs = df.select(F.expr(key).alias(name), *[F.expr(p).alias(f"p{i}") for i, p in enumerate(parts)]).distinct()
+    shared = pairs.groupBy(name).agg(F.count(F.lit(1)).alias("tuples")).filter(F.col("tuples") > 1)
+    spelled = F.to_json(F.struct(*[F.col(f"p{i}").alias(p) for i, p in enumerate(parts)]))
+    return pairs.join(shared, on=name).groupBy(name, "tuples").agg(F.min(spelled).alias("least"), F.max(spelled).alias("most"))
+
+
 def violation_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """What each rule objects to, as ``(rule, row)`` with the row as JSON:
     one table for rules of different columns."""

@@ -29,10 +29,22 @@ from tallymart.operators.classify import entity_class
 from tallymart.operators.clean import blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import list_aggregate, summary, summary_onepass, totals_pivot
 from tallymart.operators.model import dimension, fact, lookup_table
-from tallymart.operators.quality import evaluate, fk_orphans, null_contract, pk_duplicates, violations
-from tallymart.plans.fixture import FIXTURE, table, tally_bronze
-from tallymart.plans.layout import truncation_rules
+from tallymart.operators.quality import (
+    captured,
+    evaluate,
+    fk_orphans,
+    key_collisions,
+    null_contract,
+    observe_rules,
+    observed_counts,
+    observed_rules,
+    pk_duplicates,
+    violations,
+)
+from tallymart.plans.fixture import FIXTURE, ONE_SPELLING, table, tally_bronze
+from tallymart.plans.layout import contract_rules, truncation_rules
 from tallymart.plans.medallion import (
+    bronze_contract,
     clean_bronze,
     gold,
     gold_checks,
@@ -45,8 +57,19 @@ from tallymart.plans.medallion import (
 )
 from tallymart.plans.oracle import INGEST_EXPECTED
 from tallymart.session import materialize, scratch_path
-from tallymart.sources.delimited import INGESTED_AT, SOURCE, SOURCE_FILE, ingest_report, quarantine, read_delimited, read_staged, stage_delimited
-from tallymart.sources.sink import publish, read_table
+from tallymart.sources.delimited import (
+    INGESTED_AT,
+    SOURCE,
+    SOURCE_FILE,
+    ingest_report,
+    quarantine,
+    read_delimited,
+    read_staged,
+    rejected_lines,
+    source_id,
+    stage_delimited,
+)
+from tallymart.sources.sink import Folder, publish, publish_clustered, publish_partitions, read_table
 from tallymart.spec import Contract, Rule, SourceSpec, text_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +126,12 @@ def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORDER_LINES = SourceSpec(
+    schema=text_schema(["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
+    source_pattern=r"/src=([^/]+)/",
+)
+
+
 def _ingest_files(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Orders written as one text family per priority; two families get
     malformed lines (too many fields, too few fields), one is not expected."""
@@ -120,19 +149,16 @@ def _ingest_files(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     o.select(F.col("o_orderpriority").alias("src"), value.alias("value")).write.mode("overwrite").partitionBy(
         "src"
     ).text(path)
-    spec = SourceSpec(
-        schema=text_schema(["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
-        source_pattern=r"/src=([^/]+)/",
-    )
     # As in a real run: parsed once into a staging table.
     staging = scratch_path(spark, f"{name}-staging", unique=False)
-    stage_delimited(spark, path, spec, staging)
-    return read_staged(spark, spec, staging)
+    stage_delimited(spark, path, ORDER_LINES, staging)
+    return read_staged(spark, ORDER_LINES, staging)
 
 
 def q_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows / malformed rows / status per source file family."""
-    return ingest_report(_ingest_files(spark, sf_dir, "ingest-report"), INGEST_EXPECTED)
+    report = ingest_report(_ingest_files(spark, sf_dir, "ingest-report"), INGEST_EXPECTED)
+    return report.select("source", "rows", "bad_rows", "null_key_rows", "status")
 
 
 def q_ingest_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +168,86 @@ def q_ingest_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", SOURCE)
 
 
+def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that is kept out, and why: malformed ones as they stand,
+    the others of their source with it."""
+    raw = _ingest_files(spark, sf_dir, "ingest-rejects")
+    return rejected_lines(raw, ingest_report(raw, INGEST_EXPECTED), ORDER_LINES).select("source", "reason", "line")
+
+
+def q_ingest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source the lines of its files, those loaded and those
+    rejected: nothing is lost between them."""
+    raw = _ingest_files(spark, sf_dir, "ingest-balance")
+    report = materialize(ingest_report(raw, INGEST_EXPECTED), "ingest-balance-report", unique=False)
+    text = spark.read.text(scratch_path(spark, "ingest-balance", unique=False))
+    lines = text.filter(F.trim("value") != "").select(source_id(ORDER_LINES).alias("source"), F.lit("lines").alias("of"))
+    loaded = quarantine(raw, report).select(F.col(SOURCE).alias("source"), F.lit("loaded").alias("of"))
+    rejected = rejected_lines(raw, report, ORDER_LINES).select("source", F.lit("rejected").alias("of"))
+    every = lines.unionByName(loaded).unionByName(rejected)
+    return every.groupBy("source").agg(*[F.count_if(F.col("of") == of).alias(of) for of in ("lines", "loaded", "rejected")])
+
+
+#: Of this source one compressed part file is cut short; of the other one a
+#: part file that is named does not exist.
+CUT_SOURCE, SHORT_SOURCE = "3-MEDIUM", "2-HIGH"
+
+
+def q_ingest_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as gzip text, one family per priority.  One file is cut
+    short, one that is named is missing: their sources are reported and kept
+    out, whatever else they have; the others are loaded."""
+    path = scratch_path(spark, "ingest-unreadable", unique=False)
+    o = table(spark, sf_dir, "orders")
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
+                       F.col("o_orderstatus"), F.col("o_orderpriority"))
+    o.select(F.col("o_orderpriority").alias("src"), line.alias("value")).write.mode("overwrite").partitionBy("src").option(
+        "compression", "gzip"
+    ).text(path)
+    folder = Folder(spark, path)
+    for name in folder.children(f"src={CUT_SOURCE}/part-*.gz")[:1]:
+        _cut_file(folder, name)
+    paths = [f"{path}/{name}" for name in folder.children("src=*")] + [f"{path}/src={SHORT_SOURCE}/part-lost.txt.gz"]
+    staging = scratch_path(spark, "ingest-unreadable-staging", unique=False)
+    failed = stage_delimited(spark, paths, ORDER_LINES, staging)
+    raw = read_staged(spark, ORDER_LINES, staging)
+    report = materialize(ingest_report(raw, INGEST_EXPECTED, failed=failed), "ingest-unreadable-report", unique=False)
+    loaded = quarantine(raw, report).groupBy(F.col(SOURCE).alias("source")).agg(F.count(F.lit(1)).alias("loaded"))
+    return report.join(loaded, on="source", how="left").select(
+        "source", "status", F.col("error").isNotNull().alias("explained"), F.coalesce("loaded", F.lit(0)).alias("loaded")
+    )
+
+
+def _cut_file(folder: Folder, name: str) -> None:
+    """Put the first half (at most a megabyte) of a file in its place."""
+    path, short = folder._of(f"{folder.path}/{name}"), folder._of(f"{folder.path}/{name.replace('part-', 'part-cut-')}")
+    size = folder.fs.getFileStatus(path).getLen()
+    given, taken = folder.fs.open(path), folder.fs.create(short)
+    taken.write(given.readNBytes(min(max(12, size // 2), 1 << 20)))
+    given.close()
+    taken.close()
+    folder.delete(f"{folder.path}/{name}")
+
+
+#: District whose second delivery replaces the first, and what it holds.
+RELOADED = "2"
+
+
+def q_district_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze by district; one district is delivered again, with fewer
+    lines and other counts, and only its partition is replaced."""
+    path = scratch_path(spark, "district-reload", unique=False)
+    contract = bronze_contract(FIXTURE)
+    stamped = fixture_bronze(spark, sf_dir).withColumns({SOURCE_FILE: F.lit("first"), INGESTED_AT: F.current_timestamp()})
+    publish(stamped, path, contract)
+    again = read_table(spark, path, contract).filter((F.col("dist_codigo") == RELOADED) & (F.col("ppar_codigo") <= "3"))
+    again = again.withColumns({"cant": F.lit("0"), SOURCE_FILE: F.lit("second")})
+    publish_partitions(again, path, contract, allowed=[RELOADED])
+    return read_table(spark, path, contract).select(
+        "dist_codigo", "zona_codigo", "carg_codigo", "ppar_codigo", "ppar_descrip", "cant", F.col(SOURCE_FILE).alias("delivery")
+    )
+
+
 def q_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: source id, folder named in the decoded file path, and whether the
     ingestion time is set, per row."""
@@ -326,6 +432,55 @@ def q_dq_report(spark, sf_dir):
     return evaluate(materialize(fixture_silver(spark, sf_dir), "dq-report", unique=False), (*FIXTURE.rules, MANY_ROWS))
 
 
+def q_dq_id_mixed(spark, sf_dir):
+    """Ids of which some have the right length and some do not: the
+    table code is brought to its width on the first two lines only."""
+    rule = replace(_rule("id_length"), columns=("id_mesa", "campo_numero"))
+    rows = pre_pad(fixture_bronze(spark, sf_dir), FIXTURE)
+    first = F.col("campo_numero").isin("1", "2")
+    rows = pad_codes(rows, {c: w for c, w in FIXTURE.widths.items() if c in ("distrito", "seccion", "circuito")})
+    mesa = F.when(first, pad_code("mesa", FIXTURE.widths["mesa"])).otherwise(F.col("mesa"))
+    return violations(rows.withColumn("mesa", mesa).withColumn("id_mesa", composite_id(FIXTURE.id_key)), rule)
+
+
+def q_dq_violations(spark, sf_dir):
+    """What every gate objects to, all row rules in one scan of the staged
+    silver and one scan per family of grouped rules."""
+    staged = materialize(fixture_silver(spark, sf_dir), "dq-violations", unique=False)
+    found = captured(staged, (*FIXTURE.rules, MANY_ROWS))
+    value = lambda name: F.get_json_object("row", f"$.{name}")
+    return found.select(
+        "rule",
+        *[value(c).alias(c) for c in ("id_mesa", "categoria", "campo_numero")],
+        value("cantidad").cast("int").alias("cantidad"),
+        value("total_votos").cast("long").alias("total_votos"),
+    )
+
+
+def q_dq_observed(spark, sf_dir):
+    """Rows, and what each row rule objects to, counted by the
+    write of silver itself."""
+    rules = (*FIXTURE.rules, *contract_rules(FIXTURE))
+    rows, seen = observe_rules(fixture_silver(spark, sf_dir), rules)
+    materialize(rows, "dq-observed", unique=False)
+    n, counts = observed_counts(seen, rules)
+    entries = [("rows", n), *[(r.name, counts[r.name]) for r in observed_rules(rules)]]
+    return spark.createDataFrame(entries, "rule string, violations long")
+
+
+def q_dq_contract(spark, sf_dir):
+    """NOT NULL of the silver and gold contracts as rules over silver."""
+    return evaluate(materialize(fixture_silver(spark, sf_dir), "dq-contract", unique=False), contract_rules(FIXTURE))
+
+
+def q_key_collisions(spark, sf_dir):
+    """Edges 12, 13: keys built without widths, which several pairs of nation
+    and customer share."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string"))
+    found = key_collisions(c, "concat_ws('', c_nationkey, c_custkey)", ("c_nationkey", "c_custkey"))
+    return found.select("key", "tuples")
+
+
 # Widths that some codes of the fixture exceed.
 NARROW_WIDTHS = {"distrito": 2, "seccion": 1, "circuito": 2, "mesa": 3, "campo_numero": 3}
 
@@ -364,6 +519,58 @@ def q_null_contract(spark, sf_dir):
 
 # --- gold ----------------------------------------------------------------------
 
+def _spelled_twice(rows: DataFrame) -> DataFrame:
+    """Silver whose sections and circuits are described differently on some
+    lines."""
+    first, second = F.col("campo_numero") == "001", F.col("campo_numero").isin("002", "003", "007")
+    return rows.withColumns({
+        "seccion_descripcion": F.when(first, F.lower("seccion_descripcion")).otherwise(F.col("seccion_descripcion")),
+        "circuito_descripcion": F.when(second, F.lit(None)).otherwise(F.col("circuito_descripcion")),
+    })
+
+
+def _dim_one(name: str) -> Query:
+    def run(spark, sf_dir):
+        return dimension(_spelled_twice(fixture_rows(spark, sf_dir)), ONE_SPELLING.dims[name])
+
+    run.__name__, run.__doc__ = f"q_{name}_one", "Edge 14: one row per key, with its most frequent spelling."
+    return run
+
+
+def q_summary_one(spark, sf_dir):
+    """Edge 14 in G8: one row per category and polling table."""
+    return summary_onepass(_spelled_twice(fixture_silver(spark, sf_dir)), ONE_SPELLING.summary)
+
+
+BUCKETS = 16
+
+
+def clustered(spark, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a catalog table bucketed by the entity key."""
+    contract = Contract(name, df.schema)
+    publish_clustered(df, f"tallymart_{name}", contract, FIXTURE.classes.key, BUCKETS,
+                      location=scratch_path(spark, name, unique=False))
+    return spark.table(f"tallymart_{name}")
+
+
+def q_clustered_class(spark, sf_dir):
+    """W1, W2 on rows bucketed by the entity: flags and join without exchange."""
+    rows = clustered(spark, normalize(fixture_bronze(spark, sf_dir), FIXTURE), "clustered_rows")
+    return entity_class(rows, FIXTURE.classes, method="clustered").select(
+        "id_mesa", "categoria", "campo_numero", "cantidad", "tipo_mesa"
+    )
+
+
+def q_clustered_zero_sum(spark, sf_dir):
+    """D2 on a silver bucketed by the entity: no exchange."""
+    return violations(clustered(spark, fixture_silver(spark, sf_dir), "clustered_gate"), _rule("compensatory_zero_sum"))
+
+
+def q_clustered_summary(spark, sf_dir):
+    """G8 on a silver bucketed by the entity: no exchange."""
+    return summary_onepass(clustered(spark, fixture_silver(spark, sf_dir), "clustered_silver"), FIXTURE.summary)
+
+
 def q_fact(spark, sf_dir):
     return fact(fixture_rows(spark, sf_dir), FIXTURE.fact.columns)
 
@@ -433,8 +640,12 @@ QUERIES: dict[str, Query] = {
     "csv_ingest": q_csv_ingest,
     "ingest_report": q_ingest_report,
     "ingest_clean": q_ingest_clean,
+    "ingest_rejects": q_ingest_rejects,
+    "ingest_balance": q_ingest_balance,
+    "ingest_unreadable": q_ingest_unreadable,
     "provenance": q_provenance,
     "publish_roundtrip": q_publish_roundtrip,
+    "district_reload": q_district_reload,
     "project_rename": q_project_rename,
     "null_sentinel": q_null_sentinel,
     "blank_to_null": q_blank_to_null,
@@ -454,7 +665,12 @@ QUERIES: dict[str, Query] = {
     "dq_domain": q_dq_domain,
     "dq_null_measure": q_dq_null_measure,
     "dq_id_length": q_dq_id_length,
+    "dq_id_mixed": q_dq_id_mixed,
     "dq_report": q_dq_report,
+    "dq_violations": q_dq_violations,
+    "dq_observed": q_dq_observed,
+    "dq_contract": q_dq_contract,
+    "key_collisions": q_key_collisions,
     "dq_code_width": q_dq_code_width,
     "pk_duplicates": q_pk_duplicates,
     "fk_orphans": q_fk_orphans,
@@ -466,6 +682,12 @@ QUERIES: dict[str, Query] = {
     "dim_distrito": _dim("dim_distrito"),
     "dim_categoria": _dim("dim_categoria"),
     "dim_campo": _dim("dim_campo"),
+    "dim_seccion_one": _dim_one("dim_seccion"),
+    "dim_circuito_one": _dim_one("dim_circuito"),
+    "summary_one": q_summary_one,
+    "clustered_class": q_clustered_class,
+    "clustered_zero_sum": q_clustered_zero_sum,
+    "clustered_summary": q_clustered_summary,
     "pivot_codes": q_pivot_codes,
     "list_aggregate": q_list_aggregate,
     "summary": q_summary,

@@ -35,7 +35,7 @@ FIXTURE_PATTERN_A = "NATION_1"
 FIXTURE_PATTERN_B = "NATION_2"
 # -----------------------------------------------------------------------------
 
-FIXTURE = make_spec(
+_VALUES = dict(
     source=SourceSpec(schema=text_schema(BRONZE_COLUMNS)),
     totals=FIXTURE_TOTALS,
     total_code=FIXTURE_TOTAL_CODE,
@@ -51,6 +51,10 @@ FIXTURE = make_spec(
     widths=FIXTURE_WIDTHS,
 )
 
+FIXTURE = make_spec(**_VALUES)
+#: The same with one row per key of sections, circuits and the mart.
+ONE_SPELLING = make_spec(**_VALUES, one_spelling=True)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

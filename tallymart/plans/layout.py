@@ -134,8 +134,10 @@ FOREIGN_KEYS = (
 )
 
 
-def dims(district_names: Mapping[str, str]) -> dict[str, DimSpec]:
-    """The six dimensions of the snowflake."""
+def dims(district_names: Mapping[str, str], one_spelling: bool = False) -> dict[str, DimSpec]:
+    """The six dimensions of the snowflake (G2-G7).  ``one_spelling`` gives
+    sections and circuits that are described in several ways one row each."""
+    one = (lambda *key: key) if one_spelling else (lambda *key: ())
     return {
         "dim_mesa": DimSpec(
             {"id_mesa": "id_mesa", "id_circuito": ID_CIRCUITO, "mesa": "mesa", "tipo_mesa": "tipo_mesa"}
@@ -144,11 +146,13 @@ def dims(district_names: Mapping[str, str]) -> dict[str, DimSpec]:
             {"id_circuito": ID_CIRCUITO, "id_seccion": ID_SECCION, "circuito_numero": "circuito",
              "circuito_descripcion": "circuito_descripcion"},
             not_null=("circuito",),
+            one_per=one("id_circuito"),
         ),
         "dim_seccion": DimSpec(
             {"id_seccion": ID_SECCION, "id_distrito": "distrito", "seccion_numero": "seccion",
              "seccion_descripcion": "seccion_descripcion"},
             not_null=("seccion",),
+            one_per=one("id_seccion"),
         ),
         "dim_distrito": DimSpec(
             {"id_distrito": "distrito"}, lookups={"distrito": ("id_distrito", dict(district_names))}
@@ -223,6 +227,7 @@ def make_spec(
     bronze_partition: str | None = "dist_codigo",
     zero_sum_filter: str | None = None,
     widths: Mapping[str, int] = WIDTHS,
+    one_spelling: bool = False,
 ) -> TallySpec:
     """Build a full spec.
 
@@ -230,7 +235,9 @@ def make_spec(
     column; ``total_code`` is the code of the row carrying the registered-voter
     measure, which becomes an extra row with ``inscribed_code``.  ``widths``
     must hold the longest code of each column: a longer one is cut to its last
-    characters (``truncation_rules`` reports it).
+    characters (``truncation_rules`` reports it).  With ``one_spelling`` the
+    declared primary keys of sections, circuits and the mart hold whatever the
+    spelling of descriptions: the most frequent one is taken.
     """
     placeholders = {c: PLACEHOLDER * widths[c] for c in ID_PARTS}
     key = KeySpec(ID_PARTS, placeholders, ID_SUFFIX, "id_mesa")
@@ -262,7 +269,7 @@ def make_spec(
         rules=rules(categories, key.length, zero_sum_filter),
         silver=SILVER,
         fact=FACT,
-        dims=dims(district_names),
+        dims=dims(district_names, one_spelling),
         summary=SummarySpec(
             join_keys=("categoria", "id_mesa"),
             attributes=SUMMARY_ATTRIBUTES,
@@ -270,6 +277,7 @@ def make_spec(
             measure="cantidad",
             totals=dict(totals),
             output_order=SUMMARY_ORDER,
+            one_spelling=one_spelling,
         ),
         gold=GOLD,
         foreign_keys=FOREIGN_KEYS,
@@ -277,6 +285,16 @@ def make_spec(
     )
 
 
+#: Keys built from parts (P6, P10, P11), as expressions over silver, and the
+#: parts whose tuples each must tell apart.
+BUILT_KEYS = {
+    "id_mesa": ("id_mesa", ID_PARTS),
+    "id_seccion": (ID_SECCION, ("distrito", "seccion")),
+    "id_circuito": (ID_CIRCUITO, ("distrito", "seccion", "circuito")),
+    "id_campo": (ID_CAMPO, ("distrito", "categoria", "campo_numero", "campo_descripcion")),
+}
+
+
 def contract_rules(spec: TallySpec) -> tuple[Rule, ...]:
     """NOT NULL of the silver and gold contracts as row rules over silver:
     every gold column is an expression of silver rows, so one pass over the

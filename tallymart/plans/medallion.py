@@ -23,21 +23,45 @@ from tallymart.operators.classify import entity_class, row_kind
 from tallymart.operators.clean import align, blank_to_null, pad_codes, project, trim_sentinel
 from tallymart.operators.mart import summary, summary_onepass
 from tallymart.operators.model import dimension, fact
-from tallymart.operators.quality import enforce, evaluate, fk_orphans, pk_duplicates, stack_rows, violation_rows
+from tallymart.operators.quality import (
+    captured,
+    enforce,
+    evaluate,
+    fk_orphans,
+    key_collisions,
+    observe_rules,
+    observed_counts,
+    pk_duplicates,
+    stack_rows,
+)
 from tallymart.operators.reshape import expand_measure
-from tallymart.plans.layout import contract_rules, truncation_rules
+from tallymart.plans.layout import BUILT_KEYS, contract_rules, truncation_rules
 from tallymart.session import drop_scratch, scratch_path
 from tallymart.sources.delimited import (
     INGESTED_AT,
     OK,
+    SOURCE,
     SOURCE_FILE,
     failed_sources,
     ingest_report,
     quarantine,
     read_staged,
+    rejected_lines,
     stage_delimited,
 )
-from tallymart.sources.sink import publish, read_table
+from tallymart.sources.sink import (
+    Folder,
+    beside,
+    drop_folders,
+    is_path,
+    partition_value,
+    publish,
+    publish_clustered,
+    read_table,
+    replace_partitions,
+    replace_table,
+    stray_partitions,
+)
 from tallymart.spec import Contract, TallySpec
 
 
@@ -118,6 +142,18 @@ def table_checks(df: DataFrame, contract: Contract) -> DataFrame:
                       F.col("violations").cast("bigint").alias("violations"))
 
 
+def collision_checks(silver_df: DataFrame, spec: TallySpec) -> DataFrame:
+    """Built keys that stand for several tuples of their parts (edges 12, 13),
+    one row per key in the form of ``gold_checks``."""
+    out = None
+    for name, (key, parts) in BUILT_KEYS.items():
+        found = key_collisions(silver_df, key, parts).agg(F.count(F.lit(1)).alias("violations"))
+        row = found.select(F.lit("collision").alias("check"), F.lit(spec.silver.name).alias("table"),
+                           F.lit(f"{name} <- {','.join(parts)}").alias("detail"), "violations")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
     """Key and NOT NULL checks over the gold tables (K1-K3), one row per check:
     ``(check, table, detail, violations)``; foreign keys count orphan rows."""
@@ -140,7 +176,9 @@ Target = Callable[[str], str]
 
 #: Reports published beside the tables.
 INGEST_REPORT, QUALITY_REPORT, VIOLATIONS = "ingest_report", "quality_report", "quality_violations"
-_REPORTS = (INGEST_REPORT, QUALITY_REPORT, VIOLATIONS)
+REJECTED, KEY_REPORT = "ingest_rejected", "key_report"
+_REPORTS = (INGEST_REPORT, REJECTED, QUALITY_REPORT, VIOLATIONS, KEY_REPORT)
+_REPORT_SCHEMA = "rule string, position int, violations bigint, enforced boolean"
 
 
 def path_targets(out_root: str) -> Target:
@@ -202,14 +240,17 @@ def read_gold(spark: SparkSession, paths: dict[str, str], spec: TallySpec) -> di
 class RunResult:
     """What a run did; the published reports hold all of it.
 
-    ``ingest``: failed sources; ``quality``: violations of every rule;
-    ``truncated``: codes longer than their width, per column; ``tables``:
-    where each table went.
+    ``ingest``: failed sources; ``quality``: violations of every gate;
+    ``truncated``: codes longer than their width, per column; ``keys``: key
+    checks of the gold tables that found something; ``replaced``: partitions
+    of bronze that a reload replaced; ``tables``: where each table went.
     """
 
     ingest: list[tuple[str, str, int, int]] = field(default_factory=list)
     quality: list[tuple[str, int]] = field(default_factory=list)
     truncated: list[tuple[str, int]] = field(default_factory=list)
+    keys: list[tuple[str, str, str, int]] = field(default_factory=list)
+    replaced: list[str] = field(default_factory=list)
     tables: dict[str, str] = field(default_factory=dict)
 
 
@@ -218,13 +259,17 @@ class IngestError(RuntimeError):
 
 
 @contextmanager
-def _staging(spark: SparkSession, name: str):
-    """A scratch table of this run alone, removed when the stage is over."""
-    path = scratch_path(spark, name)
+def _staging(spark: SparkSession, name: str, target: str):
+    """A table of this run alone, removed when the stage is over unless it has
+    been renamed: beside its target, or in scratch for a catalog table."""
+    path = beside(target) if is_path(target) else scratch_path(spark, name)
     try:
         yield path
     finally:
-        drop_scratch(spark, path)
+        if is_path(target):
+            Folder(spark, path).delete(path)
+        else:
+            drop_scratch(spark, path)
 
 
 def ingest(
@@ -235,48 +280,71 @@ def ingest(
     expected=None,
     enforce_sources: bool = True,
     result: RunResult | None = None,
+    reload: list[str] | None = None,
 ) -> str:
-    """Bronze stage (S1-S3, S5, S9): parse every file once into a staging
-    table partitioned by source, publish a report per source, and publish the
-    rows of its OK sources.
-
-    A source that is missing, empty, unreadable, malformed or unexpected has
-    its row in the report and never affects another one; the stage raises
-    afterwards if any failed (good sources stay loaded, as a per-file loop
-    would).  Without any OK source bronze stays as it was.
+    """Bronze stage (S1-S3, S5, S9): parse every file once, clean it and write
+    it, partitioned as bronze is and by source, beside bronze; publish a report
+    per source and every line that is kept out; drop the folders of sources
+    that failed; rename the rest into place.  Nothing is written twice.
+
+    A source that is missing, empty, unreadable, incomplete, malformed,
+    misplaced or unexpected has its row in the report and never affects another
+    one; the stage raises afterwards if any failed (good sources stay loaded,
+    as a per-file loop would).  Without any OK source bronze stays as it was.
+
+    ``reload``: partition values (districts) that this delivery may replace.
+    Their partitions are replaced one by one and all others keep their files;
+    rows of any other partition stop the stage before anything is replaced.
     """
     result = result or RunResult()
     target = _target(out)
     path = target("bronze")
-    with _staging(spark, "bronze-staging") as staging:
-        failed = stage_delimited(spark, paths, spec.source, staging)
+    if reload is not None and not (is_path(path) and spec.bronze_partition):
+        raise ValueError("a reload needs bronze at a path, partitioned")
+    parts = (spec.bronze_partition, SOURCE) if spec.bronze_partition else (SOURCE,)
+    with _staging(spark, "bronze-staging", path) as staging:
+        failed = stage_delimited(spark, paths, spec.source, staging, lambda df: clean_bronze(df, spec), parts)
         staged = read_staged(spark, spec.source, staging)
         corrupt = spec.source.corrupt_column
-        publish(ingest_report(staged, expected, corrupt, failed=failed).coalesce(1), target(INGEST_REPORT))
+        found = ingest_report(staged, expected, corrupt, failed=failed, placement=spec.source.placement)
+        publish(found.coalesce(1), target(INGEST_REPORT))
         report = read_table(spark, target(INGEST_REPORT))
         result.tables[INGEST_REPORT] = target(INGEST_REPORT)
         result.ingest = failed_sources(report)
-        if report.filter(F.col("status") == OK).isEmpty():
+        publish(rejected_lines(staged, report, spec.source), target(REJECTED))
+        result.tables[REJECTED] = target(REJECTED)
+        loaded = {r["source"] for r in report.filter(F.col("status") == OK).select("source").collect()}
+        if not loaded:
             raise IngestError(f"no source can be loaded, bronze is unchanged: {_told(result.ingest)}")
-        bronze = clean_bronze(quarantine(staged, report, corrupt), spec)
-        publish(bronze, path, contract=bronze_contract(spec))
+        if not is_path(path):
+            publish(quarantine(staged, report, corrupt), path, contract=bronze_contract(spec))
+        else:
+            pattern = "/".join(["*=*"] * len(parts))
+            drop_folders(spark, staging, pattern, lambda name: partition_value(name) not in loaded)
+            _drop_empty(spark, staging)
+            if reload is None:
+                replace_table(spark, staging, path)
+            else:
+                stray = stray_partitions(spark, staging, reload)
+                if stray:
+                    raise IngestError(f"rows of partitions that are not reloaded, bronze is unchanged: {', '.join(stray)}")
+                result.replaced = replace_partitions(spark, staging, path)
     result.tables["bronze"] = path
     if result.ingest and enforce_sources:
         raise IngestError(f"ingest finished with failed source(s): {_told(result.ingest)}")
     return path
 
 
-def _told(failed) -> str:
-    return "; ".join(f"{s}: {status} ({n} rows, {b} malformed)" for s, status, n, b in failed)
+def _drop_empty(spark: SparkSession, table: str) -> None:
+    """Remove partition folders that hold nothing any more, which would
+    otherwise replace ones that do."""
+    folder = Folder(spark, table)
+    full = {name.partition("/")[0] for name in folder.children("*=*/*")}
+    drop_folders(spark, table, "*=*", lambda name: name not in full)
 
 
-def _gate(staged: DataFrame, spec: TallySpec) -> DataFrame:
-    """Every rule of the spec, the NOT NULL columns of silver and gold, and
-    that there are rows at all: ``(rule, position, violations)``."""
-    rules = (*spec.rules, *contract_rules(spec))
-    no_rows = staged.agg((F.count(F.lit(1)) == 0).cast("bigint").alias("violations"))
-    rows = no_rows.select(F.lit("silver_has_rows").alias("rule"), F.lit(len(rules)).alias("position"), "violations")
-    return evaluate(staged, rules).unionByName(rows)
+def _told(failed) -> str:
+    return "; ".join(f"{s}: {status} ({n} rows, {b} malformed)" for s, status, n, b in failed)
 
 
 def build_silver(
@@ -285,37 +353,58 @@ def build_silver(
     out: str | Target,
     enforce_quality: bool = True,
     result: RunResult | None = None,
+    enforce_widths: bool = False,
+    buckets: int | None = None,
 ) -> str:
-    """Silver stage, from the published bronze: stage, gate, publish.
-
-    Silver is staged as a parquet table in the shared checkpoint folder
-    (lineage cut; a lost executor recomputes from bronze at most) and gated
-    on that copy, each gate reading only its columns.  The report is
-    published; when a gate fires, so are the rows it objects to, and silver
-    stays as it was.
+    """Silver stage, from the published bronze: write, gate, rename.
+
+    Silver is written once, beside its place.  That write counts its rows and
+    what every row rule objects to; the grouped rules, and the rows of row
+    rules that fired, are captured from the written copy, one scan each.  The
+    report and the violations of this run (none, when nothing fired) replace
+    those of the last one; silver is renamed into place if no gate fired, and
+    otherwise stays as it was.
+
+    Codes cut to their width are in the report; they are a gate where
+    ``enforce_widths`` is set.  ``buckets`` clusters a catalog table of silver
+    by the entity key (see ``publish_clustered``).
     """
     result = result or RunResult()
     target = _target(out)
+    path = target("silver")
+    if buckets and is_path(path):
+        raise ValueError("only catalog tables can be bucketed")
     bronze = read_table(spark, target("bronze"), bronze_contract(spec))
-    with _staging(spark, "silver-staging") as staging:
-        publish(silver(bronze, spec), staging, contract=spec.silver)
+    rules = (*spec.rules, *contract_rules(spec))
+    with _staging(spark, "silver-staging", path) as staging:
+        rows, seen = observe_rules(silver(bronze, spec), rules, "silver")
+        publish(rows, staging, contract=spec.silver, swap=False)
+        n_rows, counts = observed_counts(seen, rules)
         staged = read_table(spark, staging, spec.silver)
+        publish(captured(staged, rules, {name for name, n in counts.items() if n}), target(VIOLATIONS))
+        result.tables[VIOLATIONS] = target(VIOLATIONS)
+        # Row rules were counted by the write; groups and distinct values are rows of the violations.
+        listed = {r.name for r in rules if r.grouped or r.distinct}
+        tally = read_table(spark, target(VIOLATIONS)).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+        kept = {r["rule"]: int(r["n"]) for r in tally.collect()}  # a row per rule
+        result.quality = [(r.name, kept.get(r.name, 0) if r.name in listed else counts[r.name]) for r in rules]
+        result.quality.append(("silver_has_rows", int(n_rows == 0)))
         cut = evaluate(pre_pad(bronze, spec), truncation_rules(spec.widths))
         result.truncated = [(r["rule"], int(r["violations"])) for r in cut.orderBy("position").collect()]
-        publish(_gate(staged, spec).coalesce(1), target(QUALITY_REPORT))
-        report = read_table(spark, target(QUALITY_REPORT))
+        told = [(*r, True) for r in result.quality] + [(*r, enforce_widths) for r in result.truncated]
+        entries = [(name, i, n, enforced) for i, (name, n, enforced) in enumerate(told)]
+        publish(spark.createDataFrame(entries, _REPORT_SCHEMA).coalesce(1), target(QUALITY_REPORT))
         result.tables[QUALITY_REPORT] = target(QUALITY_REPORT)
-        result.quality = [(r["rule"], int(r["violations"])) for r in report.orderBy("position").collect()]
-        fired = {name for name, n in result.quality if n}
-        shown = [r for r in (*spec.rules, *contract_rules(spec)) if r.name in fired]
-        if shown:
-            publish(violation_rows(staged, shown), target(VIOLATIONS))
-            result.tables[VIOLATIONS] = target(VIOLATIONS)
         if enforce_quality:
-            enforce(report)
-        publish(staged, target("silver"), contract=spec.silver)
-    result.tables["silver"] = target("silver")
-    return target("silver")
+            enforce(read_table(spark, target(QUALITY_REPORT)).filter("enforced"))
+        if is_path(path):
+            replace_table(spark, staging, path)
+        elif buckets:
+            publish_clustered(staged, path, spec.silver, spec.classes.key, buckets)
+        else:
+            publish(staged, path, contract=spec.silver)
+    result.tables["silver"] = path
+    return path
 
 
 def build_gold(
@@ -324,13 +413,22 @@ def build_gold(
     out: str | Target,
     onepass: bool = True,
     result: RunResult | None = None,
+    check_keys: bool = True,
 ) -> dict[str, str]:
-    """Gold stage, from the published silver: the eight tables, side by side."""
+    """Gold stage, from the published silver: the eight tables, side by side,
+    then a report of their declared keys (K1-K3) and of built keys that
+    collide, which never stops a run."""
     result = result or RunResult()
     target = _target(out)
     rows = read_table(spark, target("silver"), spec.silver)
     paths = publish_gold(gold(rows, spec, onepass=onepass), spec, target)
     result.tables.update(paths)
+    if check_keys:
+        checks = gold_checks(read_gold(spark, paths, spec), spec).unionByName(collision_checks(rows, spec))
+        publish(checks.coalesce(1), target(KEY_REPORT))
+        result.tables[KEY_REPORT] = target(KEY_REPORT)
+        found = read_table(spark, target(KEY_REPORT)).filter("violations > 0").orderBy("check", "table", "detail")
+        result.keys = [tuple(r) for r in found.collect()]  # at most a row per check
     return paths
 
 
@@ -343,13 +441,18 @@ def run(
     enforce_sources: bool = True,
     enforce_quality: bool = True,
     onepass: bool = True,
+    reload: list[str] | None = None,
+    enforce_widths: bool = False,
+    buckets: int | None = None,
+    check_keys: bool = True,
 ) -> RunResult:
     """Full refresh of bronze, silver and gold under the root path ``out``
     (or into the catalog tables a target function such as
     ``table_targets("tally.")`` names): three stages that can be started
-    anew, each from the table the one before has published."""
+    anew, each from the table the one before has published.  With ``reload``
+    bronze keeps all other districts; silver and gold are made anew from it."""
     result = RunResult()
-    ingest(spark, paths, spec, out, expected, enforce_sources, result)
-    build_silver(spark, spec, out, enforce_quality, result)
-    build_gold(spark, spec, out, onepass, result)
+    ingest(spark, paths, spec, out, expected, enforce_sources, result, reload)
+    build_silver(spark, spec, out, enforce_quality, result, enforce_widths, buckets)
+    build_gold(spark, spec, out, onepass, result, check_keys)
     return result

@@ -245,6 +245,89 @@ def _gold_checks_sql() -> str:
     return fixture(" UNION ALL ".join(parts))
 
 
+_LINE = "concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderpriority)"
+_SOURCES = f"""
+        counts AS (
+          SELECT o_orderpriority AS source, count(*) AS n, count(*) FILTER (WHERE {INGEST_BAD}) AS bad
+          FROM orders GROUP BY o_orderpriority),
+        expected(source) AS (VALUES {", ".join(f"('{x}')" for x in INGEST_EXPECTED)}),
+        status AS (
+          SELECT coalesce(e.source, c.source) AS source, coalesce(c.n, 0) AS n,
+                 CASE WHEN e.source IS NULL THEN 'UNEXPECTED' WHEN coalesce(c.n, 0) = 0 THEN 'NO_ROWS'
+                      WHEN coalesce(c.bad, 0) > 0 THEN 'MALFORMED' ELSE 'OK' END AS status
+          FROM expected e FULL OUTER JOIN counts c ON e.source = c.source)"""
+
+# Rule, condition on rows of silver (NOT NULL of the contracts).
+_CONTRACT_RULES = [
+    ("silver_id_mesa", "id_mesa IS NULL"), ("silver_distrito", "distrito IS NULL"), ("silver_categoria", "categoria IS NULL"),
+    ("fact_resultados_id_mesa", "id_mesa IS NULL"), ("fact_resultados_id_campo", "false"),
+    ("fact_resultados_cantidad", "cantidad IS NULL"),
+    ("dim_mesa_id_mesa", "id_mesa IS NULL"), ("dim_mesa_id_circuito", "false"), ("dim_mesa_mesa", "mesa IS NULL"),
+    ("dim_mesa_tipo_mesa", "tipo_mesa IS NULL"),
+    ("dim_circuito_id_circuito", "false"), ("dim_circuito_id_seccion", "false"),
+    ("dim_seccion_id_seccion", "false"), ("dim_seccion_id_distrito", "seccion IS NOT NULL AND distrito IS NULL"),
+    ("dim_seccion_seccion_numero", "false"),
+    ("dim_distrito_id_distrito", "distrito IS NULL"),
+    ("dim_distrito_distrito", "distrito IS NULL OR distrito NOT IN ('00', '01', '02', '03')"),
+    ("dim_categoria_id_categoria", "categoria IS NULL"), ("dim_categoria_codigo", "categoria IS NULL"),
+    ("dim_campo_id_campo", "false"), ("dim_campo_id_distrito", "distrito IS NULL"),
+    ("dim_campo_id_categoria", "categoria IS NULL"), ("dim_campo_campo_descripcion", "campo_descripcion IS NULL"),
+    ("resumen_mesa_categoria", "registro = 'MESA' AND categoria IS NULL"),
+    ("resumen_mesa_id_mesa", "registro = 'MESA' AND id_mesa IS NULL"),
+    ("resumen_mesa_distrito", "registro = 'MESA' AND distrito IS NULL"),
+]
+_GEO_NULL = ("tipo_mesa = 'NORMAL' AND (id_mesa IS NULL OR distrito IS NULL OR seccion IS NULL OR circuito IS NULL "
+             "OR mesa IS NULL)")
+_ROW_RULES = [
+    ("normal_geo_complete", _GEO_NULL), ("category_domain", f"NOT (categoria IN ({_CATS}))"),
+    ("count_not_null", "cantidad IS NULL"), ("id_length", "length(id_mesa) != 30"),
+    *[(f"not_null_{name}", condition) for name, condition in _CONTRACT_RULES],
+]
+_ATTRIBUTES = ("distrito", "seccion", "seccion_descripcion", "circuito", "circuito_descripcion", "mesa", "tipo_mesa")
+
+
+def _spelled(select: str) -> str:
+    """Silver whose descriptions vary by line, as ``spelled``."""
+    return fixture(f"""
+        , spelled AS (
+          SELECT * REPLACE (
+            CASE WHEN campo_numero = '001' THEN lower(seccion_descripcion) ELSE seccion_descripcion END AS seccion_descripcion,
+            CASE WHEN campo_numero IN ('002', '003', '007') THEN NULL ELSE circuito_descripcion END AS circuito_descripcion)
+          FROM silver)
+        {select}""")
+
+
+def _one_sql(key: str, columns: dict[str, str], kept: str) -> str:
+    listed = ", ".join(f"{e} AS {n}" for n, e in columns.items())
+    rest = ", ".join(f"{c} IS NULL, {c}" for c in columns if c != key)
+    return _spelled(f"""
+        SELECT {", ".join(columns)} FROM (
+          SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, {rest}) AS k
+          FROM (SELECT {listed}, count(*) AS n FROM spelled WHERE {kept} IS NOT NULL GROUP BY ALL))
+        WHERE k = 1""")
+
+
+def _summary_one_sql() -> str:
+    order = ", ".join(f"{c} IS NULL, {c}" for c in _ATTRIBUTES)
+    codes = {"inscriptos": "000", "votos_blanco": "003", "votos_nulos": "004", "votos_recurridos": "005",
+             "votos_impugnados": "006", "votos_totales": "007"}
+    cells = ", ".join(f"max(CASE WHEN registro = 'MESA' AND campo_numero = '{v}' THEN cantidad END) AS {c}" for c, v in codes.items())
+    return _spelled(f"""
+        , chosen AS (
+          SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY categoria, id_mesa ORDER BY n DESC, {order}) AS k
+            FROM (SELECT categoria, id_mesa, {", ".join(_ATTRIBUTES)}, count(*) AS n FROM spelled
+                  WHERE registro = 'MESA' GROUP BY ALL)) WHERE k = 1),
+        cells AS (
+          SELECT categoria, id_mesa, {cells}, CAST(sum(CASE WHEN registro = 'AGRUPACION' THEN cantidad END) AS BIGINT) AS total,
+                 count(*) FILTER (WHERE registro = 'AGRUPACION') AS lists
+          FROM spelled GROUP BY categoria, id_mesa)
+        SELECT c.categoria, c.id_mesa, {", ".join("c." + a for a in _ATTRIBUTES)},
+               CASE WHEN lists > 0 THEN lists END AS listas, {", ".join(codes)},
+               CASE WHEN lists > 0 THEN total END AS votos_afirmativos
+        FROM chosen c JOIN cells x ON c.categoria = x.categoria AND c.id_mesa = x.id_mesa""")
+
+
 ORACLE_SQL: dict[str, str] = {
     "csv_ingest": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
@@ -266,6 +349,33 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders
         WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE {INGEST_BAD})
           AND o_orderpriority IN ({", ".join(f"'{s}'" for s in INGEST_EXPECTED)})""",
+    "ingest_rejects": f"""
+        WITH {_SOURCES},
+        lines AS (
+          SELECT o_orderpriority AS source, {_LINE} AS line,
+                 CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'TOO_MANY_FIELDS'
+                      WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'TOO_FEW_FIELDS' END AS fault
+          FROM orders)
+        SELECT l.source, coalesce(fault, 'SOURCE_' || status) AS reason,
+               CASE fault WHEN 'TOO_MANY_FIELDS' THEN line || '|extra'
+                          WHEN 'TOO_FEW_FIELDS' THEN left(line, length(line) - length(l.source) - 1) ELSE line END AS line
+        FROM lines l JOIN status s ON l.source = s.source WHERE status <> 'OK'""",
+    "ingest_balance": f"""
+        WITH {_SOURCES}
+        SELECT source, n AS lines, CASE WHEN status = 'OK' THEN n ELSE 0 END AS loaded,
+               CASE WHEN status = 'OK' THEN 0 ELSE n END AS rejected FROM status WHERE n > 0""",
+    "ingest_unreadable": f"""
+        WITH {_SOURCES},
+        found AS (
+          SELECT source, n, CASE WHEN source = '2-HIGH' THEN 'INCOMPLETE' WHEN source = '3-MEDIUM' THEN 'UNREADABLE'
+                                 WHEN status = 'MALFORMED' THEN 'OK' ELSE status END AS status FROM status)
+        SELECT source, status, status IN ('INCOMPLETE', 'UNREADABLE') AS explained,
+               CASE WHEN status = 'OK' THEN n ELSE 0 END AS loaded FROM found""",
+    "district_reload": fixture("""
+        SELECT dist_codigo, zona_codigo, carg_codigo, ppar_codigo, ppar_descrip,
+               CASE WHEN dist_codigo = '2' THEN '0' ELSE cant END AS cant,
+               CASE WHEN dist_codigo = '2' THEN 'second' ELSE 'first' END AS delivery
+        FROM bronze WHERE NOT (dist_codigo = '2' AND ppar_codigo > '3')"""),
     "provenance": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority AS source, o_orderpriority AS folder,
                true AS stamped
@@ -344,6 +454,51 @@ ORACLE_SQL: dict[str, str] = {
         "coalesce(seccion, 'NNN') || coalesce(circuito, 'NNNNNNNNNNNN') || coalesce(mesa, 'NNNNNNNNNNNN') || 'X' "
         "AS id_mesa FROM s0) WHERE length(id_mesa) != 30"
     ),
+    "dq_id_mixed": fixture(f"""
+        SELECT id_mesa, campo_numero FROM (
+          SELECT campo_numero, coalesce({sql_pad('distrito', 2)}, 'NN') || coalesce({sql_pad('seccion', 3)}, 'NNN')
+                 || coalesce({sql_pad('circuito', 12)}, 'NNNNNNNNNNNN')
+                 || coalesce(CASE WHEN campo_numero IN ('1', '2') THEN {sql_pad('mesa', 12)} ELSE mesa END, 'NNNNNNNNNNNN')
+                 || 'X' AS id_mesa FROM s0)
+        WHERE length(id_mesa) != 30"""),
+    "dq_violations": fixture(f"""
+        SELECT 'normal_geo_complete' AS rule, id_mesa, categoria, campo_numero, cantidad, CAST(NULL AS BIGINT) AS total_votos
+        FROM silver WHERE {_GEO_NULL}
+        UNION ALL SELECT DISTINCT 'category_domain', NULL, categoria, NULL, NULL, NULL FROM silver
+        WHERE NOT (categoria IN ({_CATS}))
+        UNION ALL SELECT 'count_not_null', id_mesa, categoria, campo_numero, cantidad, NULL FROM silver WHERE cantidad IS NULL
+        UNION ALL SELECT 'id_length', id_mesa, NULL, NULL, NULL, NULL FROM silver WHERE length(id_mesa) != 30
+        UNION ALL SELECT 'compensatory_zero_sum', id_mesa, NULL, NULL, NULL, CAST(sum(cantidad) AS BIGINT) FROM silver
+        WHERE tipo_mesa = 'COMPENSATORIA' GROUP BY id_mesa HAVING sum(cantidad) != 0
+        UNION ALL SELECT 'compensatory_many_rows', id_mesa, NULL, NULL, NULL, count(*) FROM silver
+        WHERE tipo_mesa = 'COMPENSATORIA' GROUP BY id_mesa HAVING count(*) > 6"""),
+    "dq_observed": fixture(
+        "SELECT 'rows' AS rule, count(*) AS violations FROM silver UNION ALL "
+        + " UNION ALL ".join(f"SELECT '{name}', count(*) FILTER (WHERE {condition}) FROM silver" for name, condition in _ROW_RULES)
+    ),
+    "dq_contract": fixture(" UNION ALL ".join(
+        f"SELECT 'not_null_{name}' AS rule, CAST({i} AS INTEGER) AS position, count(*) FILTER (WHERE {condition}) AS violations"
+        " FROM silver" for i, (name, condition) in enumerate(_CONTRACT_RULES)
+    )),
+    "key_collisions": """
+        SELECT key, count(*) AS tuples FROM (
+          SELECT DISTINCT CAST(c_nationkey AS VARCHAR) || CAST(c_custkey AS VARCHAR) AS key, c_nationkey, c_custkey FROM customer)
+        GROUP BY key HAVING count(*) > 1""",
+    "dim_seccion_one": _one_sql(
+        "id_seccion",
+        {"id_seccion": "concat_ws('', distrito, seccion)", "id_distrito": "distrito", "seccion_numero": "seccion",
+         "seccion_descripcion": "seccion_descripcion"}, "seccion"),
+    "dim_circuito_one": _one_sql(
+        "id_circuito",
+        {"id_circuito": "concat_ws('', distrito, seccion, circuito)", "id_seccion": "concat_ws('', distrito, seccion)",
+         "circuito_numero": "circuito", "circuito_descripcion": "circuito_descripcion"}, "circuito"),
+    "summary_one": _summary_one_sql(),
+    "clustered_class": fixture("SELECT id_mesa, categoria, campo_numero, cantidad, tipo_mesa FROM classified"),
+    "clustered_zero_sum": fixture(
+        "SELECT id_mesa, CAST(sum(cantidad) AS BIGINT) AS total_votos FROM silver WHERE tipo_mesa = 'COMPENSATORIA' "
+        "GROUP BY id_mesa HAVING sum(cantidad) != 0"
+    ),
+    "clustered_summary": fixture("SELECT * FROM mart"),
     "dq_report": fixture(
         f"""SELECT 'normal_geo_complete' AS rule, 0 AS position, CAST(count(*) FILTER (WHERE tipo_mesa = 'NORMAL' AND
               (id_mesa IS NULL OR distrito IS NULL OR seccion IS NULL OR circuito IS NULL OR mesa IS NULL)) AS BIGINT)

@@ -29,7 +29,10 @@ class SourceSpec:
     ``source_pattern`` is a regex with one group applied to the URL-decoded
     file path; the group is the source id (a district code, a partition value).
     ``mode`` is PERMISSIVE by default so malformed files can be quarantined per
-    source instead of failing the whole scan.
+    source instead of failing the whole scan.  ``placement`` is an optional
+    SQL predicate over a row and its ``_source`` that says the row is in its
+    own file, e.g. ``lpad(dist_codigo, 2, '0') = _source``; a source with a row
+    that is not, is MISPLACED and kept out.
     """
 
     schema: StructType
@@ -39,6 +42,7 @@ class SourceSpec:
     header: bool = False
     mode: str = "PERMISSIVE"
     source_pattern: str | None = None
+    placement: str | None = None
     corrupt_column: str = "_corrupt_record"
 
 
@@ -134,7 +138,9 @@ class DimSpec:
     Rows are kept where every ``not_null`` source column is present (and
     ``filter`` holds), projected, made distinct when ``distinct`` is set, and
     finally ``lookups`` (output -> (code column, literal map)) are applied to
-    the distinct rows only.
+    the distinct rows only.  With ``one_per`` (output columns that make a key)
+    a key has one row: of its spellings in the other columns the most frequent
+    one (ties: present before NULL, then least by code point).
     """
 
     columns: Mapping[str, str]
@@ -142,6 +148,7 @@ class DimSpec:
     filter: str | None = None
     distinct: bool = True
     lookups: Mapping[str, tuple[str, Mapping[str, str]]] = field(default_factory=dict)
+    one_per: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -150,7 +157,9 @@ class SummarySpec:
 
     ``totals`` maps a code to the output column name; rows whose ``kind``
     equals ``totals_kind`` are pivoted, rows of ``lists_kind`` are summed into
-    ``lists_sum`` and counted into ``lists_count``.
+    ``lists_sum`` and counted into ``lists_count``.  ``one_spelling`` gives a
+    join key one row, with the most frequent tuple of attributes among its
+    totals rows, where the mart has one row per tuple otherwise.
     """
 
     join_keys: tuple[str, ...]
@@ -164,6 +173,7 @@ class SummarySpec:
     lists_sum: str = "votos_afirmativos"
     lists_count: str = "listas"
     output_order: tuple[str, ...] = ()
+    one_spelling: bool = False
 
 
 @dataclass(frozen=True)
