@@ -29,18 +29,21 @@ import base64
 import heapq
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.llm.common import fresh, ship_package
 
 LEAF = 24
-#: Distinct pieces, and longer units, a worker remembers.
-TABLE = 450_000
+#: Bytes that a worker's memory of space-free units, and of other pieces,
+#: may take; about ``OVERHEAD`` for an entry besides its characters and ids.
+UNIT_BYTES, PIECE_BYTES, OVERHEAD = 96 << 20, 12 << 20, 200
 _SLICE = 256
 _LEAVES = 4096
 _NO_RANK = 1 << 62
@@ -51,7 +54,7 @@ _BYTE = [bytes([c]) for c in range(256)]
 #: A space that is not followed by a non-space character.
 _OPEN_SPACE = re.compile(r" (?:\s|\Z)").search
 
-_models: dict[tuple[str, str], "Bpe"] = {}
+_models: dict[tuple[str, str, int], "Bpe"] = {}
 
 
 def _unicode_space(pattern: str) -> str:
@@ -59,25 +62,31 @@ def _unicode_space(pattern: str) -> str:
 
 
 class Memo:
-    """A bounded memory of ``compute`` (a list of keys to their values): a
-    full generation becomes the old one, from which what is still in use moves
-    back."""
+    """A memory of ``compute`` (a list of keys to their values), bounded in
+    bytes: a generation that has taken half of them becomes the old one, from
+    which what is still in use moves back.  A call may hold more, what it asks
+    for, but that is not kept beyond the next one."""
 
     def __init__(self, compute, limit: int):
-        self.compute, self.half = compute, max(1, limit // 2)
+        self.compute, self.half = compute, limit // 2
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def having(self, keys: set[str]) -> dict[str, bytes]:
         """The memory with all of ``keys`` in it."""
         if new := keys.difference(self.young):
-            if len(self.young) + len(new) > self.half:
-                self.old, self.young, new = self.young, {}, keys
+            if self.held > self.half:
+                self.old = self.young if self.held <= 2 * self.half else {}
+                self.young, self.held, new = {}, 0, keys
             young, old = self.young, self.old
-            for k in old.keys() & new:
+            back = old.keys() & new
+            for k in back:
                 young[k] = old[k]
-            new = [k for k in new if k not in young]
-            young.update(zip(new, self.compute(new)))
+            fresh = [k for k in new if k not in young]
+            found = self.compute(fresh)
+            young.update(zip(fresh, found))
+            self.held += OVERHEAD * len(new) + sum(map(len, new)) + sum(map(len, found))
         return self.young
 
 
@@ -86,7 +95,7 @@ class Bpe:
     a non-space character must start a piece.  White space in it means
     Unicode's property, as in the tiktoken library."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF, memory: int | None = None):
         self.ranks, self.leaf = ranks, leaf
         self.bytes_of = {i: b for b, i in ranks.items()}
         # What two tokens in a row merge into: every cut of every token.
@@ -105,17 +114,20 @@ class Bpe:
         self.first = [ranks.get(a + b, _NO_RANK) for a in _BYTE for b in _BYTE]
         self.firsts = np.minimum(np.array(self.first), _LAST).astype(np.int32)
         self.split = regex.compile(_unicode_space(pattern)).findall
-        self.table = Memo(self._pieces, TABLE)
-        self.units = Memo(self._units, TABLE)
+        self.mark_ids = {m: array("I", [ranks[m.encode()]]).tobytes() for m in _MARKS}
+        self.table = Memo(self._pieces, min(PIECE_BYTES, memory or PIECE_BYTES))
+        self.units = Memo(self._units, memory or UNIT_BYTES)
 
     @classmethod
-    def load(cls, path: str, pattern: str) -> "Bpe":
-        """The vocabulary file at ``path``, read once per worker."""
-        model = _models.get((path, pattern))
+    def load(cls, path: str, pattern: str, memory: int | None = None) -> "Bpe":
+        """The vocabulary file at ``path``, read once per worker; ``memory``:
+        bytes of units to remember (default: ``UNIT_BYTES``)."""
+        key = (path, pattern, memory or 0)
+        model = _models.get(key)
         if model is None:
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            model = _models[(path, pattern)] = cls(ranks, pattern)
+            model = _models[key] = cls(ranks, pattern, memory=memory)
         return model
 
     def merged(self, data: bytes) -> list[int]:
@@ -259,17 +271,29 @@ class Bpe:
     def _units(self, new: list[str]) -> list[bytes]:
         """Packed ids of space-free strings with a space in front.  Letters
         alone are one piece with it; so is a mark behind them by itself."""
-        split = self.split
-        cut = [
-            (" " + u,)
-            if u.isalpha()
-            else (" " + u[:-1], u[-1])
-            if u[-1] in _MARKS and u[:-1].isalpha()
-            else split(" " + u)
-            for u in new
-        ]
-        known = self.table.having({p for c in cut for p in c})
-        return [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cut]
+        out: list[bytes] = [b""] * len(new)
+        words, at, marked, other = [], [], [], []
+        for i, u in enumerate(new):
+            if u.isalpha():
+                words.append(u)
+                at.append(i)
+            elif u and u[-1] in _MARKS and u[:-1].isalpha():
+                marked.append(i)
+            else:
+                other.append((i, self.split(" " + u)))
+        ids = self._pieces([" " + w for w in words])
+        for i, found in zip(at, ids):
+            out[i] = found
+        known, learnt = self.units.young, dict(zip(words, ids))
+        more = [w for w in {new[i][:-1] for i in marked} if w not in known and w not in learnt]
+        learnt.update(zip(more, self._pieces([" " + w for w in more])))
+        for i in marked:
+            u = new[i]
+            out[i] = (learnt.get(u[:-1]) or known[u[:-1]]) + self.mark_ids[u[-1]]
+        pieces = self.table.having({p for _, cut in other for p in cut})
+        for i, cut in other:
+            out[i] = b"".join([pieces[p] for p in cut])
+        return out
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
@@ -346,3 +370,49 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
         (F.length("ids") / 4).cast("long").alias(fresh(kept, "n_tokens")),
         F.col("ids").alias(fresh(kept, "ids")),
     )
+
+
+def encode_checked(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text_col: str = "text",
+    keep: list[str] | None = None,
+    memory: int | None = None,
+) -> DataFrame:
+    """Every row (columns ``keep``, default all) followed by ``n_tokens``,
+    ``ids`` (an array of integers) and ``round_trip``, whether they decode to
+    the text.
+
+    Ids are decoded where they are made, and rows leave a task a slice of texts
+    at a time: neither packed ids nor decoded bytes are sent anywhere, and a
+    worker holds its memory (``memory`` bytes of units), one batch of texts and
+    one slice of results.
+    """
+    ship_package(docs.sparkSession)
+    kept = list(docs.columns if keep is None else keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Bpe.load(path, pattern, memory)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(at, _SLICE)
+                some = [t or "" for t in part.column(1).to_pylist()]
+                packed = model.encode_all(some)
+                same = [model.decode(np.frombuffer(p, "<u4").tolist()) == t.encode() for p, t in zip(packed, some)]
+                ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+                ids = pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), ids), pa.array(same, pa.bool_())],
+                    names=["row", "ids", "round_trip"],
+                )
+
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
+    out = rows.mapInArrow(run, schema)
+    return out.select(
+        *[F.col("row")[c].alias(c) for c in kept],
+        F.size("ids").cast("long").alias(fresh(kept, "n_tokens")),
+        F.col("ids").alias(fresh(kept, "ids")),
+        F.col("round_trip").alias(fresh(kept, "round_trip")),
+    )

@@ -60,7 +60,8 @@ def test_very_long_piece():
 
 
 def test_tables_start_afresh(monkeypatch):
-    monkeypatch.setattr(bpe, "TABLE", 80)
+    monkeypatch.setattr(bpe, "UNIT_BYTES", 20_000)
+    monkeypatch.setattr(bpe, "PIECE_BYTES", 10_000)
     model = bpe.Bpe(RANKS, P.PATTERN)
     for i in range(40):
         text = " ".join(f"w{i}x{j}" for j in range(20))
@@ -79,5 +80,25 @@ def test_awkward_rows_round_trip(spark):
         assert bytes(r["back"]) == (r["text"] or "").encode()
 
 
+def test_checked_rows(spark):
+    frame = docs(spark).withColumn("ids", F.lit(1))
+    out = bpe.encode_checked(frame, PATH, P.PATTERN)
+    assert out.columns == [*frame.columns, "n_tokens", "ids_", "round_trip"]
+    got = out.collect()
+    assert len(got) == len(rows()) and all(r["round_trip"] for r in got)
+    assert all(r["ids_"] == ORACLE.encode_ordinary(r["text"] or "") and r["n_tokens"] == len(r["ids_"]) for r in got)
+    assert bpe.encode_checked(empty(spark), PATH, P.PATTERN).collect() == []
+
+
+def test_a_memory_is_bounded_in_bytes():
+    memo = bpe.Memo(lambda keys: [k.encode() for k in keys], 100_000)
+    for i in range(200):
+        keys = {f"k{i}-{j}" for j in range(20)} | {"x" * 5_000 + str(i), "often"}
+        found = memo.having(keys)
+        assert all(found[k] == k.encode() for k in keys)
+        held = sum(2 * len(k) + bpe.OVERHEAD for d in (memo.young, memo.old) for k in d)
+        assert held <= 2 * 100_000
+
+
 def test_empty_table(spark):
     assert bpe.encode(empty(spark), PATH, P.PATTERN).collect() == []
