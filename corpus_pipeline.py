@@ -9,13 +9,22 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallymart.llm import bpe, mix, quality, secrets, simhash
 from tallymart.llm.common import table
 from tallymart.session import materialize
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Whole texts travel to Python in batches of at most so many, beside what the
+#: stages before have left in an executor; and what the encoder may remember.
+BATCH_ROWS, MEMORY = 1024, 24 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """A setting of the application's session, in force when a stage runs."""
+    if not 0 < int(spark.conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +34,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    _small_batches(spark)
     return simhash.one_of_each(docs)
 
 
@@ -40,17 +50,9 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document taken, and whether they decode to its text."""
+    _small_batches(spark)
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = bpe.encode(docs, path, pattern, keep=["doc_id", "source", "lang", "text"])
-    back = bpe.decoded(F.col("ids"), path, pattern)
-    return ids.select(
-        "doc_id",
-        "source",
-        "lang",
-        "n_tokens",
-        bpe.unpacked(F.col("ids")).alias("ids"),
-        (back == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
-    )
+    return bpe.encode_checked(docs, path, pattern, keep=["doc_id", "source", "lang"], memory=MEMORY)
 
 
 STAGES = [
