@@ -31,8 +31,9 @@ from tallymart.llm.common import fresh, ship_package
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Distinct units a worker remembers before it starts afresh.
-TABLE = 1_000_000
+#: Bytes of distinct units a worker remembers before it starts afresh, and
+#: those of an entry besides its characters.
+TABLE_BYTES, OVERHEAD = 192 << 20, 250
 _SLICE = 128
 
 _models: dict[str, "Unigram"] = {}
@@ -54,6 +55,7 @@ class Unigram:
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.tokens: dict[str, int] = {}
         self.scores: dict[str, float] = {}
+        self.held = 0
 
     @classmethod
     def load(cls, path: str) -> "Unigram":
@@ -108,10 +110,11 @@ class Unigram:
         units = self.units(text)
         tokens, scores = self.tokens, self.scores
         if new := set(units).difference(tokens):
-            if len(tokens) + len(new) > TABLE:
+            if self.held > TABLE_BYTES:
                 tokens.clear()
                 scores.clear()
-                new = set(units)
+                new, self.held = set(units), 0
+            self.held += OVERHEAD * len(new) + sum(map(len, new))
             for u in new:
                 tokens[u], scores[u] = self.unit(u)
         return sum(map(tokens.__getitem__, units)), sum(map(scores.__getitem__, units))
