@@ -48,6 +48,8 @@ SCALE = 256
 SHARD = 16_384
 BLOCK = 64
 QUERY_BLOCK = 1024
+#: Scores that a search holds before it drops all but the first k of a query.
+HELD = 1 << 20
 #: Rows that the centroids are fitted on, at most, and their number.
 SAMPLE, CENTROIDS = 16_384, 256
 SEED = 42
@@ -92,6 +94,17 @@ class Shard:
         kth = theta.copy()
         best = (np.empty(0, int), np.empty(0, int), np.empty(0))
         done, size = 0, 1
+
+        def kept(parts):
+            """The first k of what was found so far; raises the k-th scores."""
+            found = tuple(np.concatenate(part) for part in zip(*parts))
+            if own is not None:
+                other = found[1] != own[found[0]]
+                found = tuple(part[other] for part in found)
+            found, full = self._first(*found, k)
+            kth[full[0]] = np.maximum(kth[full[0]], full[1])
+            return found
+
         while done < order.shape[1]:
             wave = order[:, done : done + size]
             wanted = bound[rows[:, None], wave] >= kth[:, None]
@@ -99,19 +112,17 @@ class Shard:
                 break
             asks = np.zeros(bound.shape, bool)
             asks[rows[:, None], wave] = wanted
-            new = [best]
+            new, held = [best], 0
             for b in np.flatnonzero(asks.any(axis=0)).tolist():
                 who = np.flatnonzero(asks[:, b])
                 at = self.starts[b]
                 score = q[who] @ self.x[at : at + BLOCK].T
                 r, c = np.nonzero(score >= kth[who][:, None])
                 new.append((who[r], at + c, score[r, c]))
-            best = tuple(np.concatenate(part) for part in zip(*new))
-            if own is not None:
-                other = best[1] != own[best[0]]
-                best = tuple(part[other] for part in best)
-            best, full = self._first(*best, k)
-            kth[full[0]] = np.maximum(kth[full[0]], full[1])
+                held += len(r)
+                if held > HELD:  # many equal scores
+                    new, held = [kept(new)], 0
+            best = kept(new)
             done, size = done + size, max(1, done + size)
         return best[0], best[1], best[2].astype(np.int64).tolist()
 
@@ -120,9 +131,8 @@ class Shard:
         order = np.lexsort((place, self.ids[place], self.no_id[place], -score, query))
         query, place, score = query[order], place[order], score[order]
         rank = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-        kept = rank < k
-        last = rank == k - 1
-        return (query[kept], place[kept], score[kept]), (query[last], score[last])
+        some, last = rank < k, rank == k - 1
+        return (query[some], place[some], score[some]), (query[last], score[last])
 
     def _search_whole(self, q, theta, k, own):
         """Without bounds, by whole numbers of any size."""

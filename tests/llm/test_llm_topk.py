@@ -54,6 +54,20 @@ def test_a_vector_that_most_rows_share(spark):
     assert searched(frame_of(spark, rows), shard=100, k=7) == brute(rows, 7, 10)
 
 
+def test_many_equal_scores_are_dropped_on_the_way(monkeypatch):
+    monkeypatch.setattr(topk, "HELD", 100)
+    rng = np.random.default_rng(5)
+    x = np.where(np.arange(2000)[:, None] % 3 < 2, 7.0, np.floor(rng.normal(size=(2000, 4)) * 5))
+    ids = rng.permutation(2000)
+    shard = topk.Shard(x, ids, np.zeros(2000, bool))
+    own = np.arange(0, 2000, 100)
+    query, place, score = shard.search(x[own], np.full(len(own), -np.inf), 5, own)
+    for i, p in enumerate(own):
+        products = x @ x[p]
+        want = [j for j in np.lexsort((ids, -products)) if j != p][:5]
+        assert place[query == i].tolist() == want
+
+
 def test_awkward_vectors(spark):
     rows = [(None, [9.0, 9.0]), (0, [1.0, 2.0]), (10, None), (20, [1.0, None]), (30, [float("nan"), 1.0]),
             (40, [float("inf"), 1.0]), (50, []), (60, [-1.0]), (70, [0.1, 0.2, 0.3]), (70, [0.3, 0.2, 0.1]), (70, [0.1, 0.2, 0.3]),
