@@ -1,17 +1,20 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-A rule rejects a document whose feature exceeds a cutoff.  Cutoffs are chosen
-per stratum on labelled holdout documents: with ``n`` good ones in the
-stratum, of which ``k`` exceed a cutoff, the hypothesis "the rule falsely
-rejects more than ``alpha`` of good documents" has the exact binomial p-value
-``P(Bin(n, alpha) <= k)``.  Cutoffs of a rule are nested, so they are tested
-in order from the mildest on and the walk stops at the first that is not
-certified (fixed-sequence testing needs no correction within a rule); over
-the rules and strata the level is divided (Bonferroni).  The strictest
-certified cutoff is used, none where the mildest is not certified.  With
-probability ``1 - delta`` every rule of every stratum rejects at most
-``alpha`` of the good documents, and a document's rules together at most
-``risk = alpha * number of rules``.
+A rule rejects a document whose feature exceeds a cutoff.  The rules are made
+stricter together, in steps: each adds the next cutoff of one rule, in turn,
+mildest first.  What a step rejects, a later one rejects too, so the steps are
+tested in that order on labelled holdout documents, up to the first that is
+not certified (fixed-sequence testing: no correction within a stratum).  With
+``n`` good documents in the stratum, of which ``k`` are rejected by any rule at
+a step, the hypothesis "the rules falsely reject more than ``risk`` of the good
+documents" has the exact binomial p-value ``P(Bin(n, risk) <= k)``.
+
+Strata with too few good documents for any certificate are judged together,
+as one more stratum, with the strata that have no labels at all; which those
+are follows from the numbers of labels, not from what is tested.  Over the
+strata the level is divided (Bonferroni).  With probability ``1 - delta`` the
+rules falsely reject at most ``risk`` of the good documents in every stratum
+(the pooled ones: in their union).
 
 Features are fixed functions of the text, so all labelled documents are
 holdouts.  Base features and the base verdict are those of ``features``.
@@ -20,7 +23,8 @@ Defined results: a NULL, empty or blank text has no words and fails the base
 rules; a NULL stratum is a stratum; a document with several labels counts as
 good only if all of them say so; labels that are NULL or of no document, and
 documents without labels, take no part in the choice; repeated rows each get
-their verdict and count as often as they occur.
+their verdict and count as often as they occur; where not even the pooled
+strata can be certified, the base rules decide alone.
 """
 
 from __future__ import annotations
@@ -52,7 +56,7 @@ RULES = (
     Cutoffs("capitals", "n_capitals / greatest(word_chars, 1L)", (0.8, 0.7, 0.6, 0.5, 0.45, 0.4)),
 )
 #: Share of good documents that the rules together may reject, and the
-#: probability that the guarantee fails.
+#: probability that the guarantee fails anywhere.
 RISK, DELTA = 0.02, 0.05
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -176,49 +180,64 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(n == 0, F.lit(1.0)).when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(log_top) * total))
 
 
+def steps(rules: tuple[Cutoffs, ...] = RULES) -> list[tuple[float | None, ...]]:
+    """The cutoffs of all rules (None: not in use yet) at every step."""
+    now: list[float | None] = [None] * len(rules)
+    out = []
+    for j in range(max((len(r.grid) for r in rules), default=0)):
+        for i, r in enumerate(rules):
+            if j < len(r.grid):
+                now[i] = float(r.grid[j])
+                out.append(tuple(now))
+    return out
+
+
+def rejected(rules: tuple[Cutoffs, ...], cutoffs: tuple[float | None, ...]) -> str:
+    """SQL predicate: a rule rejects at these cutoffs."""
+    return " OR ".join(f"({r.feature}) > {c}" for r, c in zip(rules, cutoffs) if c is not None)
+
+
 def certify(
     holdout: DataFrame, rules: tuple[Cutoffs, ...] = RULES, risk: float = RISK, delta: float = DELTA
 ) -> DataFrame:
-    """One row per stratum and rule with its certified cutoff (NULL: none).
+    """One row per stratum and rule with its certified cutoff (NULL: none):
+    ``(stratum, pooled, n_good, rule, cutoff)``; all ``pooled`` strata have
+    those of their union.
 
     ``holdout`` has ``stratum``, ``good`` (boolean) and the feature columns,
     one row per labelled document that the base rules keep.  One aggregate
-    counts the good documents over every candidate cutoff; the rest works on
-    that table of strata x rules x cutoffs.
+    counts the good documents that each step rejects; the rest works on that
+    table of strata x steps.
     """
-    alpha = risk / len(rules)
-    over = [
-        F.count_if(F.expr(f"({r.feature}) > {c}")).alias(f"over_{i}_{j}")
-        for i, r in enumerate(rules)
-        for j, c in enumerate(r.grid)
-    ]
+    ladder = steps(rules)
+    over = [F.count_if(F.expr(rejected(rules, c))).alias(f"k{i}") for i, c in enumerate(ladder)]
     counts = holdout.where("good").groupBy("stratum").agg(F.count("*").alias("n_good"), *over)
-    # The correction needs the number of strata beside each row.
-    m = counts.agg(F.count("*").alias("strata"))
-    tests = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("rule"),
-                F.array(
-                    *[F.struct(F.lit(float(c)).alias("cutoff"), F.col(f"over_{i}_{j}").alias("k")) for j, c in enumerate(r.grid)]
-                ).alias("grid"),
-            )
-            for i, r in enumerate(rules)
-        ]
-    )
+    # The least n for which no false rejection at all is a certificate at the
+    # level that is left if every stratum is tested, and the pooled one.
+    strata = counts.agg(F.count("*").alias("strata"))
+    least = F.ceil(F.ln(F.lit(delta) / (F.col("strata") + 1)) / F.ln(F.lit(1.0 - risk)))
     # One row on the right.
-    each = counts.join(F.broadcast(m)).select("stratum", "n_good", "strata", F.explode(tests).alias("t"))
-    level = F.lit(delta) / (F.col("strata") * F.lit(len(rules)))
-    walk = F.aggregate(
-        F.col("t.grid"),
-        F.struct(F.lit(None).cast("double").alias("cutoff"), F.lit(True).alias("on")),
-        lambda s, g: let(
-            s["on"] & (binomial_tail(g["k"], F.col("n_good"), alpha) <= level),
-            lambda ok: F.struct(F.when(ok, g["cutoff"]).otherwise(s["cutoff"]).alias("cutoff"), ok.alias("on")),
+    sized = counts.join(F.broadcast(strata)).withColumn("pooled", F.col("n_good") < least)
+    tested = sized.groupBy("pooled", F.when(~F.col("pooled"), F.col("stratum")).alias("of")).agg(
+        F.sum("n_good").alias("n"),
+        F.collect_list(F.struct("stratum", "n_good")).alias("members"),
+        *[F.sum(f"k{i}").alias(f"k{i}") for i in range(len(ladder))],
+    )
+    tests = tested.agg(F.count("*").alias("tests"))
+    climbed = F.aggregate(
+        F.array(*[F.col(f"k{i}") for i in range(len(ladder))]),
+        F.struct(F.lit(0).alias("done"), F.lit(True).alias("on")),
+        lambda s, k: let(
+            s["on"] & (binomial_tail(k, F.col("n"), risk) <= F.lit(delta) / F.col("tests")),
+            lambda ok: F.struct((s["done"] + ok.cast("int")).alias("done"), ok.alias("on")),
         ),
-        lambda s: s["cutoff"],
+        lambda s: s["done"],
     )
-    return each.select("stratum", "n_good", F.col("t.rule").alias("rule"), walk.alias("cutoff"))
+    # One row on the right.
+    reached = tested.join(F.broadcast(tests)).select("pooled", climbed.alias("done"), F.inline("members"))
+    cutoff = lambda i: F.get(F.array(F.lit(None).cast("double"), *[F.lit(c[i]).cast("double") for c in ladder]), F.col("done"))
+    each = F.array(*[F.struct(F.lit(i).alias("rule"), cutoff(i).alias("cutoff")) for i in range(len(rules))])
+    return reached.select("stratum", "pooled", "n_good", F.inline(each))
 
 
 def judge(
@@ -258,12 +277,19 @@ def judge(
     cutoffs = certify(holdout, rules, risk, delta)
     # Written first: its measured size lets Spark broadcast it, so no row of
     # the documents is shuffled by a stratum that holds most of them.
-    by_stratum = materialize(
-        cutoffs.groupBy(F.col("stratum").alias("of_stratum")).agg(
-            *[F.max(F.when(F.col("rule") == i, F.col("cutoff"))).alias(f"cutoff_{i}") for i in range(len(rules))]
-        ),
-        "quality-cutoffs",
+    chosen = [F.max(F.when(F.col("rule") == i, F.col("cutoff"))).alias(f"cutoff_{i}") for i in range(len(rules))]
+    written = materialize(
+        cutoffs.groupBy(F.col("stratum").alias("of_stratum"), "pooled").agg(*chosen), "quality-cutoffs"
     )
+    own = written.where(~F.col("pooled")).withColumn("own", F.lit(True))
+    # One row, NULL cutoffs where there is no pooled stratum: by an aggregate.
+    rest = written.where("pooled").agg(*[F.max(f"cutoff_{i}").alias(f"rest_{i}") for i in range(len(rules))])
+    of_own = [F.col(f"cutoff_{i}").alias(f"own_{i}") for i in range(len(rules))]
+    judged = measured.join(
+        own.select("of_stratum", "own", *of_own), F.col("stratum").eqNullSafe(F.col("of_stratum")), "left"
+    ).join(F.broadcast(rest))
+    for i in range(len(rules)):
+        judged = judged.withColumn(f"cutoff_{i}", F.when(F.col("own"), F.col(f"own_{i}")).otherwise(F.col(f"rest_{i}")))
     failing = F.filter(
         F.array(
             *[
@@ -274,8 +300,7 @@ def judge(
         lambda x: x.isNotNull(),
     )
     return (
-        measured.join(by_stratum, F.col("stratum").eqNullSafe(F.col("of_stratum")), "left")
-        .withColumn("failed_rules", failing)
+        judged.withColumn("failed_rules", failing)
         .select(
             "row",
             *BASE,

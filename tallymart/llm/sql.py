@@ -40,18 +40,23 @@ FROM ranked r JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_siz
 
 def quality_sql(documents: str = "documents", labels: str = "labels") -> str:
     """Features, verdict and failing rules of every document."""
-    alpha, level = quality.RISK / len(quality.RULES), quality.DELTA
+    risk, delta = quality.RISK, quality.DELTA
     feature = {r.name: r.feature.replace("1L", "1").replace(" / ", "::DOUBLE / ") for r in quality.RULES}
-    tests = " UNION ALL ".join(
-        f"SELECT lang, {i} AS rule, {j} AS step, {c}::DOUBLE AS cutoff, count(*) FILTER (WHERE {feature[r.name]} > {c}) AS k,"
-        " count(*) AS n FROM good GROUP BY lang"
-        for i, r in enumerate(quality.RULES)
-        for j, c in enumerate(r.grid)
+    ladder = quality.steps()
+    union = lambda cutoffs: " OR ".join(
+        f"{feature[r.name]} > {c}" for r, c in zip(quality.RULES, cutoffs) if c is not None
     )
-    fails = ", ".join(f"CASE WHEN {feature[r.name]} > c{i}.cutoff THEN '{r.name}' END" for i, r in enumerate(quality.RULES))
-    joins = " ".join(
-        f"LEFT JOIN chosen c{i} ON c{i}.rule = {i} AND c{i}.lang IS NOT DISTINCT FROM v.lang" for i in range(len(quality.RULES))
+    tests = " UNION ALL ".join(
+        f"SELECT lang, pooled, {i} AS step, count(*) FILTER (WHERE {union(c)}) AS k, count(*) AS n FROM pooled GROUP BY lang, pooled"
+        for i, c in enumerate(ladder)
     )
+    at = lambda i: "CASE done " + " ".join(
+        f"WHEN {j} THEN {c[i]}" for j, c in enumerate(ladder, 1) if c[i] is not None
+    ) + " END"
+    chosen = ", ".join(f"{at(i)} AS c{i}" for i in range(len(quality.RULES)))
+    cut = lambda i: f"CASE WHEN o.own THEN o.c{i} ELSE rest.c{i} END"
+    fails = ", ".join(f"CASE WHEN {feature[r.name]} > {cut(i)} THEN '{r.name}' END" for i, r in enumerate(quality.RULES))
+    rest = ", ".join(f"max(c{i}) FILTER (WHERE pooled) AS c{i}" for i in range(len(quality.RULES)))
     return rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
@@ -77,17 +82,27 @@ verdicts AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS ba
 marks AS (
   SELECT doc_id, min(quality) = 1 AS good FROM {labels} WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
 good AS (SELECT v.* FROM verdicts v JOIN marks m ON v.doc_id = m.doc_id WHERE NOT base_failed AND good),
+sizes AS (SELECT lang, count(*) AS n FROM good GROUP BY lang),
+rare AS (
+  SELECT lang, n < (SELECT ceil(ln({delta} / (count(*) + 1)) / ln(1 - {risk})) FROM sizes) AS pooled FROM sizes),
+pooled AS (
+  SELECT g.* REPLACE (CASE WHEN NOT r.pooled THEN g.lang END AS lang), r.pooled
+  FROM good g JOIN rare r ON g.lang IS NOT DISTINCT FROM r.lang),
 tests AS ({tests}),
 tails AS (
-  SELECT lang, rule, step, cutoff, CASE WHEN k >= n * {alpha} THEN 1.0 ELSE (
-    SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({alpha}) + (n - j) * ln(1 - {alpha})))
+  SELECT lang, pooled, step, CASE WHEN k >= n * {risk} THEN 1.0 ELSE (
+    SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk}) + (n - j) * ln(1 - {risk})))
     FROM (SELECT unnest(range(0, k + 1)) AS j)) END AS p FROM tests),
-levels AS (SELECT {level}::DOUBLE / (count(DISTINCT coalesce('l' || lang, 'null')) * {len(quality.RULES)}) AS level FROM good),
+level AS (SELECT {delta}::DOUBLE / count(*) AS level FROM tests WHERE step = 0),
 walk AS (
-  SELECT lang, rule, cutoff, max(CASE WHEN p <= level THEN 0 ELSE 1 END) OVER (
-    PARTITION BY lang, rule ORDER BY step ROWS UNBOUNDED PRECEDING) AS failed FROM tails, levels),
-chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM walk WHERE failed = 0 GROUP BY lang, rule),
-judged AS (SELECT v.*, concat_ws(',', {fails}) AS failed_rules FROM verdicts v {joins})
+  SELECT lang, pooled, max(CASE WHEN p <= level THEN 0 ELSE 1 END) OVER (
+    PARTITION BY lang, pooled ORDER BY step ROWS UNBOUNDED PRECEDING) AS failed FROM tails, level),
+reached AS (SELECT lang, pooled, count(*) FILTER (WHERE failed = 0) AS done FROM walk GROUP BY lang, pooled),
+chosen AS (SELECT lang, pooled, NOT pooled AS own, {chosen} FROM reached),
+rest AS (SELECT {rest} FROM chosen),
+judged AS (
+  SELECT v.*, concat_ws(',', {fails}) AS failed_rules
+  FROM verdicts v LEFT JOIN chosen o ON o.own AND o.lang IS NOT DISTINCT FROM v.lang CROSS JOIN rest)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM judged"""
 

@@ -56,6 +56,54 @@ def test_cutoffs_stop_at_the_first_that_fails(spark):
     assert got == {("a", 0): 0.6, ("a", 1): 5.0, ("b", 0): None, ("b", 1): None, (None, 0): 0.4, (None, 1): 5.0}
 
 
+def test_rare_strata_are_judged_together(spark):
+    rules = (Cutoffs("x", "x", (0.8, 0.6)), Cutoffs("y", "y", (5.0,)))
+    many = [(f"r{i % 40}", True, 0.0, 0.0) for i in range(800)]  # twenty each: no certificate alone
+    few = [(f"s{i % 4}", True, 0.0, 0.0) for i in range(80)]
+    own = [("big", True, 0.7 if i < 100 else 0.0, 0.0) for i in range(1000)]
+    for rows_, want in ((many + own, (0.6, 5.0)), (few + own, (None, None))):
+        frame = spark.createDataFrame(rows_, "stratum string, good boolean, x double, y double")
+        got = {(r["stratum"], r["rule"]): (r["pooled"], r["cutoff"]) for r in quality.certify(frame, rules, 0.02, 0.05).collect()}
+        assert got.pop(("big", 0)) == (False, 0.8) and got.pop(("big", 1)) == (False, 5.0)
+        assert set(got.values()) == {(True, c) for c in want}
+
+
+def test_the_guarantee_holds_over_the_rules_together(spark):
+    # Each rule alone rejects 1.5 % of the good documents, together 3 %: beyond the risk.
+    rules = (Cutoffs("x", "x", (0.5,)), Cutoffs("y", "y", (0.5,)))
+    rows_ = [("a", True, 1.0 if i < 15 else 0.0, 1.0 if 100 <= i < 115 else 0.0) for i in range(1000)] * 3
+    frame = spark.createDataFrame(rows_, "stratum string, good boolean, x double, y double")
+    got = {r["rule"]: r["cutoff"] for r in quality.certify(frame, rules, 0.02, 0.05).collect()}
+    assert got == {0: 0.5, 1: None}
+
+
+def test_rejected_good_documents_stay_within_the_risk():
+    """Simulated: how often the walk ends at a step beyond the risk."""
+    import numpy as np
+
+    rng, ladder, broken = np.random.default_rng(0), quality.steps(), 0
+    share = np.linspace(0.001, 0.05, len(ladder))  # of good documents rejected at each step
+    for _ in range(2000):
+        u = np.sort(rng.random(800))
+        done = 0
+        for p in share:
+            k = int(np.searchsorted(u, p))
+            if sum(comb(800, j) * 0.02**j * 0.98 ** (800 - j) for j in range(k + 1)) > 0.05:
+                break
+            done += 1
+        broken += done and share[done - 1] > 0.02
+    assert broken <= 0.05 * 2000
+
+
+def test_documents_of_unlabelled_strata_get_the_pooled_cutoffs(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    junk = " ".join(f"#$% w{i}" for i in range(40))
+    docs_ = [(i, f"{good} {i}", f"l{i % 30}") for i in range(600)] + [(9000 + i, f"{junk} {i}", f"new{i}") for i in range(5)]
+    frame = spark.createDataFrame(docs_, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(600)], "doc_id long, quality int")
+    assert {r["doc_id"] for r in quality.filter_quality(frame, labels).collect()} == set(range(600))
+
+
 def test_verdict_rejects_junk_and_keeps_good(spark):
     good = " ".join(f"word{i}" for i in range(40))
     junk = " ".join(f"#$% w{i}" for i in range(40))

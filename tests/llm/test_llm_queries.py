@@ -43,6 +43,13 @@ def test_query_equals_its_sql(spark, name):
     assert got == want
 
 
+def test_op4_rules_act(spark):
+    rejected = [r for r in result(spark, "op4_quality") if r["failed_rules"]]
+    if os.path.isdir("/root/testdata/sf0.01"):
+        rejected = [r for r in QUERIES["op4_quality"](spark, "/root/testdata/sf0.01").collect() if r["failed_rules"]]
+        assert len(rejected) > 20 and any(not r["base_failed"] for r in rejected)
+
+
 def test_op6_columns(spark, documents):
     for r in result(spark, "op6_secrets"):
         spans = base(documents[r["doc_id"]]["text"])
