@@ -21,6 +21,7 @@ empty file table.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallymart.llm.bpe import Memo
 from tallymart.llm.common import ship_package
 
 #: (ids in a word, bits of each) of selectors 2 to 15: fixed by the format.
@@ -41,8 +43,8 @@ ESCAPE, ZERO_RUN, FIRST_PACKING = 0, 1, 2
 BLOCK = 1024
 #: A chunk is closed at so many ids; a longer document is a chunk of its own.
 CHUNK = 1 << 16
-#: Distinct strings a worker remembers before it starts afresh.
-TABLE = 1_000_000
+#: Bytes that a worker's memory of space-free strings may take.
+TABLE_BYTES = 128 << 20
 MARK = "\x01"
 #: Marks that follow a word; the split keeps them apart from letters.
 MARKS = frozenset(".,;:!?)")
@@ -130,7 +132,8 @@ def unpack(words: np.ndarray) -> np.ndarray:
 
 
 class Lookup:
-    """A tokenizer with a bounded table of the ids of space-free strings.
+    """A tokenizer with a memory, bounded in bytes, of the ids of space-free
+    strings.
 
     For vocabularies whose split drops white space and that lower their text:
     no token spans a space, so a text's ids are those of its lowered
@@ -143,7 +146,7 @@ class Lookup:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.table: dict[bytes, bytes] = {}
+        self.table = Memo(self._learn, TABLE_BYTES)
         (self.mark,) = self._ids(MARK)
 
     @classmethod
@@ -159,46 +162,49 @@ class Lookup:
         """Ids of one run of lower-case Latin-1 letters: the normaliser and
         the split leave it as it is, so the library's model can be asked
         directly, with each byte written as its sign."""
-        return np.array([t.id for t in self.model.tokenize(text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS))], "<u4").tobytes()
-
-    def _learn(self, new: list[bytes]) -> None:
-        table, rest, marked = self.table, [], []
+        if not text.isascii():  # an ASCII letter is its own sign
+            text = text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """Packed ids of space-free strings."""
+        known, learnt, letters = self.table.young, {}, self._letters
+        rest, marked = [], []
         for w in new:
             text = w.decode()
-            if text[-1] in MARKS and text[:-1].isalpha() and max(text) <= "\xff":
-                marked.append((w, w[:-1], w[-1:]))
-                text = text[:-1]
-                w = w[:-1]
-                if w in table:
-                    continue
-            if text.isalpha() and max(text) <= "\xff":
-                table[w] = self._letters(text.lower())
+            if text.isalpha():
+                if max(text) <= "\xff":
+                    learnt[w] = letters(text.lower())
+                else:
+                    rest.append(w)
+            elif text[-1] in MARKS and text[:-1].isalpha() and max(text) <= "\xff":
+                marked.append(w)
             else:
                 rest.append(w)
-        rest += [m for m in {m for _, _, m in marked} if m not in table]
+        for w in marked:
+            if (stem := w[:-1]) not in learnt and stem not in known:
+                learnt[stem] = letters(stem.decode().lower())
+        rest += [m for m in {w[-1:] for w in marked} if m not in known and m not in rest]
         plain = [w for w in rest if MARK.encode() not in w and SPECIAL not in w]
         for w in set(rest).difference(plain):
-            table[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
+            learnt[w] = array("I", self._ids(w.decode())).tobytes()
         for at in range(0, len(plain), 2000):
             part = plain[at : at + 2000]
             ids = np.array(self._ids(f" {MARK} ".join([w.decode() for w in part])), "<u4")
             cuts = np.flatnonzero(ids == self.mark) * 4
             data = ids.tobytes()
             for w, a, b in zip(part, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]):
-                table[w] = data[a:b]
-        for w, stem, mark in marked:  # a mark behind letters is a piece by itself
-            table[w] = table[stem] + table[mark]
+                learnt[w] = data[a:b]
+        of = lambda w: learnt[w] if w in learnt else known[w]
+        for w in marked:  # a mark behind letters is a piece by itself
+            learnt[w] = of(w[:-1]) + of(w[-1:])
+        return [learnt[w] for w in new]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
         # A special token's string counts in its own case only.
         split = [(t if SPECIAL in t else t.lower()).split() for t in texts]
-        table = self.table
-        new = set().union(*split).difference(table)
-        if len(table) + len(new) > TABLE:
-            table.clear()
-            new = set().union(*split)
-        self._learn(list(new))
+        table = self.table.having(set().union(*split))
         return [b"".join(map(table.__getitem__, ws)) for ws in split]
 
 

@@ -51,7 +51,7 @@ def oracle():
 
 
 def test_lookup_equals_the_library(oracle, monkeypatch):
-    monkeypatch.setattr(tokenfile, "TABLE", 30)
+    monkeypatch.setattr(tokenfile, "TABLE_BYTES", 8_000)
     lookup, rng = tokenfile.Lookup(PATH), np.random.default_rng(1)
     parts = ["a", "B", " ", "\n", "\x1c", "\x85", "　", "'s", "12", "É", "é", "́", "!", "日", "😀", "\x01", "<|endoftext|>", "<|EndOfText|>", "<|", "Σ", "İ", "ß", "the"]
     for _ in range(1500):
