@@ -13,8 +13,18 @@ at the end.  Many queries search a graph in lockstep, so every step is a few
 array operations.
 
 Equal vectors are one node: it keeps the least ``k + 1`` ids, all that any
-query can ask for, because ties go to the smaller id.  Query vectors are
-grouped in blocks, and each block meets every shard once.
+query can ask for, because ties go to the smaller id; nodes of equal score are
+ordered by their least id wherever they are cut.  A beam whose last score is
+still that of the ``k + 1``-th may have left equal ones out: such a query is
+answered by the scores of all nodes of the shard.
+
+How wide a beam a shard needs depends on its vectors, so its builder measures
+that: ``SAMPLED`` of its own vectors are searched and compared with all
+products, and the least width of ``EF_SEARCH`` and its doublings that finds
+``RECALL`` of their nearest is stored with the graph (the widest is all nodes).
+
+Query vectors are grouped in blocks; a shard's graph is read once, by one task
+that all blocks are sent to (``meet``).
 
 Defined results: a vector that is NULL, empty, all zero, or that holds a NULL
 or non-finite component takes no part, nor does a NULL id; an id that occurs
@@ -25,8 +35,6 @@ candidates get them all; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import ship_package
+from tallymart.llm.meet import meet
 from tallymart.session import materialize
 
 K = 20
@@ -42,6 +51,8 @@ SHARD = 8192
 #: layer 0), and slots per node (pruning waits until they are full).
 LINKS, SLACK = 20, 16
 EF_BUILD, EF_SEARCH = 80, 160
+#: What the stored beam must find of the nearest of so many sampled vectors.
+RECALL, SAMPLED = 0.97, 64
 BATCH = 256
 QUERY_BLOCK = 1024
 SEED = 42
@@ -221,24 +232,73 @@ def _equal_norms(x: np.ndarray) -> np.ndarray:
     return np.column_stack([x, rest]) / scale
 
 
-_INDEX = "dim int, part int, ids binary, vectors binary, entry int, widths array<int>, links array<binary>"
+def _best(score: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the first ``k`` of every row: by score, then least id."""
+    first = np.argsort(least, axis=1, kind="stable")
+    at = np.arange(len(score))[:, None]
+    return first[at, np.argsort(-score[at, first], axis=1, kind="stable")][:, :k]
+
+
+def search_shard(graph: Graph, x: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int, ef: int):
+    """Nodes and products of the first ``k`` found for every query, by product
+    of the vectors as given, then least id (-1: none)."""
+    n, rows = len(x), np.arange(len(queries))[:, None]
+    found, _ = graph.search(np.column_stack([queries, np.zeros(len(queries))]), min(ef, n))
+    score = np.where(found >= 0, (x[found] * queries[:, None, :]).sum(axis=2), -np.inf)
+    ids = np.where(found >= 0, least[found], np.iinfo(np.int64).max)
+    best = _best(score, ids, k)
+    found, last = found[rows, best], score.min(axis=1)
+    score = score[rows, best]
+    # Beyond a full beam there may be more nodes of the last score that counts.
+    for i in np.flatnonzero((score[:, -1] == last) & (ef < n)).tolist() if score.shape[1] == k else ():
+        every = (x * queries[i]).sum(axis=1)
+        found[i] = _best(every[None, :], least[None, :], k)[0]
+        score[i] = every[found[i]]
+    return found, score
+
+
+def beam_width(graph: Graph, x: np.ndarray, least: np.ndarray, k: int, ef: int) -> int:
+    """The least width, ``ef`` or a doubling of it, that finds ``RECALL`` of
+    the first ``k`` of some of the shard's vectors."""
+    some = np.random.default_rng(SEED).permutation(len(x))[:SAMPLED]
+    k = min(k, len(x))
+    product = x[some] @ x.T
+    kth = -np.partition(-product, k - 1, axis=1)[:, k - 1]
+    while ef < len(x):
+        found, score = search_shard(graph, x, least, x[some], k, ef)
+        if (score >= kth[:, None] - 1e-12 * np.abs(kth[:, None])).mean() >= RECALL:
+            return ef
+        ef *= 2
+    return len(x)
+
+
+_INDEX = (
+    "shard long, dim int, ids binary, least binary, vectors binary, entry int, ef int, widths array<int>, links array<binary>"
+)
+_HITS = "query_node long, node long, score double"
+
+
+def _build_shard(k: int, ef: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node", kind="stable")  # the graph must not depend on the order of arrival
+        x = np.array(rows["vector"].tolist(), np.float64)
+        least = rows["least"].to_numpy(np.int64)
+        graph = build(_equal_norms(x))
+        return pd.DataFrame(
+            {
+                "shard": [int(rows["dim"].iloc[0]) << 32 | int(rows["part"].iloc[0])],
+                "dim": rows["dim"].iloc[:1].to_numpy(),
+                "ids": [rows["node"].to_numpy(np.int64).tobytes()],
+                "least": [least.tobytes()],
+                "vectors": [x.tobytes()],
+                "entry": [graph.entry],
+                "ef": [beam_width(graph, x, least, k + 1, ef)],
+                "widths": [[m.shape[1] for m in graph.layers]],
+                "links": [[m.tobytes() for m in graph.layers]],
+            }
+        )
 
-
-def _build_shard(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("node", kind="stable")  # the graph must not depend on the order of arrival
-    x = np.array(rows["vector"].tolist(), np.float64)
-    graph = build(_equal_norms(x))
-    return pd.DataFrame(
-        {
-            "dim": rows["dim"].iloc[:1].to_numpy(),
-            "part": rows["part"].iloc[:1].to_numpy(),
-            "ids": [rows["node"].to_numpy(np.int64).tobytes()],
-            "vectors": [x.tobytes()],
-            "entry": [graph.entry],
-            "widths": [[m.shape[1] for m in graph.layers]],
-            "links": [[m.tobytes() for m in graph.layers]],
-        }
-    )
+    return run
 
 
 def nodes_of(vectors: DataFrame, id_col: str, vector_col: str, k: int = K) -> DataFrame:
@@ -266,48 +326,46 @@ def usable_rows(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return given.where(usable).groupBy("id").agg(F.min("vector").alias("vector"))
 
 
-def build_index(nodes: DataFrame, shard: int = SHARD) -> DataFrame:
-    """One written row per shard: ids, vectors, layers as flat arrays."""
+def build_index(nodes: DataFrame, shard: int = SHARD, k: int = K, ef: int = EF_SEARCH) -> DataFrame:
+    """One written row per shard: ids, vectors, layers as flat arrays, and the
+    width of beam that it needs."""
     ship_package(nodes.sparkSession)
-    # One row per length of vector.
-    sizes = nodes.groupBy(F.col("dim").alias("of_dim")).agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("parts"))
-    parts = max(1, sizes.agg(F.sum("parts")).first()[0] or 1)
-    placed = nodes.join(F.broadcast(sizes), F.col("dim") == F.col("of_dim")).select(
-        "node", "vector", "dim", F.pmod(F.xxhash64("vector"), F.col("parts")).cast("int").alias("part")
+    sizes = materialize(
+        nodes.groupBy(F.col("dim").alias("of_dim")).agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("parts")),
+        "hnsw-sizes",
     )
+    parts = max(1, sizes.agg(F.sum("parts")).first()[0] or 1)
+    placed = nodes.join(sizes, F.col("dim") == F.col("of_dim")).select(
+        "node", "vector", "dim", F.get("members", F.lit(0)).alias("least"),
+        F.pmod(F.xxhash64("vector"), F.col("parts")).cast("int").alias("part"),
+    )
     spread = placed.repartitionByRange(int(parts), "dim", "part")
-    return materialize(spread.groupBy("dim", "part").applyInPandas(_build_shard, _INDEX), "hnsw-index")
-
-
-def _search(k: int, ef: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                x = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
-                ids = np.frombuffer(row["ids"], np.int64)
-                layers = [
-                    np.frombuffer(b, np.int32).reshape(len(ids), w) for b, w in zip(row["links"], row["widths"])
-                ]
-                graph = Graph(_equal_norms(x), layers, row["entry"])
-                asked = np.array([q["node"] for q in row["queries"]], np.int64)
-                q = np.array([q["vector"] for q in row["queries"]], np.float64)
-                for at in range(0, len(q), BATCH):
-                    part = q[at : at + BATCH]
-                    flat = np.column_stack([part, np.zeros(len(part))])
-                    found, _ = graph.search(flat, min(ef, max(len(ids), 1)))
-                    # The measure itself, on the vectors as given.
-                    score = (x[found] * part[:, None, :]).sum(axis=2)
-                    score[found < 0] = -np.inf
-                    best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
-                    rows = np.arange(len(part))[:, None]
-                    found, score = found[rows, best], score[rows, best]
-                    r, c = np.nonzero(found >= 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(asked[at + r]), pa.array(ids[found[r, c]]), pa.array(score[r, c])],
-                        names=["query_node", "node", "score"],
-                    )
+    return materialize(spread.groupBy("dim", "part").applyInPandas(_build_shard(k, ef), _INDEX), "hnsw-index")
 
-    return run
+
+class Loaded:
+    """A shard as a search needs it."""
+
+    def __init__(self, row: dict):
+        self.x = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
+        self.ids, self.least = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["least"], np.int64)
+        layers = [np.frombuffer(b, np.int32).reshape(len(self.ids), w) for b, w in zip(row["links"], row["widths"])]
+        self.graph, self.ef = Graph(_equal_norms(self.x), layers, row["entry"]), row["ef"]
+
+
+def _ask(k: int):
+    def ask(shard: Loaded, block: dict) -> pa.RecordBatch:
+        asked = np.array([q["node"] for q in block["queries"]], np.int64)
+        q = np.array([q["vector"] for q in block["queries"]], np.float64)
+        out = [], [], []
+        for at in range(0, len(q), BATCH):
+            found, score = search_shard(shard.graph, shard.x, shard.least, q[at : at + BATCH], k + 1, shard.ef)
+            r, c = np.nonzero(score > -np.inf)
+            for store, value in zip(out, (asked[at + r], shard.ids[found[r, c]], score[r, c])):
+                store.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["query_node", "node", "score"])
+
+    return ask
 
 
 def nearest(
@@ -323,7 +381,7 @@ def nearest(
     expression over ``id``) holds: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     nodes = nodes_of(vectors, id_col, vector_col, k)
-    index = build_index(nodes, shard)
+    index = build_index(nodes, shard, k, ef)
     asking = usable_rows(vectors, id_col, vector_col).where(is_query)
     queries = materialize(
         asking.join(nodes.select("node", "vector", "dim"), "vector").select(F.col("id").alias("query_id"), "node", "dim"),
@@ -337,20 +395,17 @@ def nearest(
         .agg(F.collect_list(F.struct("node", "vector")).alias("queries"))
     )
     # Each block of the stated queries meets every shard of its dimension.
-    work = blocks.join(index.select("dim", "part"), F.col("of_dim") == F.col("dim")).select("dim", "part", "block", "queries")
-    units = max(1, index.count() * n_blocks)
-    tasks = work.join(index, ["dim", "part"]).repartitionByRange(units, "dim", "part", "block")
-    hits = tasks.select("dim", "ids", "vectors", "entry", "widths", "links", "queries").mapInArrow(
-        _search(k, ef), "query_node long, node long, score double"
-    )
-    by_score = Window.partitionBy("query_node").orderBy(F.desc("score"))
+    shards = index.groupBy("dim").agg(F.collect_list("shard").alias("shards"))
+    asked = blocks.join(shards, F.col("of_dim") == F.col("dim")).select("shards", "queries")
+    hits = meet(index, asked, F.col("shards"), Loaded, _ask(k), _HITS, index.count())
     best = Window.partitionBy("query_node").orderBy(F.desc("score"), "vec_id")
-    # k + 1 nodes hold k + 1 ids at least; nodes of equal score all stay.
+    # k + 1 nodes hold k + 1 ids at least; of equal scores those with the least ids.
+    least = F.row_number().over(Window.partitionBy("query_node").orderBy(F.desc("score"), F.get("members", F.lit(0))))
     near = (
         materialize(hits, "hnsw-hits")
-        .withColumn("at", F.rank().over(by_score))
-        .where(F.col("at") <= k + 1)
         .join(nodes.select("node", "members"), "node")
+        .withColumn("at", least)
+        .where(F.col("at") <= k + 1)
         .select("query_node", "score", F.explode("members").alias("vec_id"))
         .withColumn("at", F.row_number().over(best))
         .where(F.col("at") <= k + 1)

@@ -99,3 +99,28 @@ def test_one_very_long_vector_spoils_nothing():
         near = set(np.argsort(-(x @ q))[:20].tolist())
         hits += len(near & set(row.tolist()))
     assert hits >= 0.9 * 20 * 100
+
+
+def test_more_equal_scores_than_the_beam_holds(spark):
+    rows = [(0, [1.0, 0.0]), *[(i, [1.0, float(i)]) for i in range(1, 301)], *[(i, [1.0, -float(i)]) for i in range(400, 500)]]
+    got = searched(frame_of(spark, rows))
+    assert [(v, s) for _, v, s in got[0]] == [(i, 1.0) for i in range(1, 21)]
+
+
+def test_recall_over_full_shards_of_any_norm(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2 * hnsw.SHARD, 64))
+    x *= np.exp(rng.normal(size=(len(x), 1)))  # log-normal norms
+    x = x.astype(np.float32).astype(float)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    out = hnsw.nearest(frame, F.col("id") % 160 == 0).collect()
+    hits, asked = 0, range(0, len(x), 160)
+    near = collections.defaultdict(set)
+    for r in out:
+        near[r["query_id"]].add(r["vec_id"])
+    for i in asked:
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len(near[i] & set(np.argsort(-score)[:20].tolist()))
+    print("recall", hits / (20 * len(asked)))
+    assert hits >= 0.95 * 20 * len(asked)
