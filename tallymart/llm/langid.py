@@ -9,9 +9,11 @@ that centroid than nearly all texts of the centroid's cluster.
 
 Document frequencies come from all training documents.  The centroids of a
 language are fitted on at most ``FIT_DOCS`` of its labelled training documents
-(those of the least hash, from about twice as many), and at most ``MAX_LANGS`` languages are learned
-(the most frequent), so the model that is sent to the tasks has a fixed bound:
-``MAX_LANGS * CENTROIDS * DIM`` numbers.
+(those of the least hash, from about twice as many with a letter), so a
+language takes ``CENTROIDS * DIM`` numbers at any size of input.  Texts are
+compared with ``LANG_BLOCK`` languages at a time; where there are more, the
+best language so far is written between the blocks, so no task holds the
+centroids of all of them.
 
 Defined results: a text that is NULL or has no letter gets ``und``, score 0,
 and is rejected; so does every text where no language could be learned; equal
@@ -30,11 +32,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import fresh, ship_package
+from tallymart.session import materialize
 
 DIM = 4096
 CENTROIDS = 4
 FIT_DOCS = 1000
-MAX_LANGS = 256
+#: Languages sent to the tasks at a time.
+LANG_BLOCK = 256
 ROUNDS = 12
 #: Share of a cluster's own texts that lie within its radius.
 RADIUS_SHARE = 0.995
@@ -148,29 +152,21 @@ def clusters(x: np.ndarray, k: int, rounds: int = ROUNDS) -> tuple[np.ndarray, n
     return c.astype(np.float32), np.array(least)
 
 
-def fit(train: DataFrame, fit_docs: int = FIT_DOCS, centroids: int = CENTROIDS, max_langs: int = MAX_LANGS) -> dict:
+def fit(train: DataFrame, fit_docs: int = FIT_DOCS, centroids: int = CENTROIDS) -> dict:
     """Model from ``train`` (id, text, lang): langs, centroids, radii, idf."""
     ship_package(train.sparkSession)
     idf = inverse_frequencies(train)
-    learned = train.where("lang IS NOT NULL AND text IS NOT NULL")
-    # At most max_langs rows.
-    top = learned.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
     hashed = F.xxhash64("id", "text")
+    learned = train.where(F.col("lang").isNotNull() & F.regexp_like("text", F.lit(r"\p{L}")))
+    # One row a language; equal rows share a hash, so they count once.
+    sizes = materialize(learned.groupBy("lang").agg(F.count_distinct(hashed).alias("n")), "langid-sizes")
     # Of a language's n texts those whose hash, as a share of all values, is
     # below 2 fit_docs / n: about twice as many as wanted reach the window
     # that takes the least, at any size.
-    bounds = {r["lang"]: int(min(1.0, 2 * fit_docs / r["n"]) * (2**62 - 1)) for r in top}
-    if bounds:
-        bound = F.try_element_at(
-            F.map_from_arrays(F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds.values()))), F.col("lang")
-        )
-        learned = learned.where(F.shiftrightunsigned(hashed, 2) <= bound)
+    bound = (F.least(F.lit(1.0), F.lit(2.0 * fit_docs) / F.col("n")) * float(2**62 - 1)).cast("long")
+    learned = learned.join(sizes, on="lang").where(F.shiftrightunsigned(hashed, 2) <= bound)
     order = Window.partitionBy("lang").orderBy(hashed, "id")
-    sample = (
-        learned.where(F.regexp_like("text", F.lit(r"\p{L}")))
-        .withColumn("at", F.row_number().over(order))
-        .where(F.col("at") <= fit_docs)
-    )
+    sample = learned.withColumn("at", F.row_number().over(order)).where(F.col("at") <= fit_docs)
 
     def vectorise(batches):
         for batch in batches:
@@ -217,12 +213,36 @@ def predicted(spark, text: Column, model: dict) -> Column:
     return run(text.cast("string"))
 
 
-def identify(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def blocks(model: dict, langs: int = LANG_BLOCK) -> list[dict]:
+    """The model of at most ``langs`` languages each, in their order."""
+    names = list(dict.fromkeys(model["langs"]))
+    out = []
+    for at in range(0, max(1, len(names)), langs):
+        mine = set(names[at : at + langs])
+        rows = [i for i, lang in enumerate(model["langs"]) if lang in mine]
+        out.append({
+            "idf": model["idf"], "langs": [model["langs"][i] for i in rows],
+            "centroids": model["centroids"][rows], "least": model["least"][rows],
+        })
+    return out
+
+
+def identify(
+    docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None, langs: int = LANG_BLOCK
+) -> DataFrame:
     """Every row (columns ``keep``, default all) followed by ``lang_pred`` (the
     nearest learned language, ``und`` without letters), ``score`` (cosine) and
     ``rejected``.  Names the input uses already get underscores."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     kept = list(docs.columns if keep is None else keep)
-    out = docs.select(F.struct(*kept).alias("row"), predicted(docs.sparkSession, F.col(text_col), model).alias("p"))
+    first, *rest = blocks(model, langs)
+    text = F.col(text_col).cast("string")
+    out = docs.select(F.struct(*kept).alias("row"), *([text.alias("text")] if rest else []), predicted(spark, text, first).alias("p"))
+    for block in rest:
+        both = materialize(out, "langid-best").withColumn("q", predicted(spark, F.col("text"), block))
+        # Equal cosines stay with the language that comes first; ``und`` is the same in all blocks.
+        better = F.col("q.score") > F.col("p.score")
+        out = both.select("row", "text", F.when(better, F.col("q")).otherwise(F.col("p")).alias("p"))
     added = [F.col("p")[c].alias(fresh(kept, c)) for c in ("lang_pred", "score", "rejected")]
     return out.select(*[F.col("row")[c].alias(c) for c in kept], *added)

@@ -100,3 +100,52 @@ def test_empty_tables(spark):
     model = langid.fit(train)
     assert langid.identify(empty(spark), model).collect() == []
     assert {r["lang_pred"] for r in langid.identify(docs(spark), model).collect()} == {"und"}
+
+
+def nearest_by_hand(model, text):
+    """One text against one centroid after the other."""
+    x = np.log1p(brute_counts(text)) * model["idf"]
+    x = x / (np.linalg.norm(x) or 1)
+    best = (-1.0, None, 0.0)
+    for lang, c, least in zip(model["langs"], model["centroids"], model["least"]):
+        cos = float(sum(a * b for a, b in zip(x, c) if a))
+        if cos > best[0] + 1e-6:
+            best = (cos, lang, least)
+    return best
+
+
+def test_predictions_equal_brute_force_in_any_number_of_blocks(spark):
+    train = spark.createDataFrame(corpus(300), "id long, text string, lang string")
+    model = langid.fit(train, fit_docs=60)
+    assert len(model["langs"]) == 16
+    table = corpus(40, seed=5) + [(90, "12 34", None), (91, None, None), (92, "the der que что", None)]
+    frame = spark.createDataFrame(table, "id long, text string, lang string")
+    for langs in (256, 3, 1):
+        got = {r["id"]: r for r in langid.identify(frame, model, keep=["id"], langs=langs).collect()}
+        assert len(got) == len(table)
+        for i, text, _ in table:
+            if not langid.has_letter(text):
+                assert (got[i]["lang_pred"], got[i]["score"], got[i]["rejected"]) == ("und", 0.0, True)
+                continue
+            cos, lang, least = nearest_by_hand(model, text)
+            assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - cos) < 1e-4
+            assert got[i]["rejected"] == (cos < least) or abs(cos - least) < 1e-4
+
+
+def test_more_languages_than_a_block(spark):
+    rng = random.Random(2)
+    words = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(6)] for i in range(300)}
+    table = [(1000 * j + i, " ".join(words[lang] * 2), lang) for i, lang in enumerate(words) for j in range(2)]
+    frame = spark.createDataFrame(table, "id long, text string, lang string").repartition(4)
+    out = langid.identify(frame, langid.fit(frame), keep=["id", "lang"]).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in out) == len(table)
+
+
+def test_a_language_of_mostly_letterless_and_repeated_rows_is_learned(spark):
+    table = [(i, "123 456", "xx") for i in range(500)] + [(7, "...", "xx")] * 500 + [(9, "zebu yak gnu emu", "xx")] * 300
+    table += corpus(200)
+    frame = spark.createDataFrame(table, "id long, text string, lang string").repartition(3)
+    model = langid.fit(frame, fit_docs=20)
+    assert "xx" in model["langs"]
+    odd = spark.createDataFrame([(1, "yak zebu emu")], "id long, text string")
+    assert langid.identify(odd, model).first()["lang_pred"] == "xx"
