@@ -10,6 +10,8 @@ one table).
 
 Training is truncated backpropagation through windows of ``STEPS`` tokens; the
 state is carried from window to window and set to zero where a text begins.
+A text of more than ``PIECE`` tokens is learned in pieces, side by side; a later
+piece starts from the state that the ``WARM`` tokens before it leave behind.
 Scoring carries the state the same way, so a text's log-likelihood is that of
 the complete text.  Texts are dealt to lanes, which run side by side; lanes
 are sorted by length, so those that have ended drop out.
@@ -27,8 +29,13 @@ WIDTH = 32
 TAIL = 32
 STEPS = 16
 LANES = 512
-#: In training, longer texts are cut into pieces of so many tokens.
-PIECE = 2048
+#: The same for scoring, where a window is only a unit of work.
+SCORE_STEPS, SCORE_LANES = 16, 512
+#: Tokens whose class probabilities are worked out at a time (they stay near the core).
+NEAR = 2048
+#: In training, longer texts are dealt to lanes in pieces of so many tokens;
+#: tokens that are read before a later piece, for its state.
+PIECE, WARM = 2048, 64
 #: Tokens dealt to lanes at a time (a longer text stands alone).
 CHUNK = 2_000_000
 END = 0
@@ -84,7 +91,8 @@ class Lanes:
     one after another; only a window's steps are laid side by side, so a long
     text costs its own length, not that of all lanes."""
 
-    def __init__(self, texts: list[np.ndarray], lanes: int):
+    def __init__(self, texts: list[np.ndarray], lanes: int, before: np.ndarray | None = None):
+        """``before``: what was read before each text (default: nothing)."""
         self.n = len(texts)
         lengths = np.array([len(t) for t in texts])
         lanes = max(1, min(lanes, len(texts)))
@@ -109,7 +117,12 @@ class Lanes:
         self.owner = np.repeat(dealt.astype(np.int32), lengths[dealt])
         self.given = np.roll(self.codes, 1)
         begins = np.cumsum(lengths[dealt]) - lengths[dealt]
-        self.given[begins[lengths[dealt] > 0]] = START
+        full = lengths[dealt] > 0
+        self.given[begins[full]] = START if before is None else before[dealt][full]
+        # Lane and step of the first token of every text.
+        self.lane, self.begin = np.zeros(self.n, np.int64), np.zeros(self.n, np.int64)
+        self.lane[dealt] = np.searchsorted(self.first, begins, side="right") - 1
+        self.begin[dealt] = begins - self.first[self.lane[dealt]]
 
     def windows(self, steps: int):
         """(first step, last step, lanes still running) of each window."""
@@ -133,18 +146,32 @@ def _class_of(codes: np.ndarray) -> np.ndarray:
     return np.where(codes < SHORTLIST, codes // WIDTH, SHORTLIST // WIDTH + codes - SHORTLIST)
 
 
-def _log_total(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+#: Products up to here can be exponentiated as they are.
+SAFE = 60.0
+
+
+def _log_total(x: np.ndarray, at: np.ndarray, shift: bool = True) -> np.ndarray:
     """Log-probability of class ``at`` of each token under the softmax over
-    the columns of ``x`` (classes, tokens), which becomes its exponentials."""
-    x -= x.max(axis=0)
+    the columns of ``x`` (classes, tokens), which becomes its exponentials.
+    ``shift``: unless no product is beyond ``SAFE``."""
+    if shift:
+        x -= x.max(axis=0)
     picked = x[at, np.arange(x.shape[1])]
     np.exp(x, out=x)
     return picked - np.log(x.sum(axis=0))
 
 
-def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _shift(p: dict[str, np.ndarray]) -> bool:
+    """Whether a product may be beyond ``SAFE``: states are within -1 and 1."""
+    by_class = np.abs(p["class_w"]).sum(axis=0) + np.abs(p["class_b"])
+    by_word = np.abs(p["word_w"]).sum(axis=1) + np.abs(p["word_b"])
+    return not max(by_class.max(), by_word.max()) <= SAFE
+
+
+def _softmax(x: np.ndarray, at: np.ndarray, shift: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The same, and all probabilities."""
-    x -= x.max(axis=0)
+    if shift:
+        x -= x.max(axis=0)
     picked = x[at, np.arange(x.shape[1])]
     np.exp(x, out=x)
     total = x.sum(axis=0)
@@ -168,10 +195,11 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(texts))
     if not texts:
         return out
-    lanes = Lanes(texts, LANES)
+    lanes = Lanes(texts, SCORE_LANES)
+    shift = _shift(p)
     class_w, class_b = np.ascontiguousarray(p["class_w"].T), p["class_b"][:, None]
     h = np.zeros((lanes.lanes, HIDDEN), np.float32)
-    for a, b, running in lanes.windows(STEPS):
+    for a, b, running in lanes.windows(SCORE_STEPS):
         given, target, owner = lanes.window(a, b, running)
         states = np.empty((b - a, running, HIDDEN), np.float32)
         h = h[:running]
@@ -188,22 +216,41 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
         used = owner >= 0
         owner, codes = owner[used], target.ravel()[used]
         s = states.reshape(-1, HIDDEN)[used]
-        found = _log_total(class_w @ s.T + class_b, _class_of(codes))
+        found, kinds = np.empty(len(codes), np.float32), _class_of(codes)
+        for lo in range(0, len(codes), NEAR):
+            part = slice(lo, lo + NEAR)
+            found[part] = _log_total(class_w @ s[part].T + class_b, kinds[part], shift)
         for k, rows, place in _by_class(codes):
             words = slice(k * WIDTH, (k + 1) * WIDTH)
-            found[rows] += _log_total(p["word_w"][words] @ s[rows].T + p["word_b"][words, None], place)
+            found[rows] += _log_total(p["word_w"][words] @ s[rows].T + p["word_b"][words, None], place, shift)
         out += np.bincount(owner, weights=found, minlength=len(texts))
     return out
 
 
-def gradients(p, x, target, valid, h):
+def states_after(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The states, from zero, after the inputs ``x`` (texts, steps)."""
+    h = np.zeros((len(x), HIDDEN), np.float32)
+    for t in range(x.shape[1]):
+        g, u = p["gates"][x[:, t]], h @ p["state"]
+        zr = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
+        n = np.tanh(g[:, 2 * HIDDEN :] + zr[:, HIDDEN:] * u[:, 2 * HIDDEN :])
+        h = n + zr[:, :HIDDEN] * (h - n)
+    return h
+
+
+def gradients(p, x, target, valid, h, given: dict | None = None):
     """Loss (sum of natural logs), gradients of its mean, and the last state
-    of a window: ``x``, ``target`` and ``valid`` are (steps, lanes)."""
+    of a window: ``x``, ``target`` and ``valid`` are (steps, lanes).
+    ``given``: step -> (lanes, states) that begin there."""
     steps, lanes = x.shape
     hs, zs, rs, ns, us, keeps = [], [], [], [], [], []
     for t in range(steps):
         keep = (x[t] != START).astype(np.float32)[:, None]
+        if given and t in given:
+            keep[given[t][0]] = 0  # nothing flows back into the text before
         h = h * keep
+        if given and t in given:
+            h[given[t][0]] = given[t][1]
         g, u = p["gates"][x[t]], h @ p["state"]
         zr = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
@@ -217,9 +264,9 @@ def gradients(p, x, target, valid, h):
     codes, mask = target.ravel(), valid.ravel()
     count = max(1, int(mask.sum()))
     grad = {k: np.zeros_like(v) for k, v in p.items()}
-    owner = _class_of(codes)
+    owner, shift = _class_of(codes), _shift(p)
     weight = mask.astype(np.float32) / count
-    logp, d = _softmax(p["class_w"].T @ s.T + p["class_b"][:, None], owner)
+    logp, d = _softmax(p["class_w"].T @ s.T + p["class_b"][:, None], owner, shift)
     loss = float(logp[mask].sum())
     d[owner, np.arange(len(codes))] -= 1
     d *= weight
@@ -227,7 +274,7 @@ def gradients(p, x, target, valid, h):
     ds = d.T @ p["class_w"].T
     for k, at, place in _by_class(np.where(mask, codes, -1)):
         words = slice(k * WIDTH, (k + 1) * WIDTH)
-        inner, e = _softmax(p["word_w"][words] @ s[at].T + p["word_b"][words, None], place)
+        inner, e = _softmax(p["word_w"][words] @ s[at].T + p["word_b"][words, None], place, shift)
         loss += float(inner.sum())
         e[place, np.arange(len(at))] -= 1
         e /= count
@@ -263,18 +310,34 @@ class Trainer:
 
     def learn(self, texts: list[np.ndarray]) -> float:
         """One pass over the texts; the mean log-likelihood of a token."""
-        texts = [t[a : a + PIECE] for t in texts for a in range(0, len(t), PIECE)]
-        total = sum(map(len, texts))
+        pieces, before, late, warm = [], [], [], []
+        for t in texts:
+            for a in range(0, len(t), PIECE):
+                if a:
+                    late.append(len(pieces))
+                    warm.append(t[a - 1 - WARM : a - 1])
+                before.append(t[a - 1] if a else START)
+                pieces.append(t[a : a + PIECE])
+        total = sum(map(len, pieces))
+        if not total:
+            return 0.0
         # Fewer lanes for little data: more steps matter more than speed.
-        lanes = Lanes(texts, int(np.clip(total // (STEPS * 64), 8, LANES)))
+        lanes = Lanes(pieces, int(np.clip(total // (STEPS * 64), 8, LANES)), np.array(before, np.int32))
+        late, warm = np.array(late, int), np.array(warm, np.int32).reshape(-1, WARM)
         h, loss = np.zeros((lanes.lanes, HIDDEN), np.float32), 0.0
         for a, b, running in lanes.windows(STEPS):
+            here = (lanes.begin[late] >= a) & (lanes.begin[late] < b)
+            given = {}
+            if here.any():
+                states = states_after(self.p, warm[here])
+                step, lane = lanes.begin[late[here]] - a, lanes.lane[late[here]]
+                given = {int(t): (lane[step == t], states[step == t]) for t in np.unique(step)}
             x, target, owner = lanes.window(a, b, running)
-            got, grad, h = gradients(self.p, x, target, owner >= 0, h[:running])
+            got, grad, h = gradients(self.p, x, target, owner >= 0, h[:running], given)
             loss += got
             self._update(grad)
         self.tokens += total
-        return loss / max(1, total)
+        return loss / total
 
     def _update(self, grad: dict[str, np.ndarray]) -> None:
         self.step += 1

@@ -9,6 +9,33 @@ from awkward import docs, empty, rows
 from tallymart.llm import gru, lm
 
 
+def test_a_later_piece_starts_from_the_state_before_it(monkeypatch):
+    monkeypatch.setattr(gru, "PIECE", 100)
+    rng = np.random.default_rng(4)
+    p = {k: (0.4 * rng.standard_normal(s)).astype(np.float32) for k, s in gru.SHAPES.items()}
+    text = np.append(rng.integers(1, gru.START, 250), gru.END).astype(np.int32)
+    # The state that reading the whole text would have there, or nearly so.
+    whole = gru.states_after(p, np.concatenate([[gru.START], text[:99]])[None, :])
+    warm = gru.states_after(p, text[99 - gru.WARM : 99][None, :])
+    assert np.abs(whole - warm).max() < 0.05
+    seen = []
+    plain = gru.gradients
+
+    def watched(p, x, target, valid, h, given=None):
+        seen.extend((given or {}).items())
+        return plain(p, x, target, valid, h, given)
+
+    monkeypatch.setattr(gru, "gradients", watched)
+    trainer = gru.Trainer(p, 0.0)
+    mean = trainer.learn([text, text[:40], np.empty(0, np.int32)])
+    assert sum(len(lanes) for _, (lanes, _) in seen) == 2 and trainer.tokens == 291
+    states = np.concatenate([states for _, (_, states) in seen])
+    assert np.abs(states - warm).max(axis=1).min() < 1e-6
+    exact = gru.score(p, [text, text[:40]]).sum()
+    assert abs(mean * 291 - exact) < 0.02 * abs(exact)
+    assert gru.Trainer(p, 0.1).learn([]) == 0.0
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     p = {k: 0.3 * rng.standard_normal(s) for k, s in gru.SHAPES.items()}
