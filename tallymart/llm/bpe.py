@@ -43,7 +43,7 @@ from tallymart.llm.common import fresh, ship_package
 LEAF = 24
 #: Bytes that a worker's memory of space-free units, and of other pieces,
 #: may take; about ``OVERHEAD`` for an entry besides its characters and ids.
-UNIT_BYTES, PIECE_BYTES, OVERHEAD = 96 << 20, 12 << 20, 200
+UNIT_BYTES, PIECE_BYTES, OVERHEAD = 160 << 20, 12 << 20, 200
 _SLICE = 256
 _LEAVES = 4096
 _NO_RANK = 1 << 62
