@@ -41,7 +41,7 @@ from tallymart.operators.quality import (
     pk_duplicates,
     violations,
 )
-from tallymart.plans.fixture import FIXTURE, ONE_SPELLING, table, tally_bronze
+from tallymart.plans.fixture import FIXTURE, ONE_SPELLING, shares, table, tally_bronze
 from tallymart.plans.layout import contract_rules, truncation_rules
 from tallymart.plans.medallion import (
     bronze_contract,
@@ -545,17 +545,18 @@ def q_summary_one(spark, sf_dir):
 BUCKETS = 16
 
 
-def clustered(spark, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a catalog table bucketed by the entity key."""
+def clustered(spark, df: DataFrame, name: str, sf_dir: str) -> DataFrame:
+    """``df`` as a catalog table bucketed by the entity key: a bucket is one
+    task later, so their number grows with the line items."""
     contract = Contract(name, df.schema)
-    publish_clustered(df, f"tallymart_{name}", contract, FIXTURE.classes.key, BUCKETS,
+    publish_clustered(df, f"tallymart_{name}", contract, FIXTURE.classes.key, max(BUCKETS, shares(spark, sf_dir)),
                       location=scratch_path(spark, name, unique=False))
     return spark.table(f"tallymart_{name}")
 
 
 def q_clustered_class(spark, sf_dir):
     """W1, W2 on rows bucketed by the entity: flags and join without exchange."""
-    rows = clustered(spark, normalize(fixture_bronze(spark, sf_dir), FIXTURE), "clustered_rows")
+    rows = clustered(spark, normalize(fixture_bronze(spark, sf_dir), FIXTURE), "clustered_rows", sf_dir)
     return entity_class(rows, FIXTURE.classes, method="clustered").select(
         "id_mesa", "categoria", "campo_numero", "cantidad", "tipo_mesa"
     )
@@ -563,12 +564,12 @@ def q_clustered_class(spark, sf_dir):
 
 def q_clustered_zero_sum(spark, sf_dir):
     """D2 on a silver bucketed by the entity: no exchange."""
-    return violations(clustered(spark, fixture_silver(spark, sf_dir), "clustered_gate"), _rule("compensatory_zero_sum"))
+    return violations(clustered(spark, fixture_silver(spark, sf_dir), "clustered_gate", sf_dir), _rule("compensatory_zero_sum"))
 
 
 def q_clustered_summary(spark, sf_dir):
     """G8 on a silver bucketed by the entity: no exchange."""
-    return summary_onepass(clustered(spark, fixture_silver(spark, sf_dir), "clustered_silver"), FIXTURE.summary)
+    return summary_onepass(clustered(spark, fixture_silver(spark, sf_dir), "clustered_silver", sf_dir), FIXTURE.summary)
 
 
 def q_fact(spark, sf_dir):

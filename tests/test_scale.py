@@ -21,6 +21,18 @@ def rows_of(df):
     return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
 
 
+def test_buckets_grow_with_the_line_items(spark, monkeypatch):
+    few = catalog.q_clustered_summary(spark, SF)
+    plain = rows_of(few)
+    monkeypatch.setattr(fixture, "SHARE_BYTES", 4096)
+    n = fixture.shares(spark, SF)
+    assert n > catalog.BUCKETS
+    many = catalog.q_clustered_summary(spark, SF)
+    described = {r["col_name"]: r["data_type"] for r in spark.sql("describe formatted tallymart_clustered_silver").collect()}
+    assert described["Num Buckets"] == str(n)
+    assert "Exchange" not in physical(many) and rows_of(many) == plain
+
+
 def test_the_tally_is_joined_in_shares_of_the_line_items(spark, monkeypatch):
     plain = fixture.tally_bronze(spark, SF)
     assert "REPARTITION_BY_NUM" not in physical(plain)
