@@ -12,6 +12,10 @@ per entity and joins it back, instead of a whole-partition window:
   construction).  A window would instead buffer a hot entity's whole group
   inside one task.
 
+``method="hash"`` is the same join with the special entities hashed instead of
+both sides sorted: wide rows stream past one small row per entity, and AQE
+splits a hot entity as well.
+
 ``method="window"`` keeps the single-Window plan (one Exchange, one Sort).
 
 ``method="clustered"`` is for a table bucketed by the entity key, which is
@@ -64,13 +68,16 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     if method == "clustered":
         flagged = entity_flags(df, spec).select(*spec.key, spec.output)
         return df.join(flagged.hint("merge"), on=list(spec.key), how="inner").select(*df.columns, spec.output)
-    if method != "join":
+    if method not in ("join", "hash"):
         raise ValueError(f"unknown method {method!r}")
     keyed = [f"__key{i}" for i in range(len(spec.key))]
     # Entities of the default class need no row on the joined side: in a real
     # tally the special ones are few, so the side is small and the rows are
     # not shuffled at all; where it is large, the join below is split by AQE.
-    special = entity_flags(df, spec).filter(F.col(spec.output) != F.lit(spec.otherwise))
+    # Only a row that satisfies a rule can make its entity special.
+    hits = [F.expr(r.predicate) if isinstance(r.predicate, str) else r.predicate for r in spec.rules]
+    hit_rows = df.filter(reduce(lambda a, b: a | b, hits)) if hits else df
+    special = entity_flags(hit_rows, spec).filter(F.col(spec.output) != F.lit(spec.otherwise))
     classes = special.select(*[F.col(k).alias(a) for k, a in zip(spec.key, keyed)], F.col(spec.output).alias("__class"))
     # Null-safe equality, even for keys that cannot be NULL: a window groups
     # NULL keys together, so must we; and the null-safe join keys differ from
@@ -78,5 +85,7 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     # shuffle - the only shape in which AQE can split a hot entity's
     # partition.  The extra shuffle moves one row per entity.
     eq = [df[k].eqNullSafe(classes[a]) for k, a in zip(spec.key, keyed)]
+    if method == "hash":
+        classes = classes.hint("shuffle_hash")
     joined = df.join(classes, reduce(lambda a, b: a & b, eq), "left")
     return joined.withColumn(spec.output, F.coalesce("__class", F.lit(spec.otherwise))).drop("__class", *keyed)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallymart.operators.model import preference
@@ -57,6 +57,13 @@ def _all(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, cols)
 
 
+def _per_key(spec: SummarySpec) -> WindowSpec:
+    """Window over the rows of a join key.  Sorted by a hash of the key first:
+    rows of different keys are then told apart by one number, whereas codes
+    and padded ids begin alike and would be compared to their end."""
+    return Window.partitionBy(F.xxhash64(*spec.join_keys), *spec.join_keys)
+
+
 def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
     """The summary with one scan of the input and no join.
 
@@ -82,7 +89,7 @@ def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
     if spec.one_spelling:
         return _order(_one_row(level1, spec), spec)
 
-    w = Window.partitionBy(*spec.join_keys)
+    w = _per_key(spec)
     keys_present = _all([F.lit(True)] + [F.col(k).isNotNull() for k in spec.join_keys])
     n_lists = F.sum("__lcnt").over(w)
     has_lists = keys_present & (n_lists > 0)
@@ -98,23 +105,26 @@ def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
 
 
 def _one_row(level1: DataFrame, spec: SummarySpec) -> DataFrame:
-    """One row per join key from the counts per attribute tuple: a second
-    aggregate, over one row per spelling of a polling table."""
+    """One row per join key from the counts per attribute tuple: the tuple
+    that comes first, with what all tuples of its key have.  One exchange and
+    one sort, of a row per spelling of a polling table; tuples without totals
+    rows come last."""
     present = _all([F.lit(True)] + [F.col(k).isNotNull() for k in spec.join_keys])
-    totals = F.col("__ntot") > 0
-    attributes = F.min_by(F.struct(*spec.attributes), F.when(totals, preference(spec.attributes, F.col("__ntot"))))
-    n_lists = F.sum("__lcnt")
-    has_lists = present & (F.col("__lists") > 0)
-    rows = level1.groupBy(*spec.join_keys).agg(
-        attributes.alias("__best"),
-        *[F.max(c).alias(c) for c in spec.totals.values()],
-        F.sum("__ntot").alias("__ntot"),
-        F.sum("__lsum").alias("__lsum"),
-        n_lists.alias("__lists"),
+    w = _per_key(spec).orderBy(preference(spec.attributes, F.col("__ntot")))
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = level1.select(
+        *spec.join_keys,
+        *spec.attributes,
+        *[F.max(c).over(every).alias(c) for c in spec.totals.values()],
+        "__ntot",
+        F.sum("__lsum").over(every).alias("__lsum"),
+        F.sum("__lcnt").over(every).alias("__lists"),
+        F.row_number().over(w).alias("__at"),
     )
-    return rows.filter(totals).select(
+    has_lists = present & (F.col("__lists") > 0)
+    return rows.filter((F.col("__at") == 1) & (F.col("__ntot") > 0)).select(
         *spec.join_keys,
-        *[F.col(f"__best.{c}").alias(c) for c in spec.attributes],
+        *spec.attributes,
         *spec.totals.values(),
         F.when(has_lists, F.col("__lsum")).alias(spec.lists_sum),
         F.when(has_lists, F.col("__lists")).alias(spec.lists_count),

@@ -98,7 +98,7 @@ def normalize(bronze: DataFrame, spec: TallySpec) -> DataFrame:
     return row_kind(df, spec.kind)
 
 
-def silver(bronze: DataFrame, spec: TallySpec, method: str | None = "join") -> DataFrame:
+def silver(bronze: DataFrame, spec: TallySpec, method: str | None = "hash") -> DataFrame:
     """Normalise, classify entities, add measure rows, align to the contract;
     ``method=None`` leaves the entity class out."""
     df = normalize(bronze, spec)
