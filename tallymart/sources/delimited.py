@@ -71,8 +71,11 @@ def read_delimited(
 def file_path():
     """The scanned file's path, decoded from its URI form (spaces are stored
     as %20).  A literal '+' is protected first: URL decoding would read it as
-    a space."""
-    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    a space.  Evaluated for every line, so nothing is decoded where the path
+    holds no %."""
+    uri = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)
 
 
 def _source_of(path, spec: SourceSpec):

@@ -94,3 +94,15 @@ def test_one_spelling_with_ties_nulls_and_null_keys(spark):
     assert [got[m][spec.lists_count] for m in ("m1", "m2", "m4")] == [1, None, None]
     assert (got["m1"]["votos_totales"], got["m1"]["votos_blanco"]) == (5, 2)
     assert rows_of(summary(df, spec)) == rows_of(summary_onepass(df, spec))
+
+
+def test_a_path_without_percent_is_not_decoded(spark, tmp_dir):
+    spec = SourceSpec(schema=text_schema(["a", "b"]), source_pattern=r"/src=([^/]+)/")
+    for name in ("plain", "with space", "a+b", "50%25", "á+é 1"):
+        spark.createDataFrame([("1|2",)], "value string").coalesce(1).write.text(f"{tmp_dir}/{name}/src={name}")
+    rows = read_delimited(spark, f"{tmp_dir}/*/*", spec)
+    assert "CASE WHEN" in rows._jdf.queryExecution().optimizedPlan().toString()
+    seen = {r["_source"]: r["_source_file"] for r in rows.collect()}
+    assert len(seen) == 5
+    for source, file in seen.items():
+        assert f"/{source}/src={source}/part-" in file and file.startswith("file:")
