@@ -85,7 +85,7 @@ def fixture_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(fixture_bronze(spark, sf_dir), FIXTURE)
+    return silver(fixture_bronze(spark, sf_dir), FIXTURE, method="hash")
 
 
 def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
