@@ -372,6 +372,41 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     )
 
 
+def encode_decoded(
+    docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Every row (columns ``keep``, default all) followed by ``n_tokens``,
+    ``ids`` (packed) and ``decoded``, the bytes that the ids decode to.
+
+    A text is encoded once, and its ids are decoded where they are made: Spark
+    would run ``encoded`` a second time inside ``decoded``.
+    """
+    ship_package(docs.sparkSession)
+    kept = list(docs.columns if keep is None else keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Bpe.load(path, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(at, _SLICE)
+                packed = model.encode_all([t or "" for t in part.column(1).to_pylist()])
+                back = [model.decode(np.frombuffer(p, "<u4").tolist()) for p in packed]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(packed, pa.binary()), pa.array(back, pa.binary())],
+                    names=["row", "ids", "decoded"],
+                )
+
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    out = rows.mapInArrow(run, schema)
+    return out.select(
+        *[F.col("row")[c].alias(c) for c in kept],
+        (F.length("ids") / 4).cast("long").alias(fresh(kept, "n_tokens")),
+        F.col("ids").alias(fresh(kept, "ids")),
+        F.col("decoded").alias(fresh(kept, "decoded")),
+    )
+
+
 def encode_checked(
     docs: DataFrame,
     path: str,

@@ -80,6 +80,27 @@ def test_awkward_rows_round_trip(spark):
         assert bytes(r["back"]) == (r["text"] or "").encode()
 
 
+def test_decoded_rows(spark):
+    frame = docs(spark).withColumn("ids", F.lit(1)).withColumn("decoded", F.lit(2))
+    out = bpe.encode_decoded(frame, PATH, P.PATTERN)
+    assert out.columns == [*frame.columns, "n_tokens", "ids_", "decoded_"]
+    got = out.select("text", "n_tokens", bpe.unpacked(F.col("ids_")).alias("list"), "decoded_").collect()
+    assert len(got) == len(rows())
+    for r in got:
+        assert r["list"] == ORACLE.encode_ordinary(r["text"] or "") and r["n_tokens"] == len(r["list"])
+        assert bytes(r["decoded_"]) == (r["text"] or "").encode()
+    assert bpe.encode_decoded(empty(spark), PATH, P.PATTERN).collect() == []
+
+
+def test_the_query_encodes_a_text_once(spark, tmp_path):
+    from tallymart.llm.queries import op8_bpe
+
+    docs(spark).drop("id").write.parquet(str(tmp_path / "documents.parquet"))
+    plan = op8_bpe(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    # Of one Python step, no function inside another or beside it.
+    assert plan.count("run(") == 1, plan
+
+
 def test_checked_rows(spark):
     frame = docs(spark).withColumn("ids", F.lit(1))
     out = bpe.encode_checked(frame, PATH, P.PATTERN)
