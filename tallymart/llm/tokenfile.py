@@ -21,6 +21,7 @@ empty file table.
 
 from __future__ import annotations
 
+import string
 from array import array
 from collections.abc import Iterator
 
@@ -40,14 +41,15 @@ PACKINGS = (
 )
 ZEROS = 120
 ESCAPE, ZERO_RUN, FIRST_PACKING = 0, 1, 2
-BLOCK = 1024
+BLOCK = 1 << 10
 #: A chunk is closed at so many ids; a longer document is a chunk of its own.
 CHUNK = 1 << 16
 #: Bytes that a worker's memory of space-free strings may take.
 TABLE_BYTES = 128 << 20
 MARK = "\x01"
-#: Marks that follow a word; the split keeps them apart from letters.
-MARKS = frozenset(".,;:!?)")
+#: Marks that follow a word; the split keeps a run of them apart from letters
+#: (its forms of an apostrophe and letters need letters behind the apostrophe).
+MARKS = string.punctuation.encode()
 SPECIAL = b"<|"
 _SLICE = 256
 
@@ -72,8 +74,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int32)
-    in_block = np.arange(n, dtype=np.int32) % BLOCK
-    room = np.minimum(BLOCK - in_block, n - np.arange(n, dtype=np.int32))
+    place = np.arange(n, dtype=np.int32)
+    room = np.minimum(BLOCK - (place & (BLOCK - 1)), n - place)
     count = np.ones(n, np.int32)
     selector = np.zeros(n, np.int8)  # ids that fit nothing escape
     least, most = int(ids.min()), int(ids.max())
@@ -82,12 +84,14 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for c, bits, code in options:
         if c > n or least >> bits:
             continue
+        fits = room[: n - c + 1] >= c
         if most >> bits:
             np.cumsum(ids >= np.array(1 << bits, ids.dtype), out=wide[1:])
-            fits = (wide[c:] == wide[: n - c + 1]) & (room[: n - c + 1] >= c)
-        else:
-            fits = room[: n - c + 1] >= c
-        count[: n - c + 1][fits], selector[: n - c + 1][fits] = c, code
+            fits &= wide[c:] == wide[: n - c + 1]
+            if not fits.any():
+                break  # the options that follow take more ids, of fewer bits
+        np.copyto(count[: n - c + 1], c, where=fits)
+        np.copyto(selector[: n - c + 1], code, where=fits)
     steps, at, starts = count.tolist(), 0, []
     while at < n:
         starts.append(at)
@@ -99,8 +103,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for i, (c, bits) in enumerate(PACKINGS):
         mine = chosen == FIRST_PACKING + i
         if mine.any():
-            values = ids[starts[mine][:, None] + np.arange(c)].astype(np.uint64) << (np.arange(c, dtype=np.uint64) * np.uint64(bits))
-            words[place[mine]] = np.bitwise_or.reduce(values, axis=1) | np.uint64((FIRST_PACKING + i) << 60)
+            first, values = starts[mine], np.uint64((FIRST_PACKING + i) << 60)
+            for j in range(c):
+                values = values | ids[first + j].astype(np.uint64) << np.uint64(j * bits)
+            words[place[mine]] = values
     words[place[chosen == ZERO_RUN]] = np.uint64(ZERO_RUN << 60)
     raw = chosen == ESCAPE
     words[place[raw] + 1] = ids[starts[raw]]
@@ -158,33 +164,39 @@ class Lookup:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _letters(self, text: str) -> bytes:
-        """Ids of one run of lower-case Latin-1 letters: the normaliser and
-        the split leave it as it is, so the library's model can be asked
+    def _letters(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of runs of Latin-1 letters: the normaliser only lowers them and
+        the split leaves them as they are, so the library's model can be asked
         directly, with each byte written as its sign."""
-        if not text.isascii():  # an ASCII letter is its own sign
-            text = text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
-        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+        tokenize = self.model.tokenize
+        for at in range(0, len(words), 2000):
+            found = []
+            for w in words[at : at + 2000]:
+                text = w.decode().lower()
+                if not text.isascii():  # an ASCII letter is its own sign
+                    text = text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
+                found.append(tokenize(text))
+            data = array("I", [t.id for tokens in found for t in tokens]).tobytes()
+            end = 0
+            for tokens in found:
+                start, end = end, end + 4 * len(tokens)
+                yield data[start:end]
 
     def _learn(self, new: list[bytes]) -> list[bytes]:
         """Packed ids of space-free strings."""
-        known, learnt, letters = self.table.young, {}, self._letters
-        rest, marked = [], []
+        known, learnt = self.table.young, {}
+        words, rest, marked = [], [], []
         for w in new:
-            text = w.decode()
-            if text.isalpha():
-                if max(text) <= "\xff":
-                    learnt[w] = letters(text.lower())
-                else:
-                    rest.append(w)
-            elif text[-1] in MARKS and text[:-1].isalpha() and max(text) <= "\xff":
-                marked.append(w)
-            else:
+            stem = w.rstrip(MARKS)
+            if not (stem.isalpha() or (text := stem.decode()).isalpha() and max(text) <= "\xff"):
                 rest.append(w)
-        for w in marked:
-            if (stem := w[:-1]) not in learnt and stem not in known:
-                learnt[stem] = letters(stem.decode().lower())
-        rest += [m for m in {w[-1:] for w in marked} if m not in known and m not in rest]
+            elif len(stem) == len(w):
+                words.append(w)
+            else:
+                marked.append((w, stem, w[len(stem) :]))
+        words += {stem for _, stem, _ in marked}.difference(known, words)
+        learnt.update(zip(words, self._letters(words)))
+        rest += {marks for _, _, marks in marked}.difference(known, rest)
         plain = [w for w in rest if MARK.encode() not in w and SPECIAL not in w]
         for w in set(rest).difference(plain):
             learnt[w] = array("I", self._ids(w.decode())).tobytes()
@@ -196,8 +208,8 @@ class Lookup:
             for w, a, b in zip(part, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]):
                 learnt[w] = data[a:b]
         of = lambda w: learnt[w] if w in learnt else known[w]
-        for w in marked:  # a mark behind letters is a piece by itself
-            learnt[w] = of(w[:-1]) + of(w[-1:])
+        for w, stem, marks in marked:  # marks behind letters are a piece by themselves
+            learnt[w] = of(stem) + of(marks)
         return [learnt[w] for w in new]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
