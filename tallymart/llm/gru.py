@@ -180,14 +180,13 @@ def _softmax(x: np.ndarray, at: np.ndarray, shift: bool = True) -> tuple[np.ndar
 
 
 def _by_class(codes: np.ndarray):
-    """(class, rows, place in the class) of the shortlist targets."""
+    """The rows of the shortlist targets, ordered by target, and (class, slice
+    of them, place in the class) of each class."""
     short = np.flatnonzero((codes >= 0) & (codes < SHORTLIST))
-    short = short[np.argsort(codes[short], kind="stable")]
-    owner = codes[short] // WIDTH
-    edges = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if short.size else np.empty(0, int)
-    for a, b in zip(edges, [*edges[1:], len(short)]):
-        rows = short[a:b]
-        yield int(owner[a]), rows, codes[rows] % WIDTH
+    short = short[np.argsort(codes[short].astype(np.uint16), kind="stable")]  # 16 bits: a radix sort
+    owner, place = np.divmod(codes[short], WIDTH)
+    edges = np.searchsorted(owner, np.arange(SHORTLIST // WIDTH + 1)).tolist()
+    return short, [(k, slice(a, b), place[a:b]) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
 
 def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
@@ -220,9 +219,12 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
         for lo in range(0, len(codes), NEAR):
             part = slice(lo, lo + NEAR)
             found[part] = _log_total(class_w @ s[part].T + class_b, kinds[part], shift)
-        for k, rows, place in _by_class(codes):
+        short, classes = _by_class(codes)
+        s, inner = s[short], np.empty(len(short), np.float32)
+        for k, at, place in classes:
             words = slice(k * WIDTH, (k + 1) * WIDTH)
-            found[rows] += _log_total(p["word_w"][words] @ s[rows].T + p["word_b"][words, None], place, shift)
+            inner[at] = _log_total(p["word_w"][words] @ s[at].T + p["word_b"][words, None], place, shift)
+        found[short] += inner
         out += np.bincount(owner, weights=found, minlength=len(texts))
     return out
 
@@ -272,14 +274,18 @@ def gradients(p, x, target, valid, h, given: dict | None = None):
     d *= weight
     grad["class_w"], grad["class_b"] = (d @ s).T, d.sum(axis=1)
     ds = d.T @ p["class_w"].T
-    for k, at, place in _by_class(np.where(mask, codes, -1)):
+    short, classes = _by_class(np.where(mask, codes, -1))
+    s = s[short]
+    back = np.empty_like(s)
+    for k, at, place in classes:
         words = slice(k * WIDTH, (k + 1) * WIDTH)
         inner, e = _softmax(p["word_w"][words] @ s[at].T + p["word_b"][words, None], place, shift)
         loss += float(inner.sum())
-        e[place, np.arange(len(at))] -= 1
+        e[place, np.arange(len(place))] -= 1
         e /= count
         grad["word_w"][words], grad["word_b"][words] = e @ s[at], e.sum(axis=1)
-        ds[at] += e.T @ p["word_w"][words]
+        back[at] = e.T @ p["word_w"][words]
+    ds[short] += back
     ds = ds.reshape(steps, lanes, HIDDEN)
     dh = np.zeros((lanes, HIDDEN), np.float32)
     dgates = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
@@ -293,7 +299,7 @@ def gradients(p, x, target, valid, h, given: dict | None = None):
         du = np.concatenate([dz, dr, dn * r], axis=1)
         grad["state"] += b.T @ du
         dh = (dh * z + du @ p["state"].T) * keeps[t]
-    order = np.argsort(x.ravel(), kind="stable")
+    order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
     ids = x.ravel()[order]
     first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     grad["gates"][ids[first]] = np.add.reduceat(dgates.reshape(-1, 3 * HIDDEN)[order], first, axis=0)

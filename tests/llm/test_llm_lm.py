@@ -54,6 +54,17 @@ def test_gradients_equal_differences():
             assert math.isclose(grad[k][at], slope, rel_tol=1e-4, abs_tol=1e-7)
 
 
+def test_targets_are_ordered_by_class():
+    codes = np.random.default_rng(6).integers(-1, gru.START, 700)
+    short, classes = gru._by_class(codes)
+    assert sorted(short) == np.flatnonzero((codes >= 0) & (codes < gru.SHORTLIST)).tolist()
+    assert [at.start for _, at, _ in classes] == [0, *(at.stop for _, at, _ in classes[:-1])] and classes[-1][1].stop == len(short)
+    for k, at, place in classes:
+        assert (codes[short[at]] == k * gru.WIDTH + place).all() and (np.diff(place) >= 0).all()
+    none, empty_classes = gru._by_class(np.full(5, -1))
+    assert len(none) == 0 and empty_classes == []
+
+
 def slow_score(p, codes):
     """One text, one token at a time, in plain formulas."""
     sigmoid = lambda v: 1 / (1 + np.exp(-v))
