@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,9 +50,12 @@ TABLE_BYTES = 128 << 20
 MARK = "\x01"
 #: Marks that follow a word; the split keeps a run of them apart from letters
 #: (its forms of an apostrophe and letters need letters behind the apostrophe).
-MARKS = string.punctuation.encode()
+MARKS = string.punctuation
+#: Latin-1 letters, which the normaliser only lowers.
+LETTERS = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"
 SPECIAL = b"<|"
-_SLICE = 256
+#: Bytes of text that are encoded at once, but for the last document's.
+_SLICE = 2 << 20
 
 
 def _byte_signs() -> dict[int, str]:
@@ -169,34 +173,19 @@ class Lookup:
         the split leaves them as they are, so the library's model can be asked
         directly, with each byte written as its sign."""
         tokenize = self.model.tokenize
-        for at in range(0, len(words), 2000):
-            found = []
-            for w in words[at : at + 2000]:
-                text = w.decode().lower()
-                if not text.isascii():  # an ASCII letter is its own sign
-                    text = text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
-                found.append(tokenize(text))
-            data = array("I", [t.id for tokens in found for t in tokens]).tobytes()
-            end = 0
-            for tokens in found:
-                start, end = end, end + 4 * len(tokens)
-                yield data[start:end]
+        for w in words:
+            text = w.decode().lower()
+            if not text.isascii():  # an ASCII letter is its own sign
+                text = text.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
+            yield array("I", [t.id for t in tokenize(text)]).tobytes()
 
     def _learn(self, new: list[bytes]) -> list[bytes]:
         """Packed ids of space-free strings."""
-        known, learnt = self.table.young, {}
-        words, rest, marked = [], [], []
+        words, rest = [], []
         for w in new:
-            stem = w.rstrip(MARKS)
-            if not (stem.isalpha() or (text := stem.decode()).isalpha() and max(text) <= "\xff"):
-                rest.append(w)
-            elif len(stem) == len(w):
-                words.append(w)
-            else:
-                marked.append((w, stem, w[len(stem) :]))
-        words += {stem for _, stem, _ in marked}.difference(known, words)
-        learnt.update(zip(words, self._letters(words)))
-        rest += {marks for _, _, marks in marked}.difference(known, rest)
+            letters = w.isalpha() or (text := w.decode()).isalpha() and max(text) <= "\xff"
+            (words if letters else rest).append(w)
+        learnt = dict(zip(words, self._letters(words)))
         plain = [w for w in rest if MARK.encode() not in w and SPECIAL not in w]
         for w in set(rest).difference(plain):
             learnt[w] = array("I", self._ids(w.decode())).tobytes()
@@ -207,23 +196,71 @@ class Lookup:
             data = ids.tobytes()
             for w, a, b in zip(part, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]):
                 learnt[w] = data[a:b]
-        of = lambda w: learnt[w] if w in learnt else known[w]
-        for w, stem, marks in marked:  # marks behind letters are a piece by themselves
-            learnt[w] = of(stem) + of(marks)
         return [learnt[w] for w in new]
 
+    def _known(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct space-free strings in a row, and how many each has."""
+        whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings)
+        keys = pc.binary_join(whole, pa.scalar(" ", strings.type))[0].as_py().encode().split(b" ")
+        found = list(map(self.table.having(set(keys)).__getitem__, keys))
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (uint32) of all ``texts`` in a row, and how many each has.
+
+        Each distinct space-free string is looked up once, as its letters and
+        the marks behind them."""
+        if not len(texts):
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        texts = texts.fill_null("")
+        # A special token's string counts in its own case only.
+        cased = pc.match_substring(texts, SPECIAL.decode())
+        split = pc.ascii_split_whitespace(pc.if_else(cased, texts, pc.ascii_lower(texts)))
+        words = split.flatten().dictionary_encode()
+        pieces = _apart(words.dictionary).dictionary_encode()
+        ids, sizes = _taken(*self._known(pieces.dictionary), pieces.indices.to_numpy())
+        ids, sizes = _taken(ids, sizes[0::2] + sizes[1::2], words.indices.to_numpy())
+        edges = split.offsets.to_numpy()
+        return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[edges - edges[0]])
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
-        # A special token's string counts in its own case only.
-        split = [(t if SPECIAL in t else t.lower()).split() for t in texts]
-        table = self.table.having(set().union(*split))
-        return [b"".join(map(table.__getitem__, ws)) for ws in split]
+        ids, sizes = self.rows(pa.array(texts, pa.binary()).cast(pa.string()))
+        ends = np.cumsum(sizes)
+        return [ids[a:b].tobytes() for a, b in zip(ends - sizes, ends)]
+
+
+def _apart(words: pa.Array) -> pa.Array:
+    """Two strings of each word: Latin-1 letters and the marks that end it, or
+    the word and nothing."""
+    kind = np.int64 if pa.types.is_large_string(words.type) else np.int32
+    edges = np.frombuffer(words.buffers()[1], kind)[words.offset : words.offset + len(words) + 1]
+    stems = pc.ascii_rtrim(words, MARKS)
+    letters = pc.match_substring_regex(stems, LETTERS).to_numpy(zero_copy_only=False)
+    cuts = np.where(letters, edges[:-1] + pc.binary_length(stems).to_numpy(), edges[1:])
+    both = np.append(np.stack([edges[:-1], cuts], 1).ravel(), edges[-1]).astype(kind)
+    return pa.Array.from_buffers(words.type, len(both) - 1, [None, pa.py_buffer(both), words.buffers()[2]])
+
+
+def _taken(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``which`` of ``ids``, whose runs have ``sizes``, in a row, and
+    the size of each."""
+    starts, size = np.cumsum(sizes) - sizes, sizes[which]
+    ends = np.cumsum(size)
+    return ids[np.repeat(starts[which] - ends + size, size) + np.arange(ends[-1])], size
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``_SLICE`` bytes of text, the last row's besides."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64))
+    edges = np.flatnonzero(np.diff(ends // _SLICE)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
 
 
 def _encode(path: str, end_id: int, id_type: pa.DataType):
-    def chunk(part: int, number: int, first: int, docs: list, ids: list[bytes]) -> pa.RecordBatch:
-        lengths = [len(x) // 4 for x in ids]
-        words, blocks = pack(np.frombuffer(b"".join(ids), "<u4"))
+    def chunk(part: int, number: int, first: int, docs: list, ids: list, lengths: list) -> pa.RecordBatch:
+        words, blocks = pack(np.concatenate(ids))
         one = lambda x, kind: pa.array([x], kind)
         return pa.RecordBatch.from_arrays(
             [
@@ -238,22 +275,26 @@ def _encode(path: str, end_id: int, id_type: pa.DataType):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
-        lookup, end = Lookup.load(path), np.array([end_id], "<u4").tobytes()
+        lookup = Lookup.load(path)
         part, number, first, held = TaskContext.get().partitionId(), 0, 0, 0
-        docs, ids = [], []
+        docs, ids, lengths = [], [], []
         for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                some = batch.slice(at, _SLICE)
-                texts = [t or b"" for t in some.column(1).cast(pa.binary()).to_pylist()]
-                for doc, packed in zip(some.column(0).to_pylist(), lookup.encode(texts)):
-                    docs.append(doc)
-                    ids.append(packed + end)
-                    held += len(ids[-1]) // 4
+            for some in _slices(batch):
+                names = some.column(0).to_pylist()
+                data, sizes = lookup.rows(some.column(1))
+                data, sizes = np.insert(data, np.cumsum(sizes), end_id), sizes + 1
+                ends, a, at = np.cumsum(sizes), 0, 0
+                while a < len(names):
+                    b = min(int(np.searchsorted(ends, at + CHUNK - held)) + 1, len(names))
+                    docs += names[a:b]
+                    lengths += sizes[a:b].tolist()
+                    ids.append(data[at : ends[b - 1]])
+                    held, a, at = held + len(ids[-1]), b, int(ends[b - 1])
                     if held >= CHUNK:
-                        yield chunk(part, number, first, docs, ids)
-                        number, first, held, docs, ids = number + 1, first + held, 0, [], []
+                        yield chunk(part, number, first, docs, ids, lengths)
+                        number, first, held, docs, ids, lengths = number + 1, first + held, 0, [], [], []
         if docs:
-            yield chunk(part, number, first, docs, ids)
+            yield chunk(part, number, first, docs, ids, lengths)
 
     return run
 

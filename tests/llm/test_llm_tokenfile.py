@@ -3,6 +3,7 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers as P
 from hypothesis import given, settings
@@ -77,6 +78,48 @@ def test_marks_behind_letters_are_learnt_apart(oracle):
     assert sorted(set(" ".join(asked).split()) - {tokenfile.MARK}) == ["###", "&&&", "(x)", "***", ","]
 
 
+def test_memory_holds_letters_and_marks_once(oracle):
+    lookup = tokenfile.Lookup(PATH)
+    texts = ["zuber zuber, Zuber. ZUBER!", " zuber!,\x0b", "", " \t", "(zuber)", "12, 12", "\x1czuber.\xa0zuber,"]
+    for text, packed in zip(texts, lookup.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() + [2] == oracle(text)
+    held = {"", "zuber", ",", ".", "!", "!,", "(zuber)", "12,", "12", "\x1czuber.\xa0zuber,"}
+    assert set(lookup.table.young) == {w.encode() for w in held}
+
+
+def test_rows_of_any_text_column(oracle):
+    lookup = tokenfile.Lookup(PATH)
+    for kind in (pa.string(), pa.large_string()):
+        for texts in ([], [None], [""], ["  "], [None, "A b", "", "x<|endoftext|>Y.", None, "é,\né ", "<|EndOfText|> Q"]):
+            for column in (pa.array(texts, kind), pa.array(["cut off, É", *texts, "cut"], kind).slice(1, len(texts))):
+                ids, sizes = lookup.rows(column)
+                assert sizes.tolist() == [len(oracle(t)) - 1 for t in texts]
+                assert ids.tolist() == [i for t in texts for i in oracle(t)[:-1]]
+
+
+def test_chunks_do_not_depend_on_slices(oracle, monkeypatch):
+    task = type("Task", (), {"get": classmethod(lambda c: c), "partitionId": staticmethod(lambda: 7)})
+    monkeypatch.setattr(tokenfile, "TaskContext", task)
+    monkeypatch.setattr(tokenfile, "CHUNK", 50)
+    rng, found = np.random.default_rng(3), []
+    texts = [None if n == 3 else " ".join(rng.choice(["the", "Zuber,", "é!", "\n", "12"], n)) for n in rng.integers(0, 90, 120)]
+    for size in (1, 64, 1000, 1 << 20):
+        monkeypatch.setattr(tokenfile, "_SLICE", size)
+        for rows_in in (120, 17):
+            table = pa.table({"id": pa.array(range(120), pa.int64()), "text": pa.array(texts, pa.string())})
+            found.append([b.to_pydict() for b in tokenfile._encode(PATH, 2, pa.int64())(iter(table.to_batches(rows_in)))])
+    assert all(x == found[0] for x in found)
+    first = 0
+    for i, c in enumerate(found[0]):
+        ids = [j for d in c["docs"][0] for j in oracle(texts[d])]
+        assert tokenfile.unpack(np.frombuffer(c["words"][0], "<u8")).tolist() == ids
+        assert (c["part"], c["chunk"], c["first"], c["n_ids"]) == ([7], [i], [first], [len(ids)])
+        assert c["lengths"][0] == [len(oracle(texts[d])) for d in c["docs"][0]]
+        assert i + 1 == len(found[0]) or len(ids) - c["lengths"][0][-1] < 50 <= len(ids)  # closed as soon as full
+        first += len(ids)
+    assert [d for c in found[0] for d in c["docs"][0]] == list(range(120))
+
+
 def expected(oracle, table):
     out, start = [], 0
     for doc, text in sorted(table, key=lambda r: (r[0] is None, r[0] or 0)):
