@@ -29,8 +29,9 @@ WIDTH = 32
 TAIL = 32
 STEPS = 16
 LANES = 512
-#: The same for scoring, where a window is only a unit of work.
-SCORE_STEPS, SCORE_LANES = 16, 512
+#: The same for scoring, where a window is only a unit of work, and tokens
+#: dealt to lanes at a time there.
+SCORE_STEPS, SCORE_LANES, SCORE_CHUNK = 16, 512, 4_000_000
 #: Tokens whose class probabilities are worked out at a time (they stay near the core).
 NEAR = 2048
 #: In training, longer texts are dealt to lanes in pieces of so many tokens;
@@ -124,10 +125,15 @@ class Lanes:
         self.lane[dealt] = np.searchsorted(self.first, begins, side="right") - 1
         self.begin[dealt] = begins - self.first[self.lane[dealt]]
 
-    def windows(self, steps: int):
-        """(first step, last step, lanes still running) of each window."""
-        for a in range(0, self.length, steps):
-            yield a, min(a + steps, self.length), int(np.searchsorted(-self.load, -a, side="left"))
+    def windows(self, steps: int, tokens: int = 0):
+        """(first step, last step, lanes still running) of each window, which
+        has more than ``steps`` where the lanes need them for ``tokens``."""
+        a = 0
+        while a < self.length:
+            running = int(np.searchsorted(-self.load, -a, side="left"))
+            b = min(a + max(steps, tokens // running), self.length)
+            yield a, b, running
+            a = b
 
     def window(self, a: int, b: int, running: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, targets and texts (-1: the lane has ended) of a window:
@@ -138,8 +144,44 @@ class Lanes:
         return np.where(on, self.given[at], START), np.where(on, self.codes[at], 0), np.where(on, self.owner[at], -1)
 
 
+def _keep_memory() -> None:
+    """Freeing a large piece once lets the allocator keep what a window frees
+    for the next one, which else comes from the system again, page by page."""
+    np.empty(16 << 20, np.uint8)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def _thirds(p: dict[str, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The input and state weights of the gates z and r and of the proposed
+    state, each in one piece in memory: arithmetic on whole arrays is faster."""
+    parts = [slice(i * HIDDEN, (i + 1) * HIDDEN) for i in range(3)]
+    return [(np.ascontiguousarray(p["gates"][:, at]), np.ascontiguousarray(p["state"][:, at])) for at in parts]
+
+
+def _step(thirds: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, h: np.ndarray):
+    """The gates z and r, the proposed state, the part of it that r lets in or
+    not, and the states after the inputs ``x``."""
+    (gate_z, state_z), (gate_r, state_r), (gate_n, state_n) = thirds
+    z, r, let = h @ state_z, h @ state_r, h @ state_n
+    z += gate_z.take(x, axis=0)
+    r += gate_r.take(x, axis=0)
+    _sigmoid(z)
+    _sigmoid(r)
+    n = r * let
+    n += gate_n.take(x, axis=0)
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return z, r, n, let, after
 
 
 def _class_of(codes: np.ndarray) -> np.ndarray:
@@ -150,13 +192,18 @@ def _class_of(codes: np.ndarray) -> np.ndarray:
 SAFE = 60.0
 
 
+def _flat(at: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The places of rows ``at``, one a column, in the flat ``x``."""
+    return at * np.intp(x.shape[1]) + np.arange(x.shape[1])
+
+
 def _log_total(x: np.ndarray, at: np.ndarray, shift: bool = True) -> np.ndarray:
     """Log-probability of class ``at`` of each token under the softmax over
     the columns of ``x`` (classes, tokens), which becomes its exponentials.
     ``shift``: unless no product is beyond ``SAFE``."""
     if shift:
         x -= x.max(axis=0)
-    picked = x[at, np.arange(x.shape[1])]
+    picked = x.take(_flat(at, x))
     np.exp(x, out=x)
     return picked - np.log(x.sum(axis=0))
 
@@ -169,13 +216,15 @@ def _shift(p: dict[str, np.ndarray]) -> bool:
 
 
 def _softmax(x: np.ndarray, at: np.ndarray, shift: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """The same, and all probabilities."""
+    """The same, and all probabilities, less 1 at ``at``."""
     if shift:
         x -= x.max(axis=0)
-    picked = x[at, np.arange(x.shape[1])]
+    place = _flat(at, x)
+    picked = x.take(place)
     np.exp(x, out=x)
     total = x.sum(axis=0)
     x /= total
+    x.ravel()[place] -= 1
     return picked - np.log(total), x
 
 
@@ -194,22 +243,19 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(texts))
     if not texts:
         return out
+    _keep_memory()
     lanes = Lanes(texts, SCORE_LANES)
-    shift = _shift(p)
+    shift, thirds = _shift(p), _thirds(p)
     class_w, class_b = np.ascontiguousarray(p["class_w"].T), p["class_b"][:, None]
     h = np.zeros((lanes.lanes, HIDDEN), np.float32)
-    for a, b, running in lanes.windows(SCORE_STEPS):
+    for a, b, running in lanes.windows(SCORE_STEPS, SCORE_STEPS * SCORE_LANES):
         given, target, owner = lanes.window(a, b, running)
         states = np.empty((b - a, running, HIDDEN), np.float32)
         h = h[:running]
         for t in range(a, b):
             x = given[t - a]
-            h = h * (x != START)[:, None]
-            g, u = p["gates"][x], h @ p["state"]
-            zr = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            n = np.tanh(g[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
-            h = n + z * (h - n)
+            h[x == START] = 0
+            h = _step(thirds, x, h)[-1]
             states[t - a] = h
         owner = owner.ravel()
         used = owner >= 0
@@ -218,12 +264,16 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
         found, kinds = np.empty(len(codes), np.float32), _class_of(codes)
         for lo in range(0, len(codes), NEAR):
             part = slice(lo, lo + NEAR)
-            found[part] = _log_total(class_w @ s[part].T + class_b, kinds[part], shift)
+            x = class_w @ s[part].T
+            x += class_b
+            found[part] = _log_total(x, kinds[part], shift)
         short, classes = _by_class(codes)
         s, inner = s[short], np.empty(len(short), np.float32)
         for k, at, place in classes:
             words = slice(k * WIDTH, (k + 1) * WIDTH)
-            inner[at] = _log_total(p["word_w"][words] @ s[at].T + p["word_b"][words, None], place, shift)
+            x = p["word_w"][words] @ s[at].T
+            x += p["word_b"][words, None]
+            inner[at] = _log_total(x, place, shift)
         found[short] += inner
         out += np.bincount(owner, weights=found, minlength=len(texts))
     return out
@@ -232,11 +282,9 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
 def states_after(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     """The states, from zero, after the inputs ``x`` (texts, steps)."""
     h = np.zeros((len(x), HIDDEN), np.float32)
+    thirds = _thirds(p)
     for t in range(x.shape[1]):
-        g, u = p["gates"][x[:, t]], h @ p["state"]
-        zr = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        n = np.tanh(g[:, 2 * HIDDEN :] + zr[:, HIDDEN:] * u[:, 2 * HIDDEN :])
-        h = n + zr[:, :HIDDEN] * (h - n)
+        h = _step(thirds, x[:, t], h)[-1]
     return h
 
 
@@ -245,33 +293,33 @@ def gradients(p, x, target, valid, h, given: dict | None = None):
     of a window: ``x``, ``target`` and ``valid`` are (steps, lanes).
     ``given``: step -> (lanes, states) that begin there."""
     steps, lanes = x.shape
-    hs, zs, rs, ns, us, keeps = [], [], [], [], [], []
+    thirds, hs, kept, fresh = _thirds(p), [], [], []
+    states = np.empty((steps, lanes, HIDDEN), h.dtype)
     for t in range(steps):
-        keep = (x[t] != START).astype(np.float32)[:, None]
+        begin = x[t] == START
+        h = h.copy()
         if given and t in given:
-            keep[given[t][0]] = 0  # nothing flows back into the text before
-        h = h * keep
+            begin[given[t][0]] = True  # nothing flows back into the text before
+        begin = np.flatnonzero(begin)
+        h[begin] = 0
         if given and t in given:
             h[given[t][0]] = given[t][1]
-        g, u = p["gates"][x[t]], h @ p["state"]
-        zr = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(g[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
         hs.append(h)
-        h = n + z * (h - n)
-        for store, value in ((zs, z), (rs, r), (ns, n), (us, u[:, 2 * HIDDEN :]), (keeps, keep)):
-            store.append(value)
-    states = np.stack([n + z * (b - n) for n, z, b in zip(ns, zs, hs)])
+        *gates, h = _step(thirds, x[t], h)
+        states[t] = h
+        kept.append(gates)
+        fresh.append(begin)
     s = states.reshape(-1, HIDDEN)
     codes, mask = target.ravel(), valid.ravel()
     count = max(1, int(mask.sum()))
     grad = {k: np.zeros_like(v) for k, v in p.items()}
     owner, shift = _class_of(codes), _shift(p)
     weight = mask.astype(np.float32) / count
-    logp, d = _softmax(p["class_w"].T @ s.T + p["class_b"][:, None], owner, shift)
-    loss = float(logp[mask].sum())
-    d[owner, np.arange(len(codes))] -= 1
+    d = p["class_w"].T @ s.T
+    d += p["class_b"][:, None]
+    logp, d = _softmax(d, owner, shift)
     d *= weight
+    loss = float(logp[mask].sum())
     grad["class_w"], grad["class_b"] = (d @ s).T, d.sum(axis=1)
     ds = d.T @ p["class_w"].T
     short, classes = _by_class(np.where(mask, codes, -1))
@@ -279,9 +327,10 @@ def gradients(p, x, target, valid, h, given: dict | None = None):
     back = np.empty_like(s)
     for k, at, place in classes:
         words = slice(k * WIDTH, (k + 1) * WIDTH)
-        inner, e = _softmax(p["word_w"][words] @ s[at].T + p["word_b"][words, None], place, shift)
+        e = p["word_w"][words] @ s[at].T
+        e += p["word_b"][words, None]
+        inner, e = _softmax(e, place, shift)
         loss += float(inner.sum())
-        e[place, np.arange(len(place))] -= 1
         e /= count
         grad["word_w"][words], grad["word_b"][words] = e @ s[at], e.sum(axis=1)
         back[at] = e.T @ p["word_w"][words]
@@ -289,20 +338,33 @@ def gradients(p, x, target, valid, h, given: dict | None = None):
     ds = ds.reshape(steps, lanes, HIDDEN)
     dh = np.zeros((lanes, HIDDEN), np.float32)
     dgates = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+    du = np.empty((lanes, 3 * HIDDEN), s.dtype)
+    back_w = p["state"].T
     for t in range(steps - 1, -1, -1):
         dh = dh + ds[t]
-        z, r, n, u, b = zs[t], rs[t], ns[t], us[t], hs[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (b - n) * z * (1 - z)
-        dr = dn * u * r * (1 - r)
-        dgates[t] = np.concatenate([dz, dr, dn], axis=1)
-        du = np.concatenate([dz, dr, dn * r], axis=1)
+        (z, r, n, let), b = kept[t], hs[t]
+        rest = 1 - z
+        dn = dh * rest
+        dn *= 1 - n * n
+        dz = b - n
+        dz *= dh
+        dz *= z
+        dz *= rest
+        dr = dn * let
+        dr *= r
+        dr *= 1 - r
+        du[:, :HIDDEN], du[:, HIDDEN : 2 * HIDDEN] = dz, dr
+        dgates[t] = du
+        dgates[t, :, 2 * HIDDEN :] = dn
+        np.multiply(dn, r, out=du[:, 2 * HIDDEN :])
         grad["state"] += b.T @ du
-        dh = (dh * z + du @ p["state"].T) * keeps[t]
+        dh *= z
+        dh += du @ back_w
+        dh[fresh[t]] = 0
     order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
     ids = x.ravel()[order]
     first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-    grad["gates"][ids[first]] = np.add.reduceat(dgates.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    grad["gates"][ids[first]] = np.add.reduceat(dgates.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
     return loss, grad, h
 
 
@@ -327,6 +389,7 @@ class Trainer:
         total = sum(map(len, pieces))
         if not total:
             return 0.0
+        _keep_memory()
         # Fewer lanes for little data: more steps matter more than speed.
         lanes = Lanes(pieces, int(np.clip(total // (STEPS * 64), 8, LANES)), np.array(before, np.int32))
         late, warm = np.array(late, int), np.array(warm, np.int32).reshape(-1, WARM)

@@ -23,12 +23,11 @@ the other columns pass through.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,39 +39,65 @@ HEAD = 1 << 18
 ROUNDS = 3
 RATES = (0.02, 0.01, 0.005)
 FAN_IN = 32
-_FLUSH = 400_000
 #: How codes are packed.
 CODE = np.dtype("<u2")
-_SLICE = 512
+#: Bytes of texts that are split at a time (a longer text stands alone).
+_SLICE = 32 << 20
 
 _kept: dict[str, object] = {}
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    return text.lower().split()  # of bytes: A-Z only, and exactly the six breaks
+def _slices(column: pa.Array) -> Iterator[pa.Array]:
+    """Runs of at most ``_SLICE`` bytes of texts (a longer text stands alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + _SLICE, side="right")))
+        yield column.slice(at, to - at)
+        at = to
 
 
-def _texts(column: pa.Array) -> Iterator[list[bytes]]:
-    for at in range(0, len(column), _SLICE):
-        yield [t or b"" for t in column.slice(at, _SLICE).cast(pa.binary()).to_pylist()]
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The number of tokens of each text, and all tokens one after another:
+    A-Z lower-cased, split at exactly the six breaks."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    filled = pc.if_else(pc.equal(pc.binary_length(trimmed), 0), pa.scalar(None, trimmed.type), trimmed)
+    split = pc.ascii_split_whitespace(filled)
+    sizes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return sizes, split.flatten()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["token", "c"]
-        )
+def _as_strings(tokens: pa.Array) -> pa.Array:
+    """Bytes as the strings that they are, whether or not they are valid UTF-8."""
+    return tokens.view(pa.large_string() if pa.types.is_large_binary(tokens.type) else pa.string())
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _sums(values: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """The sum of each run of ``values`` between two offsets."""
+    ends = to.tolist()
+    return np.array([values[a:b].sum() for a, b in zip(ends, ends[1:])], float)
+
 
-    found: Counter[bytes] = Counter()
+def _tail_codes(tokens: pa.Array) -> np.ndarray:
+    """``gru.tail_class`` of each token, as a code for the network."""
+    if not len(tokens):
+        return np.empty(0, CODE)
+    stems = pc.ascii_rtrim(tokens, characters=gru.PUNCTUATION.decode())
+    last = pc.binary_slice(stems.cast(pa.large_binary()), -2).dictionary_encode()
+    code = np.array([gru.SHORTLIST + gru.tail_class(x) for x in last.dictionary.to_pylist()], CODE)
+    return code[last.indices.to_numpy()]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for texts in _texts(batch.column(0)):
-            for t in texts:
-                found.update(tokens_of(t))
-            if len(found) >= _FLUSH:
-                yield out()
-                found.clear()
-    if found:
-        yield out()
+        for texts in _slices(batch.column(0)):
+            found = tokens_of(texts)[1].value_counts()
+            yield pa.RecordBatch.from_arrays([found.field(0).cast(pa.binary()), found.field(1)], names=["token", "c"])
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -82,23 +107,45 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return materialize(parts.groupBy("token").agg(F.sum("c").alias("c")), "lm-counts")
 
 
-def _head_threshold(counts: DataFrame, head: int) -> int:
-    """The least count of a fixed geometric grid that at most ``head`` tokens
-    reach."""
-    grid = sorted({1, *(int(1.1**i) for i in range(450))})
-    row = counts.agg(*[F.count_if(F.col("c") >= g).alias(f"n{i}") for i, g in enumerate(grid)]).first()
-    return next(g for i, g in enumerate(grid) if (row[f"n{i}"] or 0) <= head)
+#: The counts between which ``_reach`` tells.
+GRID = np.array(sorted({1, *(int(1.1**i) for i in range(450))}), float)
+
+
+def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of counts: how many reach a step of ``GRID`` but not the next, and their sum."""
+    kinds, total = np.zeros(len(GRID), np.int64), np.zeros(len(GRID), np.int64)
+    for batch in batches:
+        c = batch.column(0).to_numpy()
+        at = np.searchsorted(GRID, c, side="right") - 1
+        kinds += np.bincount(at, minlength=len(GRID))
+        np.add.at(total, at, c)
+    at = np.flatnonzero(kinds)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(at.astype(np.int32)), pa.array(kinds[at]), pa.array(total[at])], names=["at", "kinds", "total"]
+    )
+
+
+def _sizes(counts: DataFrame, head: int) -> tuple[int, int, int]:
+    """Over (token, c): the sum of the counts, the number of tokens, and the
+    least count of ``GRID`` that at most ``head`` tokens reach."""
+    steps = counts.select("c").mapInArrow(_reach, "at int, kinds long, total long").groupBy("at")
+    found = steps.agg(F.sum("kinds").alias("kinds"), F.sum("total").alias("total")).collect()  # one row a step of the grid
+    kinds = np.zeros(len(GRID), np.int64)
+    for r in found:
+        kinds[r["at"]] = r["kinds"]
+    reach = np.cumsum(kinds[::-1])[::-1]
+    return sum(r["total"] for r in found), int(kinds.sum()), int(GRID[np.flatnonzero(reach <= head)[0]])
 
 
-def _tail_sums(shortlist: set[bytes]):
+def _tail_sums(shortlist: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, kinds = np.zeros(gru.TAIL, np.int64), np.zeros(gru.TAIL, np.int64)
+        among = pa.array(shortlist, pa.binary())
         for batch in batches:
-            for token, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if token not in shortlist:
-                    k = gru.tail_class(token)
-                    total[k] += c
-                    kinds[k] += 1
+            tail = pc.invert(pc.is_in(batch.column(0), value_set=among))
+            k = _tail_codes(_as_strings(batch.column(0).filter(tail))) - gru.SHORTLIST
+            np.add.at(total, k, batch.column(1).filter(tail).to_numpy())
+            kinds += np.bincount(k, minlength=gru.TAIL)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(gru.TAIL, dtype=np.int32)), pa.array(total), pa.array(kinds)], names=["k", "total", "kinds"]
         )
@@ -124,15 +171,10 @@ class Codes:
         v = self.vocabulary = vocabulary
         self.base_down = np.log10(v.n + 0.5 * (v.v + 1))
         self.tail_down = np.log10(v.tail_total + 0.5 * (v.tail_kinds + 1))
-        self.code = np.array(
-            [gru.END, *(i + 1 if i < v.short else self.tail(t) for i, t in enumerate(v.tokens))], np.int32
-        )
+        self.tokens = pa.array(v.tokens, pa.large_binary())
+        self.code = np.arange(len(v.tokens) + 1).astype(CODE)
+        self.code[v.short + 1 :] = _tail_codes(_as_strings(self.tokens[v.short :]))
         self.up = np.log10(np.array([v.end_count, *v.counts], float) + 0.5)
-        self.row = {t: i for i, t in enumerate(v.tokens, 1)}
-
-    @staticmethod
-    def tail(token: bytes) -> int:
-        return gru.SHORTLIST + gru.tail_class(token)
 
     @classmethod
     def of(cls, shared, key: str) -> "Codes":
@@ -142,31 +184,58 @@ class Codes:
             _kept["key"], _kept["codes"] = key, cls(shared.value)
         return _kept["codes"]
 
-    def of_text(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Codes of the tokens and the end, their ``up`` (0 for a token below
-        the head), and the places of the tokens below the head."""
-        rows = np.zeros(len(tokens) + 1, np.int64)
-        rows[:-1] = np.fromiter(map(self.row.get, tokens, repeat(-1)), np.int64, len(tokens))
-        below = np.flatnonzero(rows < 0)
-        code, up = self.code[rows], self.up[rows]
-        code[below] = [self.tail(tokens[i]) for i in below]
-        up[below] = 0.0
+    def of_texts(self, sizes: np.ndarray, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of texts of ``sizes`` tokens, each followed by its end: codes, their
+        ``up`` (0 for a token below the head), and the places among ``tokens``
+        of those below the head."""
+        found = pc.index_in(tokens.cast(pa.large_binary()), value_set=self.tokens)
+        rows = pc.fill_null(found, -1).to_numpy() + 1
+        below = np.flatnonzero(rows == 0)
+        place = np.arange(len(rows)) + np.repeat(np.arange(len(sizes)), sizes)
+        code = np.full(len(rows) + len(sizes), gru.END, CODE)
+        up = np.full(len(code), self.up[0])
+        code[place], up[place] = self.code[rows], self.up[rows]
+        code[place[below]] = _tail_codes(tokens.take(pa.array(below)))
+        up[place[below]] = 0.0
         return code, up, below
 
+    def struct(self, sizes: np.ndarray, tokens: pa.Array) -> pa.Array:
+        """What ``_coded`` returns of texts of ``sizes`` tokens."""
+        code, up, below = self.of_texts(sizes, tokens)
+        n, tail = sizes + 1, code >= gru.SHORTLIST
+        to = _offsets(n)
+        tail_to = _offsets(tail)[to]
+        rare_to = np.searchsorted(below, _offsets(sizes))
+        known = n - np.diff(rare_to) - (self.vocabulary.end_count == 0)
+        tail_up, tail_down = up[tail], self.tail_down[code[tail] - gru.SHORTLIST]
+        base = _sums(up, to) - n * self.base_down
+        tails = _sums(tail_up, tail_to) - _sums(tail_down, tail_to)
+        packed = pa.Array.from_buffers(
+            pa.binary(), len(n), [None, pa.py_buffer((to * CODE.itemsize).astype(np.int32)), pa.py_buffer(code)]
+        )
+        rare = pa.ListArray.from_arrays(pa.array(rare_to, pa.int32()), tokens.take(pa.array(below)).cast(pa.binary()))
+        return pa.StructArray.from_arrays(
+            [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(tails), packed, rare],
+            names=["n_tokens", "n_known", "base", "tail", "codes", "rare"],
+        )
+
+    def of_text(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of one text."""
+        return self.of_texts(np.array([len(tokens)]), _as_strings(pa.array(tokens, pa.large_binary())))
+
 
 def vocabulary(train: DataFrame, head: int = HEAD) -> tuple[Vocabulary, DataFrame]:
     """From ``train`` (text): the shared vocabulary, and the written counts of
     the tokens below the head (token, c)."""
     counts = token_counts(train)
     n_docs = train.count()
-    n, kinds = counts.agg(F.sum("c"), F.count("*")).first()
-    least = _head_threshold(counts, head)
+    n, kinds, least = _sizes(counts, head)
     # At most ``head`` rows.
     top = counts.where(F.col("c") >= least).toArrow()
     pairs = sorted(zip(top.column("token").to_pylist(), top.column("c").to_pylist()), key=lambda x: (-x[1], x[0]))
     short = min(len(pairs), gru.SHORTLIST - 1)
     tails = (
-        counts.mapInArrow(_tail_sums({t for t, _ in pairs[:short]}), "k int, total long, kinds long")
+        counts.mapInArrow(_tail_sums([t for t, _ in pairs[:short]]), "k int, total long, kinds long")
         .groupBy("k")
         .agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds"))
         .collect()  # one row a tail class
@@ -176,7 +245,7 @@ def vocabulary(train: DataFrame, head: int = HEAD) -> tuple[Vocabulary, DataFram
         total[r["k"]], sorts[r["k"]] = r["total"], r["kinds"]
     known = Vocabulary(
         n_docs,
-        (n or 0) + n_docs,
+        n + n_docs,
         kinds + (n_docs > 0),
         [t for t, _ in pairs],
         [c for _, c in pairs],
@@ -251,23 +320,8 @@ def _coded(shared, key: str):
     @F.arrow_udf("struct<n_tokens:bigint,n_known:bigint,base:double,tail:double,codes:binary,rare:array<binary>>")
     def run(column: pa.Array) -> pa.Array:
         codes = Codes.of(shared, key)
-        n, known, base, tails, packed, rare = [], [], [], [], [], []
-        for texts in _texts(column):
-            for t in texts:
-                tokens = tokens_of(t)
-                code, up, unseen = codes.of_text(tokens)
-                tail = code >= gru.SHORTLIST
-                n.append(len(code))
-                known.append(len(code) - len(unseen) - (codes.vocabulary.end_count == 0))
-                base.append(float(up.sum() - len(code) * codes.base_down))
-                tails.append(float(up[tail].sum() - codes.tail_down[code[tail] - gru.SHORTLIST].sum()))
-                packed.append(code.astype(CODE).tobytes())
-                rare.append([tokens[i] for i in unseen])
-        return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-             pa.array(tails, pa.float64()), pa.array(packed, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
-            names=["n_tokens", "n_known", "base", "tail", "codes", "rare"],
-        )
+        parts = [codes.struct(*tokens_of(texts)) for texts in _slices(column)]
+        return pa.concat_arrays(parts) if parts else codes.struct(*tokens_of(column))
 
     return run
 
@@ -292,7 +346,7 @@ def _likelihood(parameters):
     def run(column: pa.Array) -> pa.Array:
         p = gru.unflat(parameters.value)
         out = []
-        for held in _chunks(map(_unpacked, column), gru.CHUNK):
+        for held in _chunks(map(_unpacked, column), gru.SCORE_CHUNK):
             out += gru.score(p, held).tolist()
         return pa.array(np.array(out) / np.log(10), pa.float64())
 

@@ -211,3 +211,67 @@ def test_a_long_text_among_many_costs_its_own_length():
 def test_a_text_above_the_chunk_stands_alone():
     sizes = [[len(t) for t in c] for c in lm._chunks(iter([np.zeros(n) for n in (3, 4, 50, 2, 9, 1)]), 10)]
     assert sizes == [[3, 4], [50], [2], [9, 1]]
+
+
+ODD = [None, "", " ", "a", "\n\n A b  ", "...", "a... É,", "x\x1fy\x85z\xa0Z\x0b\x0cq\r\t", "漢" * 3, "b a  B"]
+
+
+def test_texts_are_split_and_counted_as_whole_columns(monkeypatch):
+    import pyarrow as pa
+
+    want = [(t or "").encode().lower().split() for t in ODD]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(ODD, kind)
+        sizes, tokens = lm.tokens_of(column)
+        assert sizes.tolist() == [len(t) for t in want]
+        assert [t.encode() for t in tokens.to_pylist()] == [x for t in want for x in t]
+        for most in (lm._SLICE, 4):  # a text above it stands alone
+            monkeypatch.setattr(lm, "_SLICE", most)
+            assert [t for part in lm._slices(column) for t in part.to_pylist()] == ODD
+            found = collections.Counter()
+            for b in lm._count(iter([pa.RecordBatch.from_arrays([column], names=["text"])])):
+                found.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+            assert found == collections.Counter(x for t in want for x in t)
+        monkeypatch.undo()
+    assert [len(x) for x in lm.tokens_of(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_columns_are_coded_as_their_texts_are():
+    import pyarrow as pa
+
+    known = lm.Vocabulary(3, 10, 4, [b"a", b"b", b"\xc3\x89,", b"z\xc2\xa0z"], [4, 3, 1, 1], 2, (np.ones(gru.TAIL), np.ones(gru.TAIL)))
+    codes = lm.Codes(known)
+    rows = codes.struct(*lm.tokens_of(pa.array(ODD))).to_pylist()
+    assert len(rows) == len(ODD)
+    for t, r in zip(ODD, rows):
+        tokens = (t or "").encode().lower().split()
+        code, up, below = codes.of_text(tokens)
+        assert [c - gru.SHORTLIST for c in code[:-1] if c >= gru.SHORTLIST] == [gru.tail_class(x) for x in tokens if x not in (b"a", b"b")]
+        assert r["codes"] == code.astype(lm.CODE).tobytes() and r["rare"] == [tokens[i] for i in below]
+        assert (r["n_tokens"], r["n_known"]) == (len(code), len(code) - len(below))
+        assert math.isclose(r["base"], up.sum() - len(code) * codes.base_down, abs_tol=1e-12)
+        tail = code >= gru.SHORTLIST
+        assert math.isclose(r["tail"], up[tail].sum() - codes.tail_down[code[tail] - gru.SHORTLIST].sum(), abs_tol=1e-12)
+
+
+def test_the_head_is_found_from_a_row_a_step_of_counts(spark):
+    rng = np.random.default_rng(8)
+    c = np.concatenate([rng.zipf(1.3, 400).clip(1, 10**9), [1, 2, 3, 3, 10**12]]).tolist()
+    counts = spark.createDataFrame([(str(i).encode(), x) for i, x in enumerate(c)], "token binary, c long").repartition(3)
+    grid = sorted({1, *(int(1.1**i) for i in range(450))})
+    for head in (0, 1, 7, 100, 10**6):
+        n, kinds, least = lm._sizes(counts, head)
+        assert (n, kinds) == (sum(c), len(c))
+        assert least == next(g for g in grid if sum(x >= g for x in c) <= head)
+    assert lm._sizes(counts.where("c < 0"), 5) == (0, 0, 1)
+
+
+def test_few_lanes_are_scored_in_longer_windows():
+    texts = [np.array([1, gru.END], np.int32)] * 300 + [np.append(np.full(9_000, 2), gru.END).astype(np.int32)]
+    lanes = gru.Lanes(texts, 512)
+    seen = list(lanes.windows(16, 8192))
+    assert len(seen) < 5 and all((b - a) * n <= max(16 * n, 8192) for a, b, n in seen)
+    assert [a for a, _, _ in seen] == [0, *(b for _, b, _ in seen[:-1])] and seen[-1][1] == 9_001
+    rng = np.random.default_rng(9)
+    p = {k: (0.4 * rng.standard_normal(s)).astype(np.float32) for k, s in gru.SHAPES.items()}
+    assert math.isclose(gru.score(p, texts)[-1], slow_score(p, texts[-1]), rel_tol=1e-4)
