@@ -29,9 +29,8 @@ WIDTH = 32
 TAIL = 32
 STEPS = 16
 LANES = 512
-#: The same for scoring, where a window is only a unit of work, and tokens
-#: dealt to lanes at a time there.
-SCORE_STEPS, SCORE_LANES, SCORE_CHUNK = 16, 512, 4_000_000
+#: The same for scoring, where a window is only a unit of work.
+SCORE_STEPS, SCORE_LANES = 16, 512
 #: Tokens whose class probabilities are worked out at a time (they stay near the core).
 NEAR = 2048
 #: In training, longer texts are dealt to lanes in pieces of so many tokens;
@@ -147,7 +146,7 @@ class Lanes:
 def _keep_memory() -> None:
     """Freeing a large piece once lets the allocator keep what a window frees
     for the next one, which else comes from the system again, page by page."""
-    np.empty(16 << 20, np.uint8)
+    np.empty(8 << 20, np.uint8)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

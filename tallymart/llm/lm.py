@@ -41,19 +41,19 @@ RATES = (0.02, 0.01, 0.005)
 FAN_IN = 32
 #: How codes are packed.
 CODE = np.dtype("<u2")
-#: Bytes of texts that are split at a time (a longer text stands alone).
-_SLICE = 32 << 20
+#: Bytes of texts that are counted or coded at a time.
+COUNT_SLICE, CODE_SLICE = 8 << 20, 4 << 20
 
 _kept: dict[str, object] = {}
 
 
-def _slices(column: pa.Array) -> Iterator[pa.Array]:
-    """Runs of at most ``_SLICE`` bytes of texts (a longer text stands alone)."""
+def _slices(column: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Runs of at most ``most`` bytes of texts (a longer text stands alone)."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     while at < len(column):
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + _SLICE, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield column.slice(at, to - at)
         at = to
 
@@ -93,11 +93,19 @@ def _tail_codes(tokens: pa.Array) -> np.ndarray:
     return code[last.indices.to_numpy()]
 
 
+def _release() -> None:
+    """Give unused memory back: the other worker and Spark need it."""
+    pa.default_memory_pool().release_unused()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = None
     for batch in batches:
-        for texts in _slices(batch.column(0)):
+        for texts in _slices(batch.column(0), COUNT_SLICE):
             found = tokens_of(texts)[1].value_counts()
             yield pa.RecordBatch.from_arrays([found.field(0).cast(pa.binary()), found.field(1)], names=["token", "c"])
+    del found
+    _release()
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -191,7 +199,8 @@ class Codes:
         found = pc.index_in(tokens.cast(pa.large_binary()), value_set=self.tokens)
         rows = pc.fill_null(found, -1).to_numpy() + 1
         below = np.flatnonzero(rows == 0)
-        place = np.arange(len(rows)) + np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(rows), dtype=np.int32)
+        place += np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         code = np.full(len(rows) + len(sizes), gru.END, CODE)
         up = np.full(len(code), self.up[0])
         code[place], up[place] = self.code[rows], self.up[rows]
@@ -320,8 +329,11 @@ def _coded(shared, key: str):
     @F.arrow_udf("struct<n_tokens:bigint,n_known:bigint,base:double,tail:double,codes:binary,rare:array<binary>>")
     def run(column: pa.Array) -> pa.Array:
         codes = Codes.of(shared, key)
-        parts = [codes.struct(*tokens_of(texts)) for texts in _slices(column)]
-        return pa.concat_arrays(parts) if parts else codes.struct(*tokens_of(column))
+        parts = [codes.struct(*tokens_of(texts)) for texts in _slices(column, CODE_SLICE)]
+        out = pa.concat_arrays(parts) if parts else codes.struct(*tokens_of(column))
+        del parts
+        _release()
+        return out
 
     return run
 
@@ -346,7 +358,7 @@ def _likelihood(parameters):
     def run(column: pa.Array) -> pa.Array:
         p = gru.unflat(parameters.value)
         out = []
-        for held in _chunks(map(_unpacked, column), gru.SCORE_CHUNK):
+        for held in _chunks(map(_unpacked, column), gru.CHUNK):
             out += gru.score(p, held).tolist()
         return pa.array(np.array(out) / np.log(10), pa.float64())
 

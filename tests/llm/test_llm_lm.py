@@ -225,9 +225,9 @@ def test_texts_are_split_and_counted_as_whole_columns(monkeypatch):
         sizes, tokens = lm.tokens_of(column)
         assert sizes.tolist() == [len(t) for t in want]
         assert [t.encode() for t in tokens.to_pylist()] == [x for t in want for x in t]
-        for most in (lm._SLICE, 4):  # a text above it stands alone
-            monkeypatch.setattr(lm, "_SLICE", most)
-            assert [t for part in lm._slices(column) for t in part.to_pylist()] == ODD
+        for most in (lm.COUNT_SLICE, 4):  # a text above it stands alone
+            monkeypatch.setattr(lm, "COUNT_SLICE", most)
+            assert [t for part in lm._slices(column, most) for t in part.to_pylist()] == ODD
             found = collections.Counter()
             for b in lm._count(iter([pa.RecordBatch.from_arrays([column], names=["text"])])):
                 found.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
