@@ -12,6 +12,7 @@ Two plans with the same result:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -64,7 +65,9 @@ def _per_key(spec: SummarySpec) -> WindowSpec:
     return Window.partitionBy(F.xxhash64(*spec.join_keys), *spec.join_keys)
 
 
-def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
+def summary_onepass(
+    df: DataFrame, spec: SummarySpec, stage: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """The summary with one scan of the input and no join.
 
     Level 1 groups by join keys + attributes (partial/final aggregation, so a
@@ -77,6 +80,9 @@ def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
     This is exactly the joined plan: lists are aggregated per join key
     whatever their attributes, and a NULL join key gets NULL list columns
     because an equi-join never matches it.
+
+    ``stage`` writes level 1 and returns a scan of it, so that the shuffles of
+    the two levels need not be on disk at once.
     """
     is_tot = F.col(spec.kind) == F.lit(spec.totals_kind)
     is_list = F.col(spec.kind) == F.lit(spec.lists_kind)
@@ -86,6 +92,12 @@ def summary_onepass(df: DataFrame, spec: SummarySpec) -> DataFrame:
     aggs.append(F.sum(F.when(is_list, F.col(spec.measure))).alias("__lsum"))
     aggs.append(F.count_if(is_list).alias("__lcnt"))
     level1 = df.groupBy(*spec.join_keys, *spec.attributes).agg(*aggs)
+    # A tuple without totals rows only adds its lists: its attributes are not carried on.
+    named = {c: F.when(F.col("__ntot") > 0, F.col(c)) for c in spec.attributes if c not in spec.join_keys}
+    level1 = level1.withColumns(named)
+    if stage is not None:
+        # Dealt by the keys before their hash is added, which need not be shuffled.
+        level1 = stage(level1).repartition(*spec.join_keys)
     if spec.one_spelling:
         return _order(_one_row(level1, spec), spec)
 

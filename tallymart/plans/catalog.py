@@ -56,7 +56,7 @@ from tallymart.plans.medallion import (
     silver,
 )
 from tallymart.plans.oracle import INGEST_EXPECTED
-from tallymart.session import materialize, scratch_path
+from tallymart.session import materialize, scratch_path, shuffles_removed
 from tallymart.sources.delimited import (
     INGESTED_AT,
     SOURCE,
@@ -630,8 +630,10 @@ def q_tally_run(spark, sf_dir):
     raw = tally_bronze(spark, sf_dir)
     lines = raw.select(F.col("dist_codigo").alias("dist"),
                        F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in FIXTURE.bronze_columns]).alias("v"))
-    (lines.write.mode("overwrite").partitionBy("dist").option("encoding", "ISO-8859-1").option("quote", "")
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(text))
+    with shuffles_removed(spark):
+        (lines.write.mode("overwrite").partitionBy("dist").option("encoding", "ISO-8859-1").option("quote", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .option("compression", "gzip").csv(text))
     spec = replace(FIXTURE, source=replace(FIXTURE.source, source_pattern=r"/dist=([^/]+)/"))
     result = run(spark, text, spec, f"{root}/out", expected=FIXTURE_DISTRICTS, enforce_quality=False)
     return read_table(spark, result.tables["resumen_mesa"], spec.gold["resumen_mesa"])

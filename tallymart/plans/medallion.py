@@ -36,7 +36,7 @@ from tallymart.operators.quality import (
 )
 from tallymart.operators.reshape import expand_measure
 from tallymart.plans.layout import BUILT_KEYS, contract_rules, truncation_rules
-from tallymart.session import drop_scratch, scratch_path
+from tallymart.session import drop_scratch, scratch_path, shuffles_removed
 from tallymart.sources.delimited import (
     INGESTED_AT,
     OK,
@@ -65,6 +65,12 @@ from tallymart.sources.sink import (
 from tallymart.spec import Contract, TallySpec
 
 
+#: The summary mart among the gold tables.
+MART = "resumen_mesa"
+#: Key checks that run side by side: each has shuffles of its own on disk.
+CHECKS_AT_ONCE = 2
+
+
 def clean_bronze(raw: DataFrame, spec: TallySpec) -> DataFrame:
     """Trim + sentinel on the text fields only (P3); audit columns keep their types."""
     text = [f.name for f in spec.source.schema.fields if f.name in raw.columns]
@@ -108,17 +114,22 @@ def silver(bronze: DataFrame, spec: TallySpec, method: str | None = "join") -> D
     return align(df, [c for c in spec.silver.names if method is not None or c != spec.classes.output])
 
 
-def gold(silver_df: DataFrame, spec: TallySpec, onepass: bool = True) -> dict[str, DataFrame]:
+def gold(
+    silver_df: DataFrame,
+    spec: TallySpec,
+    onepass: bool = True,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """Fact, six dimensions and the summary mart.
 
     The mart uses the one-scan plan by default (measured faster on a parquet
     silver and exact on any input); ``onepass=False`` gives the pivot + join.
+    ``stage``: see ``summary_onepass``.
     """
     tables = {"fact_resultados": fact(silver_df, spec.fact.columns)}
     for name, dim in spec.dims.items():
         tables[name] = dimension(silver_df, dim)
-    mart = summary_onepass if onepass else summary
-    tables["resumen_mesa"] = mart(silver_df, spec.summary)
+    tables[MART] = summary_onepass(silver_df, spec.summary, stage) if onepass else summary(silver_df, spec.summary)
     return tables
 
 
@@ -142,21 +153,24 @@ def table_checks(df: DataFrame, contract: Contract) -> DataFrame:
                       F.col("violations").cast("bigint").alias("violations"))
 
 
-def collision_checks(silver_df: DataFrame, spec: TallySpec) -> DataFrame:
+def collision_parts(silver_df: DataFrame, spec: TallySpec) -> list[DataFrame]:
     """Built keys that stand for several tuples of their parts (edges 12, 13),
-    one row per key in the form of ``gold_checks``."""
-    out = None
+    a table of one row per key in the form of ``gold_checks``."""
+    out = []
     for name, (key, parts) in BUILT_KEYS.items():
         found = key_collisions(silver_df, key, parts).agg(F.count(F.lit(1)).alias("violations"))
-        row = found.select(F.lit("collision").alias("check"), F.lit(spec.silver.name).alias("table"),
-                           F.lit(f"{name} <- {','.join(parts)}").alias("detail"), "violations")
-        out = row if out is None else out.unionByName(row)
+        out.append(found.select(F.lit("collision").alias("check"), F.lit(spec.silver.name).alias("table"),
+                                F.lit(f"{name} <- {','.join(parts)}").alias("detail"), "violations"))
     return out
 
 
-def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
-    """Key and NOT NULL checks over the gold tables (K1-K3), one row per check:
-    ``(check, table, detail, violations)``; foreign keys count orphan rows."""
+def collision_checks(silver_df: DataFrame, spec: TallySpec) -> DataFrame:
+    """All of ``collision_parts`` as one table."""
+    return reduce(DataFrame.unionByName, collision_parts(silver_df, spec))
+
+
+def check_parts(tables: dict[str, DataFrame], spec: TallySpec) -> list[DataFrame]:
+    """The checks of ``gold_checks``, a table per gold table and foreign key."""
     parts = [table_checks(tables[name], contract) for name, contract in spec.gold.items() if name in tables]
     for fk in spec.foreign_keys:
         if fk.child in tables and fk.parent in tables:
@@ -165,10 +179,13 @@ def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
             detail = f"{','.join(fk.columns)} -> {fk.parent}({','.join(fk.parent_columns)})"
             parts.append(agg.select(F.lit("foreign_key").alias("check"), F.lit(fk.child).alias("table"),
                                     F.lit(detail).alias("detail"), F.col("violations").cast("bigint")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts
+
+
+def gold_checks(tables: dict[str, DataFrame], spec: TallySpec) -> DataFrame:
+    """Key and NOT NULL checks over the gold tables (K1-K3), one row per check:
+    ``(check, table, detail, violations)``; foreign keys count orphan rows."""
+    return reduce(DataFrame.unionByName, check_parts(tables, spec))
 
 
 Target = Callable[[str], str]
@@ -178,6 +195,7 @@ Target = Callable[[str], str]
 INGEST_REPORT, QUALITY_REPORT, VIOLATIONS = "ingest_report", "quality_report", "quality_violations"
 REJECTED, KEY_REPORT = "ingest_rejected", "key_report"
 _REPORTS = (INGEST_REPORT, REJECTED, QUALITY_REPORT, VIOLATIONS, KEY_REPORT)
+_CHECK_SCHEMA = "check string, table string, detail string, violations bigint"
 _REPORT_SCHEMA = "rule string, position int, violations bigint, enforced boolean"
 
 
@@ -417,15 +435,28 @@ def build_gold(
 ) -> dict[str, str]:
     """Gold stage, from the published silver: the eight tables, side by side,
     then a report of their declared keys (K1-K3) and of built keys that
-    collide, which never stops a run."""
+    collide, which never stops a run.
+
+    The mart, whose shuffles are the largest, comes before the others and in
+    two steps; the checks (each a few rows) run a few at a time."""
     result = result or RunResult()
     target = _target(out)
     rows = read_table(spark, target("silver"), spec.silver)
-    paths = publish_gold(gold(rows, spec, onepass=onepass), spec, target)
+    with _staging(spark, "mart-staging", target(MART)) as staging:
+
+        def stage(level1: DataFrame) -> DataFrame:
+            publish(level1, staging, swap=False)
+            return spark.read.schema(level1.schema).parquet(staging)
+
+        tables = gold(rows, spec, onepass=onepass, stage=stage)
+        first = publish_gold({MART: tables[MART]}, spec, target)
+    paths = publish_gold({name: df for name, df in tables.items() if name != MART}, spec, target) | first
     result.tables.update(paths)
     if check_keys:
-        checks = gold_checks(read_gold(spark, paths, spec), spec).unionByName(collision_checks(rows, spec))
-        publish(checks.coalesce(1), target(KEY_REPORT))
+        parts = check_parts(read_gold(spark, paths, spec), spec) + collision_parts(rows, spec)
+        with ThreadPoolExecutor(max_workers=CHECKS_AT_ONCE) as pool:
+            found = [tuple(r) for some in pool.map(DataFrame.collect, parts) for r in some]  # a row per check
+        publish(spark.createDataFrame(found, _CHECK_SCHEMA).coalesce(1), target(KEY_REPORT))
         result.tables[KEY_REPORT] = target(KEY_REPORT)
         found = read_table(spark, target(KEY_REPORT)).filter("violations > 0").orderBy("check", "table", "detail")
         result.keys = [tuple(r) for r in found.collect()]  # at most a row per check
@@ -452,7 +483,8 @@ def run(
     anew, each from the table the one before has published.  With ``reload``
     bronze keeps all other districts; silver and gold are made anew from it."""
     result = RunResult()
-    ingest(spark, paths, spec, out, expected, enforce_sources, result, reload)
-    build_silver(spark, spec, out, enforce_quality, result, enforce_widths, buckets)
-    build_gold(spark, spec, out, onepass, result, check_keys)
+    with shuffles_removed(spark):
+        ingest(spark, paths, spec, out, expected, enforce_sources, result, reload)
+        build_silver(spark, spec, out, enforce_quality, result, enforce_widths, buckets)
+        build_gold(spark, spec, out, onepass, result, check_keys)
     return result

@@ -7,10 +7,12 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(
@@ -97,6 +99,23 @@ def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Inside, Spark removes the shuffle files of a query when it is over, not
+    when the driver happens to collect garbage: a job of many writes then
+    takes the disk of its largest one instead of all.  Only for work whose
+    queries are run once, as each write is."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
+
+
 def materialize(df, name: str, fmt: str = "parquet", unique: bool = True):
     """Write ``df`` once under the shared checkpoint folder and return a scan
     of it: cuts lineage like ``checkpoint()``, but the copy is a columnar

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tallymart.sources.sink import CODEC
 from tallymart.spec import SourceSpec
 
 SOURCE = "_source"
@@ -183,7 +184,8 @@ def stage_delimited(
 
     def write(df: DataFrame) -> None:
         rows = prepare(df) if prepare else df
-        rows.write.mode("overwrite").option("maxRecordsPerFile", "5000000").partitionBy(*partition_by).parquet(target)
+        writer = rows.write.mode("overwrite").option("maxRecordsPerFile", "5000000").option("compression", CODEC)
+        writer.partitionBy(*partition_by).parquet(target)
 
     present, missing = split_paths(spark, paths)
     failures = [(p, NO_ROWS, "no such path") for p in missing]

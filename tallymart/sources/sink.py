@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 
 from tallymart.spec import Contract
 
+#: Codec of parquet files: codes and ids take about a third less than with
+#: Spark's default.
+CODEC = "zstd"
+
 
 def is_path(target: str) -> bool:
     """A target with a slash or a scheme is a storage path; anything else is
@@ -224,6 +228,8 @@ def publish(
     out = conform(df, contract) if contract is not None else df
     parts = list(partition_by if partition_by is not None else (contract.partition_by if contract else ()))
     writer = out.write.format(fmt).mode(mode)
+    if fmt == "parquet":
+        writer = writer.option("compression", CODEC)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if parts:
