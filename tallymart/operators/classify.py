@@ -16,6 +16,12 @@ per entity and joins it back, instead of a whole-partition window:
 both sides sorted: wide rows stream past one small row per entity, and AQE
 splits a hot entity as well.
 
+``method="dealt"`` hashes as well, by plain equality, for text keys that are
+never NULL: rows stay dealt by the entity, so aggregates and windows whose keys
+hold the entity need no exchange of their own.  Run it with
+``session.hot_keys_split``: where AQE finds a hot entity it then splits the
+join and puts those exchanges in again.
+
 ``method="window"`` keeps the single-Window plan (one Exchange, one Sort).
 
 ``method="clustered"`` is for a table bucketed by the entity key, which is
@@ -29,6 +35,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallymart.functions.codes import flag, row_kind as _row_kind
 from tallymart.spec import ClassSpec, KindSpec
@@ -68,8 +75,11 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     if method == "clustered":
         flagged = entity_flags(df, spec).select(*spec.key, spec.output)
         return df.join(flagged.hint("merge"), on=list(spec.key), how="inner").select(*df.columns, spec.output)
-    if method not in ("join", "hash"):
+    if method not in ("join", "hash", "dealt"):
         raise ValueError(f"unknown method {method!r}")
+    fields = {f.name: f for f in df.schema.fields}
+    if method == "dealt" and any(fields[k].nullable or fields[k].dataType != StringType() for k in spec.key):
+        raise ValueError(f"{spec.key}: only text keys that are never NULL stay dealt")
     keyed = [f"__key{i}" for i in range(len(spec.key))]
     # Entities of the default class need no row on the joined side: in a real
     # tally the special ones are few, so the side is small and the rows are
@@ -85,7 +95,12 @@ def entity_class(df: DataFrame, spec: ClassSpec, method: str = "join") -> DataFr
     # shuffle - the only shape in which AQE can split a hot entity's
     # partition.  The extra shuffle moves one row per entity.
     eq = [df[k].eqNullSafe(classes[a]) for k, a in zip(spec.key, keyed)]
-    if method == "hash":
+    if method == "dealt":
+        # Spelled otherwise than the aggregate's key: the same reason, for the
+        # special entities' side alone.
+        classes = classes.withColumns({a: F.concat(F.col(a), F.lit("")) for a in keyed})
+        eq = [df[k] == classes[a] for k, a in zip(spec.key, keyed)]
+    if method in ("hash", "dealt"):
         classes = classes.hint("shuffle_hash")
     joined = df.join(classes, reduce(lambda a, b: a & b, eq), "left")
     return joined.withColumn(spec.output, F.coalesce("__class", F.lit(spec.otherwise))).drop("__class", *keyed)

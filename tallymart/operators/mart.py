@@ -18,7 +18,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tallymart.operators.model import preference
 from tallymart.operators.reshape import pivot_codes
 from tallymart.spec import SummarySpec
 
@@ -122,7 +121,9 @@ def _one_row(level1: DataFrame, spec: SummarySpec) -> DataFrame:
     one sort, of a row per spelling of a polling table; tuples without totals
     rows come last."""
     present = _all([F.lit(True)] + [F.col(k).isNotNull() for k in spec.join_keys])
-    w = _per_key(spec).orderBy(preference(spec.attributes, F.col("__ntot")))
+    # The order of ``preference`` by columns that the rows have anyway: Spark
+    # would shuffle a computed struct of all attributes beside them.
+    w = _per_key(spec).orderBy(F.col("__ntot").desc(), *[F.col(c).asc_nulls_last() for c in spec.attributes])
     every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = level1.select(
         *spec.join_keys,

@@ -56,7 +56,7 @@ from tallymart.plans.medallion import (
     silver,
 )
 from tallymart.plans.oracle import INGEST_EXPECTED
-from tallymart.session import materialize, scratch_path, shuffles_removed
+from tallymart.session import drop_scratch, hot_keys_split, materialize, scratch_path, shuffles_removed
 from tallymart.sources.delimited import (
     INGESTED_AT,
     SOURCE,
@@ -538,8 +538,21 @@ def _dim_one(name: str) -> Query:
 
 
 def q_summary_one(spark, sf_dir):
-    """Edge 14 in G8: one row per category and polling table."""
-    return summary_onepass(_spelled_twice(fixture_silver(spark, sf_dir)), ONE_SPELLING.summary)
+    """Edge 14 in G8: one row per category and polling table.
+
+    The tally and the counts per spelling are written one after the other, so
+    that the disk holds the shuffles of one step only.  Between them silver is
+    dealt by polling table once, for its class and for the counts."""
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        publish(df, scratch_path(spark, name, unique=False))
+        return spark.read.schema(df.schema).parquet(scratch_path(spark, name, unique=False))
+
+    tally, counts = "summary-one-tally", "summary-one-counts"
+    with shuffles_removed(spark), hot_keys_split(spark):
+        rows = silver(staged(fixture_bronze(spark, sf_dir), tally), FIXTURE, method="dealt")
+        out = summary_onepass(_spelled_twice(rows), ONE_SPELLING.summary, lambda df: staged(df, counts))
+        drop_scratch(spark, scratch_path(spark, tally, unique=False))
+    return out
 
 
 BUCKETS = 16

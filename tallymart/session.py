@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+SKEW_CONF = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
 def local_session(
@@ -100,20 +101,31 @@ def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Inside, Spark removes the shuffle files of a query when it is over, not
-    when the driver happens to collect garbage: a job of many writes then
-    takes the disk of its largest one instead of all.  Only for work whose
-    queries are run once, as each write is."""
-    before = spark.conf.get(CLEANUP_CONF, None)
-    spark.conf.set(CLEANUP_CONF, "true")
+def _set(spark: SparkSession, name: str, value: str):
+    """A setting of the session, put back afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(CLEANUP_CONF)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(CLEANUP_CONF, before)
+            spark.conf.set(name, before)
+
+
+def shuffles_removed(spark: SparkSession):
+    """Inside, Spark removes the shuffle files of a query when it is over, not
+    when the driver happens to collect garbage: a job of many writes then
+    takes the disk of its largest one instead of all.  Only for work whose
+    queries are run once, as each write is."""
+    return _set(spark, CLEANUP_CONF, "true")
+
+
+def hot_keys_split(spark: SparkSession):
+    """Inside, AQE splits the hot partitions of a join even where the steps
+    after it must then shuffle rows that otherwise stay where they are."""
+    return _set(spark, SKEW_CONF, "true")
 
 
 def materialize(df, name: str, fmt: str = "parquet", unique: bool = True):
