@@ -648,7 +648,7 @@ def q_tally_run(spark, sf_dir):
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .option("compression", "gzip").csv(text))
     spec = replace(FIXTURE, source=replace(FIXTURE.source, source_pattern=r"/dist=([^/]+)/"))
-    result = run(spark, text, spec, f"{root}/out", expected=FIXTURE_DISTRICTS, enforce_quality=False)
+    result = run(spark, text, spec, f"{root}/out", expected=FIXTURE_DISTRICTS, enforce_quality=False, stage_mart=True)
     return read_table(spark, result.tables["resumen_mesa"], spec.gold["resumen_mesa"])
 
 

@@ -432,13 +432,15 @@ def build_gold(
     onepass: bool = True,
     result: RunResult | None = None,
     check_keys: bool = True,
+    stage_mart: bool = False,
 ) -> dict[str, str]:
     """Gold stage, from the published silver: the eight tables, side by side,
     then a report of their declared keys (K1-K3) and of built keys that
     collide, which never stops a run.
 
-    The mart, whose shuffles are the largest, comes before the others and in
-    two steps; the checks (each a few rows) run a few at a time."""
+    The mart, whose shuffles are the largest, comes before the others; with
+    ``stage_mart`` its first level is written, so that those of its two levels
+    are not on disk at once.  The checks (each a few rows) run a few at a time."""
     result = result or RunResult()
     target = _target(out)
     rows = read_table(spark, target("silver"), spec.silver)
@@ -448,7 +450,7 @@ def build_gold(
             publish(level1, staging, swap=False)
             return spark.read.schema(level1.schema).parquet(staging)
 
-        tables = gold(rows, spec, onepass=onepass, stage=stage)
+        tables = gold(rows, spec, onepass=onepass, stage=stage if stage_mart else None)
         first = publish_gold({MART: tables[MART]}, spec, target)
     paths = publish_gold({name: df for name, df in tables.items() if name != MART}, spec, target) | first
     result.tables.update(paths)
@@ -476,15 +478,17 @@ def run(
     enforce_widths: bool = False,
     buckets: int | None = None,
     check_keys: bool = True,
+    stage_mart: bool = False,
 ) -> RunResult:
     """Full refresh of bronze, silver and gold under the root path ``out``
     (or into the catalog tables a target function such as
     ``table_targets("tally.")`` names): three stages that can be started
     anew, each from the table the one before has published.  With ``reload``
-    bronze keeps all other districts; silver and gold are made anew from it."""
+    bronze keeps all other districts; silver and gold are made anew from it.
+    ``stage_mart`` trades one more write for disk (see ``build_gold``)."""
     result = RunResult()
     with shuffles_removed(spark):
         ingest(spark, paths, spec, out, expected, enforce_sources, result, reload)
         build_silver(spark, spec, out, enforce_quality, result, enforce_widths, buckets)
-        build_gold(spark, spec, out, onepass, result, check_keys)
+        build_gold(spark, spec, out, onepass, result, check_keys, stage_mart)
     return result

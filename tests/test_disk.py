@@ -61,11 +61,12 @@ def test_shuffles_are_removed_and_the_setting_is_put_back(spark):
         spark.conf.unset(CLEANUP_CONF)
 
 
-def test_a_run_leaves_no_shuffle_and_no_staging(spark, tmp_dir):
+@pytest.mark.parametrize("stage_mart", [False, True])
+def test_a_run_leaves_no_shuffle_and_no_staging(spark, tmp_dir, stage_mart):
     os.makedirs(f"{tmp_dir}/src")
     good_files(f"{tmp_dir}/src")
     before = shuffle_files(spark)
-    res = run(spark, f"{tmp_dir}/src/*.txt", ELECTION, f"{tmp_dir}/out", enforce_quality=False)
+    res = run(spark, f"{tmp_dir}/src/*.txt", ELECTION, f"{tmp_dir}/out", enforce_quality=False, stage_mart=stage_mart)
     assert not left_over(spark, before)
     gold = {n: p for n, p in res.tables.items() if n in ELECTION.gold}
     assert set(gold) == set(ELECTION.gold) == set(os.listdir(f"{tmp_dir}/out/gold"))
